@@ -19,11 +19,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD
+from .common import SPACE_WORD, cut
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = "mix-1"
+MAX_BROADCAST_SOURCES = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -62,12 +63,21 @@ def draw(doc_id, seed: str = SEED):
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def repetition(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """One row per document: all its columns under ``doc``, with size, source_size, target and copies beside."""
+def repetition(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per document: the columns to keep (all, if not said) under ``doc``, with size, source_size, target, rate and copies beside.
+
+    The targets are computed once into the shared checkpoint folder. They are broadcast when their counted rows allow it, else
+    joined by source.
+    """
     words = F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long")
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("source"), F.col("doc_id"), words.alias("size"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc")
+    sized = docs.select(carried, F.col("source"), F.col("doc_id"), words.alias("size"))
     per_source = docs.select("source", words.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(per_source, weights, max_repeat).withColumnRenamed("source", "of_source")
+    targets = cut(source_targets(per_source, weights, max_repeat).withColumnRenamed("source", "of_source"))
+    if targets.count() <= MAX_BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return (
         sized.join(targets, F.col("source").eqNullSafe(F.col("of_source")), "left")
@@ -87,7 +97,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat:
 
 def op8_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    r = repetition(docs)
+    r = repetition(docs, keep=["doc_id"])
     return r.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
