@@ -7,6 +7,7 @@ from .decontaminate import OP5_SQL, op5_query
 from .mixing import OP8_SQL, op8_query
 from .secret_scan import op7_query
 from .simhash import op4_query
+from .substring_dedup import op9_query
 from .topk import OP3_SQL, op3_query
 from .toxicity import op1_query
 from .url_filter import op2_query
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_chat_format": op6_query,
     "op7_secret_scan": op7_query,
     "op8_source_mix": op8_query,
+    "op9_substring_dedup": op9_query,
 }
 
 SQL = {"op5_decontaminate": OP5_SQL, "op3_exact_topk": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_source_mix": OP8_SQL}
