@@ -1,14 +1,17 @@
 """Near-duplicate groups of SimHash fingerprints by segment popcounts.
 
-A fingerprint is mapped to the bit counts of its SEGMENTS segments. The
+A fingerprint is mapped to the bit counts of short segments, two bits each, in
+two tilings of each half that are shifted against each other by a bit. Every
+differing bit changes one count of either tiling by one, so that half the
 Manhattan distance of two such vectors is never above the number of differing
-bits, so that fingerprints with at most 3 differing bits are within 3 there.
-Then one half of the vectors is within 1. Each half is therefore range-joined
-on the unit grid: a fingerprint stands in the cell of its half vector, and if the
-half's total is odd also in all cells one step away. Two half vectors at
-distance 0 or 1 share a cell. Inside a cell fingerprints are compared exactly,
-in blocks if it is large, and only a spanning forest of the links leaves the
-task. Components of those links are the groups.
+bits. Of two fingerprints with at most 3 differing bits one half has at most
+one, and lies within distance 2 there. Each half is therefore range-joined on
+the unit grid of the counts: a fingerprint is at home in the cell of its own
+vector and, if the half's total is odd, visits the cells that one bit reaches.
+Half vectors of one differing bit meet where the even one is at home. Inside a
+cell fingerprints are compared exactly, in blocks if it is large, and only a
+spanning forest of the links leaves the task. Components of those links are the
+groups.
 
 Defined results: null, empty and wordless texts have fingerprint zero and link
 like any other; a text of one or two words is one shingle; equal fingerprints
@@ -30,11 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import cut
 from .components import connected_components
+from .text_hash import mix64
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-SEGMENTS = 32  # of two bits each
 CELL_BLOCK = 1024  # a cell with more fingerprints is compared in pairs of blocks of about this size
 
 
@@ -65,22 +68,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
-def cells(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit halves -> (number in half, cell) for every cell in which they stand.
+def segment_counts(half: np.ndarray) -> np.ndarray:
+    """32-bit halves -> the counts of 16 two-bit segments, and of 16 more that start a bit later, each packed in two bits."""
+    pairs, one = np.uint64(0x55555555), np.uint64(1)
+    turned = ((half >> one) | (half << np.uint64(31))) & np.uint64(0xFFFFFFFF)
+    plain, shifted = ((x & pairs) + ((x >> one) & pairs) for x in (half, turned))
+    return plain | shifted << np.uint64(32)
 
-    A cell is the vector of SEGMENTS / 2 two-bit counts, packed at two bits each:
-    counts are 0, 1 or 2, and a step outside of them is no cell of anyone.
-    """
-    counts = (half & np.uint64(0x55555555)) + ((half >> np.uint64(1)) & np.uint64(0x55555555))
-    own = np.arange(len(half))
-    who, where = [own], [counts]
-    odd = np.bitwise_count(half) % 2 == 1
-    for s in range(SEGMENTS // 2):
-        one, at = np.uint64(1) << np.uint64(2 * s), (counts >> np.uint64(2 * s)) & np.uint64(3)
-        up, down = odd & (at < 2), odd & (at > 0)
-        who += [own[up], own[down]]
-        where += [counts[up] + one, counts[down] - one]
-    return np.concatenate(who), np.concatenate(where)
+
+def cells(half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """32-bit halves -> (number in half, cell, whether at home) for every cell in which they stand."""
+    own, odd = np.arange(len(half)), np.flatnonzero(np.bitwise_count(half) % 2 == 1)
+    reached = half[odd][:, None] ^ (np.uint64(1) << np.arange(32, dtype=np.uint64))
+    who = np.concatenate([own, np.repeat(odd, 32)])
+    return who, np.concatenate([segment_counts(half), segment_counts(reached.ravel())]), np.arange(len(who)) < len(own)
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,9 +90,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = batch.column("id").to_numpy()[at : at + 4096]
             prints = batch.column("fp").to_numpy()[at : at + 4096]
             for side in (0, 1):
-                who, where = cells((prints.view(np.uint64) >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF))
-                cell = where.astype(np.int64) | np.int64(side << 32)
-                yield pa.record_batch({"cell": pa.array(cell), "id": pa.array(ids[who]), "fp": pa.array(prints[who])})
+                who, where, home = cells((prints.view(np.uint64) >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF))
+                cell = mix64(where + np.uint64(side)).view(np.int64)
+                yield pa.record_batch({"cell": pa.array(cell), "home": pa.array(home), "id": pa.array(ids[who]), "fp": pa.array(prints[who])})
 
 
 def _forest(ids: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
@@ -126,8 +127,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(points: DataFrame) -> DataFrame:
     """Distinct fingerprints (id, fp) -> (src, dst): links that join all of each group."""
-    placed = points.mapInArrow(_cells, "cell long, id long, fp long")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
+    placed = points.mapInArrow(_cells, "cell long, home boolean, id long, fp long")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("met")).filter("n > 1 and met").drop("met")
     crowded = placed.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / CELL_BLOCK).cast("int"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # A member meets every block once: pair (low, high) of block numbers, its own being one of them.
