@@ -8,6 +8,7 @@ from .mixing import OP8_SQL, op8_query
 from .secret_scan import op7_query
 from .simhash import op4_query
 from .substring_dedup import op9_query
+from .suffix_dedup import op10_query
 from .topk import OP3_SQL, op3_query
 from .toxicity import op1_query
 from .url_filter import op2_query
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_secret_scan": op7_query,
     "op8_source_mix": op8_query,
     "op9_substring_dedup": op9_query,
+    "op10_suffix_dedup": op10_query,
 }
 
 SQL = {"op5_decontaminate": OP5_SQL, "op3_exact_topk": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_source_mix": OP8_SQL}
