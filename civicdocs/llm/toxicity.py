@@ -109,22 +109,38 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shar
     return table["feature"].to_numpy(), table["weight"].to_numpy()
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, text) -> doc_id, score."""
+def _scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]):
     weights = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(batches: Iterator[pa.RecordBatch], keep_under: float | None = None) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS, np.float32)
         dense[weights.value[0]] = weights.value[1]
         for batch in batches:
             sums = np.full(batch.num_rows, float(dense[0]))
-            for first, n, index, owner in grams([t or b"" for t in batch.column("text").to_pylist()]):
+            texts = [t.encode() if isinstance(t, str) else t or b"" for t in batch.column("text").to_pylist()]
+            for first, n, index, owner in grams(texts):
                 told = dense[index] != 0  # few weights aren't zero; only theirs are counted once a text
                 key = np.unique(owner[told].astype(np.int64) << BITS | index[told])
                 sums[first : first + n] += np.bincount(key >> BITS, dense[key & ((1 << BITS) - 1)], n)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))), pa.float64())})
+            scored = 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
+            if keep_under is None:
+                yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scored, pa.float64())})
+            else:
+                yield batch.filter(pa.array(scored < keep_under))
+
+    return scores
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(scores, "doc_id long, score double")
+
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(doc_id, text) -> doc_id, score."""
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_scorer(docs, model), "doc_id long, score double")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below the threshold."""
+    known = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
+    scores = _scorer(docs, train(docs, known))
+    return docs.mapInArrow(lambda it: scores(it, threshold), docs.schema)
 
 
 def held_out(doc_id):
