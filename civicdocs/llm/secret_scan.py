@@ -24,7 +24,8 @@ KINDS = {
     "access": (r"(AKIA[A-Z0-9]{12,})", 1, 16),
     "hex": (r"([0-9a-f]{32,})", 1, 32),
 }
-TOKEN = r"([A-Za-z0-9+/_=-]{20,})"
+LONG = 20  # characters of a token that is judged by the models
+TOKEN = rf"([A-Za-z0-9+/_=-]{{{LONG},}})"
 WORD = r"[A-Za-z0-9_]{5,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SYMBOLS = len(ALPHABET) + 1
@@ -55,12 +56,10 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_matches(text, p, g, n, k, i) for i, (k, (p, g, n)) in enumerate(KINDS.items())]))
 
 
-def _code(c: str) -> str:
-    return f"locate({c}, '{ALPHABET}')"
-
-
-def _bigrams(word: str) -> str:
-    return f"transform(sequence(1, length({word}) - 1), i -> {_code(f'substr({word}, i, 1)')} * {SYMBOLS} + {_code(f'substr({word}, i + 1, 1)')})"
+def _pairs(word: Column) -> Column:
+    """code1 * SYMBOLS + code2 of the neighbouring characters; a code is the place in ALPHABET, 0 for any other character."""
+    codes = F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    return F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes) - 1), lambda a, b: a * SYMBOLS + b)
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
@@ -70,26 +69,32 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("t")).withColumn("base", base_spans(F.col("t")))
     random = sample.select(F.explode("base.value").alias("v"), F.lit(1).alias("label"))
     ordinary = sample.select(F.explode(F.array_except(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)), F.col("base.value"))).alias("v"), F.lit(0).alias("label"))
-    pairs = random.unionAll(ordinary).filter(F.length("v") > 1).select("label", F.explode(F.expr(_bigrams("v"))).alias("pair"))
+    ordinary = ordinary.filter(F.length("v") < LONG)  # longer ones are what will be judged
+    pairs = random.unionAll(ordinary).filter(F.length("v") > 1).select("label", F.explode(_pairs(F.col("v"))).alias("pair"))
     count = [[0] * (SYMBOLS * SYMBOLS) for _ in range(2)]
     for r in pairs.groupBy("label", "pair").count().collect():  # at most 2 * SYMBOLS^2 rows
         count[r["label"]][r["pair"]] = r["count"]
-    out = []
-    for a in range(SYMBOLS):
-        row = [c[a * SYMBOLS : (a + 1) * SYMBOLS] for c in count]
-        totals = [sum(r) + SYMBOLS for r in row]
-        out += [math.log((row[1][b] + 1) / totals[1]) - math.log((row[0][b] + 1) / totals[0]) for b in range(SYMBOLS)]
-    return out
+    chance = [_conditional(c) for c in count]
+    return [math.log(chance[1][i]) - math.log(chance[0][i]) for i in range(SYMBOLS * SYMBOLS)]
+
+
+def _conditional(count: list[int], prior: float = 5.0) -> list[float]:
+    """P(second | first) of all pairs, drawn towards P(second) where the first is rare."""
+    total = sum(count) + SYMBOLS
+    single = [(sum(count[b::SYMBOLS]) + 1) / total for b in range(SYMBOLS)]
+    rows = [sum(count[a * SYMBOLS : (a + 1) * SYMBOLS]) for a in range(SYMBOLS)]
+    return [(count[a * SYMBOLS + b] + prior * single[b]) / (rows[a] + prior) for a in range(SYMBOLS) for b in range(SYMBOLS)]
 
 
 def model_spans(text: Column, base: Column, table: list[float], min_llr: float = MIN_LLR) -> Column:
     """Long tokens outside all base spans that look random."""
     ratios = F.lit(table)
-    tokens = _matches(text, TOKEN, 1, 20, "model", len(KINDS))
+    tokens = _matches(text, TOKEN, 1, LONG, "model", len(KINDS))
 
     def llr(v: Column) -> Column:
-        pair = lambda i: F.instr(F.lit(ALPHABET), F.substr(v, i, F.lit(1)))
-        return F.aggregate(F.sequence(F.lit(1), F.length(v) - 1), F.lit(0.0), lambda a, i: a + F.get(ratios, pair(i) * SYMBOLS + pair(i + 1)))
+        codes = F.transform(F.split(v, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+        step = lambda acc, c: F.struct(c.alias("last"), (acc["sum"] + F.when(acc["last"] < 0, 0.0).otherwise(F.get(ratios, acc["last"] * SYMBOLS + c))).alias("sum"))
+        return F.aggregate(codes, F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")), step)["sum"]
 
     apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     return F.filter(tokens, lambda s: apart(s) & (llr(s["value"]) > min_llr))
