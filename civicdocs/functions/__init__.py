@@ -1 +1 @@
-""""""
+"""Column expressions; all of them stay inside Spark's own functions."""

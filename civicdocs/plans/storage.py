@@ -1,0 +1,15 @@
+"""The shared folder for intermediate tables."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; one is made only where the cluster names none, as in tests."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))
+    return sc.getCheckpointDir()

@@ -1 +1 @@
-""""""
+"""Incremental runs over arriving exports."""
