@@ -29,7 +29,7 @@ TOKEN = rf"([A-Za-z0-9+/_=-]{{{LONG},}})"
 WORD = r"[A-Za-z0-9_]{5,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SYMBOLS = len(ALPHABET) + 1
-SAMPLE_DOCS = 8_000  # about so many documents train the models
+SAMPLE_DOCS = 4_000  # about so many documents train the models
 MIN_LLR = 15.0  # a token is random when the models' log-likelihood ratio is above this
 
 
