@@ -71,7 +71,7 @@ def nest_sections(sections: DataFrame, lang: str = "bn") -> DataFrame:
 
 def nest_tree(chapters: DataFrame, sections: DataFrame) -> DataFrame:
     """Chapters of a commission, sorted, each with its sorted sections: book_id, tree."""
-    nested = chapters.join(nest_sections(sections), "chapter_id", "left")
+    nested = chapters.select("chapter_id", "book_id", "serial", "title", "chapterName").join(nest_sections(sections), "chapter_id", "left")
     none = F.array().cast("array<struct<serial:int,id:bigint,label:string,kind:string>>")
     item = F.struct(
         F.coalesce("serial", F.lit(0)).alias("serial"), F.col("chapter_id").alias("id"), chapter_label("title", "chapterName").alias("label"),

@@ -1,0 +1,238 @@
+"""Readers, hierarchy, manifest, board, texts, labels, changes and streams on small hand-written archives."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from civicdocs.operators import changes as C
+from civicdocs.operators import hierarchy as H
+from civicdocs.operators import manifest as M
+from civicdocs.operators import numbering as N
+from civicdocs.operators import texts as S
+from civicdocs.sources import readers as R
+from civicdocs.sources.writers import write_manifest
+from civicdocs.streaming import incremental
+
+BOOKS = [
+    {"id": 1, "name": "Police", "nameBangla": "পুলিশ", "serial": 2, "hasVolume": True, "summaryFileName": "1_1.pdf", "summaryEn": ""},
+    {"id": 2, "name": "Health", "nameBangla": "", "serial": 1, "hasVolume": None, "pdfName": "2_1.pdf", "summaryEn": "2_2.pdf"},
+    {"id": 3, "name": "Media", "serial": None, "summaryFileName": " "},
+]
+PARAGRAPHS = [
+    {"id": 12, "serial": 2, "content": "second\nline", "header": ""}, {"id": 11, "serial": 1, "content": "first", "header": "Intro", "indexChar": "ক"},
+    {"id": 13, "serial": None, "content": None, "header": "Only header"}, {"id": 14, "serial": 2, "content": "tie", "hasImage": True, "fileName": "p.png"},
+    {"id": 15, "serial": 3, "content": "no file", "hasImage": True, "fileName": None},
+]
+CHAPTERS = [
+    {"id": 21, "serial": 1, "title": "", "chapterName": "One", "book": {"id": 2}, "sections": [
+        {"id": 31, "serial": 2, "name": "Same", "hasPdf": True, "pdfName": "77_1750000000000.pdf"}, {"id": 32, "serial": 2, "name": "Same", "hasPdf": True, "pdfName": "77_1750000000001.pdf"},
+        {"id": 33, "serial": 1, "name": "No pdf", "hasPdf": True, "pdfName": ""}, {"id": 34, "serial": 3, "name": "Text", "hasPdf": False, "paragraphs": PARAGRAPHS},
+    ]},
+    {"id": 22, "serial": 1, "title": "Two", "book": {"id": 2}, "sections": []}, {"id": 20, "serial": None, "title": "Zero", "book": {"id": 2}},
+]
+VOLUMES = [{"id": 41, "serial": 1, "name": "Vol/A ", "nameBangla": "খণ্ড", "book": {"id": 1}, "chapters": [{"id": 23, "serial": 1, "title": "V", "sections": [{"id": 35, "serial": 1, "name": "In volume", "hasPdf": True, "pdfName": "5_1750000000002.pdf"}]}]}, {"id": 42, "serial": 2, "name": "Empty", "book": {"id": 1}, "chapters": []}]
+
+
+@pytest.fixture(scope="module")
+def archive(tmp_path_factory):
+    root = tmp_path_factory.mktemp("archive")
+    put = lambda name, value: ((root / name).parent.mkdir(parents=True, exist_ok=True), (root / name).write_text(value if isinstance(value, str) else json.dumps(value)))
+    put("books.json", BOOKS)
+    put("chapters/chapters-commission-2.json", CHAPTERS)
+    put("volumes/volume-wise-commission-1.json", VOLUMES)
+    notices = [{"id": i, "title": f"n{i}", "serial": s, "publishDate": "05-06-2025"} for i, s in ((1, 11), (13, 11), (2, 3), (5, 20))]
+    put("notices/notices-page1.json", {"content": notices[:2], "number": 0, "totalPages": 2, "totalElements": 4, "sort": {"sorted": True}})
+    put("notices/notices-page2.json", {"content": notices[2:], "number": 1, "totalPages": 2, "totalElements": 4})
+    put("i18n/en/global.json", '{"global": {"menu": {"home": "Home", "home": "Start", "a.b": "dot"}, "n": null, "deep": {"a": {"b": {"c": "x"}}}}}')
+    put("i18n/bn/global.json", '{"global": {"menu": {"home": "হোম"}}}')
+    put("broken/a.json", '[{"id": 1, "na')
+    put("broken/b.json", [{"id": 9, "name": "good"}])
+    put("pdfs/x/a.pdf", "12345")
+    put("pdfs/b.txt", "1")
+    return root
+
+
+def sections_of(spark, archive):
+    direct = R.read_chapters(spark, str(archive / "chapters")).select("book_id", "id", "serial", "title", "nameBangla", "chapterName", "sections")
+    volumes = H.flatten_volumes(R.read_volume_trees(spark, str(archive / "volumes")))
+    books = R.read_books(spark, str(archive / "books.json"))
+    return books, H.branches(books, direct, volumes), R.read_volumes(spark, str(archive / "volumes"))
+
+
+def test_readers(spark, archive):
+    books = {r.id: r for r in R.read_books(spark, str(archive / "books.json")).collect()}
+    assert len(books) == 3 and books[2].hasVolume is None and books[1].summaryEn == "" and books[3].serial is None
+    assert {(r.book_id, r.id) for r in R.read_chapters(spark, str(archive / "chapters")).collect()} == {(2, 20), (2, 21), (2, 22)}
+    assert [r.number for r in R.read_notices(spark, str(archive / "notices")).orderBy("id").collect()] == [0, 1, 1, 0]
+    good, bad = R.split_bad(R.read_books(spark, str(archive / "broken"), corrupt=True).cache())
+    assert [r.id for r in good.collect()] == [9] and bad.count() == 1
+    files = R.list_attachments(spark, str(archive / "pdfs")).collect()
+    assert [(r.file_name, r.length) for r in files] == [("a.pdf", 5)]
+
+
+def test_labels(spark, archive):
+    labels = R.read_labels(spark, str(archive / "i18n"))
+    got = {(r.lang, r.key): r.value for r in labels.collect()}
+    assert got == {("en", "global.menu.home"): "Start", ("en", "global.menu.a.b"): "dot", ("en", "global.n"): None, ("en", "global.deep.a.b.c"): "x", ("bn", "global.menu.home"): "হোম"}
+    assert ["global", "menu", "a.b"] in [r.path for r in labels.collect()]
+    parity = {r.key: r.status for r in S.label_parity(labels).collect()}
+    assert parity["global.menu.home"] == "different" and parity["global.n"] == "en-only"
+    wanted = spark.createDataFrame([("en", "global.menu.home", "d"), ("en", "none", "d"), ("bn", "none", None), ("en", "global.n", None)], "lang string, key string, default string")
+    assert sorted(r.value for r in S.label_lookup(wanted, labels).collect()) == ["", "", "Start", "d"]
+    assert R.flatten_json(spark.createDataFrame([("xx", "{broken"), ("xx", None)], "lang string, text string")).count() == 0
+
+
+def test_manifest(spark, archive, tmp_path):
+    books, chapters, volumes = sections_of(spark, archive)
+    flat = H.flatten_chapters(chapters).drop("paragraphs")
+    m = M.manifest(books, flat, volumes).cache()
+    assert sorted((r.section_id, r.dest) for r in m.collect()) == [(31, "01-Health/77_Same.pdf"), (32, "01-Health/77_Same.pdf"), (35, "02-Police/Vol-A/5_In volume.pdf")]
+    assert len({r.dest_unique for r in m.collect()}) == 3
+    assert [(r.dest, r.wanted, r.pdf_names) for r in M.collisions(m).collect()] == [("01-Health/77_Same.pdf", 2, ["77_1750000000000.pdf", "77_1750000000001.pdf"])]
+    assert {r.section_id for r in M.first_by_dest(m, "book_id", "section_id").collect()} == {31, 35}
+    done = spark.createDataFrame([("01-Health/77_Same.pdf",)], "dest string")
+    left = M.pending(m, done)
+    assert [r.section_id for r in left.collect()] == [35] and left.count() + m.join(done, "dest", "left_semi").count() == m.count()
+    counts = {(r.book_id, r.volume_id, r.level): r.pdfs for r in M.pdf_counts(m).collect()}
+    assert counts == {(2, None, 0): 2, (2, None, 1): 2, (1, 41, 0): 1, (1, None, 1): 1, (None, None, 3): 3}
+    write_manifest(m, str(tmp_path / "m"))
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 3 and (tmp_path / "m" / "commission_dir=02-Police" / "volume_dir=Vol-A").is_dir()
+    ids = chapters.select("book_id")
+    assert [r.id for r in H.missing_payload(books, ids).collect()] == [3]
+
+
+def test_reconcile(spark):
+    refs = spark.createDataFrame([("a",), ("a",), ("b",)], "file_name string")
+    files = spark.createDataFrame([("a", 5), ("c", 7)], "file_name string, length long")
+    got = M.reconcile(refs, files)
+    assert sorted((r.file_name, r.length, r.status) for r in got.collect()) == [("a", 5, "ok"), ("b", None, "missing"), ("c", 7, "orphan")]
+    report = {r.status: (r.files, r.bytes) for r in M.fetch_report(got.withColumn("owner", F.lit("x")), "owner").collect()}
+    assert report == {"ok": (1, 5), "missing": (1, 0), "orphan": (1, 7)}
+    assert M.corpus_card(refs, refs).first().pdfs == 2 and M.corpus_card(refs, refs, approximate=True).first().commissions == 3
+
+
+def test_tree(spark, archive):
+    _, chapters, _ = sections_of(spark, archive)
+    c = chapters.withColumnRenamed("id", "chapter_id")
+    s = H.flatten_chapters(chapters).withColumnRenamed("section_id", "id")
+    tree = {r.book_id: r.tree for r in H.nest_tree(c, s).collect()}
+    assert [(x.id, x.label, [(y.id, y.kind) for y in x.sections]) for x in tree[2]] == [(20, "Zero", []), (21, "One", [(33, "text"), (31, "pdf"), (32, "pdf"), (34, "text")]), (22, "Two", [])]
+    in_place = H.sort_nested(R.read_chapters(spark, "file://" + str(archive / "chapters"))).filter("id = 21").first()
+    assert [x.id for x in in_place.sections] == [33, 31, 32, 34] and [p.id for p in in_place.sections[3].paragraphs] == [13, 11, 12, 14, 15]
+    positions = H.tree_order(s, ["chapter_id"], ["serial", "id"]).filter("chapter_id = 21").collect()
+    assert {r.id: r.position for r in positions} == {33: 1, 31: 2, 32: 3, 34: 4}
+    assert {r.owner_id for r in H.attachment_refs(R.read_books(spark, str(archive / "books.json")), "book", ["pdfName", "summaryFileName", "summaryEn"]).collect()} == {1, 2, 3}
+    assert H.book_chapters(R.read_books(spark, str(archive / "books.json")), c.select("book_id", "chapter_id")).count() == 5
+
+
+def test_texts(spark, archive):
+    _, chapters, _ = sections_of(spark, archive)
+    p = H.flatten_paragraphs(H.flatten_chapters(chapters))
+    bodies = S.assemble_sections(p)
+    row = bodies.first()
+    assert row.body.split("\n") == ["Only header", "Intro|ক|first", "second<br>line", "tie|/pdfs/attachment/p.png", "no file"] and row.n_paragraphs == 5
+    assert S.assemble_sections(p, header=False).first().body.startswith("\nক|first")
+    looked = S.section_body_lookup(spark.createDataFrame([(34,), (99,)], "section_id long"), bodies)
+    assert {r.section_id: r.found for r in looked.collect()} == {34: True, 99: False}
+    assert S.oversized_sections(bodies, 10).count() == 1
+    assert S.lookup_one(p, "12").count() == 1
+
+
+def test_summary(spark, archive):
+    books = R.read_books(spark, str(archive / "books.json"))
+    assert [(r.rn, r.id, r.name, r.summary_en) for r in S.summary_rows(books).orderBy("rn").collect()] == [(1, 3, "Media", ""), (2, 2, "Health", "/pdfs/attachment/2_2.pdf"), (3, 1, "পুলিশ", "")]
+    assert tuple(S.summary_coverage(books).first()) == (3, 2, 1, 0, 0)
+
+
+def test_board(spark):
+    rows = spark.createDataFrame([(i, (i * 7) % 5) for i in range(1, 48)], "id long, serial int")
+    order = (F.desc("serial"), F.desc("id"))
+    want = sorted(range(1, 48), key=lambda i: (-((i * 7) % 5), -i))
+    numbered = N.global_index(rows, *order, partitions=7).cache()
+    assert [r.id for r in numbered.orderBy("rn").collect()] == want and [r.rn for r in numbered.orderBy("rn").collect()] == list(range(1, 48))
+    pages = N.page_envelopes(numbered, 10).orderBy("page").collect()
+    assert [(p.number_of_elements, p.first, p.last, p.has_prev, p.has_next) for p in pages] == [(10, True, False, False, True)] + [(10, False, False, True, True)] * 3 + [(7, False, True, True, False)]
+    assert sum(p.number_of_elements for p in pages) == pages[0].total_elements == 47
+    assert [r.id for r in N.page_slice(rows, 1, 10, *order).collect()] == want[:10] and [r.id for r in N.page_slice(rows, 3, 10, *order).collect()] == want[20:30]
+    assert N.global_index(rows.limit(0), *order).count() == 0
+
+
+def test_ties_on_a_page_border(spark):
+    rows = spark.createDataFrame([(1, 11), (13, 11)], "id long, serial int")
+    assert [r.id for r in N.global_index(rows, F.desc("serial"), F.desc("id")).orderBy("rn").collect()] == [13, 1]
+    assert [r.id for r in N.global_index(rows, F.desc("serial"), F.asc("id")).orderBy("rn").collect()] == [1, 13]
+
+
+def test_changes(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, v string")
+    ddl = "id long, seq int, op string, payload struct<v:string>"
+    rows = [(1, 1, "delete", None), (1, 2, "update", ("a2",)), (2, 1, "update", ("b2",)), (2, 2, "delete", None), (4, 1, "save", ("d",)), (9, 1, "delete", None)]
+    batch = spark.createDataFrame(rows, ddl)
+    once = C.apply_changes(base, batch)
+    assert sorted(map(tuple, once.collect())) == [(1, "a2"), (3, "c"), (4, "d")]
+    assert sorted(map(tuple, C.apply_changes(once, batch).collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_serials_and_batches(spark):
+    old = spark.createDataFrame([(1, 5), (1, 7), (2, None)], "p long, serial int")
+    assert {r.p: r.next_serial for r in C.max_serials(old, "p").collect()} == {1: 8, 2: 1}
+    new = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "p long, t string")
+    assert sorted((r.p, r.t, r.serial) for r in C.next_serials(new, old, "p", "t").collect()) == [(1, "x", 8), (1, "y", 9), (3, "z", 1)]
+    batch = spark.createDataFrame([(1, [("o0", True), ("o1", False), ("o2", True)], ["f0", "f1"])], "id long, objects array<struct<n:string,hasImage:boolean>>, files array<string>")
+    assert [(r.n, r.fileName) for r in C.zip_attachments(batch).orderBy("pos").collect()] == [("o0", "f0"), ("o1", None), ("o2", None)]
+    assert C.remove_at(batch, "files", F.lit(0)).first().files == ["f1"] and C.remove_at(batch, "files", F.lit(9)).first().files == ["f0", "f1"]
+    good, bad = C.validate(old, {"serial": F.col("serial").isNotNull()})
+    assert good.count() == 2 and bad.first().violations == ["serial"]
+    stamped = C.stamp_parent(new.withColumnRenamed("p", "batch"), spark.createDataFrame([(1, 100)], "batch long, parent long"), "batch", "parent")
+    assert {r.parent for r in stamped.collect()} == {100} and stamped.count() == 2
+
+
+def test_random_trees_flatten_back(spark):
+    """Nesting and flattening again gives every section once, in sibling order."""
+    rnd = random.Random(5)
+    rows = [(c, i, rnd.choice([None, 1, 1, 2, 3]), rnd.choice([None, "", "n"]), rnd.choice([True, False, None]), rnd.choice([None, "", "p"])) for c in range(20) for i in range(rnd.randint(1, 9))]
+    s = spark.createDataFrame(rows, "chapter_id long, id long, serial int, name string, hasPdf boolean, pdfName string")
+    for r in H.nest_sections(s).collect():
+        want = sorted((x for x in rows if x[0] == r.chapter_id), key=lambda x: (x[2] or 0, x[1]))
+        assert [(y.id, y.label, y.kind) for y in r.sections] == [(x[1], x[3] or "", "pdf" if x[4] and x[5] else "text") for x in want]
+
+
+def test_stream_harvest(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "manifest")
+    source.mkdir()
+    books = spark.createDataFrame([(2, "Health", 1)], "id long, name string, serial int")
+    (source / "a.json").write_text(json.dumps(CHAPTERS))
+    run = lambda: incremental.incremental_harvest(spark, str(source), books, target, str(tmp_path / "ck")).awaitTermination()
+    run()
+    assert spark.read.parquet(target).count() == 1  # two sections want the same path
+    more = [{"id": 29, "serial": 1, "title": "new", "book": {"id": 2}, "sections": [{"id": 39, "serial": 1, "name": "New", "hasPdf": True, "pdfName": "8_1750000000009.pdf"}, *CHAPTERS[0]["sections"]]}]
+    (source / "b.json").write_text(json.dumps(more))
+    run()
+    assert {r.dest for r in spark.read.parquet(target).collect()} == {"01-Health/77_Same.pdf", "01-Health/8_New.pdf"}
+
+
+def test_stream_changes(spark, tmp_path):
+    source, state = tmp_path / "changes", {"at": str(tmp_path / "s0")}
+    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(state["at"])
+    ddl = "id long, seq int, op string, payload struct<v:string>"
+    spark.createDataFrame([(1, 1, "update", ("b",)), (2, 1, "save", ("c",))], ddl).write.json(str(source))
+
+    def store(df, epoch):
+        df.write.parquet(path := str(tmp_path / f"s{epoch + 1}"))
+        state["at"] = path
+
+    incremental.stream_changes(spark.readStream.schema(ddl).json(str(source)), lambda: spark.read.parquet(state["at"]), store, str(tmp_path / "ck2")).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(state["at"]).collect())) == [(1, "b"), (2, "c")]
+
+
+def test_plans(spark):
+    """Numbering never moves all rows to one task, and commissions are broadcast."""
+    rows = spark.range(1000).withColumn("serial", F.col("id") % 7)
+    plan = N.global_index(rows, F.desc("serial"), F.desc("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    books = spark.createDataFrame([(1, "a", 1)], "id long, name string, serial int")
+    sections = spark.createDataFrame([], "book_id long, volume_id long, chapter_id long, section_id long, serial int, name string, hasPdf boolean, pdfName string, content string")
+    plan = M.manifest(books, sections)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("LogicalRDD" in line for line in plan.splitlines() if "content#" in line)
