@@ -88,12 +88,24 @@ def ftrl(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, min_docs:
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    examples = []
+    """Weights of every shard in this partition; shards come one after the other."""
+
+    def learnt(examples):
+        f, w = ftrl(examples)
+        return pa.record_batch({"feature": pa.array(f, pa.int64()), "weight": pa.array(w, pa.float64())})
+
+    held: list[tuple[np.ndarray, int]] = []
+    last = None
     for batch in batches:
         texts = [t or b"" for t in batch.column("text").to_pylist()]
-        examples += list(zip(features(texts), batch.column("label").to_pylist(), strict=True))
-    f, w = ftrl(examples)
-    yield pa.record_batch({"feature": pa.array(f, pa.int64()), "weight": pa.array(w, pa.float64())})
+        for shard, f, label in zip(batch.column("shard").to_pylist(), features(texts), batch.column("label").to_pylist(), strict=True):
+            if shard != last and held:
+                yield learnt(held)
+                held = []
+            last = shard
+            held.append((f, label))
+    if held:
+        yield learnt(held)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shard_docs: int = SHARD_DOCS) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shar
     shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)).cast("int")
     chosen = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     dealt = chosen.select(shard.alias("shard"), F.xxhash64("doc_id", F.lit(11)).alias("order"), "text", F.col("label").cast("int").alias("label"))
-    learnt = dealt.repartition(shards, "shard").sortWithinPartitions("order", "label").mapInArrow(_learn, "feature long, weight double")
+    learnt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "order", "label").mapInArrow(_learn, "feature long, weight double")
     mean = learnt.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).orderBy(F.desc(F.abs("weight")), "feature").limit(MAX_WEIGHTS)
     table = mean.toArrow()
     return table["feature"].to_numpy(), table["weight"].to_numpy()
