@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .text_hash import chunks, hash_words, mix64
 
 BITS = 22
-MAX_SAMPLE = 24_000  # labelled documents that are learnt at most, chosen by hash
-SHARD_DOCS = 4_000  # of which so many are learnt in one task
+MAX_SAMPLE = 48_000  # labelled documents that are learnt at most, chosen by hash
+SHARD_DOCS = 12_000  # of which so many are learnt in one task
 MIN_DOCS = 4  # features of fewer documents of a shard are left out
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 15.0, 0.01
@@ -69,7 +69,7 @@ def ftrl(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, min_docs:
     for f, _ in examples:
         docs[f] += 1
     used = np.flatnonzero(docs >= min_docs)
-    local = [(np.searchsorted(used, f[docs[f] >= min_docs]), y) for f, y in examples]
+    local = [(np.searchsorted(used, f[docs[f] >= min_docs]).astype(np.int32), y) for f, y in examples]
     z, n = np.zeros(len(used)), np.zeros(len(used))
 
     def weights(f):
