@@ -18,6 +18,7 @@ from civicdocs.plans.standins import ctes, entity, table
 from civicdocs.plans.storage import shared_dir
 from civicdocs.sources import readers as R
 from civicdocs.sources.writers import write_json_arrays
+from civicdocs.streaming import incremental as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -654,6 +655,39 @@ def remove_at(spark, d):
     return out.select("id", F.array_join(F.transform("turns", lambda t: t.cast("string")), ",").alias("turns"))
 
 
+# Incremental runs.
+
+
+@query(_MANIFEST.replace("WHERE COALESCE", "WHERE c.book_id % 4 = 0 AND COALESCE").replace("b.hasVolume THEN c.volume_id", "false THEN c.volume_id").replace("b.hasVolume THEN trim", "false THEN trim") + " SELECT DISTINCT dest FROM m")
+def stream_harvest(spark, d):
+    """Chapter files of a quarter of the commissions arrive in two lots, of which the second repeats part of the first."""
+    source, target, mark = (_scratch(spark, x) for x in ("stream-in", "stream-out", "stream-mark"))
+    books = entity(spark, d, "book")
+    c = _nested_chapters(spark, d).filter("book_id % 4 = 0")
+    rows = c.select((F.col("book_id") % 16).alias("bucket"), F.col("chapter_id").alias("id"), "serial", "title", F.struct(F.col("book_id").alias("id")).alias("book"), "sections")
+    for lot in ("bucket < 8", "bucket >= 4"):
+        arrays = rows.filter(lot).groupBy("bucket").agg(F.to_json(F.collect_list(F.struct("id", "serial", "title", "book", "sections"))).alias("value"))
+        arrays.write.mode("append").partitionBy("bucket").text(source)
+        I.incremental_harvest(spark, source, books, target, mark).awaitTermination()
+    return spark.read.parquet(target).select("dest")
+
+
+@query("SELECT user_id AS id, arg_max(event_type, (ts, event_id)) AS kind FROM events GROUP BY 1")
+def stream_changes(spark, d):
+    """The last state of every id after the events came as a stream of changes."""
+    state = {"at": _scratch(spark, "state")}
+    spark.createDataFrame([], "id long, kind string").write.parquet(state["at"])
+    events = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    change = events.select(F.col("user_id").alias("id"), F.struct("ts", "event_id").alias("seq"), F.lit("update").alias("op"), F.struct(F.col("event_type").alias("kind")).alias("payload"))
+
+    def store(df: DataFrame, epoch: int) -> None:
+        df.write.parquet(path := _scratch(spark, "state"))
+        state["at"] = path
+
+    I.stream_changes(change, lambda: spark.read.parquet(state["at"]), store, _scratch(spark, "state-mark")).awaitTermination()
+    return spark.read.parquet(state["at"])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many section PDFs there are for each commission and volume, and in all."""
     return M.pdf_counts(_manifest(spark, sf_dir)).orderBy("level", "book_id", "volume_id")
