@@ -63,8 +63,7 @@ def _hits(block: list) -> Column:
 def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, max_set: int = MAX_SET) -> DataFrame:
     """(doc_id, text) -> row_id, doc_id, n_words, spans array<struct<s, n>> (hit windows: first word from 1, words), item_ids array, n_hit."""
     windows = benchmark_windows(items, n)
-    total = windows.select(F.countDistinct("hash")).first()[0]
-    blocks = max(1, -(-total // max_set))
+    blocks = max(1, -(-windows.count() // max_set))
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", words_of(F.col("text")).alias("w"))
     rows = rows.withColumn("n_words", F.size("w").cast("long"))
     parts = []

@@ -150,10 +150,7 @@ def test_contamination(spark, max_set):
     docs = documents(spark, [(i, t, "a") for i, t in rows]).withColumn("words", F.lit(1))
     items = spark.createDataFrame(BENCH, "item_id long, text string")
     got = decontaminate.find_contamination(docs, items, max_set=max_set).collect()
-    if max_set == 50_000:
-        assert sorted([(r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got], key=str) == plain_contamination(rows, BENCH)
-    else:  # blocks of the set are united per row
-        assert {r.doc_id for r in got if r.n_hit} == {r[0] for r in plain_contamination(rows, BENCH) if r[2]}
+    assert sorted([(r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got], key=str) == plain_contamination(rows, BENCH)
     assert decontaminate.find_contamination(docs.limit(0), items).count() == 0
     assert {r.n_hit for r in decontaminate.find_contamination(docs, items.limit(0)).collect()} == {0}
 
@@ -209,7 +206,7 @@ def test_model_finds_random_strings(spark):
 def test_masking(spark):
     docs = documents(spark, [(i, t, "a") for i, t in SECRETS])
     got = {r.doc_id: r.text for r in secret_scan.mask_secrets(docs).collect()}
-    assert got[1] == "x [SECRET]\" y token: abc" or got[1].startswith("x [SECRET]")
+    assert got[1] == 'x [SECRET]" y token: abc'
     assert got[3] == "sum [SECRET]" and got[6] is None and got[7] == "" and got[9] == "plain words only"
     assert got[2] == "[SECRET] and AKIASHORT" and "Zm9v" not in got[5] and got[5].startswith("😀 ")
 
@@ -261,7 +258,7 @@ def test_mixing_targets(spark):
     for _, t, s in rows:
         sizes[s] = sizes.get(s, 0) + size(t)
     want = plain_targets(sizes)
-    got = mixing.repetition(docs).select("doc.*", "source_size", "target", "copies", F.col("size").alias("n_words")).drop("size").collect() if False else mixing.repetition(docs, keep=["doc_id", "source", "text"]).collect()
+    got = mixing.repetition(docs, keep=["doc_id", "source", "text"]).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r["size"] == size(r.doc.text) and r.source_size == sizes[r.doc.source]
