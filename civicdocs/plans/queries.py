@@ -262,12 +262,13 @@ def section_body_lookup(spark, d):
 
 
 def _manifest(spark, d) -> DataFrame:
-    chapters = entity(spark, d, "chapter").select("chapter_id", "book_id", "volume_id")
+    """Both branches in one pass: only commissions with volumes have a volume directory."""
     books, volumes = entity(spark, d, "book"), entity(spark, d, "volume")
-    sections = entity(spark, d, "section").join(chapters, "chapter_id")
-    with_volumes = sections.join(books.filter(X.truthy("hasVolume")).select(F.col("id").alias("book_id")), "book_id", "left_semi")
-    direct = sections.join(books.filter(~X.truthy("hasVolume")).select(F.col("id").alias("book_id")), "book_id", "left_semi").withColumn("volume_id", F.lit(None).cast("long"))
-    return M.manifest(books, with_volumes.unionByName(direct), volumes)
+    flags = books.select(F.col("id").alias("book_id"), X.truthy("hasVolume").alias("by_volume"))
+    chapters = entity(spark, d, "chapter").select("chapter_id", "book_id", "volume_id").join(flags, "book_id")
+    chapters = chapters.withColumn("volume_id", F.when(F.col("by_volume"), F.col("volume_id"))).drop("by_volume")
+    chosen = M.sections_with_pdf(entity(spark, d, "section"))
+    return M.manifest(books, chosen.join(chapters, "chapter_id"), volumes)
 
 
 _MANIFEST = (
