@@ -115,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shar
     shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)).cast("int")
     chosen = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     dealt = chosen.select(shard.alias("shard"), F.xxhash64("doc_id", F.lit(11)).alias("order"), "text", F.col("label").cast("int").alias("label"))
-    learnt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "order", "label").mapInArrow(_learn, "feature long, weight double")
+    # so many partitions that shards rarely meet in one
+    learnt = dealt.repartition(16 * shards, "shard").sortWithinPartitions("shard", "order", "label").mapInArrow(_learn, "feature long, weight double")
     mean = learnt.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).orderBy(F.desc(F.abs("weight")), "feature").limit(MAX_WEIGHTS)
     table = mean.toArrow()
     return table["feature"].to_numpy(), table["weight"].to_numpy()
