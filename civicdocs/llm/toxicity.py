@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text_hash import chunks, hash_words, mix64
+from .text_hash import chunks, distinct, hash_words, mix64
 
 BITS = 22
 MAX_SAMPLE = 48_000  # labelled documents that are learnt at most, chosen by hash
@@ -57,7 +57,7 @@ def grams(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 def features(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Distinct feature numbers of each text; 0 is the bias."""
     for _, n, index, owner in grams(texts):
-        key = np.unique(owner.astype(np.int64) << BITS | index)
+        key = distinct(owner.astype(np.int64) << BITS | index)
         ends = np.searchsorted(key, np.arange(n + 1, dtype=np.int64) << BITS)
         for a, b in zip(ends[:-1], ends[1:], strict=True):
             yield np.concatenate([[0], key[a:b] & ((1 << BITS) - 1)]).astype(np.int32)
@@ -133,7 +133,7 @@ def _scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]):
             texts = [t.encode() if isinstance(t, str) else t or b"" for t in batch.column("text").to_pylist()]
             for first, n, index, owner in grams(texts):
                 told = dense[index] != 0  # few weights aren't zero; only theirs are counted once a text
-                key = np.unique(owner[told].astype(np.int64) << BITS | index[told])
+                key = distinct(owner[told].astype(np.int64) << BITS | index[told])
                 sums[first : first + n] += np.bincount(key >> BITS, dense[key & ((1 << BITS) - 1)], n)
             scored = 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
             if keep_under is None:
