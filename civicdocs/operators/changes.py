@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicdocs.functions.text import required_violations, truthy
+from civicdocs.functions.text import has_any_authority, required_violations, truthy
 
 
 def max_serials(rows: DataFrame, parent: str) -> DataFrame:
@@ -59,6 +59,5 @@ def validate(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Data
 
 
 def authorized(rows: DataFrame, needed: str, authenticated: Column, held: Column) -> DataFrame:
-    from civicdocs.functions.text import has_any_authority
-
+    """Rows for which the identity holds one of the needed authorities."""
     return rows.filter(has_any_authority(authenticated, held, F.col(needed)))
