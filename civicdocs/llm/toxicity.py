@@ -26,7 +26,7 @@ from .text_hash import chunks, distinct, hash_words, mix64
 
 BITS = 22
 MAX_SAMPLE = 48_000  # labelled documents that are learnt at most, chosen by hash
-SHARD_DOCS = 12_000  # of which so many are learnt in one task
+SHARD_DOCS = 10_000  # of which so many are learnt in one task
 MIN_DOCS = 4  # features of fewer documents of a shard are left out
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 15.0, 0.01
@@ -64,12 +64,14 @@ def features(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 
 def ftrl(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, min_docs: int = MIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and weights that FTRL-proximal leaves after passing over the examples."""
+    """Feature numbers and weights that FTRL-proximal leaves after passing over the examples, which it renumbers in place."""
     docs = np.zeros(1 << BITS, np.int32)
     for f, _ in examples:
         docs[f] += 1
     used = np.flatnonzero(docs >= min_docs)
-    local = [(np.searchsorted(used, f[docs[f] >= min_docs]).astype(np.int32), y) for f, y in examples]
+    for i, (f, y) in enumerate(examples):
+        examples[i] = (np.searchsorted(used, f[docs[f] >= min_docs]).astype(np.int32), y)
+    del docs
     z, n = np.zeros(len(used)), np.zeros(len(used))
 
     def weights(f):
@@ -77,7 +79,7 @@ def ftrl(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, min_docs:
         return np.where(np.abs(zf) <= L1, 0.0, -(zf - np.sign(zf) * L1) / ((BETA + np.sqrt(n[f])) / ALPHA + L2))
 
     for _ in range(epochs):
-        for f, y in local:
+        for f, y in examples:
             w = weights(f)
             g = (1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - y) * (POSITIVE_WEIGHT if y else 1.0)
             step = (np.sqrt(n[f] + g * g) - np.sqrt(n[f])) / ALPHA
