@@ -1,9 +1,10 @@
 """Chat formatting with a grammar round trip.
 
 A conversation is rendered as ``<|im_start|>ROLE\\nTEXT<|im_end|>\\n`` per turn.
-A deterministic parser reads the rendering back; only when it returns the very
-turns of the source is the plain rendering kept, else control strings inside the
-content are escaped and the check is made again. Escaping puts one more
+A deterministic parser reads the rendering back; every ``<|im_start|>`` and
+``<|im_end|>`` is a control token to it, wherever it stands, and ends what is read.
+Only when it returns the very turns of the source is the plain rendering kept,
+else control strings inside the content are escaped and the check is made again. Escaping puts one more
 backslash into every ``<\\...\\|``, so that no content holds ``<|`` and taking
 one away restores it. Text under the loss mask is what assistant turns say.
 
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>\n"
+TOKEN = r"<\|im_(?:start|end)\|>"
 LOSS_ROLE = "assistant"
 
 
@@ -61,7 +63,8 @@ def parse(formatted: Column) -> Column:
         body = F.when(p.startswith(START), F.substr(p, F.lit(len(START) + 1))).otherwise(p)
         role = F.substring_index(body, "\n", 1)
         raw = F.substr(body, F.length(role) + 2)
-        return F.struct(unescape_role(role).alias("role"), unescape(raw).alias("text"), F.length(p).alias("len"), F.length(raw).alias("text_len"))
+        upto = lambda c: F.split(c, TOKEN, 2)[0]
+        return F.struct(unescape_role(upto(role)).alias("role"), unescape(upto(raw)).alias("text"), F.length(p).alias("len"), F.length(raw).alias("text_len"))
 
     return F.transform(pieces, read)
 
