@@ -594,8 +594,7 @@ def notice_dates(spark, d):
 
 @query(ctes("section") + " SELECT chapter_id, section_id, CASE WHEN pdfName LIKE '%.pdf' THEN epoch_ms(CAST(regexp_extract(pdfName, '_(\\d{13})\\.', 1) AS BIGINT)) END AS uploaded FROM section WHERE pdfName IS NULL OR pdfName = '' OR regexp_matches(pdfName, '_\\d{13}\\.')")
 def upload_time(spark, d):
-    s = entity(spark, d, "section").filter(r"pdfName is null or pdfName = '' or pdfName rlike '_[0-9]{13}[.]'")
-    return s.select("chapter_id", "section_id", X.upload_time("pdfName").cast("timestamp_ntz").alias("uploaded"))
+    return entity(spark, d, "section").select("chapter_id", "section_id", X.upload_time("pdfName").cast("timestamp_ntz").alias("uploaded"))
 
 
 @query("SELECT event_id, event_type = 'click' OR user_id % 4 = 0 AS flag, CASE WHEN event_type = 'click' OR user_id % 4 = 0 THEN 1 ELSE 0 END::BIGINT AS bit FROM events")

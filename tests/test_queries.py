@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from civicdocs.plans.queries import QUERIES, SQL, flagship
+from civicdocs.plans.standins import ctes
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -54,3 +55,11 @@ def test_scans_are_narrow(spark):
     assert "PushedFilters: [" in plan("book_chapters")
     for name in ("notice_rows", "assign_pages", "page_envelope", "apply_changes", "latest_by_id", "first_by_dest"):
         assert "Window" not in plan(name)
+
+
+def test_upload_time_of_every_section(spark, duck):
+    """Names without a 13-digit number are sections too; theirs is null."""
+    whole = ctes("section") + r" SELECT chapter_id, section_id, epoch_ms(CAST(NULLIF(regexp_extract(pdfName, '_(\d{13})\.', 1), '') AS BIGINT)) AS uploaded FROM section"
+    got = QUERIES["upload_time"](spark, DATA)
+    assert got.count() == spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    compare(spark, duck, got, whole)
