@@ -249,7 +249,7 @@ def hierarchy_flat(spark, d):
 )
 def chapter_wise_content(spark, d):
     lines = table(spark, d, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("section_id"), "l_orderkey", F.col("l_linenumber").cast("long").alias("n"), F.col("l_partkey").alias("id"))
-    sections = lines.filter("n > 2").select("section_id", F.col("l_orderkey").alias("chapter_id"), "n").distinct()
+    sections = lines.select("section_id", F.col("l_orderkey").alias("chapter_id"), "n").distinct()
     chapters = table(spark, d, "orders").select(F.col("o_orderkey").alias("chapter_id"), F.col("o_custkey").alias("book_id"), F.col("o_orderpriority").alias("title"))
     return H.chapter_wise_content(lines.select("section_id", "id"), sections, chapters).select("book_id", "chapter_id", F.col("n").alias("section_id"), "title", "id")
 
@@ -660,10 +660,10 @@ def remove_at(spark, d):
 
 @query(_MANIFEST.replace("WHERE COALESCE", "WHERE c.book_id % 4 = 0 AND COALESCE").replace("b.hasVolume THEN c.volume_id", "false THEN c.volume_id").replace("b.hasVolume THEN trim", "false THEN trim") + " SELECT DISTINCT dest FROM m")
 def stream_harvest(spark, d):
-    """Chapter files of a quarter of the commissions arrive in two lots, of which the second repeats part of the first."""
+    """Chapter files of all commissions arrive in two lots, of which the second repeats part of the first."""
     source, target, mark = (_scratch(spark, x) for x in ("stream-in", "stream-out", "stream-mark"))
     books = entity(spark, d, "book")
-    c = _nested_chapters(spark, d).filter("book_id % 4 = 0")
+    c = _nested_chapters(spark, d)
     rows = c.select((F.col("book_id") % 16).alias("bucket"), F.col("chapter_id").alias("id"), "serial", "title", F.struct(F.col("book_id").alias("id")).alias("book"), "sections")
     for lot in ("bucket < 8", "bucket >= 4"):
         arrays = rows.filter(lot).groupBy("bucket").agg(F.to_json(F.collect_list(F.struct("id", "serial", "title", "book", "sections"))).alias("value"))

@@ -63,3 +63,8 @@ def test_upload_time_of_every_section(spark, duck):
     got = QUERIES["upload_time"](spark, DATA)
     assert got.count() == spark.read.parquet(f"{DATA}/lineitem.parquet").count()
     compare(spark, duck, got, whole)
+
+
+@pytest.mark.parametrize("name, cut", [("stream_harvest", "c.book_id % 4 = 0 AND "), ("chapter_wise_content", " WHERE l_linenumber > 2")])
+def test_no_commission_or_section_is_left_out(spark, duck, name, cut):
+    compare(spark, duck, QUERIES[name](spark, DATA), SQL[name].replace(cut, ""))
