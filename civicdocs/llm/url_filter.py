@@ -2,7 +2,7 @@
 
 Rules are matched natively on the parsed host and path. For the rest, host
 labels and path pieces are split into words by a unigram Viterbi whose word
-counts come from the page texts, and a multinomial naive Bayes that was trained
+counts come from the page texts (all words; a name is sent those that occur in it), and a multinomial naive Bayes that was trained
 on the urls with a rule compares block with allow.
 
 Defined results: a null url or one without ``://`` has empty host and path and
@@ -14,7 +14,6 @@ result; further columns are not read.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -23,11 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, UPPER
+from .repeats import stored
 
 #: (verdict, host, path prefix)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-MAX_WORDS = 50_000  # bound of the unigram vocabulary that is sent to the executors
-MAX_TOKENS = 50_000  # bound of the naive Bayes table
+MAX_SENT = 100_000  # weights of so many runs of letters are sent to the executors, more are joined
 MAX_WORD_LENGTH = 24
 
 
@@ -48,18 +47,18 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return rule, verdict
 
 
-def word_costs(texts: DataFrame, column: str, max_words: int = MAX_WORDS) -> dict[str, float]:
-    """Costs (-log probability) of the most frequent words; at most max_words come to the driver."""
+def word_counts(texts: DataFrame, column: str) -> DataFrame:
+    """(w, count) of all words."""
     words = texts.select(F.explode(F.split(F.lower(F.col(column)), "[^a-z]+")).alias("w"))
-    counts = words.filter(F.length("w").between(2, MAX_WORD_LENGTH)).groupBy("w").count()
-    top = counts.orderBy(F.desc("count"), "w").limit(max_words).collect()
-    total = sum(r["count"] for r in top) or 1
-    return {r["w"]: math.log(total / r["count"]) for r in top}
+    return words.filter(F.length("w").between(2, MAX_WORD_LENGTH)).groupBy("w").count()
 
 
-def segment(name: str, costs: dict[str, float]) -> list[str]:
-    """Cheapest split of a name into known words; an unknown piece pays more per letter than any known one."""
-    worst = max(costs.values(), default=10.0)
+def segment(name: str, costs: dict[str, float], worst: float | None = None) -> list[str]:
+    """Cheapest split of a name into known words; an unknown piece pays more per letter than any known one.
+
+    ``worst`` is the cost of the rarest word, where ``costs`` has only the words that can occur in the name.
+    """
+    worst = max(costs.values(), default=10.0) if worst is None else worst
     best, cut = [0.0], [0]
     for end in range(1, len(name) + 1):
         choice = (math.inf, 0)
@@ -76,41 +75,52 @@ def segment(name: str, costs: dict[str, float]) -> list[str]:
     return out[::-1]
 
 
-def tokens_udf(costs: dict[str, float]):
+def url_runs(host: Column, path: Column) -> Column:
+    """Runs of letters or digits, marked by where they stand; a run of digits becomes up to six #."""
+
+    def runs(text: Column, mark: str) -> Column:
+        found = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+|[0-9]+"), F.lit(0))
+        return F.transform(found, lambda r: F.concat(F.lit(mark), F.when(r.rlike("^[0-9]"), F.repeat(F.lit("#"), F.least(F.length(r), F.lit(6)))).otherwise(r)))
+
+    return F.concat(runs(host, "h:"), runs(path, "p:"))
+
+
+def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run) and all word counts -> (run, pieces). A run is sent the counts of its own substrings, which are all that its segmentation reads."""
+    told = counts.agg(F.sum("count").alias("total"), F.min("count").alias("least")).first()
+    total = told["total"] or 1
+    worst = math.log(total / told["least"]) if told["least"] else 10.0
+    starts = runs.filter((F.length("run") > 1) & ~F.col("run").startswith("#")).select("run", F.explode(F.expr("sequence(1, length(run) - 1)")).alias("at"))
+    within = F.expr(f"transform(sequence(2, least({MAX_WORD_LENGTH}, length(run) - at + 1)), n -> substr(run, at, n))")
+    known = starts.select("run", F.explode(within).alias("w")).distinct().join(counts, "w").groupBy("run").agg(F.collect_list(F.struct("w", "count")).alias("known"))
+
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def tokens(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        known: dict[str, list[str]] = {}
-
-        def pieces(text: str, mark: str) -> list[str]:
-            out = []
-            for run in re.findall(r"[a-z]+|[0-9]+", text.lower()):
-                if run.isdigit():
-                    out.append(mark + "#" * min(len(run), 6))
-                    continue
-                if run not in known:
-                    known[run] = segment(run, costs)
-                out += [mark + w for w in known[run]]
-            return out
-
-        return pd.Series([pieces(h, "h:") + pieces(p, "p:") for h, p in zip(hosts, paths, strict=True)])
-
-    return tokens
-
-
-def bayes_weights(labelled: DataFrame, max_tokens: int = MAX_TOKENS) -> tuple[float, dict[str, float]]:
-    """(prior log odds, token -> log odds) of block against allow from (tokens, verdict)."""
-    block = (F.col("verdict") == "block").cast("long")
-    prior = {r["verdict"]: r["count"] for r in labelled.groupBy("verdict").count().collect()}
-    table = (
-        labelled.select(F.explode("tokens").alias("token"), block.alias("b"))
-        .groupBy("token").agg(F.sum("b").alias("b"), F.sum(1 - F.col("b")).alias("a"))
-        .orderBy(F.desc(F.col("a") + F.col("b")), "token").limit(max_tokens).collect()
-    )
-    n_b, n_a = sum(r["b"] for r in table) + len(table), sum(r["a"] for r in table) + len(table)
-    odds = math.log((prior.get("block", 0) + 1) / (prior.get("allow", 0) + 1))
-    if not prior:
-        odds = -1.0
-    return odds, {r["token"]: math.log((r["b"] + 1) / n_b) - math.log((r["a"] + 1) / n_a) for r in table}
+    def pieces(names: pd.Series, words: pd.Series, times: pd.Series) -> pd.Series:
+        out = []
+        for name, ws, ns in zip(names, words, times, strict=True):
+            costs = {} if ws is None else {w: math.log(total / n) for w, n in zip(ws, ns, strict=True)}
+            out.append([name] if name.startswith("#") else segment(name, costs, worst))
+        return pd.Series(out, dtype="object")
+
+    return runs.join(known, "run", "left").select("run", pieces("run", F.col("known.w"), F.col("known.count")).alias("pieces"))
+
+
+def run_weights(uses: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(key, run, b, a): how often a marked run stands in blocked and allowed urls -> (key, weight): the log odds of block against allow of its tokens."""
+    tokens = uses.join(pieces, "run").select("key", "b", "a", F.posexplode("pieces").alias("at", "piece"))
+    tokens = tokens.select("key", "at", "b", "a", F.concat(F.substr("key", F.lit(1), F.lit(2)), "piece").alias("token"))
+    table = stored(tokens.groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a")).filter("b + a > 0"))
+    told = table.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count("*").alias("n")).first()
+    n_b, n_a = ((told[k] or 0) + told["n"] for k in "ba")
+    weight = F.log((F.col("b") + 1) / F.lit(float(n_b))) - F.log((F.col("a") + 1) / F.lit(float(n_a)))
+    weighed = tokens.select("key", "at", "token").join(table.select("token", weight.alias("w")), "token")
+    return weighed.groupBy("key").agg(in_order("at", "w").alias("weight"))
+
+
+def in_order(at: str, value: str) -> Column:
+    """A group's sum, always added up in the same order."""
+    parts = F.array_sort(F.collect_list(F.struct(at, value)))
+    return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + F.coalesce(x[value], F.lit(0.0)))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, text_column: str = "html") -> DataFrame:
@@ -119,15 +129,18 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, by_rule = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumn("rule", rule).withColumn("by_rule", by_rule)
-    tokens = tokens_udf(word_costs(pages, text_column))
-    cut_up = ruled.withColumn("tokens", tokens("host", "path"))
-    prior, weights = bayes_weights(cut_up.filter(F.col("by_rule").isNotNull()).select("tokens", F.col("by_rule").alias("verdict")))
-
-    @F.pandas_udf(T.DoubleType())
-    def log_odds(lists: pd.Series) -> pd.Series:
-        return pd.Series([prior + sum(weights.get(t, 0.0) for t in ts) for ts in lists], dtype="float64")
-
-    scored = cut_up.withColumn("block_log_odds", log_odds("tokens"))
+    count = {r["by_rule"]: r["count"] for r in ruled.groupBy("by_rule").count().collect()}
+    odds = math.log((count.get("block", 0) + 1) / (count.get("allow", 0) + 1)) if count.keys() - {None} else -1.0
+    said = lambda v: F.sum((F.coalesce("by_rule", F.lit("")) == v).cast("long"))
+    uses = ruled.select("by_rule", F.explode(url_runs(F.col("host"), F.col("path"))).alias("key")).groupBy("key").agg(said("block").alias("b"), said("allow").alias("a"))
+    uses = stored(uses.withColumn("run", F.expr("substr(key, 3)")))
+    pieces = stored(segmented(uses.select("run").distinct(), stored(word_counts(pages, text_column))))
+    weights = run_weights(uses, pieces)
+    if uses.count() <= MAX_SENT:
+        weights = F.broadcast(weights)
+    rows = ruled.withColumn("row_id", F.monotonically_increasing_id()).select("*", F.posexplode_outer(url_runs(F.col("host"), F.col("path"))).alias("at", "key"))
+    summed = rows.join(weights, "key", "left").groupBy("row_id", "page_id", "host", "path", "rule", "by_rule").agg(in_order("at", "weight").alias("sum"))
+    scored = summed.withColumn("block_log_odds", F.lit(odds) + F.col("sum"))
     method = F.when(F.col("block_log_odds") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "block_log_odds")
 

@@ -1,6 +1,7 @@
 """Toxicity, url filter, decontamination, secrets, chat and mixing against plain Python."""
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -103,6 +104,18 @@ def test_url_bayes_follows_rules(spark):
     assert (got[40], got[41]) == ("block", "allow")
 
 
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_url_words_beyond_the_most_frequent(spark, monkeypatch, sent):
+    """Rare words part names too, however many more frequent ones there are."""
+    monkeypatch.setattr(url_filter, "MAX_SENT", sent, raising=False)
+    frequent = " ".join(map("".join, itertools.product("dghjklmqstuvwxy", repeat=4)))
+    urls = ["http://x.net/es/zebrafoo"] * 10 + ["http://x.com/nicefoo"] * 12 + ["http://c.org/zebrabar", "http://c.org/nicebar"]
+    texts = [frequent, frequent, "zebra foo bar nice"] + [None] * (len(urls) - 3)
+    pages = spark.createDataFrame([(i, u, t) for i, (u, t) in enumerate(zip(urls, texts, strict=True))], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    assert (got[22], got[23]) == ("block", "allow")
+
+
 def plain_words(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
