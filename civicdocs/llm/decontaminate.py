@@ -60,24 +60,25 @@ def _hits(block: list) -> Column:
     return F.expr(lead), (F.expr(f"concat({', '.join(found)})") if found else F.expr("cast(array() as array<struct<s:int,n:int,t:string>>)"))
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, max_set: int = MAX_SET) -> DataFrame:
-    """(doc_id, text) -> row_id, doc_id, n_words, spans array<struct<s, n>> (hit windows: first word from 1, words), item_ids array, n_hit."""
+def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, max_set: int = MAX_SET, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text) -> row_id, doc_id, n_words, spans array<struct<s, n>> (hit windows: first word from 1, words), item_ids array, n_hit; and the columns to keep."""
+    of_row = ("row_id", "doc_id", "n_words", *keep)
     windows = benchmark_windows(items, n)
     blocks = max(1, -(-windows.count() // max_set))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", words_of(F.col("text")).alias("w"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", *keep, words_of(F.col("text")).alias("w"))
     rows = rows.withColumn("n_words", F.size("w").cast("long"))
     parts = []
     for b in range(blocks):
         of_block = windows.filter(F.pmod("hash", F.lit(blocks)) == b) if blocks > 1 else windows
         lead, hits = _hits(of_block.select("len", "lead", "hash").distinct().collect())
-        scanned = rows.withColumn("pairs", lead).select("row_id", "doc_id", "n_words", F.explode_outer(hits).alias("h"))
+        scanned = rows.withColumn("pairs", lead).select(*of_row, F.explode_outer(hits).alias("h"))
         exact = of_block.select(F.col("win").alias("t"), "item_id")
         parts.append(
-            scanned.select("row_id", "doc_id", "n_words", F.col("h.s").alias("s"), F.col("h.n").alias("n"), F.col("h.t").alias("t"))
+            scanned.select(*of_row, F.col("h.s").alias("s"), F.col("h.n").alias("n"), F.col("h.t").alias("t"))
             .join(F.broadcast(exact), "t", "left")
             .withColumn("span", F.when(F.col("item_id").isNotNull(), F.struct("s", "n")))
         )
-    found = reduce(DataFrame.unionByName, parts).groupBy("row_id", "doc_id", "n_words").agg(
+    found = reduce(DataFrame.unionByName, parts).groupBy(*of_row).agg(
         F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids")
     )
     covered = F.expr(
@@ -94,23 +95,25 @@ def contaminated(n_hit: Column, n_words: Column, ratio: int = RATIO) -> Column:
 def remove_contaminated(docs: DataFrame, items: DataFrame, mode: str = "documents", n: int = N, ratio: int = RATIO) -> DataFrame:
     """Drop contaminated documents, or (mode "spans") cut every hit word with the break after it out of all texts.
 
-    Documents are matched back by doc_id; rows that repeat a doc_id share the union of their verdicts.
+    A verdict follows from the text alone, and is matched back by doc_id and the text's digest: rows of one doc_id, or of none, are judged each by its own text.
     """
-    found = find_contamination(docs, items, n)
+    keyed = docs.withColumn("__digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = find_contamination(keyed, items, n, keep=("__digest",)).withColumnsRenamed({"doc_id": "of_doc", "__digest": "of_text"})
+    own = lambda of: keyed["doc_id"].eqNullSafe(of["of_doc"]) & (keyed["__digest"] == of["of_text"])
     if mode == "documents":
-        bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"), ratio)).select(F.col("doc_id").alias("of_doc")).distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad["of_doc"]), "left_anti")
+        bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"), ratio)).select("of_doc", "of_text").distinct()
+        return keyed.join(bad, own(bad), "left_anti").drop("__digest")
     if mode != "spans":
         raise ValueError(f"mode is documents or spans, not {mode!r}")
-    hit = found.filter(F.col("n_hit") > 0).groupBy(F.col("doc_id").alias("of_doc")).agg(F.flatten(F.collect_list("spans")).alias("cut_spans"))
+    hit = found.filter(F.col("n_hit") > 0).groupBy("of_doc", "of_text").agg(F.any_value("spans").alias("cut_spans"))
     text = F.expr(
         "array_join(concat(slice(gaps, 1, 1), transform(sequence(1, size(ws)), i -> "
         "if(exists(cut_spans, x -> i between x.s and x.s + x.n - 1), '', concat(ws[i - 1], gaps[i])))), '')"
     )
-    both = docs.join(hit, docs["doc_id"].eqNullSafe(hit["of_doc"]), "left")
+    both = keyed.join(hit, own(hit), "left")
     parts = both.withColumn("ws", F.regexp_extract_all("text", F.lit(RAW_WORD), F.lit(0))).withColumn("gaps", F.split("text", RAW_WORD, -1))
     cleaned = F.when(F.col("cut_spans").isNull(), F.col("text")).otherwise(text)
-    return parts.select(*[cleaned.alias("text") if c == "text" else docs[f"`{c}`"] for c in docs.columns])
+    return parts.select(*[cleaned.alias("text") if c == "text" else keyed[f"`{c}`"] for c in docs.columns])
 
 
 def op5_query(spark, sf_dir: str) -> DataFrame:
