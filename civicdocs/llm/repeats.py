@@ -14,8 +14,11 @@ distance, so that only segments with equal anchor hash need to be compared:
    share windows at their borders.
 3. The caller compares those segments window by window and adds marks.
 
-A mark (doc, start, count) says that the windows from start on stand earlier
-too, "earlier" meaning smaller doc, or the same and smaller start.
+A mark (row, start, count) says that the windows from start on stand earlier
+too, "earlier" meaning smaller doc, or the same and smaller start. Rows have a
+number of their own, by which marks find back to the text that they belong to.
+Rows of one doc are one document, but rows of null doc_id are one each, in the
+order of their numbers.
 """
 
 from __future__ import annotations
@@ -37,9 +40,9 @@ FLUSH = 1 << 20  # segments that a task holds before it sends them on
 HOT = 256  # different segments of one anchor in one task's share
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 MARK, NEED, HOT_NEED, PLAIN = 1, 2, 3, 0
-SEGMENT = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("count", "<i4")])
+SEGMENT = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4"), ("count", "<i4")])
 DEALT = "shard int, kind int, rows binary"
-FOUND = "kind int, doc long, start int, count int, anchor long"
+FOUND = "kind int, row long, start int, count int, anchor long"
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ def _least_before(values: np.ndarray, span: int) -> np.ndarray:
     return out
 
 
-def segments(texts: list[bytes], docs: np.ndarray, by: Windows) -> np.ndarray:
+def segments(texts: list[bytes], docs: np.ndarray, rows: np.ndarray, by: Windows) -> np.ndarray:
     """The segments of all windows of some texts."""
     codes, owner, first = units(texts, by)
     n = len(codes)
@@ -96,15 +99,20 @@ def segments(texts: list[bytes], docs: np.ndarray, by: Windows) -> np.ndarray:
     out = np.zeros(len(start), SEGMENT)
     out["anchor"] = pieces[anchor[start]]
     out["content"] = window_hash(prefix, start, ends - 1 + by.width) + (anchor[start] - start).astype(np.uint64)
-    out["doc"] = docs[owner[start]]
+    out["doc"], out["row"] = docs[owner[start]], rows[owner[start]]
     out["start"] = start - first[owner[start]]
     out["count"] = ends - start
     return out
 
 
+def document(s: np.ndarray) -> np.ndarray:
+    """What tells apart the documents of one doc: the row where doc_id is null, else nothing."""
+    return np.where(s["doc"] == NO_DOC, s["row"], 0)
+
+
 def _ordered(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segments by anchor, content, doc and start; which begin an anchor; which begin a content."""
-    s = s[np.lexsort((s["start"], s["doc"], s["content"], s["anchor"]))]
+    s = s[np.lexsort((s["row"], s["start"], document(s), s["doc"], s["content"], s["anchor"]))]
     anchor = np.ones(len(s), bool)
     anchor[1:] = s["anchor"][1:] != s["anchor"][:-1]
     content = anchor.copy()
@@ -115,7 +123,8 @@ def _ordered(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def same_place(s: np.ndarray, content: np.ndarray) -> np.ndarray:
     """Which are at the place of their content's first copy: repeated rows of a document, which don't count as earlier."""
     lead = np.flatnonzero(content)[np.cumsum(content) - 1]
-    return (s["doc"] == s["doc"][lead]) & (s["start"] == s["start"][lead])
+    part = document(s)
+    return (s["doc"] == s["doc"][lead]) & (part == part[lead]) & (s["start"] == s["start"][lead])
 
 
 def _batch(shard: np.ndarray, kind: int, rows: np.ndarray, shards: int) -> pa.RecordBatch:
@@ -135,24 +144,24 @@ def _send(s: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
     number = np.cumsum(anchor) - 1
     crowd = np.bincount(number[content], minlength=number[-1] + 1 if len(number) else 0) >= HOT
     hot = crowd[number] if len(s) else np.zeros(0, bool)
-    by_doc = lambda x: (x["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % shards
+    by_row = lambda x: (x["row"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % shards
     by_anchor = lambda x: (x["anchor"] % np.uint64(shards)).astype(np.int64)
     announced = s[anchor & hot].copy()
     announced["count"] = 0
-    for kind, rows, deal in ((MARK, s[again], by_doc), (HOT_NEED, s[content & hot], by_doc), (PLAIN, np.concatenate([s[content & ~hot], announced]), by_anchor)):
+    for kind, rows, deal in ((MARK, s[again], by_row), (HOT_NEED, s[~again & hot], by_row), (PLAIN, np.concatenate([s[~again & ~hot], announced]), by_anchor)):
         if len(rows):
             yield _batch(deal(rows), kind, rows, shards)
 
 
 def scanner(by: Windows, shards: int) -> Callable:
-    """For mapInArrow over (doc long, text binary): segments packed by shard."""
+    """For mapInArrow over (doc long, row long, text binary): segments packed by shard."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            docs = batch.column("doc").to_numpy()
+            docs, rows = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
             for first, texts in chunks(t or b"" for t in batch.column("text").to_pylist()):
-                held.append(segments(texts, docs[first : first + len(texts)], by))
+                held.append(segments(texts, docs[first : first + len(texts)], rows[first : first + len(texts)], by))
                 size += len(held[-1])
                 if size >= FLUSH:
                     yield from _send(np.concatenate(held), shards)
@@ -165,7 +174,7 @@ def scanner(by: Windows, shards: int) -> Callable:
 
 def _found(kind: int, s: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch({
-        "kind": pa.array(np.full(len(s), kind, np.int32)), "doc": pa.array(s["doc"]), "start": pa.array(s["start"]),
+        "kind": pa.array(np.full(len(s), kind, np.int32)), "row": pa.array(s["row"]), "start": pa.array(s["start"]),
         "count": pa.array(s["count"]), "anchor": pa.array(s["anchor"].view(np.int64) if s.flags.c_contiguous else s["anchor"].astype(np.uint64).view(np.int64)),
     })
 
@@ -179,7 +188,7 @@ def _judge(parts: list[np.ndarray], estimate: Callable | None) -> Iterator[pa.Re
     told_hot = np.zeros(number[-1] + 1 if len(number) else 0, bool)
     told_hot[number[s["count"] == 0]] = True
     several = np.bincount(number[content], minlength=len(told_hot)) > 1
-    lead = content & (s["count"] > 0)
+    lead = ~again & (s["count"] > 0)
     yield _found(MARK, s[again])
     yield _found(NEED, s[lead & several[number] & ~told_hot[number]])
     yield _found(HOT_NEED, s[lead & told_hot[number]])
@@ -217,19 +226,22 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc, text binary)."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC)).alias("doc"), F.col("text").cast("binary").alias("text"))
+    """(doc_id, text) -> (doc, row, text binary), stored, so that a row keeps its number."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC)).alias("doc")
+    rows = stored(docs.select(doc, F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text")))
+    # Columns that can't be null: else the inner join gets a filter of its own, and the texts are shuffled twice.
+    return rows.select(*[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("doc", "row")], "text")
 
 
 def find_segments(docs: DataFrame, by: Windows, estimate: Callable | None = None) -> DataFrame:
-    """(doc, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
+    """(doc, row, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
     shards = shuffle_partitions(docs.sparkSession)
     dealt = docs.mapInArrow(scanner(by, shards), DEALT).repartition(shards, "shard")
     return stored(dealt.mapInArrow(grouper(estimate), FOUND))
 
 
-def per_doc(rows: DataFrame, name: str, *fields: str) -> DataFrame:
-    return rows.groupBy("doc").agg(F.collect_list(F.struct(*fields)).alias(name))
+def per_row(rows: DataFrame, name: str, *fields: str) -> DataFrame:
+    return rows.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias(name))
 
 
 def covered(n: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:

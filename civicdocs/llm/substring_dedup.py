@@ -8,9 +8,9 @@ pass groups exactly those that are left: first whole segments, then, where an
 anchor has several different segments, their single windows by hash.
 
 Defined results: null and wordless texts have no words; texts under 20 words
-lose nothing; a null doc_id comes after all others; rows that repeat a doc_id
-are one document: what stands at the same place in both stays in both, and
-what is removed from one is removed from the other; an empty table gives an
+lose nothing; rows of null doc_id come after all others and are documents of their
+own; rows that repeat a doc_id are one document: what stands at the same place
+in both stays in both, and each loses only what it holds itself; an empty table gives an
 empty result; other columns are not read.
 """
 
@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
-from .repeats import HOT_NEED, MARK, NEED, WORDS, Windows, covered, find_segments, keyed, per_doc, units
+from .repeats import HOT_NEED, MARK, NEED, WORDS, Windows, covered, document, find_segments, keyed, per_row, units
 from .text_hash import chunks, mix64, prefix_hash, window_hash
 
 DEPTH = 2
-WINDOW = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<i4")])
+WINDOW = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4")])
 
 
 class CountMin:
@@ -66,11 +66,11 @@ def estimated_repeated(parts: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def window_sender(by: Windows, shards: int):
-    """For mapInArrow over (doc, text, need): single windows of the needed segments, packed by shard of their hash."""
+    """For mapInArrow over (doc, row, text, need): single windows of the needed segments, packed by shard of their hash."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, lists = batch.column("doc").to_numpy(), batch.column("need")
+            docs, rows, lists = batch.column("doc").to_numpy(), batch.column("row").to_numpy(), batch.column("need")
             ends, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
             start, count, anchor = (flat.field(k).to_numpy() for k in ("start", "count", "anchor"))
             out = []
@@ -87,7 +87,7 @@ def window_sender(by: Windows, shards: int):
                 w = np.zeros(int(inside.sum()), WINDOW)
                 w["anchor"] = np.repeat(anchor[a:b], n)[inside].view(np.uint64)
                 w["content"] = window_hash(prefix, at[inside], at[inside] + by.width)
-                w["doc"], w["start"] = docs[first + of[inside]], pos[inside]
+                w["doc"], w["row"], w["start"] = docs[first + of[inside]], rows[first + of[inside]], pos[inside]
                 out.append(w)
             w = np.concatenate(out) if out else np.zeros(0, WINDOW)
             shard = (w["content"] % np.uint64(shards)).astype(np.int64)
@@ -107,12 +107,13 @@ def _window_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             parts.setdefault(shard, []).append(np.frombuffer(rows, WINDOW))
     for shard in sorted(parts):
         w = np.concatenate(parts.pop(shard))
-        w = w[np.lexsort((w["start"], w["doc"], w["anchor"], w["content"]))]
+        w = w[np.lexsort((w["start"], document(w), w["doc"], w["anchor"], w["content"]))]
         new = np.ones(len(w), bool)
         new[1:] = (w["content"][1:] != w["content"][:-1]) | (w["anchor"][1:] != w["anchor"][:-1])
         lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        w = w[(w["doc"] != w["doc"][lead]) | (w["start"] != w["start"][lead])]
-        yield pa.record_batch({"doc": pa.array(np.ascontiguousarray(w["doc"])), "start": pa.array(np.ascontiguousarray(w["start"])), "count": pa.array(np.ones(len(w), np.int32))})
+        part = document(w)
+        w = w[(w["doc"] != w["doc"][lead]) | (part != part[lead]) | (w["start"] != w["start"][lead])]
+        yield pa.record_batch({"row": pa.array(np.ascontiguousarray(w["row"])), "start": pa.array(np.ascontiguousarray(w["start"])), "count": pa.array(np.ones(len(w), np.int32))})
 
 
 def _removed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -139,14 +140,14 @@ def _digested(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def marked(docs: DataFrame, by: Windows = WORDS) -> DataFrame:
-    """(doc, text) -> (doc, text, marks): marks is null where nothing repeats."""
+    """(doc, row, text) -> (doc, text, marks): marks is null where nothing repeats."""
     shards = shuffle_partitions(docs.sparkSession)
     found = find_segments(docs, by, estimated_repeated)
-    need = per_doc(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "start", "count", "anchor")
-    closer = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(window_sender(by, shards), "shard int, rows binary")
-    singles = closer.repartition(shards, "shard").mapInArrow(_window_marks, "doc long, start int, count int")
-    marks = per_doc(found.filter(F.col("kind") == MARK).select("doc", "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, "doc", "left").select("doc", "text", "marks")
+    need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "start", "count", "anchor")
+    closer = docs.join(need, "row").select("doc", "row", "text", "need").mapInArrow(window_sender(by, shards), "shard int, rows binary")
+    singles = closer.repartition(shards, "shard").mapInArrow(_window_marks, "row long, start int, count int")
+    marks = per_row(found.filter(F.col("kind") == MARK).select("row", "start", "count").unionAll(singles), "marks", "start", "count")
+    return docs.join(marks, "row", "left").select("doc", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = WORDS, digest: bool = False) -> DataFrame:

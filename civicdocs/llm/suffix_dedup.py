@@ -7,10 +7,10 @@ their neighbour in 100 bytes are equal windows, of which all but the first
 place are marked. Segments that are equal as a whole were marked before, and
 those of very common anchors come window by window.
 
-Defined results: a null text is empty; texts under 100 bytes lose nothing; a
-null doc_id comes after all others; rows that repeat a doc_id are one document:
-what stands at the same place in both stays in both, and what is removed from
-one is removed from the other; an empty table gives an empty result; other
+Defined results: a null text is empty; texts under 100 bytes lose nothing; rows
+of null doc_id come after all others and are documents of their own; rows that
+repeat a doc_id are one document: what stands at the same place in both stays in
+both, and each loses only what it holds itself; an empty table gives an empty result; other
 columns are not read. A removal may cut a UTF-8 character, so kept is binary.
 """
 
@@ -25,22 +25,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
-from .repeats import BYTES, HOT_NEED, MARK, NEED, Windows, covered, find_segments, keyed, per_doc
+from .repeats import BYTES, HOT_NEED, MARK, NEED, NO_DOC, Windows, covered, find_segments, keyed, per_row
 from .suffix_array import permuted_common_prefixes, suffix_array
 from .text_hash import BYTE_CODE, prefix_hash, window_hash
 
 ARRAY_BYTES = 1 << 20  # segments of whole anchors are sorted together up to about so many bytes
-SENT = "shard int, group long, doc long, start int, count int, body binary"
+SENT = "shard int, group long, doc long, row long, start int, count int, body binary"
 
 
 def segment_sender(by: Windows, shards: int):
-    """For mapInArrow over (doc, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
+    """For mapInArrow over (doc, row, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, lists = batch.column("doc").to_numpy(), batch.column("need")
-            group, doc, start, count, body = [], [], [], [], []
-            seen: dict[int, tuple[int, int]] = {}
+            docs, rows, lists = batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("need")
+            group, doc, number, start, count, body = [], [], [], [], [], []
+            seen: dict[int, tuple[int, int, int]] = {}
             again = []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 text = text or b""
@@ -49,10 +49,11 @@ def segment_sender(by: Windows, shards: int):
                 prefix = prefix_hash(BYTE_CODE[np.frombuffer(text, np.uint8)]) if HOT_NEED in kinds else None
                 for kind, s, c, a in zip(kinds, starts, counts, anchors, strict=True):
                     if s + c - 1 + by.width > len(text):
-                        continue  # of another row of the same doc_id
+                        continue
                     if kind == NEED:
                         group.append(a)
                         doc.append(docs[i])
+                        number.append(rows[i])
                         start.append(s)
                         count.append(c)
                         body.append(text[s : s + c - 1 + by.width])
@@ -60,13 +61,14 @@ def segment_sender(by: Windows, shards: int):
                     at = np.arange(s, s + c)
                     for p, h in zip(at.tolist(), window_hash(prefix, at, at + by.width).view(np.int64).tolist(), strict=True):
                         first = seen.get(h)
-                        place = (int(docs[i]), p)
-                        if first is not None and first != place:
-                            again.append(max(first, place))
-                        if first is None or place < first:
+                        place = (docs[i], rows[i] if docs[i] == NO_DOC else 0, p)
+                        if first is not None and place > first:
+                            again.append((rows[i], p))
+                        else:
                             seen[h] = place
                             group.append(h)
                             doc.append(docs[i])
+                            number.append(rows[i])
                             start.append(p)
                             count.append(1)
                             body.append(text[p : p + by.width])
@@ -75,7 +77,7 @@ def segment_sender(by: Windows, shards: int):
             yield pa.record_batch({
                 "shard": pa.array(np.concatenate([(groups.view(np.uint64) % np.uint64(shards)).astype(np.int32), np.arange(n, dtype=np.int32) % shards])),
                 "group": pa.array(np.concatenate([groups, np.zeros(n, np.int64)])),
-                "doc": pa.array([*doc, *(x[0] for x in again)], pa.int64()), "start": pa.array([*start, *(x[1] for x in again)], pa.int32()),
+                "doc": pa.array([*doc, *[NO_DOC] * n], pa.int64()), "row": pa.array([*number, *(x[0] for x in again)], pa.int64()), "start": pa.array([*start, *(x[1] for x in again)], pa.int32()),
                 "count": pa.array([*count, *[1] * n], pa.int32()), "body": pa.array([*body, *[None] * n], pa.binary()),
             })
 
@@ -110,16 +112,16 @@ def _array_marks(width: int):
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in ("group", "doc", "start", "count", "body")), strict=True):
-                if row[4] is None:  # marked where it was found
-                    held_row = pa.record_batch({"doc": pa.array([row[1]], pa.int64()), "start": pa.array([row[2]], pa.int32()), "count": pa.array([1], pa.int32())})
+            for row in zip(*(batch.column(k).to_pylist() for k in ("group", "doc", "row", "start", "count", "body")), strict=True):
+                if row[5] is None:  # marked where it was found
+                    held_row = pa.record_batch({"row": pa.array([row[2]], pa.int64()), "start": pa.array([row[3]], pa.int32()), "count": pa.array([1], pa.int32())})
                     yield held_row
                     continue
                 if size >= ARRAY_BYTES and row[0] != last:
                     yield _mark(held, width)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
                 last = row[0]
         if held:
             yield _mark(held, width)
@@ -129,16 +131,17 @@ def _array_marks(width: int):
 
 def _mark(rows: list[tuple], width: int) -> pa.RecordBatch:
     """Marks for the windows of some groups of segments; groups never match each other, as their anchors differ."""
-    doc, start, count = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-    of, window, number = equal_windows([r[4] for r in rows], count, width)
-    d, s = doc[of], start[of] + window
-    order = np.lexsort((s, d, number))
-    d, s, number = d[order], s[order], number[order]
+    doc, row, start, count = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 4))
+    of, window, number = equal_windows([r[5] for r in rows], count, width)
+    d, r, s = doc[of], row[of], start[of] + window
+    part = np.where(d == NO_DOC, r, 0)  # as repeats.document
+    order = np.lexsort((s, part, d, number))
+    d, r, s, part, number = d[order], r[order], s[order], part[order], number[order]
     new = np.ones(len(d), bool)
     new[1:] = number[1:] != number[:-1]
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (d != d[lead]) | (s != s[lead])
-    return pa.record_batch({"doc": pa.array(d[later]), "start": pa.array(s[later].astype(np.int32)), "count": pa.array(np.ones(int(later.sum()), np.int32))})
+    later = (d != d[lead]) | (part != part[lead]) | (s != s[lead])
+    return pa.record_batch({"row": pa.array(r[later]), "start": pa.array(s[later].astype(np.int32)), "count": pa.array(np.ones(int(later.sum()), np.int32))})
 
 
 def _removed(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Iterator[pa.RecordBatch]:
@@ -165,15 +168,15 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Ite
 
 
 def marked(docs: DataFrame, by: Windows = BYTES) -> DataFrame:
-    """(doc, text) -> (doc, text, marks): marks is null where nothing repeats."""
+    """(doc, row, text) -> (doc, text, marks): marks is null where nothing repeats."""
     shards = shuffle_partitions(docs.sparkSession)
     found = find_segments(docs, by)
-    need = per_doc(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "kind", "start", "count", "anchor")
-    sent = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(segment_sender(by, shards), SENT)
+    need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "kind", "start", "count", "anchor")
+    sent = docs.join(need, "row").select("doc", "row", "text", "need").mapInArrow(segment_sender(by, shards), SENT)
     dealt = sent.repartition(shards, "shard").sortWithinPartitions("group")
-    singles = dealt.mapInArrow(_array_marks(by.width), "doc long, start int, count int")
-    marks = per_doc(found.filter(F.col("kind") == MARK).select("doc", "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, "doc", "left").select("doc", "text", "marks")
+    singles = dealt.mapInArrow(_array_marks(by.width), "row long, start int, count int")
+    marks = per_row(found.filter(F.col("kind") == MARK).select("row", "start", "count").unionAll(singles), "marks", "start", "count")
+    return docs.join(marks, "row", "left").select("doc", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = BYTES, digest: bool = False) -> DataFrame:

@@ -191,6 +191,20 @@ def test_repeated_rows_keep_their_text(spark):
     assert {(r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect()} == {(1, 0), (2, 0)}
 
 
+@pytest.mark.parametrize("hot", [2, 256])
+def test_rows_of_one_id_lose_only_their_own_repeats(spark, monkeypatch, hot):
+    """Null is no document: its rows are one each. Rows that repeat an id keep what another row's marks would cut."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    text = lambda c, n=40: " ".join(f"{c}{i:04}{c}" for i in range(n))
+    known = text("k")
+    rows = [(1, known), (1, known), (2, f"{text('a')} {known}"), (2, text("b", 80)), (None, f"{text('c')} {known}"), (None, text("d", 80)), (None, text("e")), (None, text("e")), (3, text("d", 80))]
+    docs = documents(spark, rows).repartition(3)
+    want = sorted([(1, known), (1, known), (2, text("a")), (2, text("b", 80)), (None, text("c")), (None, ""), (None, text("e")), (None, ""), (3, text("d", 80))], key=str)
+    got = lambda module: sorted(((r.doc_id, bytes(r.kept).decode().strip()) for r in module.remove_repeats(docs).collect()), key=str)
+    assert got(substring_dedup) == want
+    assert got(suffix_dedup) == want
+
+
 def test_count_min_never_underestimates():
     rng = np.random.default_rng(9)
     a, b = (rng.integers(0, 500, 3000).astype(np.uint64) for _ in range(2))
