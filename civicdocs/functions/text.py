@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Addresses, pages and labels of the archive's layout.
+# Addresses, pages and labels of the collection's layout.
 PDF_BASE = "/pdfs/attachment/"
 SOURCE_BASE = "/api/attachment/view-pdf/"
 MOVED_PREFIXES = ("/api/attachment/view-pdf/", "/api/attachment/block-image/")
@@ -123,7 +123,7 @@ def video_url(url: Column | str) -> Column:
 
 
 def rewrite_path(path: Column | str) -> Column:
-    """Old attachment addresses lead to the archive."""
+    """Old attachment addresses lead to the collection."""
     return F.regexp_replace(col(path), "^(" + "|".join(MOVED_PREFIXES) + ")", PDF_BASE)
 
 

@@ -1,4 +1,4 @@
-"""The archive's entities drawn from star-schema tables.
+"""The collection's entities drawn from star-schema tables.
 
 Each is one SELECT that Spark and DuckDB both read, so that queries and their
 SQL start from the same rows. ``{ms}`` is the one expression they spell apart.

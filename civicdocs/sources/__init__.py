@@ -1 +1 @@
-"""Schemas, readers and writers of the archive's files."""
+"""Schemas, readers and writers of the collection's files."""

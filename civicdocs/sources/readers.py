@@ -1,4 +1,4 @@
-"""Readers of the archive's JSON exports, label bundles and attachments.
+"""Readers of the collection's JSON exports, label bundles and attachments.
 
 Files that are missing or can't be parsed don't stop a read: with
 ``corrupt=True`` their text comes along in ``_corrupt`` for ``split_bad``.

@@ -1,4 +1,4 @@
-"""Writers in the archive's layout."""
+"""Writers in the collection's layout."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Readers, hierarchy, manifest, board, texts, labels, changes and streams on small hand-written archives."""
+"""Readers, hierarchy, manifest, board, texts, labels, changes and streams on small hand-written collections."""
 
 import json
 import random
@@ -36,8 +36,8 @@ VOLUMES = [{"id": 41, "serial": 1, "name": "Vol/A ", "nameBangla": "খণ্ড
 
 
 @pytest.fixture(scope="module")
-def archive(tmp_path_factory):
-    root = tmp_path_factory.mktemp("archive")
+def collection(tmp_path_factory):
+    root = tmp_path_factory.mktemp("collection")
     put = lambda name, value: ((root / name).parent.mkdir(parents=True, exist_ok=True), (root / name).write_text(value if isinstance(value, str) else json.dumps(value)))
     put("books.json", BOOKS)
     put("chapters/chapters-commission-2.json", CHAPTERS)
@@ -54,26 +54,26 @@ def archive(tmp_path_factory):
     return root
 
 
-def sections_of(spark, archive):
-    direct = R.read_chapters(spark, str(archive / "chapters")).select("book_id", "id", "serial", "title", "nameBangla", "chapterName", "sections")
-    volumes = H.flatten_volumes(R.read_volume_trees(spark, str(archive / "volumes")))
-    books = R.read_books(spark, str(archive / "books.json"))
-    return books, H.branches(books, direct, volumes), R.read_volumes(spark, str(archive / "volumes"))
+def sections_of(spark, collection):
+    direct = R.read_chapters(spark, str(collection / "chapters")).select("book_id", "id", "serial", "title", "nameBangla", "chapterName", "sections")
+    volumes = H.flatten_volumes(R.read_volume_trees(spark, str(collection / "volumes")))
+    books = R.read_books(spark, str(collection / "books.json"))
+    return books, H.branches(books, direct, volumes), R.read_volumes(spark, str(collection / "volumes"))
 
 
-def test_readers(spark, archive):
-    books = {r.id: r for r in R.read_books(spark, str(archive / "books.json")).collect()}
+def test_readers(spark, collection):
+    books = {r.id: r for r in R.read_books(spark, str(collection / "books.json")).collect()}
     assert len(books) == 3 and books[2].hasVolume is None and books[1].summaryEn == "" and books[3].serial is None
-    assert {(r.book_id, r.id) for r in R.read_chapters(spark, str(archive / "chapters")).collect()} == {(2, 20), (2, 21), (2, 22)}
-    assert [r.number for r in R.read_notices(spark, str(archive / "notices")).orderBy("id").collect()] == [0, 1, 1, 0]
-    good, bad = R.split_bad(R.read_books(spark, str(archive / "broken"), corrupt=True).cache())
+    assert {(r.book_id, r.id) for r in R.read_chapters(spark, str(collection / "chapters")).collect()} == {(2, 20), (2, 21), (2, 22)}
+    assert [r.number for r in R.read_notices(spark, str(collection / "notices")).orderBy("id").collect()] == [0, 1, 1, 0]
+    good, bad = R.split_bad(R.read_books(spark, str(collection / "broken"), corrupt=True).cache())
     assert [r.id for r in good.collect()] == [9] and bad.count() == 1
-    files = R.list_attachments(spark, str(archive / "pdfs")).collect()
+    files = R.list_attachments(spark, str(collection / "pdfs")).collect()
     assert [(r.file_name, r.length) for r in files] == [("a.pdf", 5)]
 
 
-def test_labels(spark, archive):
-    labels = R.read_labels(spark, str(archive / "i18n"))
+def test_labels(spark, collection):
+    labels = R.read_labels(spark, str(collection / "i18n"))
     got = {(r.lang, r.key): r.value for r in labels.collect()}
     assert got == {("en", "global.menu.home"): "Start", ("en", "global.menu.a.b"): "dot", ("en", "global.n"): None, ("en", "global.deep.a.b.c"): "x", ("bn", "global.menu.home"): "হোম"}
     assert ["global", "menu", "a.b"] in [r.path for r in labels.collect()]
@@ -84,8 +84,8 @@ def test_labels(spark, archive):
     assert R.flatten_json(spark.createDataFrame([("xx", "{broken"), ("xx", None)], "lang string, text string")).count() == 0
 
 
-def test_manifest(spark, archive, tmp_path):
-    books, chapters, volumes = sections_of(spark, archive)
+def test_manifest(spark, collection, tmp_path):
+    books, chapters, volumes = sections_of(spark, collection)
     flat = H.flatten_chapters(chapters).drop("paragraphs")
     m = M.manifest(books, flat, volumes).cache()
     assert sorted((r.section_id, r.dest) for r in m.collect()) == [(31, "01-Health/77_Same.pdf"), (32, "01-Health/77_Same.pdf"), (35, "02-Police/Vol-A/5_In volume.pdf")]
@@ -113,22 +113,22 @@ def test_reconcile(spark):
     assert M.corpus_card(refs, refs).first().pdfs == 2 and M.corpus_card(refs, refs, approximate=True).first().commissions == 3
 
 
-def test_tree(spark, archive):
-    _, chapters, _ = sections_of(spark, archive)
+def test_tree(spark, collection):
+    _, chapters, _ = sections_of(spark, collection)
     c = chapters.withColumnRenamed("id", "chapter_id")
     s = H.flatten_chapters(chapters).withColumnRenamed("section_id", "id")
     tree = {r.book_id: r.tree for r in H.nest_tree(c, s).collect()}
     assert [(x.id, x.label, [(y.id, y.kind) for y in x.sections]) for x in tree[2]] == [(20, "Zero", []), (21, "One", [(33, "text"), (31, "pdf"), (32, "pdf"), (34, "text")]), (22, "Two", [])]
-    in_place = H.sort_nested(R.read_chapters(spark, "file://" + str(archive / "chapters"))).filter("id = 21").first()
+    in_place = H.sort_nested(R.read_chapters(spark, "file://" + str(collection / "chapters"))).filter("id = 21").first()
     assert [x.id for x in in_place.sections] == [33, 31, 32, 34] and [p.id for p in in_place.sections[3].paragraphs] == [13, 11, 12, 14, 15]
     positions = H.tree_order(s, ["chapter_id"], ["serial", "id"]).filter("chapter_id = 21").collect()
     assert {r.id: r.position for r in positions} == {33: 1, 31: 2, 32: 3, 34: 4}
-    assert {r.owner_id for r in H.attachment_refs(R.read_books(spark, str(archive / "books.json")), "book", ["pdfName", "summaryFileName", "summaryEn"]).collect()} == {1, 2, 3}
-    assert H.book_chapters(R.read_books(spark, str(archive / "books.json")), c.select("book_id", "chapter_id")).count() == 5
+    assert {r.owner_id for r in H.attachment_refs(R.read_books(spark, str(collection / "books.json")), "book", ["pdfName", "summaryFileName", "summaryEn"]).collect()} == {1, 2, 3}
+    assert H.book_chapters(R.read_books(spark, str(collection / "books.json")), c.select("book_id", "chapter_id")).count() == 5
 
 
-def test_texts(spark, archive):
-    _, chapters, _ = sections_of(spark, archive)
+def test_texts(spark, collection):
+    _, chapters, _ = sections_of(spark, collection)
     p = H.flatten_paragraphs(H.flatten_chapters(chapters))
     bodies = S.assemble_sections(p)
     row = bodies.first()
@@ -140,8 +140,8 @@ def test_texts(spark, archive):
     assert S.lookup_one(p, "12").count() == 1
 
 
-def test_summary(spark, archive):
-    books = R.read_books(spark, str(archive / "books.json"))
+def test_summary(spark, collection):
+    books = R.read_books(spark, str(collection / "books.json"))
     assert [(r.rn, r.id, r.name, r.summary_en) for r in S.summary_rows(books).orderBy("rn").collect()] == [(1, 3, "Media", ""), (2, 2, "Health", "/pdfs/attachment/2_2.pdf"), (3, 1, "পুলিশ", "")]
     assert tuple(S.summary_coverage(books).first()) == (3, 2, 1, 0, 0)
 

@@ -1,4 +1,4 @@
-"""The archive library stands alone, and Spark does its work."""
+"""The collection library stands alone, and Spark does its work."""
 
 import re
 from pathlib import Path

@@ -1,4 +1,4 @@
-"""Every registered archive query against its SQL in DuckDB, on the smallest test tables."""
+"""Every registered collection query against its SQL in DuckDB, on the smallest test tables."""
 
 import math
 import os
