@@ -29,11 +29,11 @@ def apply_changes(base: DataFrame, changes: DataFrame, id_: str = "id") -> DataF
     """(id, seq, op, payload) over a table: the last change of an id wins; deletes remove, saves and updates replace or add.
 
     The same batch twice gives the same table. ``payload`` is a struct of the
-    base's columns but the id.
+    base's columns but the id. A change without an op is a save.
     """
     last = latest_by_id(changes, id_, "seq")
     kept = base.join(last.select(id_), id_, "left_anti")
-    return kept.unionByName(last.filter("op <> 'delete'").select(id_, "payload.*").select(*base.columns))
+    return kept.unionByName(last.filter(F.coalesce("op", F.lit("save")) != "delete").select(id_, "payload.*").select(*base.columns))
 
 
 def stamp_parent(rows: DataFrame, batches: DataFrame, batch: str, parent: str) -> DataFrame:
@@ -48,8 +48,8 @@ def zip_attachments(batch: DataFrame) -> DataFrame:
 
 
 def remove_at(batch: DataFrame, array: str, position: Column) -> DataFrame:
-    """The array without the element at a position from 0; a position outside changes nothing."""
-    return batch.withColumn(array, F.filter(F.col(array), lambda x, i: (i != position)))
+    """The array without the element at a position from 0; a position outside, or none, changes nothing."""
+    return batch.withColumn(array, F.filter(F.col(array), lambda x, i: ~i.eqNullSafe(position)))
 
 
 def validate(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

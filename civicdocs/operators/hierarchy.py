@@ -57,27 +57,62 @@ def chapter_wise_content(paragraphs: DataFrame, sections: DataFrame, chapters: D
     return paragraphs.join(sections, "section_id").join(c, "chapter_id")
 
 
-def tree_order(nodes: DataFrame, parents: list[str], keys: list[str]) -> DataFrame:
-    """Position of each node among its siblings, and the path of keys by which the whole tree sorts."""
+def tree_order(nodes: DataFrame, parents: list[str], keys: list[str], levels: list[tuple[str, str]] = ()) -> DataFrame:
+    """Position of each node among its siblings, and ``path``: an array of (serial, id), one for each of the levels from the top, by which the whole tree sorts."""
     w = Window.partitionBy(*parents).orderBy(*keys)
-    return nodes.withColumn("position", F.row_number().over(w).cast("long"))
+    steps = [F.struct(F.coalesce(F.col(serial), F.lit(0)).cast("int").alias("serial"), F.col(id_).cast("long").alias("id")) for serial, id_ in levels or [tuple(keys[:2])]]
+    return nodes.withColumn("position", F.row_number().over(w).cast("long")).withColumn("path", F.array(*steps))
 
 
-def nest_sections(sections: DataFrame, lang: str = "bn") -> DataFrame:
+def nest_sections(sections: DataFrame) -> DataFrame:
     """(chapter_id, id, serial, name, hasPdf, pdfName) -> chapter_id, sections: sorted and labelled."""
     item = F.struct(F.coalesce("serial", F.lit(0)).alias("serial"), "id", section_label("name").alias("label"), section_kind("hasPdf", "pdfName").alias("kind"))
     return sections.groupBy("chapter_id").agg(F.array_sort(F.collect_list(item)).alias("sections"))
 
 
-def nest_tree(chapters: DataFrame, sections: DataFrame) -> DataFrame:
-    """Chapters of a commission, sorted, each with its sorted sections: book_id, tree."""
-    nested = chapters.select("chapter_id", "book_id", "serial", "title", "chapterName").join(nest_sections(sections), "chapter_id", "left")
+def nest_chapters(chapters: DataFrame, sections: DataFrame, *parents: str) -> DataFrame:
+    """Chapters of each parent, sorted, each with its sorted sections: the parents' columns, tree."""
+    nested = chapters.select("chapter_id", *parents, "serial", "title", "chapterName").join(nest_sections(sections), "chapter_id", "left")
     none = F.array().cast("array<struct<serial:int,id:bigint,label:string,kind:string>>")
     item = F.struct(
         F.coalesce("serial", F.lit(0)).alias("serial"), F.col("chapter_id").alias("id"), chapter_label("title", "chapterName").alias("label"),
         F.coalesce("sections", none).alias("sections"),
     )
-    return nested.groupBy("book_id").agg(F.array_sort(F.collect_list(item)).alias("tree"))
+    return nested.groupBy(*parents).agg(F.array_sort(F.collect_list(item)).alias("tree"))
+
+
+def nest_tree(chapters: DataFrame, sections: DataFrame) -> DataFrame:
+    """Chapters of a commission, sorted, each with its sorted sections: book_id, tree."""
+    return nest_chapters(chapters, sections, "book_id")
+
+
+def nest_volumes(chapters: DataFrame, sections: DataFrame, volumes: DataFrame, lang: str = "bn") -> DataFrame:
+    """Volumes of a commission, sorted, each with its chapters and those with their sections: book_id, tree.
+
+    Chapters without a volume stand first, under a volume of null id and empty
+    label; a volume without chapters stays, with none.
+    """
+    named = volumes.select(F.col("book_id").alias("of_book"), F.col("id").alias("of_volume"), F.col("serial").alias("volume_serial"), volume_label(lang).alias("label"))
+    held = nest_chapters(chapters, sections, "book_id", "volume_id").withColumnRenamed("tree", "chapters")
+    both = held.join(named, (F.col("book_id") == F.col("of_book")) & (F.col("volume_id") == F.col("of_volume")), "full")
+    none = F.array().cast(held.schema["chapters"].dataType)
+    item = F.struct(
+        F.coalesce("volume_serial", F.lit(0)).alias("serial"), F.coalesce("volume_id", "of_volume").alias("id"), F.coalesce("label", F.lit("")).alias("label"),
+        F.coalesce("chapters", none).alias("chapters"),
+    )
+    return both.groupBy(F.coalesce("book_id", "of_book").alias("book_id")).agg(F.array_sort(F.collect_list(item)).alias("tree"))
+
+
+def descend(books: DataFrame, chapters: DataFrame, sections: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """Commission, volume, chapter, section and paragraph of normalised tables as one row for each leaf; parents without children stay.
+
+    The tables hold their parents' keys: book_id and, for commissions with
+    volumes, volume_id; chapter_id; section_key. Nested input goes through
+    ``flatten_chapters`` instead.
+    """
+    flags = books.select(F.col("id").alias("book_id"), truthy("hasVolume").alias("__volumes"))
+    c = flags.join(chapters, "book_id", "left").withColumn("volume_id", F.when(F.col("__volumes"), F.col("volume_id"))).drop("__volumes")
+    return c.join(sections, "chapter_id", "left").join(paragraphs, "section_key", "left")
 
 
 def sort_nested(chapters: DataFrame) -> DataFrame:

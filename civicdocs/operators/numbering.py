@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicdocs.plans.storage import shared_dir
+from civicdocs.sources.storage import stored
 
 _LOW = (1 << 33) - 1
 
@@ -22,19 +20,17 @@ def global_index(df: DataFrame, *order: Column, name: str = "rn", partitions: in
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
-    path = f"{shared_dir(df.sparkSession)}/numbered-{uuid.uuid4().hex}"
-    placed.write.parquet(path)
-    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+    kept = stored(placed, "numbered")
     part = F.shiftright("__at", 33).alias("__part")
-    sizes = sorted((r["__part"], r["n"]) for r in stored.groupBy(part).agg(F.count("*").alias("n")).collect())  # one row for each partition
+    sizes = sorted((r["__part"], r["n"]) for r in kept.groupBy(part).agg(F.count("*").alias("n")).collect())  # one row for each partition
     offsets, total = [], 0
     for p, size in sizes:
         offsets.append((p, total))
         total += size
     if not offsets:
-        return stored.withColumn(name, F.lit(None).cast("long")).drop("__at")
+        return kept.withColumn(name, F.lit(None).cast("long")).drop("__at")
     table = df.sparkSession.createDataFrame(offsets, "__part long, __offset long")
-    numbered = stored.withColumn("__part", part).join(F.broadcast(table), "__part")
+    numbered = kept.withColumn("__part", part).join(F.broadcast(table), "__part")
     return numbered.withColumn(name, F.col("__offset") + F.col("__at").bitwiseAND(F.lit(_LOW)) + 1).drop("__at", "__part", "__offset")
 
 
@@ -43,18 +39,15 @@ def with_page(df: DataFrame, size: int, rn: str = "rn") -> DataFrame:
     return df.withColumn("page", F.floor((F.col(rn) - 1) / size).cast("long"))
 
 
-def page_envelopes(numbered: DataFrame, size: int) -> DataFrame:
-    """One row for each page with the counts and marks of its envelope."""
-    pages = with_page(numbered, size).groupBy("page").agg(F.count("*").alias("number_of_elements"))
-    total = numbered.agg(F.count("*").alias("total_elements"))
-    last = F.col("total_pages") - 1
-    return (
-        pages.join(F.broadcast(total))
-        .withColumn("total_pages", F.ceil(F.col("total_elements") / size).cast("long"))
-        .select(
-            "page", "number_of_elements", "total_elements", "total_pages", (F.col("page") * size).alias("offset"),
-            (F.col("page") == 0).alias("first"), (F.col("page") == last).alias("last"), (F.col("page") > 0).alias("has_prev"), (F.col("page") < last).alias("has_next"),
-        )
+def page_envelopes(rows: DataFrame, size: int) -> DataFrame:
+    """One row for each page with the counts and marks of its envelope: all of it follows from the number of rows."""
+    total = rows.count()
+    pages = -(-total // size)
+    page = F.col("id").alias("page")
+    return rows.sparkSession.range(pages).select(
+        page, F.least(F.lit(size).cast("long"), F.lit(total) - F.col("id") * size).cast("long").alias("number_of_elements"), F.lit(total).cast("long").alias("total_elements"),
+        F.lit(pages).cast("long").alias("total_pages"), (F.col("id") * size).alias("offset"), (F.col("id") == 0).alias("first"), (F.col("id") == pages - 1).alias("last"),
+        (F.col("id") > 0).alias("has_prev"), (F.col("id") < pages - 1).alias("has_next"),
     )
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,9 @@ from civicdocs.operators import manifest as M
 from civicdocs.operators import numbering as N
 from civicdocs.operators import texts as S
 from civicdocs.plans.standins import ctes, entity, table
-from civicdocs.plans.storage import shared_dir
 from civicdocs.sources import readers as R
-from civicdocs.sources.writers import write_json_arrays
+from civicdocs.sources.storage import shared_dir
+from civicdocs.sources.writers import name_files, write_json_arrays
 from civicdocs.streaming import incremental as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,39 +64,39 @@ def _nested_chapters(spark, d) -> DataFrame:
 
 @query(
     ctes("chapter", "section")
-    + """ SELECT c.book_id, c.chapter_id AS id, CAST(c.serial AS BIGINT) AS serial, c.title, count(s.section_id)::BIGINT AS n_sections, count(CASE WHEN s.hasPdf THEN 1 END)::BIGINT AS n_flagged
+    + """ SELECT CASE WHEN c.book_id % 16 < 12 THEN c.book_id % 16 ELSE c.book_id END AS book_id, c.chapter_id AS id, CAST(c.serial AS BIGINT) AS serial, c.title, count(s.section_id)::BIGINT AS n_sections, count(CASE WHEN s.hasPdf THEN 1 END)::BIGINT AS n_flagged
     FROM chapter c LEFT JOIN section s USING (chapter_id) GROUP BY ALL"""
 )
 def read_chapters(spark, d):
+    """Sixteen files, of which the last four don't name their commission: there the embedded id counts."""
     path = _scratch(spark, "chapters")
     rows = _nested_chapters(spark, d).select((F.col("book_id") % 16).alias("bucket"), F.col("chapter_id").alias("id"), "serial", "title", "nameBangla", "chapterName", F.struct(F.col("book_id").alias("id")).alias("book"), "sections")
     write_json_arrays(rows, path, "bucket")
-    # text files are named by Spark, so the commission comes from the embedded id
-    got = spark.read.schema(R.CHAPTER).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    name_files(spark, path, {f"bucket={i}": f"chapters-commission-{i}.json" if i < 12 else f"export{i}.json" for i in range(16)})
+    got = R.read_chapters(spark, path)
     n = F.coalesce(F.size("sections"), F.lit(0)).cast("long")
     flagged = F.coalesce(F.size(F.filter("sections", lambda s: X.truthy(s["hasPdf"]))), F.lit(0)).cast("long")
-    return got.select(F.col("book.id").alias("book_id"), "id", _long("serial"), "title", n.alias("n_sections"), flagged.alias("n_flagged"))
+    return got.select("book_id", "id", _long("serial"), "title", n.alias("n_sections"), flagged.alias("n_flagged"))
 
 
-@query(ctes("volume") + " SELECT book_id, id, CAST(serial AS BIGINT) AS serial, name FROM volume")
+@query(ctes("volume") + " SELECT book_id % 8 AS book_id, id, CAST(serial AS BIGINT) AS serial, name FROM volume")
 def read_volumes(spark, d):
     path = _scratch(spark, "volumes")
     rows = entity(spark, d, "volume").select((F.col("book_id") % 8).alias("bucket"), "id", "serial", "name", F.struct(F.col("book_id").alias("id")).alias("book"))
     write_json_arrays(rows, path, "bucket")
-    got = spark.read.schema(R.VOLUME).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return got.select(F.col("book.id").alias("book_id"), "id", _long("serial"), "name")
+    name_files(spark, path, {f"bucket={i}": f"{'volumes' if i < 4 else 'volume-wise'}-commission-{i}.json" for i in range(8)})
+    return R.read_volumes(spark, path).select("book_id", "id", _long("serial"), "name")
 
 
-@query(ctes("volume", "chapter") + " SELECT v.book_id, v.id, count(*)::BIGINT AS n_chapters, min(c.chapter_id) AS first_chapter FROM volume v JOIN chapter c ON c.volume_id = v.id GROUP BY ALL")
+@query(ctes("volume", "chapter") + " SELECT v.book_id % 8 AS book_id, v.id, count(*)::BIGINT AS n_chapters, min(c.chapter_id) AS first_chapter FROM volume v JOIN chapter c ON c.volume_id = v.id GROUP BY ALL")
 def read_volume_trees(spark, d):
     path = _scratch(spark, "volume-trees")
     c = entity(spark, d, "chapter").groupBy("volume_id").agg(F.collect_list(F.struct(F.col("chapter_id").alias("id"), "serial", "title")).alias("chapters"))
     v = entity(spark, d, "volume")
     rows = v.join(c, v["id"] == c["volume_id"]).select((F.col("book_id") % 8).alias("bucket"), "id", "serial", "name", F.struct(F.col("book_id").alias("id")).alias("book"), "chapters")
     write_json_arrays(rows, path, "bucket")
-    got = spark.read.schema(R.VOLUME).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    got = got.withColumn("book_id", F.col("book.id"))
-    flat = H.flatten_volumes(got)
+    name_files(spark, path, {f"bucket={i}": f"{'volumes' if i % 2 else 'volume-wise'}-commission-{i}.json" for i in range(8)})
+    flat = H.flatten_volumes(R.read_volume_trees(spark, path))
     return flat.groupBy("book_id", F.col("volume_id").alias("id")).agg(F.count("*").alias("n_chapters"), F.min(flat["id"]).alias("first_chapter"))
 
 
@@ -231,21 +233,47 @@ def section_list(spark, d):
 # Joins.
 
 
-@query(ctes("book", "chapter") + " SELECT b.id, b.name, c.chapter_id, c.title FROM book b LEFT JOIN (SELECT * FROM chapter WHERE serial > 6) c ON c.book_id = b.id")
+@query(ctes("book", "chapter") + " SELECT b.id, b.name, c.chapter_id, c.title FROM book b LEFT JOIN chapter c ON c.book_id = b.id")
 def book_chapters(spark, d):
-    return H.book_chapters(entity(spark, d, "book"), entity(spark, d, "chapter").filter("serial > 6")).select("id", "name", "chapter_id", "title")
+    return H.book_chapters(entity(spark, d, "book"), entity(spark, d, "chapter")).select("id", "name", "chapter_id", "title")
 
 
-@query(ctes("chapter", "section") + " SELECT c.book_id, c.chapter_id, s.section_id, CAST(s.serial AS BIGINT) AS serial, s.pdfName FROM chapter c LEFT JOIN section s USING (chapter_id)")
+@query(
+    ctes("book", "chapter", "section", "paragraph")
+    + """ SELECT b.id AS book_id, CASE WHEN b.hasVolume THEN c.volume_id END AS volume_id, c.chapter_id, s.section_id, CAST(s.serial AS BIGINT) AS serial, s.pdfName, p.id AS paragraph_id
+    FROM book b LEFT JOIN chapter c ON c.book_id = b.id LEFT JOIN section s USING (chapter_id) LEFT JOIN paragraph p ON p.section_id = s.chapter_id AND s.serial = 1"""
+)
 def hierarchy_flat(spark, d):
-    trees = _nested_chapters(spark, d).withColumn("id", F.col("chapter_id"))
-    paragraphs = F.transform("sections", lambda s: s.withField("header", F.lit(None).cast("string")).withField("paragraphs", F.array()))
-    flat = H.flatten_chapters(trees.withColumn("sections", paragraphs), outer=True)
-    return flat.select("book_id", "chapter_id", "section_id", _long("serial"), "pdfName")
+    """A conversation stands in for the paragraphs of the first section of the chapter with its number."""
+    s = entity(spark, d, "section").select("chapter_id", "section_id", "serial", "pdfName", F.concat_ws("-", "chapter_id", "serial").alias("section_key"))
+    p = entity(spark, d, "paragraph").select(F.concat(F.col("section_id").cast("string"), F.lit("-1")).alias("section_key"), F.col("id").alias("paragraph_id"))
+    flat = H.descend(entity(spark, d, "book"), entity(spark, d, "chapter").select("book_id", "chapter_id", "volume_id"), s, p)
+    return flat.select("book_id", "volume_id", "chapter_id", "section_id", _long("serial"), "pdfName", "paragraph_id")
 
 
 @query(
-    "SELECT o_custkey AS book_id, o_orderkey AS chapter_id, l_linenumber::BIGINT AS section_id, o_orderpriority AS title, l_partkey AS id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber > 2"
+    ctes("chapter", "section", "paragraph")
+    + """ SELECT c.book_id, c.chapter_id, s.section_id, s.name AS section_header, p.id, CAST(p.serial AS BIGINT) AS serial, p.header, p.indexChar, md5(p.content) AS digest, p.fileName
+    FROM paragraph p JOIN section s ON p.section_id = s.chapter_id AND s.serial = 1 JOIN chapter c USING (chapter_id)"""
+)
+def paragraph_list(spark, d):
+    """Paragraphs of nested trees as a flat list."""
+    p = entity(spark, d, "paragraph").groupBy(F.col("section_id").alias("chapter_id")).agg(F.collect_list(F.struct("id", "serial", "header", "indexChar", "content", "fileName")).alias("of_first"))
+    trees = _nested_chapters(spark, d).withColumn("id", F.col("chapter_id")).join(p, "chapter_id", "left")
+    held = F.transform("sections", lambda s: s.withField("header", s["name"]).withField("paragraphs", F.when(s["serial"] == 1, F.col("of_first"))))
+    flat = H.flatten_paragraphs(H.flatten_chapters(trees.withColumn("sections", held)))
+    return flat.select("book_id", "chapter_id", "section_id", "section_header", "id", _long("serial"), "header", "indexChar", F.md5("content").alias("digest"), "fileName")
+
+
+@query(ctes("section") + " SELECT chapter_id, string_agg(section_id, ',' ORDER BY serial, section_id) AS ids FROM section GROUP BY 1")
+def sorted_in_place(spark, d):
+    trees = _nested_chapters(spark, d).filter("sections is not null")
+    trees = trees.withColumn("sections", F.transform("sections", lambda s: s.withField("paragraphs", F.array().cast("array<struct<serial:int,id:bigint>>"))))
+    return H.sort_nested(trees).select("chapter_id", F.array_join(F.transform("sections", lambda s: s["id"].cast("string")), ",").alias("ids"))
+
+
+@query(
+    "SELECT o_custkey AS book_id, o_orderkey AS chapter_id, l_linenumber::BIGINT AS section_id, o_orderpriority AS title, l_partkey AS id FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 )
 def chapter_wise_content(spark, d):
     lines = table(spark, d, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("section_id"), "l_orderkey", F.col("l_linenumber").cast("long").alias("n"), F.col("l_partkey").alias("id"))
@@ -309,12 +337,18 @@ def label_lookup(spark, d):
 
 
 @query(
-    """WITH l AS (SELECT lang, substr(text, 1, 12) AS key, max(source) AS v FROM documents GROUP BY 1, 2), a AS (SELECT * FROM l WHERE lang = 'de'), b AS (SELECT * FROM l WHERE lang = 'en')
-    SELECT COALESCE(a.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'de-only' WHEN a.key IS NULL THEN 'en-only' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'same' ELSE 'different' END AS status FROM a FULL JOIN b ON a.key = b.key"""
+    "WITH l AS (SELECT lang, concat_ws('.', source, n_chars) AS key, max(text) AS v FROM documents GROUP BY 1, 2) "
+    + " UNION ALL ".join(
+        f"""SELECT COALESCE(a.key, b.key) AS key, '{one}-{two}' AS pair,
+    CASE WHEN b.key IS NULL THEN '{one}-only' WHEN a.key IS NULL THEN '{two}-only' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'same' ELSE 'different' END AS status
+    FROM (FROM l WHERE lang = '{one}') a FULL JOIN (FROM l WHERE lang = '{two}') b ON a.key = b.key"""
+        for one, two in combinations(("de", "en", "es", "fr"), 2)
+    )
 )
 def label_parity(spark, d):
-    labels = table(spark, d, "documents").select("lang", F.substring("text", 1, 12).alias("key"), F.col("source").alias("value"))
-    return S.label_parity(labels, "de", "en")
+    labels = table(spark, d, "documents").select("lang", F.concat_ws(".", "source", F.col("n_chars").cast("string")).alias("key"), F.col("text").alias("value"))
+    pairs = [S.label_parity(labels, one, two).withColumn("pair", F.lit(f"{one}-{two}")) for one, two in combinations(("de", "en", "es", "fr"), 2)]
+    return reduce(DataFrame.unionByName, pairs)
 
 
 @query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'Deutsch' WHEN 'fr' THEN 'Français' WHEN 'es' THEN 'Español' END AS language FROM documents")
@@ -381,7 +415,7 @@ def _numbered(spark, d, *more: str) -> DataFrame:
     SELECT page, number_of_elements, total_elements, total_pages, page * 10 AS offset, page = 0 AS first, page = total_pages - 1 AS last, page > 0 AS has_prev, page < total_pages - 1 AS has_next FROM p, t"""
 )
 def page_envelope(spark, d):
-    return N.page_envelopes(_numbered(spark, d), 10)
+    return N.page_envelopes(table(spark, d, "documents"), 10)
 
 
 @query(
@@ -404,22 +438,34 @@ def assemble_sections(spark, d):
 
 
 @query(
-    ctes("chapter", "section")
-    + f""", s AS (SELECT chapter_id, string_agg(section_id || ':' || COALESCE({_NZ('name')}, '') || ':' || CASE WHEN {_USABLE} THEN 'pdf' ELSE 'text' END, ';' ORDER BY serial, section_id) AS t FROM section GROUP BY 1)
-    SELECT book_id, count(*)::BIGINT AS n_chapters, string_agg(chapter_id || '=' || COALESCE({_NZ('title')}, {_NZ('chapterName')}, '') || '[' || COALESCE(s.t, '') || ']', '|' ORDER BY serial, chapter_id) AS tree
-    FROM chapter LEFT JOIN s USING (chapter_id) GROUP BY 1"""
+    ctes("book", "chapter", "volume", "section")
+    + f""", s AS (SELECT chapter_id, string_agg(section_id || ':' || COALESCE({_NZ('name')}, '') || ':' || CASE WHEN {_USABLE} THEN 'pdf' ELSE 'text' END, ';' ORDER BY serial, section_id) AS t FROM section GROUP BY 1),
+    c AS (SELECT c.book_id, CASE WHEN b.hasVolume THEN c.volume_id END AS volume_id, count(*) AS n,
+      string_agg(chapter_id || '=' || COALESCE({_NZ('title')}, {_NZ('chapterName')}, '') || '[' || COALESCE(s.t, '') || ']', '|' ORDER BY c.serial, chapter_id) AS t
+      FROM chapter c JOIN book b ON b.id = c.book_id LEFT JOIN s USING (chapter_id) GROUP BY 1, 2),
+    v AS (SELECT volume.* FROM volume JOIN book b ON b.id = book_id WHERE b.hasVolume)
+    SELECT COALESCE(c.book_id, v.book_id) AS book_id, COALESCE(sum(n), 0)::BIGINT AS n_chapters,
+      string_agg(COALESCE(CAST(v.id AS VARCHAR), '-') || ' ' || COALESCE(v.name, '') || '{{' || COALESCE(c.t, '') || '}}', '||' ORDER BY COALESCE(v.serial, 0), v.id NULLS FIRST) AS tree
+    FROM c FULL JOIN v ON v.id = c.volume_id AND v.book_id = c.book_id GROUP BY 1"""
 )
 def nest_tree(spark, d):
+    """Volumes, their chapters, and the chapters' sections, of each commission."""
+    books, c = entity(spark, d, "book"), entity(spark, d, "chapter")
     sections = entity(spark, d, "section").withColumnRenamed("section_id", "id")
-    trees = H.nest_tree(entity(spark, d, "chapter"), sections)
+    volumes = entity(spark, d, "volume").withColumn("nameBangla", F.lit("")).join(books.filter("hasVolume").select(F.col("id").alias("book_id")), "book_id", "left_semi")
+    trees = H.nest_volumes(H.branches(books, c.drop("volume_id"), c), sections, volumes)
     one = lambda s: F.concat_ws(":", s["id"].cast("string"), s["label"], s["kind"])
-    spelled = F.transform("tree", lambda c: F.concat(c["id"].cast("string"), F.lit("="), c["label"], F.lit("["), F.array_join(F.transform(c["sections"], one), ";"), F.lit("]")))
-    return trees.select("book_id", F.size("tree").cast("long").alias("n_chapters"), F.array_join(spelled, "|").alias("tree"))
+    chapter = lambda c: F.concat(c["id"].cast("string"), F.lit("="), c["label"], F.lit("["), F.array_join(F.transform(c["sections"], one), ";"), F.lit("]"))
+    volume = lambda v: F.concat(
+        F.coalesce(v["id"].cast("string"), F.lit("-")), F.lit(" "), v["label"], F.lit("{"), F.array_join(F.transform(v["chapters"], chapter), "|"), F.lit("}")
+    )
+    n = F.aggregate("tree", F.lit(0), lambda n, v: n + F.size(v["chapters"])).cast("long")
+    return trees.select("book_id", n.alias("n_chapters"), F.array_join(F.transform("tree", volume), "||").alias("tree"))
 
 
-@query(_MANIFEST + " SELECT dest, count(*)::BIGINT AS wanted, array_to_string(list_sort(list_distinct(list(pdfName)))[1:20], ',') AS pdf_names FROM m GROUP BY 1 HAVING count(*) > 1")
+@query(_MANIFEST + " SELECT dest, pdfName AS pdf_name, count(*)::BIGINT AS files, (sum(count(*)) OVER (PARTITION BY dest))::BIGINT AS wanted FROM m GROUP BY 1, 2 QUALIFY wanted > 1")
 def dest_collisions(spark, d):
-    return M.collisions(_manifest(spark, d)).select("dest", "wanted", F.array_join("pdf_names", ",").alias("pdf_names"))
+    return M.collisions(_manifest(spark, d))
 
 
 @query(
@@ -470,11 +516,12 @@ def first_by_dest(spark, d):
     return M.first_by_dest(_manifest(spark, d), "book_id", "chapter_id", "serial", "section_id", "pdfName").select("dest", "chapter_id", "section_id", "pdfName")
 
 
-@query(ctes("chapter", "section") + " SELECT chapter_id, section_id, row_number() OVER (PARTITION BY chapter_id ORDER BY s.serial, section_id) AS position, printf('%02d/%d/%02d', c.serial, chapter_id, s.serial) AS path FROM section s JOIN chapter c USING (chapter_id)")
+@query(ctes("chapter", "section") + " SELECT chapter_id, section_id, row_number() OVER (PARTITION BY chapter_id ORDER BY s.serial, section_id) AS position, printf('%02d:%d/%02d:%d', c.serial, chapter_id, s.serial, section_id) AS path FROM section s JOIN chapter c USING (chapter_id)")
 def tree_order(spark, d):
     s = entity(spark, d, "section").join(entity(spark, d, "chapter").select("chapter_id", F.col("serial").alias("chapter_serial")), "chapter_id")
-    ordered = H.tree_order(s, ["chapter_id"], ["serial", "section_id"])
-    return ordered.select("chapter_id", "section_id", "position", F.format_string("%02d/%d/%02d", "chapter_serial", "chapter_id", "serial").alias("path"))
+    ordered = H.tree_order(s, ["chapter_id"], ["serial", "section_id"], [("chapter_serial", "chapter_id"), ("serial", "section_id")])
+    step = lambda p: F.format_string("%02d:%d", p["serial"], p["id"])
+    return ordered.select("chapter_id", "section_id", "position", F.array_join(F.transform("path", step), "/").alias("path"))
 
 
 @query(ctes("book") + " SELECT id, CAST(serial AS BIGINT) AS serial FROM book ORDER BY COALESCE(serial, 0), id")
@@ -514,11 +561,20 @@ def union_branches(spark, d):
 @query(
     ctes("book")
     + f""" SELECT 'book' AS owner_kind, id AS owner_id, field, file_name FROM (SELECT id, unnest(['pdfName', 'summaryFileName', 'summaryEn']) AS field, unnest([pdfName, summaryFileName, summaryEn]) AS file_name FROM book) WHERE {_NZ('file_name')} IS NOT NULL
-    UNION ALL SELECT 'section', l_partkey * 100000 + l_suppkey, 'pdfName', CAST(l_partkey AS VARCHAR) || '_' || CAST(epoch_ms(l_shipdate) AS VARCHAR) || '.pdf' FROM lineitem WHERE l_linestatus = 'O'"""
+    UNION ALL SELECT 'section', l_partkey * 100000 + l_suppkey, 'pdfName', CAST(l_partkey AS VARCHAR) || '_' || CAST(epoch_ms(l_shipdate) AS VARCHAR) || '.pdf' FROM lineitem WHERE l_linestatus = 'O'
+    UNION ALL SELECT DISTINCT 'volume', o_custkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT), 'fileName', 'Volume/' || o_orderpriority || '.pdf' FROM orders
+    UNION ALL SELECT 'paragraph', turn, 'fileName', CAST(conv_id AS VARCHAR) || '.png' FROM conversations WHERE conv_id % 2 = 0
+    UNION ALL SELECT 'notice', doc_id, 'pdfUrl', doc_id || '.pdf' FROM documents WHERE doc_id % 3 <> 0 UNION ALL SELECT 'notice', doc_id, 'imageUrl', lang || '.png' FROM documents WHERE lang <> 'en'"""
 )
 def attachment_refs(spark, d):
-    b = H.attachment_refs(entity(spark, d, "book"), "book", ["pdfName", "summaryFileName", "summaryEn"])
-    return b.unionByName(H.attachment_refs(entity(spark, d, "section"), "section", ["pdfName"], "section_id"))
+    """What commissions, sections, volumes, paragraphs and notices refer to."""
+    notice = entity(spark, d, "notice").select("id", F.when(F.col("id") % 3 == 0, "").otherwise(F.concat(F.col("id").cast("string"), F.lit(".pdf"))).alias("pdfUrl"), F.when(F.col("lang") != "en", F.concat("lang", F.lit(".png"))).alias("imageUrl"))
+    owners = [
+        (entity(spark, d, "book"), "book", ["pdfName", "summaryFileName", "summaryEn"], "id"), (entity(spark, d, "section"), "section", ["pdfName"], "section_id"),
+        (entity(spark, d, "volume").withColumn("fileName", F.concat("name", F.lit(".pdf"))), "volume", ["fileName"], "id"),
+        (entity(spark, d, "paragraph"), "paragraph", ["fileName"], "id"), (notice, "notice", ["pdfUrl", "imageUrl"], "id"),
+    ]
+    return reduce(DataFrame.unionByName, [H.attachment_refs(*owner) for owner in owners])
 
 
 # Scalar functions.
@@ -592,7 +648,7 @@ def notice_dates(spark, d):
     return dates.withColumn("days", F.date_diff("archived", "published").cast("long"))
 
 
-@query(ctes("section") + " SELECT chapter_id, section_id, CASE WHEN pdfName LIKE '%.pdf' THEN epoch_ms(CAST(regexp_extract(pdfName, '_(\\d{13})\\.', 1) AS BIGINT)) END AS uploaded FROM section WHERE pdfName IS NULL OR pdfName = '' OR regexp_matches(pdfName, '_\\d{13}\\.')")
+@query(ctes("section") + " SELECT chapter_id, section_id, epoch_ms(CAST(NULLIF(regexp_extract(pdfName, '_(\\d{13})\\.', 1), '') AS BIGINT)) AS uploaded FROM section")
 def upload_time(spark, d):
     return entity(spark, d, "section").select("chapter_id", "section_id", X.upload_time("pdfName").cast("timestamp_ntz").alias("uploaded"))
 
@@ -618,9 +674,7 @@ def format_bytes(spark, d):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS value FROM events")
 def json_path(spark, d):
-    e = table(spark, d, "events")
-    leaves = R.flatten_json(e.select(F.col("event_id").cast("string").alias("lang"), F.col("props").alias("text"))).filter("key = 'k'")
-    return e.select("event_id").join(leaves.select(F.col("lang").cast("long").alias("event_id"), "value"), "event_id", "left")
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("value"))
 
 
 @query(ctes("book") + " SELECT id, COALESCE(CASE WHEN id % 6 <> 1 THEN nameBangla END, CASE WHEN id % 4 <> 0 THEN name END, CAST(id AS VARCHAR)) AS shown FROM book")
@@ -634,6 +688,26 @@ def section_header(spark, d):
     return entity(spark, d, "section").join(c, "chapter_id").select("chapter_id", "section_id", X.section_header("cs", "serial", "nameBangla").alias("header"), X.chapter_name("cs", "cn").alias("chapter"))
 
 
+@query("SELECT doc_id, md5(replace(text, 'a', 'ড' || chr(2492))) AS digest FROM documents")
+def compose_bangla(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(X.compose_bangla(F.replace("text", F.lit("a"), F.lit("\u09dc")))).alias("digest"))
+
+
+@query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'Deutsch' WHEN 'fr' THEN 'Français' WHEN 'es' THEN 'Español' END AS language FROM documents")
+def language_name(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.language_name("lang").alias("language"))
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE doc_id = 7")
+def lookup_one(spark, d):
+    return S.lookup_one(table(spark, d, "documents").select("doc_id", "lang", "source"), "7", "doc_id")
+
+
+@query(SQL["assemble_sections"].replace("SELECT section_id, count", "SELECT * FROM (SELECT section_id, count") + ") WHERE length(body) > 500")
+def oversized_sections(spark, d):
+    return S.oversized_sections(S.assemble_sections(entity(spark, d, "paragraph")), 500)
+
+
 # Change batches.
 
 
@@ -658,7 +732,11 @@ def remove_at(spark, d):
 # Incremental runs.
 
 
-@query(_MANIFEST.replace("WHERE COALESCE", "WHERE c.book_id % 4 = 0 AND COALESCE").replace("b.hasVolume THEN c.volume_id", "false THEN c.volume_id").replace("b.hasVolume THEN trim", "false THEN trim") + " SELECT DISTINCT dest FROM m")
+@query(
+    _MANIFEST.replace("b.hasVolume THEN c.volume_id", "false THEN c.volume_id").replace("b.hasVolume THEN trim", "false THEN trim")
+    + """ SELECT dest, chapter_id, section_id FROM m
+    QUALIFY row_number() OVER (PARTITION BY dest ORDER BY book_id % 16 >= 8, book_id, chapter_id, serial, section_id, pdfName) = 1"""
+)
 def stream_harvest(spark, d):
     """Chapter files of all commissions arrive in two lots, of which the second repeats part of the first."""
     source, target, mark = (_scratch(spark, x) for x in ("stream-in", "stream-out", "stream-mark"))
@@ -669,7 +747,7 @@ def stream_harvest(spark, d):
         arrays = rows.filter(lot).groupBy("bucket").agg(F.to_json(F.collect_list(F.struct("id", "serial", "title", "book", "sections"))).alias("value"))
         arrays.write.mode("append").partitionBy("bucket").text(source)
         I.incremental_harvest(spark, source, books, target, mark).awaitTermination()
-    return spark.read.parquet(target).select("dest")
+    return spark.read.parquet(target).select("dest", "chapter_id", "section_id")
 
 
 @query("SELECT user_id AS id, arg_max(event_type, (ts, event_id)) AS kind FROM events GROUP BY 1")

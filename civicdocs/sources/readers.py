@@ -41,18 +41,18 @@ def _owned(df: DataFrame) -> DataFrame:
 
 
 def read_chapters(spark: SparkSession, path: str | list[str], corrupt: bool = False) -> DataFrame:
-    """Chapter trees, a file for each commission."""
+    """Chapter trees, a file for each commission: chapters-commission-<id>.json, or any other name with the commission inside."""
     return _owned(_json(spark, path, CHAPTER, corrupt, "*.json"))
 
 
 def read_volumes(spark: SparkSession, path: str | list[str], corrupt: bool = False) -> DataFrame:
     """Volume lists, a file for each commission, without their chapters."""
-    return _owned(_json(spark, path, VOLUME, corrupt, "*.json")).drop("chapters")
+    return read_volume_trees(spark, path, corrupt).drop("chapters")
 
 
 def read_volume_trees(spark: SparkSession, path: str | list[str], corrupt: bool = False) -> DataFrame:
-    """Volumes with nested chapters; both file names in use are accepted by the path globs of the caller."""
-    return _owned(_json(spark, path, VOLUME, corrupt, "*.json"))
+    """Volumes with nested chapters. Both file names in use count, volumes-commission-<id> and volume-wise-commission-<id>; others in the folder are not read."""
+    return _owned(_json(spark, path, VOLUME, corrupt, "{volumes,volume-wise}-commission-*.json"))
 
 
 def read_notice_pages(spark: SparkSession, path: str | list[str], corrupt: bool = False) -> DataFrame:

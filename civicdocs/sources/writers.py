@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,3 +19,14 @@ def write_json_arrays(df: DataFrame, path: str, by: str) -> None:
     rest = [c for c in df.columns if c != by]
     arrays = df.groupBy(by).agg(F.to_json(F.collect_list(F.struct(*rest))).alias("value"))
     arrays.write.partitionBy(by).text(path)
+
+
+def name_files(spark: SparkSession, path: str, names: Mapping[str, str]) -> None:
+    """Give the one file of each partition folder its name in the exports; other folders keep theirs. A step of the driver for each file, as an export has few."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(root):
+        name = names.get(folder.getPath().getName())
+        for part in files.listStatus(folder.getPath()) if name and folder.isDirectory() else ():
+            if part.getPath().getName().startswith("part-"):
+                files.rename(part.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder.getPath(), name))

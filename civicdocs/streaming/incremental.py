@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from civicdocs.operators.changes import apply_changes
 from civicdocs.operators.hierarchy import flatten_chapters
-from civicdocs.operators.manifest import manifest, pending
+from civicdocs.operators.manifest import first_by_dest, manifest, pending
 from civicdocs.sources.schemas import CHAPTER
 
 
@@ -21,11 +21,11 @@ def stream_chapters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def incremental_harvest(spark: SparkSession, source: str, books: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append new manifest entries to ``target``; a path that is there already, or twice in a batch, is written once."""
+    """Append new manifest entries to ``target``; of several that want a path, what is there already stays, and in a batch the first of the listing goes."""
     sections = flatten_chapters(stream_chapters(spark, source)).drop("paragraphs")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        entries = manifest(books, batch).dropDuplicates(["dest"])
+        entries = first_by_dest(manifest(books, batch), "book_id", "chapter_id", "serial", "section_id", "pdfName")
         try:
             entries = pending(entries, batch.sparkSession.read.parquet(target))
         except Exception as e:  # the first batch finds no table
