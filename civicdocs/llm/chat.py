@@ -11,7 +11,9 @@ one away restores it. Text under the loss mask is what assistant turns say.
 Defined results: a null text or role is empty; turns with equal numbers are
 ordered by role and text; a null turn comes first; null conv_id is a
 conversation of its own; an empty table gives an empty result; other columns
-are not read.
+are not read; a conversation whose escaped form did not survive its round trip
+either would get a null ``formatted`` and no spans (none is known: escaping is
+reversible); very long texts are one value each, as is a whole conversation.
 """
 
 from __future__ import annotations
@@ -83,7 +85,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
     same = _plain(parse(F.col("plain"))) == _plain(F.col("src"))
     chosen = tried.withColumn("escaped", ~same).withColumn("formatted", F.when(same, F.col("plain")).otherwise(F.array_join(render(F.col("src"), True), "")))
     back = chosen.withColumn("back", parse(F.col("formatted")))
-    whole = F.when(_plain(F.col("back")) == _plain(F.col("src")), F.col("formatted")).otherwise(F.raise_error(F.lit("a conversation does not survive its round trip")))
+    survives = _plain(F.col("back")) == _plain(F.col("src"))
     end = len(END)
     start = lambda acc, t: F.struct(
         (acc["at"] + t["len"] + end).alias("at"),
@@ -93,7 +95,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
         ).otherwise(acc["spans"]).alias("spans"),
     )
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    return back.select("conv_id", whole.alias("formatted"), "escaped", F.aggregate("back", zero, start)["spans"].alias("loss_spans"))
+    return back.select("conv_id", F.when(survives, F.col("formatted")).alias("formatted"), "escaped", F.when(survives, F.aggregate("back", zero, start)["spans"]).otherwise(zero["spans"]).alias("loss_spans"))
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
@@ -123,15 +125,14 @@ WITH c AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), n AS (
   SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
-    regexp_matches(COALESCE(text, ''), '<\\+\|') OR contains(COALESCE(text, ''), '<|im_end|>' || chr(10))
-    OR regexp_matches(COALESCE(role, ''), '\n|\\\\|\\n|<\\+\|') AS odd
+    regexp_matches(COALESCE(text, ''), '<\\+\||<\|im_(start|end)\|>') OR regexp_matches(COALESCE(role, ''), '\n|\\|<\|im_(start|end)\|>') AS odd
   FROM c
 ), g AS (
   SELECT conv_id, bool_or(odd) AS esc, count(*)::BIGINT AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
     COALESCE(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
     sum(length('<|im_start|>') + length(role) + 1 + length(text) + length('<|im_end|>') + 1)::BIGINT AS plain_chars,
-    sum(len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS marks
+    sum(len(regexp_extract_all(text, '<\\*\|')) + len(regexp_extract_all(role, '<\\*\|')) + len(regexp_extract_all(role, '\n|\\')))::BIGINT AS marks
   FROM n GROUP BY conv_id
 )
 SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
