@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicdocs.sources.storage import shared_dir as ensure_checkpoint_dir
+from civicdocs.sources.storage import stored
+
+__all__ = ["ascii_lower", "cut", "ensure_checkpoint_dir", "shuffle_partitions", "stored"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -23,13 +26,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that spark.checkpoint.dir names; only where it is unset (tests on one machine) take a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that the lineage ends here and lost executors cost nothing."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,66 +1,90 @@
 """Mix sources to target weights by fractional repetition.
 
-Tokens are summed per source, a water-filling step turns weights into target
-sizes, target / size is the repetition rate, and every document is emitted
-floor(rate) times plus once more when a draw seeded by its id falls below the
-fraction. The per-source table is the only thing that is joined back.
+Tokens are summed per source, and weights become target sizes by sharing again
+what is above a source's ceiling until nothing is. Target / size is the
+repetition rate; every document is emitted floor(rate) times, plus once more
+when a draw seeded by its id falls below the fraction. Of DRAWS seeds each
+source takes the one whose total comes nearest to its target: all of them are
+summed in one pass. Only the table of sources is joined back.
 
 Defined results: null text has size 0; a null source is a source of its own and
 comes last; a source of size 0 has target 0 and is never taken; repeated rows
 are separate documents that share their draw when they share doc_id; an empty
-table gives an empty result; columns of the input other than doc_id, text and
-source are carried by ``mix_documents`` and never read.
+table gives an empty result; very long texts count whole; columns of the input
+other than doc_id, text and source are carried by ``mix_documents`` and never read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, cut
+from civicdocs.operators.numbering import global_index
+
+from .common import SPACE_WORD, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = "mix-1"
-MAX_BROADCAST_SOURCES = 100_000
+DRAWS = 64
+RANGE = 1 << 52  # draws are whole numbers below this
+TURN = 2783480154209297  # seed j turns the first draw by j times this
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """(source, source_size) -> (source, source_size, target).
 
     Weights repeat over the sources in code point order. A target is
-    min(max_repeat * size, level * weight) where one level makes the targets sum
-    to all sizes: sort sources by the level at which they hit their ceiling; the
-    first source that stays under its ceiling fixes the level.
+    min(max_repeat * size, level * weight); the level rises, as sources reach
+    their ceilings, until all targets sum to all sizes. A round is one aggregate.
     """
     w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), ((F.col("rn") - 1) % len(weights) + 1).cast("int"))
-    everything = Window.partitionBy(F.lit(0))
-    ranked = (
-        sizes.withColumn("rn", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))))
-        .withColumn("w", w.cast("long"))
-        .withColumn("ceiling", F.lit(max_repeat).cast("long") * F.col("source_size"))
-        .withColumn("hits_at", F.col("ceiling") / F.col("w"))
-    )
-    by_level = everything.orderBy("hits_at", "rn")
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    filled = (
-        ranked.withColumn("k", F.row_number().over(by_level))
-        .withColumn("left", F.sum("source_size").over(everything) - F.coalesce(F.sum("ceiling").over(before), F.lit(0)))
-        .withColumn("left_w", F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0)))
-        .withColumn("level", F.col("left") / F.col("left_w"))
-        .withColumn("fits", F.col("level") <= F.col("hits_at"))
-        .withColumn("final", F.min_by("level", F.when(F.col("fits"), F.col("k"))).over(everything))
-    )
-    target = F.least(F.col("ceiling").cast("double"), F.coalesce(F.col("final"), F.lit(0.0)) * F.col("w"))
-    return filled.select("source", "source_size", target.alias("target"))
+    ranked = global_index(sizes, F.asc_nulls_last("source")).withColumn("w", w.cast("long")).withColumn("ceiling", F.lit(max_repeat).cast("long") * F.col("source_size"))
+    full = lambda level, c: F.sum(F.when(F.col("ceiling") / F.col("w") < level, F.col(c)))
+    whole = ranked.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    level, before = 0.0, None
+    while whole["w"] and level != before:
+        at = ranked.agg(full(level, "ceiling").alias("ceiling"), full(level, "w").alias("w")).first()
+        before, level = level, max(level, (whole["size"] - (at["ceiling"] or 0)) / max(1, whole["w"] - (at["w"] or 0)))
+    target = F.least(F.col("ceiling").cast("double"), F.lit(level) * F.col("w"))
+    return ranked.select("source", "source_size", target.alias("target"))
+
+
+def draw(doc_id: Column, seed: str = SEED) -> Column:
+    """A whole number below RANGE that depends on the id and the seed only."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
-def draw(doc_id, seed: str = SEED):
-    """A number in [0, 1) that depends on the id and the seed only."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+def turned(first_draw: Column, j: Column | int) -> Column:
+    """The draw of the j-th seed."""
+    return (first_draw + j * F.lit(TURN)).bitwiseAND(F.lit(RANGE - 1))
+
+
+def fraction(rate: Column) -> Column:
+    return (rate - F.floor(rate)) * RANGE
+
+
+def copies(first_draw: Column, j: Column | int, rate: Column) -> Column:
+    """floor(rate), and one more if the j-th draw is below the fraction."""
+    return F.floor(rate).cast("long") + (turned(first_draw, j) < fraction(rate)).cast("long")
+
+
+def chosen_draws(sized: DataFrame, targets: DataFrame, seed: str = SEED, draws: int = DRAWS) -> DataFrame:
+    """(doc_id, source, size) and the sources' targets -> these with rate and pick: the seed whose taken words come nearest, the first of equals."""
+    rated = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))).withColumnRenamed("source", "of_source")
+    joined = sized.select("source", "size", draw(F.col("doc_id"), seed).alias("draw")).join(rated, F.col("source").eqNullSafe(F.col("of_source")))
+    every = joined.select("of_source", "target", "size", "draw", "rate", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("j"))
+    totals = every.groupBy("of_source", "j").agg(F.sum(F.col("size") * copies(F.col("draw"), F.col("j"), F.col("rate"))).alias("taken"), F.first("target").alias("target"))
+    picks = totals.groupBy(F.col("of_source").alias("drawn")).agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("off"), "j")).alias("near"))
+    told = rated.join(picks, F.col("of_source").eqNullSafe(F.col("drawn")), "left")
+    return stored(told.select("of_source", "source_size", "target", "rate", F.coalesce("near.j", F.lit(0)).alias("pick")))
+
+
+def word_count() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long")
 
 
 def repetition(
@@ -68,21 +92,20 @@ def repetition(
 ) -> DataFrame:
     """One row per document: the columns to keep (all, if not said) under ``doc``, with size, source_size, target, rate and copies beside.
 
-    The targets are computed once into the shared checkpoint folder. They are broadcast when their counted rows allow it, else
-    joined by source.
+    Targets and chosen seeds are tables in the shared folder, so that Spark knows
+    their size when it chooses the join.
     """
-    words = F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long")
     carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc")
-    sized = docs.select(carried, F.col("source"), F.col("doc_id"), words.alias("size"))
-    per_source = docs.select("source", words.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = cut(source_targets(per_source, weights, max_repeat).withColumnRenamed("source", "of_source"))
-    if targets.count() <= MAX_BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    sized = docs.select(carried, "source", "doc_id", word_count().alias("size"))
+    # Words are counted once if few columns are kept, else once more with the whole rows.
+    light = stored(sized if keep is not None else docs.select("source", "doc_id", word_count().alias("size")))
+    if keep is not None:
+        sized = light
+    per_source = light.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = chosen_draws(light, stored(source_targets(per_source, weights, max_repeat)), seed)
     return (
         sized.join(targets, F.col("source").eqNullSafe(F.col("of_source")), "left")
-        .withColumn("rate", rate)
-        .withColumn("copies", (F.floor("rate") + (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+        .withColumn("copies", copies(draw(F.col("doc_id"), seed), F.col("pick"), F.col("rate")))
         .select("doc", "size", "source_size", "target", "rate", "copies")
     )
 
@@ -122,10 +145,17 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, least(ceiling::DOUBLE, COALESCE((SELECT final FROM l), 0) * w) AS target FROM f
 ), x AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix-1:' || COALESCE(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+    ('0x' || substr(md5('mix-1:' || COALESCE(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), j AS (
+  SELECT source, j, abs(sum(size * (floor(rate)::BIGINT + ((u + j * 2783480154209297) % 4503599627370496 < (rate - floor(rate)) * 4503599627370496)::BIGINT)) - any_value(target)) AS off
+  FROM x, range(64) r(j) GROUP BY source, j
+), p AS (
+  SELECT source, arg_min(j, (off, j)) AS pick FROM j GROUP BY source
+), y AS (
+  SELECT x.*, (u + pick * 2783480154209297) % 4503599627370496 < (rate - floor(rate)) * 4503599627370496 AS once_more FROM x JOIN p ON x.source IS NOT DISTINCT FROM p.source
 )
-SELECT doc_id, size, source_size, target, (size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM x
+SELECT doc_id, size, source_size, target, (size * (floor(rate)::BIGINT + once_more::BIGINT))::BIGINT AS taken FROM y
 """

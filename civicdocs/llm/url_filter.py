@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER
-from .repeats import stored
+from .common import LOWER, UPPER, stored
 
 #: (verdict, host, path prefix)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))

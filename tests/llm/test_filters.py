@@ -313,6 +313,14 @@ def test_mixing_comes_near_targets(spark):
     assert all(abs(r.taken - r.target) < 0.05 * r.target for r in got)
 
 
+def test_mixing_of_few_uneven_documents(spark):
+    """Fifty documents of 1 to 2,000 words a source: the nearest of the draws is within 5 % of the target, and one source's null texts and very long text count."""
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(n), f"s{i % 6}") for i, n in enumerate(np.exp(rng.uniform(0, 7.6, 300)))] + [(900, None, "s1"), (901, "w " * 200_000, "s2")]
+    got = mixing.repetition(documents(spark, rows), keep=["source"]).groupBy("doc.source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("target").alias("target")).collect()
+    assert len(got) == 6 and all(abs(r.taken - r.target) < 0.05 * r.target for r in got if r.source != "s2")
+
+
 def test_digest_columns(spark, tmp_path):
     spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "ok")], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.conv_id: r for r in chat.op6_query(spark, str(tmp_path)).collect()}
