@@ -1,29 +1,30 @@
 """Benchmark decontamination with a broadcast hash set of normalised n-grams.
 
-Test items become windows of n words. Their hashes go to every task as a set.
-A training text is cut into words once; positions whose word pair begins some
-window are kept, the windows there are spelled out, looked up in the set, and
-those found are compared with the real windows in a broadcast join. A test set
-with more than MAX_SET windows is worked off in blocks of at most about that size.
+Test items become windows of n words. Two hash sets go to every task: of the word
+pairs that begin some window, and of the windows themselves. Training texts are
+read once, whatever the number of windows: a text is cut into words, positions
+whose pair is in the first set are spelled out, and those in the second set are
+written with the row's number and word count to the shared folder, without the
+text. There they are joined with the real windows; Spark chooses how by the
+tables' sizes.
 
 Defined results: null or wordless texts have no words and no hits; items
 without words have no windows; an item of fewer than n words is one window; a
 null item_id counts under the empty string; repeated document rows are judged
-one by one; empty tables give empty results or no hits; other columns are
-carried by ``remove_contaminated`` and never read.
+one by one; empty tables give empty results or no hits; very long texts are read
+whole; other columns are carried by ``remove_contaminated`` and never read.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, stored
 
 N = 13
-MAX_SET = 50_000
+#: Buckets of a hash set: fixed, so that what is sent is bounded. Very many windows fill it; more is then spelled out and joined, with the same result.
+BUCKETS = 1 << 17
 #: 20 hit words in 400 make a document contaminated: hits * RATIO >= words.
 RATIO = 20
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,7 +36,7 @@ def words_of(text: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, n: int = N) -> DataFrame:
-    """(item_id, text) -> distinct (item_id as string, win, len, lead, hash)."""
+    """(item_id, text) -> distinct (item_id as string, win, len, lead, hash). The lead is the hash of the first two words, of the only one in windows of one word."""
     cut = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), words_of(F.col("text")).alias("w"))
     cut = cut.filter(F.size("w") > 0).withColumn("len", F.least(F.size("w"), F.lit(n)))
     at = cut.select("item_id", "len", F.explode(F.expr("transform(sequence(1, size(w) - len + 1), i -> slice(w, i, len))")).alias("ws"))
@@ -44,48 +45,63 @@ def benchmark_windows(items: DataFrame, n: int = N) -> DataFrame:
     return at.select("item_id", win.alias("win"), "len", lead.alias("lead"), F.xxhash64(win).alias("hash")).distinct()
 
 
-def _in(what: str, values) -> str:
-    return f"{what} IN ({', '.join(f'{v}L' if v > -(1 << 63) else 'CAST(-9223372036854775808 AS BIGINT)' for v in sorted(values))})" if values else "false"
+HASH, PAIR, SINGLE, LENGTH = "hash", "pair", "single", "length"
+
+
+def filled_buckets(windows: DataFrame, buckets: int) -> dict[str, list[int]]:
+    """What the scan must know of the windows: buckets of their hashes, of their leading pairs and only words, and their lengths. At most 3 * buckets + n rows reach the driver."""
+    told = lambda what, value: F.struct(F.lit(what).alias("what"), value.alias("b"))
+    bucket = lambda c: F.col(c).bitwiseAND(F.lit(buckets - 1))
+    lead = F.struct(F.when(F.col("len") > 1, PAIR).otherwise(SINGLE).alias("what"), bucket("lead").alias("b"))
+    rows = windows.select(F.inline(F.array(told(HASH, bucket("hash")), lead, told(LENGTH, F.col("len").cast("long"))))).distinct().collect()
+    out: dict[str, list[int]] = {k: [] for k in (HASH, PAIR, SINGLE, LENGTH)}
+    for r in sorted(rows):
+        out[r["what"]].append(r["b"])
+    return out
+
 
+def _in(filled: list[int], buckets: int, h: str) -> str:
+    return f"({h} & {buckets - 1}L) IN ({', '.join(f'{b}L' for b in filled)})"
 
-def _hits(block: list) -> Column:
-    """Windows of the array w whose hashes are among the block's: array<struct<s, n, t>>."""
-    pairs, singles = {r["lead"] for r in block if r["len"] > 1}, {r["lead"] for r in block if r["len"] == 1}
-    found = []
-    for n in sorted({r["len"] for r in block}):
-        starts = f"filter(if(size(w) >= 1, sequence(1, size(w)), array()), i -> {_in('xxhash64(w[i - 1])', singles)})" if n == 1 else "pairs"
-        spelled = f"transform(filter({starts}, i -> i + {n - 1} <= size(w)), i -> named_struct('s', i, 'n', {n}, 't', array_join(slice(w, i, {n}), ' ')))"
-        found.append(f"filter({spelled}, x -> {_in('xxhash64(x.t)', {r['hash'] for r in block if r['len'] == n})})")
-    lead = f"filter(if(size(w) >= 2, sequence(1, size(w) - 1), array()), i -> {_in('xxhash64(w[i - 1], w[i])', pairs)})"
-    return F.expr(lead), (F.expr(f"concat({', '.join(found)})") if found else F.expr("cast(array() as array<struct<s:int,n:int,t:string>>)"))
 
+def _starts(filled: dict[str, list[int]], buckets: int) -> dict[str, Column]:
+    """Of the array w of words the places, from 1, whose word (single) or word pair (pair) may begin a window."""
+    out = {}
+    if filled[SINGLE]:
+        out[SINGLE] = F.expr(f"filter(if(size(w) > 0, sequence(1, size(w)), array()), i -> {_in(filled[SINGLE], buckets, 'xxhash64(w[i - 1])')})")
+    if filled[PAIR]:
+        out[PAIR] = F.expr(f"filter(if(size(w) > 1, sequence(1, size(w) - 1), array()), i -> {_in(filled[PAIR], buckets, 'xxhash64(w[i - 1], w[i])')})")
+    return out
 
-def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, max_set: int = MAX_SET, keep: tuple[str, ...] = ()) -> DataFrame:
+
+def _candidates(filled: dict[str, list[int]], buckets: int) -> Column:
+    """All windows of the array w that may be among these: array<struct<s, n, t>>."""
+    found = ["cast(array() as array<struct<s:int,n:int,t:string>>)"]
+    for n in filled[LENGTH]:
+        begun = f"filter({PAIR if n > 1 else SINGLE}, i -> i + {n - 1} <= size(w))"
+        spelled = f"transform({begun}, i -> named_struct('s', i, 'n', {n}, 't', array_join(slice(w, i, {n}), ' ')))"
+        found.append(f"filter({spelled}, x -> {_in(filled[HASH], buckets, 'xxhash64(x.t)')})")
+    return F.expr(f"concat({', '.join(found)})")
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, buckets: int = BUCKETS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text) -> row_id, doc_id, n_words, spans array<struct<s, n>> (hit windows: first word from 1, words), item_ids array, n_hit; and the columns to keep."""
-    of_row = ("row_id", "doc_id", "n_words", *keep)
-    windows = benchmark_windows(items, n)
-    blocks = max(1, -(-windows.count() // max_set))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", *keep, words_of(F.col("text")).alias("w"))
-    rows = rows.withColumn("n_words", F.size("w").cast("long"))
-    parts = []
-    for b in range(blocks):
-        of_block = windows.filter(F.pmod("hash", F.lit(blocks)) == b) if blocks > 1 else windows
-        lead, hits = _hits(of_block.select("len", "lead", "hash").distinct().collect())
-        scanned = rows.withColumn("pairs", lead).select(*of_row, F.explode_outer(hits).alias("h"))
-        exact = of_block.select(F.col("win").alias("t"), "item_id")
-        parts.append(
-            scanned.select(*of_row, F.col("h.s").alias("s"), F.col("h.n").alias("n"), F.col("h.t").alias("t"))
-            .join(F.broadcast(exact), "t", "left")
-            .withColumn("span", F.when(F.col("item_id").isNotNull(), F.struct("s", "n")))
-        )
-    found = reduce(DataFrame.unionByName, parts).groupBy(*of_row).agg(
-        F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids")
-    )
+    windows = stored(benchmark_windows(items, n))
+    rows = docs.select("doc_id", *keep, words_of(F.col("text")).alias("w"))
+    filled = filled_buckets(windows, buckets)
+    rows = rows.withColumns(_starts(filled, buckets))
+    light = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", *keep, F.size("w").cast("long").alias("n_words"), _candidates(filled, buckets).alias("may"))
+    light = stored(light)  # row numbers are written, so that they hold
+    may = light.select("row_id", F.explode("may").alias("h")).select("row_id", F.struct("h.s", "h.n").alias("span"), F.col("h.t").alias("win"))
+    hits = may.join(windows.select("win", "item_id"), "win").groupBy("row_id")
+    found = hits.agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     covered = F.expr(
         "aggregate(spans, named_struct('c', 0L, 'upto', 0), (a, x) -> named_struct("
         "'c', a.c + greatest(x.s + x.n - 1 - greatest(x.s - 1, a.upto), 0), 'upto', greatest(a.upto, x.s + x.n - 1)), a -> a.c)"
     )
-    return found.withColumn("n_hit", covered)
+    whole = light.drop("may").join(found, "row_id", "left")
+    spans, ids = F.coalesce("spans", F.array().cast("array<struct<s:int,n:int>>")), F.coalesce("item_ids", F.array().cast("array<string>"))
+    return whole.withColumns({"spans": spans, "item_ids": ids}).withColumn("n_hit", covered)
 
 
 def contaminated(n_hit: Column, n_words: Column, ratio: int = RATIO) -> Column:
@@ -95,17 +111,18 @@ def contaminated(n_hit: Column, n_words: Column, ratio: int = RATIO) -> Column:
 def remove_contaminated(docs: DataFrame, items: DataFrame, mode: str = "documents", n: int = N, ratio: int = RATIO) -> DataFrame:
     """Drop contaminated documents, or (mode "spans") cut every hit word with the break after it out of all texts.
 
-    A verdict follows from the text alone, and is matched back by doc_id and the text's digest: rows of one doc_id, or of none, are judged each by its own text.
+    A verdict follows from the text alone, and is matched back by doc_id and the text's hash: rows of one doc_id, or of none, are judged each by its own text.
+    What is matched has no texts, and is written first, so that Spark can send it instead of shuffling the documents where it is small enough.
     """
-    keyed = docs.withColumn("__digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    found = find_contamination(keyed, items, n, keep=("__digest",)).withColumnsRenamed({"doc_id": "of_doc", "__digest": "of_text"})
-    own = lambda of: keyed["doc_id"].eqNullSafe(of["of_doc"]) & (keyed["__digest"] == of["of_text"])
+    keyed = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = find_contamination(keyed, items, n, keep=("__hash",)).withColumnsRenamed({"doc_id": "of_doc", "__hash": "of_text"})
+    own = lambda of: keyed["doc_id"].eqNullSafe(of["of_doc"]) & (keyed["__hash"] == of["of_text"])
     if mode == "documents":
-        bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"), ratio)).select("of_doc", "of_text").distinct()
-        return keyed.join(bad, own(bad), "left_anti").drop("__digest")
+        bad = stored(found.filter(contaminated(F.col("n_hit"), F.col("n_words"), ratio)).select("of_doc", "of_text").distinct())
+        return keyed.join(bad, own(bad), "left_anti").drop("__hash")
     if mode != "spans":
         raise ValueError(f"mode is documents or spans, not {mode!r}")
-    hit = found.filter(F.col("n_hit") > 0).groupBy("of_doc", "of_text").agg(F.any_value("spans").alias("cut_spans"))
+    hit = stored(found.filter(F.col("n_hit") > 0).groupBy("of_doc", "of_text").agg(F.any_value("spans").alias("cut_spans")))
     text = F.expr(
         "array_join(concat(slice(gaps, 1, 1), transform(sequence(1, size(ws)), i -> "
         "if(exists(cut_spans, x -> i between x.s and x.s + x.n - 1), '', concat(ws[i - 1], gaps[i])))), '')"

@@ -157,12 +157,12 @@ def contaminated_docs():
     ]
 
 
-@pytest.mark.parametrize("max_set", [50_000, 4])
-def test_contamination(spark, max_set):
+@pytest.mark.parametrize("buckets", [1 << 17, 2])
+def test_contamination(spark, buckets):
     rows = contaminated_docs()
     docs = documents(spark, [(i, t, "a") for i, t in rows]).withColumn("words", F.lit(1))
     items = spark.createDataFrame(BENCH, "item_id long, text string")
-    got = decontaminate.find_contamination(docs, items, max_set=max_set).collect()
+    got = decontaminate.find_contamination(docs, items, buckets=buckets).collect()
     assert sorted([(r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got], key=str) == plain_contamination(rows, BENCH)
     assert decontaminate.find_contamination(docs.limit(0), items).count() == 0
     assert {r.n_hit for r in decontaminate.find_contamination(docs, items.limit(0)).collect()} == {0}
