@@ -9,13 +9,15 @@ one, and lies within distance 2 there. Each half is therefore range-joined on
 the unit grid of the counts: a fingerprint is at home in the cell of its own
 vector and, if the half's total is odd, visits the cells that one bit reaches.
 Half vectors of one differing bit meet where the even one is at home. Inside a
-cell fingerprints are compared exactly, in blocks if it is large, and only a
-spanning forest of the links leaves the task. Components of those links are the
-groups.
+cell pairs whose counts of eight bits each are further apart than the radius, by
+Manhattan distance, are passed over; the others are compared exactly, and only a
+spanning forest of the links leaves the task. Cells are streamed in order; one
+with more than CELL_BLOCK members is put aside and compared in pairs of blocks.
+Components of the links are the groups.
 
 Defined results: null, empty and wordless texts have fingerprint zero and link
 like any other; a text of one or two words is one shingle; equal fingerprints
-always share a component; a repeated doc_id keeps its rows, and they share the
+always share a component; very long texts count whole; a repeated doc_id keeps its rows, and they share the
 component where their fingerprints do; a null doc_id never names a component
 unless nothing else is in it; an empty table gives an empty result; other
 columns are carried by ``keep_one`` and never read.
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, stored
 from .components import connected_components
 from .text_hash import mix64
 
@@ -106,8 +108,11 @@ def _forest(ids: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
         return i
 
     edges = []
+    counts = byte_counts(prints)
     for i in range(len(ids) - 1):
-        near = np.flatnonzero(np.bitwise_count(prints[i + 1 :] ^ prints[i]) <= RADIUS) + i + 1
+        bound = np.abs(counts[i + 1 :] - counts[i]).sum(axis=1, dtype=np.int8)  # never above the number of differing bits
+        may = np.flatnonzero(bound <= RADIUS) + i + 1
+        near = may[np.bitwise_count(prints[may] ^ prints[i]) <= RADIUS]
         for j in near.tolist():
             a, b = find(i), find(j)
             if a != b:
@@ -116,6 +121,11 @@ def _forest(ids: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
     return [(int(ids[i]), int(ids[j])) for i, j in edges]
 
 
+def byte_counts(prints: np.ndarray) -> np.ndarray:
+    """The counts of set bits of the eight bytes of each fingerprint."""
+    return np.bitwise_count(prints.view(np.uint8).reshape(-1, 8)).astype(np.int8)
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column("members")
@@ -125,17 +135,67 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"src": pa.array([e[0] for e in edges], pa.int64()), "dst": pa.array([e[1] for e in edges], pa.int64())})
 
 
+def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links inside the cells, which come one after the other. Members of cells beyond CELL_BLOCK are passed on as they are."""
+    held, crowd = None, None
+
+    def crowded(cell, home, ids, prints):
+        nothing = pa.nulls(len(ids), pa.int64())
+        return pa.record_batch({"src": nothing, "dst": nothing, "cell": pa.array(cell), "home": pa.array(home), "id": pa.array(ids), "fp": pa.array(prints)})
+
+    def linked(edges):
+        n = len(edges)
+        return pa.record_batch({
+            "src": pa.array([e[0] for e in edges], pa.int64()), "dst": pa.array([e[1] for e in edges], pa.int64()), "cell": pa.nulls(n, pa.int64()),
+            "home": pa.nulls(n, pa.bool_()), "id": pa.nulls(n, pa.int64()), "fp": pa.nulls(n, pa.int64()),
+        })
+
+    def worked_off(rows, whole):
+        """What follows from the rows of the cells in ``rows``; the last of them goes on unless ``whole``: (batches, rows held)."""
+        nonlocal crowd
+        cell, home, ids, prints = rows
+        starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(cell))
+        if len(starts) == 0:
+            return [], rows
+        met = (ends - starts > 1) & np.logical_or.reduceat(home, starts)
+        last = len(starts) - (0 if whole else 1)
+        large = (ends - starts > CELL_BLOCK) | (cell[starts] == crowd if crowd is not None else np.zeros(len(starts), bool))
+        out, edges = [], []
+        for i in np.flatnonzero(large).tolist():
+            out.append(crowded(*(x[starts[i] : ends[i]] for x in rows)))
+        for i in np.flatnonzero(met & ~large)[: np.searchsorted(np.flatnonzero(met & ~large), last)].tolist():
+            edges += _forest(ids[starts[i] : ends[i]], prints[starts[i] : ends[i]].view(np.uint64))
+        if edges:
+            out.append(linked(edges))
+        crowd = cell[-1] if large[-1] else None
+        keep = slice(starts[-1], None) if last < len(starts) and not large[-1] else slice(len(cell), None)
+        return out, [x[keep] for x in rows]
+
+    for batch in batches:
+        rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("cell", "home", "id", "fp")]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        out, held = worked_off(rows, False)
+        yield from out
+    if held is not None and len(held[0]):
+        yield from worked_off(held, True)[0]
+
+
 def links(points: DataFrame) -> DataFrame:
     """Distinct fingerprints (id, fp) -> (src, dst): links that join all of each group."""
     placed = points.mapInArrow(_cells, "cell long, home boolean, id long, fp long")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("met")).filter("n > 1 and met").drop("met")
-    crowded = placed.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / CELL_BLOCK).cast("int"))
+    dealt = placed.repartition("cell").sortWithinPartitions("cell")
+    seen = stored(dealt.mapInArrow(_in_cells, "src long, dst long, cell long, home boolean, id long, fp long"))
+    members = seen.filter("cell is not null").select("cell", "home", "id", "fp")
+    sizes = members.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("met")).filter("met").drop("met")
+    crowded = members.drop("home").join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / CELL_BLOCK).cast("int"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # A member meets every block once: pair (low, high) of block numbers, its own being one of them.
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, block).alias("low"), F.greatest(o, block).alias("high")))
     met = crowded.select("cell", "id", "fp", F.explode(pair).alias("p"))
     groups = met.groupBy("cell", "p").agg(F.collect_list(F.struct("id", "fp")).alias("members"))
-    return groups.select("members").mapInArrow(_links, "src long, dst long")
+    return seen.filter("src is not null").select("src", "dst").unionAll(groups.select("members").mapInArrow(_links, "src long, dst long"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -148,12 +208,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without all but the first row of each group's smallest doc_id; rows of null doc_id stay."""
-    groups = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi").select(*[docs[f"`{c}`"] for c in docs.columns])
+    """The documents without all but the first row of each group's smallest doc_id; rows of null doc_id stay.
+
+    Who goes is decided on ids and written; the texts are shuffled only where the
+    table of those ids is too large to be sent. Repeated ids alone need a window.
+    """
+    ids = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id")
+    told = stored(ids.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("own"), F.count("*").alias("n")).filter("not own or n > 1"))
+    gone, several = (stored(told.filter(c).select("doc_id")) for c in ("not own", "own and n > 1"))
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    once = kept.join(several, "doc_id", "left_anti").select(*[kept[f"`{c}`"] for c in docs.columns])
+    repeated = kept.join(several, "doc_id", "left_semi").select(*[kept[f"`{c}`"] for c in docs.columns])
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    once = kept.withColumn("__row", F.row_number().over(first)).filter("__row = 1").drop("__row")
-    return once.unionByName(docs.filter("doc_id is null"))
+    return once.unionByName(repeated.withColumn("__row", F.row_number().over(first)).filter("__row = 1").drop("__row"))
 
 
 def op4_query(spark, sf_dir: str) -> DataFrame:
