@@ -1,18 +1,22 @@
 """Exact top-k inner products by no-random-access aggregation over sorted lists.
 
-Candidates are packed into blocks. Inside a block every component has its list
-of vectors sorted by value. A query reads all lists in step from its better
-end. A vector was met in a list when its value is not behind the reading
-position; what it has not been met in is bounded from above by the value at that
-position and from below by the list's other end. A vector whose
-upper bound is under the k-th best lower bound is out; once few remain, or the
-lists are read, their scores are resolved exactly. Each block yields its own k
-best, and the k best of those are the answer.
+Candidates are dealt to groups once, and a group's to blocks. In a block every
+component has its list of vectors, sorted by value when the group arrives. All
+queries, in packed rows, pass each group. Lists are read in step from both ends,
+positive components of a query from the upper one, negative from the lower. From
+what was read so far follows a lower bound of every vector (what is not read
+counts as the list's other end) and an upper bound (as the value at the reading
+position). A vector whose upper bound is below the bar is out. The bar is the
+k-th best lower bound or, once k scores are resolved, their least, which goes
+along from block to block. A query stops reading when no more than a sixteenth
+of the block, or k vectors, can still qualify; their scores are resolved exactly.
+The k best of all groups are the answer.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, neither as query nor as candidate; missing trailing components
 count as zero; ties go to the smaller id; a repeated id is a separate candidate,
-but never one of its own query; an empty table gives an empty result.
+but never one of its own query; an empty table gives an empty result; further
+columns are not read. Scores must fit 64 bits.
 """
 
 from __future__ import annotations
@@ -25,10 +29,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-BLOCK = 4096
+BLOCK = 1024  # candidates whose lists are read together
+GROUP = 4  # blocks that a query passes with one bar
 QUERY_BLOCK = 256
-DEPTHS = (0.75, 0.9)  # parts of every list that are read before the bounds are compared
-FEW = 48  # so few vectors are resolved at once
+STEPS = 16  # a list is read in so many parts
+CANDIDATES, QUERIES = 0, 1
 
 
 def quantised(embedding: Column) -> Column:
@@ -37,15 +42,6 @@ def quantised(embedding: Column) -> Column:
     return F.when(embedding.isNotNull() & ~bad, F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
 
 
-def _packed(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows of up to ``size`` vectors: (block, ids, flat values, lengths)."""
-    n = vectors.count()
-    blocks = max(1, -(-n // size))
-    b = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    rows = vectors.select(b.alias(name), "id", "v").repartition(name)
-    return rows.groupBy(name).agg(F.collect_list(F.struct("id", "v")).alias(name + "_rows"))
-
-
 def _matrix(rows) -> tuple[np.ndarray, np.ndarray]:
     ids = rows.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
     lists = rows.field("v")
@@ -57,67 +53,103 @@ def _matrix(rows) -> tuple[np.ndarray, np.ndarray]:
     return ids, out
 
 
+Found = tuple[np.ndarray, np.ndarray]  # ids and exact scores, best first
+
+
 class SortedLists:
-    """One block of candidates: a list per component, sorted by value."""
+    """One block of candidates: for each component the values in ascending order, and whose they are."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
-        self.coarse = self.values.astype(np.float32)
-        self.lists = np.sort(self.values, axis=0).astype(np.float64)
-
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best, ties to the smaller id."""
+        self.whose = np.argsort(self.values, axis=0, kind="stable").T
+        self.lists = np.take_along_axis(self.values.T, self.whose, axis=1).astype(np.float64)
+        self.read = 0  # positions that were read, over both ends of all lists
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, found: list[Found], k: int) -> list[Found]:
+        """The k best of what was found and of this block, for each query.
+
+        The order of a list is the same for all queries, so they share the
+        reading: from the upper ends for positive components, from the lower ends
+        for negative ones. Tables hold what was read; queries that have stopped
+        leave the test.
+        """
         n, dims = self.values.shape
-        width = min(dims, len(query))
-        q = query[:width].astype(np.float64)
-        weight, up = np.abs(q).astype(np.float32), q > 0
-        live = np.flatnonzero(self.ids != query_id)
-        if len(live) > max(FEW, k):
-            gains = self.coarse[:, :width] * np.where(up, 1, -1).astype(np.float32)
-            worst = np.where(up, self.lists[0, :width], -self.lists[-1, :width]).astype(np.float32)
-            best_gain = np.where(up, self.lists[-1, :width], -self.lists[0, :width])
-            # float32 sums are off by less than this; bounds are widened by it
-            slack = 1e-5 * float(np.abs(q) @ np.maximum(np.abs(worst), np.abs(best_gain))) + 1
-        for part in DEPTHS:
-            if len(live) <= max(FEW, k):
-                break
-            read = min(n, int(np.ceil(part * n)))
-            at = np.where(up, self.lists[n - read, :width], -self.lists[read - 1, :width]).astype(np.float32)
-            mine = gains[live] if len(live) < n - 1 else gains
-            high = np.maximum(mine, at) @ weight
-            low = np.where(mine >= at, mine, worst) @ weight
-            if mine is gains:
-                high, low = high[live], low[live]
-            bar = np.partition(low, len(low) - k)[len(low) - k]
-            live = live[high >= bar - 2 * slack]
-        scores = self.values[live, :width] @ query[:width].astype(np.int64)
-        first = np.lexsort((self.ids[live], -scores))[:k]
-        return self.ids[live][first], scores[first]
+        width = min(dims, queries.shape[1])
+        lists, whose, component = self.lists[:width], self.whose[:width], np.arange(width)[:, None]
+        q = queries[:, :width].astype(np.float64).T
+        weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)])
+        slack = 1e-12 * (np.abs(q).T @ np.maximum(np.abs(lists[:, 0]), np.abs(lists[:, -1])))  # of sums in doubles
+        bars = np.array([float(s[-1]) if len(s) == k else -np.inf for _, s in found])
+        upper, lower = np.full((n, width), -np.inf), np.full((n, width), np.inf)
+        few, step = max(k, n // STEPS), -(-n // STEPS)
+        before, at, out = 0, min(n, max(1, n // 2)), list(found)
+        open_ = np.arange(len(query_ids))
+        while len(open_):
+            self.read += 2 * width * (at - before)
+            top, bottom = slice(n - at, n - before), slice(before, at)
+            upper[whose[:, top], component], lower[whose[:, bottom], component] = lists[:, top], lists[:, bottom]
+            own = self.ids[:, None] == query_ids[open_]
+            high = np.concatenate([np.maximum(upper, lists[:, n - at]), np.minimum(lower, lists[:, at - 1])], axis=1) @ weights[:, open_]
+            bar = bars[open_]
+            if n > k and np.isinf(bar).any():
+                least = np.concatenate([np.where(np.isinf(upper), lists[:, 0], upper), np.where(np.isinf(lower), lists[:, -1], lower)], axis=1)
+                low = np.where(own, -np.inf, least @ weights[:, open_])
+                bar = np.maximum(bar, np.partition(low, n - k, axis=0)[n - k] - slack[open_])
+            may = (high >= bar - slack[open_]) & ~own
+            done = (may.sum(axis=0) <= few) | (at == n)
+            for i in np.flatnonzero(done).tolist():
+                who = open_[i]
+                live = np.flatnonzero(may[:, i])
+                ids = np.concatenate([found[who][0], self.ids[live]])
+                scores = np.concatenate([found[who][1], self.values[live, :width] @ queries[who, :width]])
+                first = np.lexsort((ids, -scores))[:k]
+                out[who] = ids[first], scores[first]
+            open_, before, at = open_[~done], at, min(n, at + step)
+        return out
+
+
+def best_of_group(blocks: list[SortedLists], query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[Found]:
+    """The k best of several blocks for each query, the bars going along."""
+    found: list[Found] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(query_ids)
+    for b in blocks:
+        found = b.search(query_ids, queries, found, k)
+    return found
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows (g, kind, rows) sorted by g and kind: the blocks of a group, then its queries."""
+    group, blocks = None, []
     for batch in batches:
         for i in range(batch.num_rows):
-            query_ids, queries = _matrix(batch.column("q_rows")[i].values)
-            ids, values = _matrix(batch.column("c_rows")[i].values)
-            lists = SortedLists(ids, values)
-            found = [(q_id, *lists.best(q_id, q, k)) for q_id, q in zip(query_ids.tolist(), queries, strict=True)]
+            g, kind = batch.column("g")[i].as_py(), batch.column("kind")[i].as_py()
+            ids, values = _matrix(batch.column("rows")[i].values)
+            if g != group:
+                group, blocks = g, []
+            if kind == CANDIDATES:
+                blocks.append(SortedLists(ids, values))
+                continue
+            found = best_of_group(blocks, ids, values, k)
             yield pa.record_batch({
-                "query_id": pa.array(np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])),
-                "vec_id": pa.array(np.concatenate([f[1] for f in found])),
-                "score": pa.array(np.concatenate([f[2] for f in found])),
+                "query_id": pa.array(np.repeat(ids, [len(f[0]) for f in found])), "vec_id": pa.array(np.concatenate([f[0] for f in found])),
+                "score": pa.array(np.concatenate([f[1] for f in found])),
             })
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(id, v array<long>) twice -> query_id, rank, vec_id, score. Query blocks meet candidate blocks as pairs of packed rows."""
-    c, q = _packed(candidates, block, "c"), _packed(queries, query_block, "q")
-    n_c, n_q = max(1, -(-candidates.count() // block)), max(1, -(-queries.count() // query_block))
-    c = c.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))))
-    q = q.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))))
-    pairs = c.join(q, ["c", "q"]).select("q_rows", "c_rows")
-    found = pairs.mapInArrow(lambda it: _search(it, k), "query_id long, vec_id long, score long")
+def _packed(vectors: DataFrame, size: int) -> DataFrame:
+    """(id, v) -> (b, rows): packed rows of about ``size`` vectors."""
+    blocks = max(1, -(-vectors.count() // size))
+    dealt = vectors.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("b"), F.struct("id", "v").alias("r"))
+    return dealt.groupBy("b").agg(F.collect_list("r").alias("rows"))
+
+
+def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK, group: int = GROUP) -> DataFrame:
+    """(id, v array<long>) twice -> query_id, rank, vec_id, score. Candidates move once, to their group; every group is sent all packed queries."""
+    groups = max(1, -(-candidates.count() // (block * group)))
+    c = _packed(candidates, block).select(F.pmod(F.col("b"), F.lit(groups)).cast("int").alias("g"), F.lit(CANDIDATES).alias("kind"), "rows")
+    q = _packed(queries, query_block).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(QUERIES).alias("kind"), "rows")
+    met = c.unionByName(q).repartitionByRange(groups, "g").sortWithinPartitions("g", "kind")
+    found = met.mapInArrow(lambda it: _search(it, k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -32,10 +32,23 @@ def test_top_k(spark, block):
     vectors = [(i, [float(x) for x in rng.normal(0, 0.2, 16).astype(np.float32)]) for i in range(300)]
     vectors += [(i, vectors[5][1]) for i in range(400, 500)] + [(501, None), (502, [float("nan")] * 16), (503, [None] * 16), (550, [float("inf")] * 16), (600, [0.0] * 16)]
     rows = spark.createDataFrame(vectors, "id long, embedding array<float>").select("id", topk.quantised(F.col("embedding")).alias("v")).filter("v is not null")
-    got = topk.top_k(rows, rows.filter("id % 50 = 0"), block=block, query_block=5)
+    got = topk.top_k(rows, rows.filter("id % 50 = 0"), block=block, query_block=5, group=2)
     assert {tuple(r) for r in got.collect()} == plain_top_k(vectors, 5)
 
 
+def test_lists_are_read_in_part():
+    """Bounds from what was read leave the rest of the lists unread, and the answer whole; the bar of one block shortens the reading of the next."""
+    rng = np.random.default_rng(8)
+    values = rng.integers(-200, 200, (4096, 16))
+    blocks = [topk.SortedLists(np.arange(i, i + 1024), values[i : i + 1024]) for i in range(0, 4096, 1024)]
+    asked = np.arange(40) * 100
+    for i, (ids, scores) in zip(asked.tolist(), topk.best_of_group(blocks, asked, values[asked], 5), strict=True):
+        whole = sorted((-int(s), j) for j, s in enumerate(values @ values[i]) if j != i)[:5]
+        assert [(-int(s), int(j)) for j, s in zip(ids, scores, strict=True)] == whole
+    every = 2 * 1024 * 16
+    assert all(b.read < every for b in blocks[1:]) and max(b.read for b in blocks[1:]) <= blocks[0].read
+
+
 def test_top_k_few_rows(spark):
     rows = spark.createDataFrame([(0, [1, 2]), (1, [3, 4]), (2, [1])], "id long, v array<long>")
     assert {tuple(r) for r in topk.top_k(rows, rows.filter("id = 0")).collect()} == {(0, 1, 1, 11), (0, 2, 2, 1)}
