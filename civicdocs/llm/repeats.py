@@ -5,25 +5,28 @@ is the leftmost of its k-unit pieces with the least hash. Neighbouring windows
 that share an anchor form a segment. Equal windows have equal anchors at equal
 distance, so that only segments with equal anchor hash need to be compared:
 
-1. ``scan`` deals segments, as packed arrays, to shards by anchor hash. What
-   repeats within a task's share is marked there, and only its first copy goes
-   on. Anchors with very many different segments are announced as hot and leave
-   this path with all their segments.
-2. ``group`` gathers a shard. Of equal segments all but the first are marked.
-   Anchors with several different segments need a closer look, since these may
-   share windows at their borders.
-3. The caller compares those segments window by window and adds marks.
+1. A count-min sketch of the anchors of all segments is built from all
+   partitions and merged. A window is estimated to stand as often as its anchor;
+   what is estimated to stand once stands nowhere else.
+2. ``scanner`` reads the texts again and sends the other segments on by anchor.
+   What repeats within a task's share is marked there, and only its first copy
+   goes on. Anchors with very many different segments are announced as hot and
+   leave this path with all their segments.
+3. ``grouper`` reads the segments in order of anchor and content, without
+   holding more than one anchor's. Of equal segments all but the first are
+   marked. Anchors with several different segments need a closer look, since
+   these may share windows at their borders.
+4. The caller compares those segments window by window and adds marks.
 
 A mark (row, start, count) says that the windows from start on stand earlier
 too, "earlier" meaning smaller doc, or the same and smaller start. Rows have a
 number of their own, by which marks find back to the text that they belong to.
-Rows of one doc are one document, but rows of null doc_id are one each, in the
-order of their numbers.
+Rows of one doc are one document, but rows of null doc_id are one each, behind
+all others and in the order of their numbers.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -32,39 +35,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, shuffle_partitions
-from .text_hash import BYTE_CODE, chunks, hash_words, prefix_hash, window_hash
+from .common import stored
+from .sketch import repeated_keys, twice
+from .text_hash import byte_codes, chunks, hash_words, mix64, prefix_hash, window_hash
 
-NO_DOC = (1 << 63) - 1  # stands for a null doc_id, which thereby comes last
 FLUSH = 1 << 20  # segments that a task holds before it sends them on
-HOT = 256  # different segments of one anchor in one task's share
+SLICE = 1 << 22  # windows of one text that are worked on together
+HOT = 256  # different segments of one anchor in one task's share that make it hot
+CROWD = 1 << 16  # rows of one anchor that are held; with more it is hot
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-MARK, NEED, HOT_NEED, PLAIN = 1, 2, 3, 0
-SEGMENT = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4"), ("count", "<i4")])
-DEALT = "shard int, kind int, rows binary"
+PLAIN, MARK, NEED, HOT_NEED = 0, 1, 2, 3
+SEGMENT = np.dtype([("anchor", "<i8"), ("content", "<i8"), ("nul", "?"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4"), ("count", "<i4")])
+SENT = "kind int, deal long, anchor long, content long, nul boolean, doc long, row long, start int, count int"
 FOUND = "kind int, row long, start int, count int, anchor long"
 
 
 @dataclass(frozen=True)
 class Windows:
-    """What a unit is, and the widths of windows and of the pieces that can be anchors."""
+    """What a unit is, the widths of windows and of the pieces that can be anchors, and how many units one code is made of."""
 
     words: bool
     width: int
     piece: int
+    gram: int
 
+    def hashes(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return window_hash(prefix, start, end - (self.gram - 1))
 
-WORDS = Windows(words=True, width=20, piece=6)
-BYTES = Windows(words=False, width=100, piece=32)
+
+WORDS = Windows(words=True, width=20, piece=6, gram=1)
+BYTES = Windows(words=False, width=100, piece=32, gram=8)
 
 
 def units(texts: list[bytes], by: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, text number of each unit, first unit of each text and the end). Texts are parted by one unit that belongs to none of them."""
+    """(codes, text number of each unit, first unit of each text and the end)."""
     if by.words:
         codes, owner, _, _ = hash_words(texts, SPACE)
-        first = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return codes, owner, first
-    codes = BYTE_CODE[np.frombuffer(b"".join(texts), np.uint8)]
+        return codes, owner, np.searchsorted(owner, np.arange(len(texts) + 1))
+    codes = byte_codes(np.frombuffer(b"".join(texts), np.uint8))
     first = np.cumsum([0] + [len(t) for t in texts])
     return codes, np.repeat(np.arange(len(texts)), np.diff(first)), first
 
@@ -79,17 +87,21 @@ def _least_before(values: np.ndarray, span: int) -> np.ndarray:
     return out
 
 
-def segments(texts: list[bytes], docs: np.ndarray, rows: np.ndarray, by: Windows) -> np.ndarray:
-    """The segments of all windows of some texts."""
+def segments(texts: list[bytes], docs: np.ndarray, nul: np.ndarray, rows: np.ndarray, by: Windows) -> Iterator[np.ndarray]:
+    """The segments of all windows of some texts, a slice of windows at a time; a border between slices parts a segment in two."""
     codes, owner, first = units(texts, by)
+    for at in range(0, len(codes) - by.width + 1, SLICE):
+        upto = min(at + SLICE + by.width - 1, len(codes))
+        yield _segments(codes[at:upto], owner[at:upto], first - at, docs, nul, rows, by)
+
+
+def _segments(codes: np.ndarray, owner: np.ndarray, first: np.ndarray, docs: np.ndarray, nul: np.ndarray, rows: np.ndarray, by: Windows) -> np.ndarray:
     n = len(codes)
-    if n < by.width:
-        return np.zeros(0, SEGMENT)
     prefix = prefix_hash(codes)
     at = np.arange(n - by.piece + 1)
-    pieces = window_hash(prefix, at, at + by.piece)
+    pieces = by.hashes(prefix, at, at + by.piece)
     low = np.uint64((1 << 26) - 1)
-    ranked = (pieces & ~low) | at.astype(np.uint64)  # equal hashes: the leftmost; a chunk has fewer than 2**26 units
+    ranked = (pieces & ~low) | at.astype(np.uint64)  # equal hashes: the leftmost
     anchor = (_least_before(ranked, by.width - by.piece + 1) & low).astype(np.int64)
     whole = owner[: n - by.width + 1] == owner[by.width - 1 :]
     new = np.ones(len(anchor), bool)
@@ -97,9 +109,9 @@ def segments(texts: list[bytes], docs: np.ndarray, rows: np.ndarray, by: Windows
     start = np.flatnonzero(new & whole)
     ends = np.flatnonzero(np.append(new[1:] | ~whole[1:], True) & whole) + 1
     out = np.zeros(len(start), SEGMENT)
-    out["anchor"] = pieces[anchor[start]]
-    out["content"] = window_hash(prefix, start, ends - 1 + by.width) + (anchor[start] - start).astype(np.uint64)
-    out["doc"], out["row"] = docs[owner[start]], rows[owner[start]]
+    out["anchor"] = pieces[anchor[start]].view(np.int64)
+    out["content"] = (by.hashes(prefix, start, ends - 1 + by.width) + (anchor[start] - start).astype(np.uint64)).view(np.int64)
+    out["doc"], out["nul"], out["row"] = docs[owner[start]], nul[owner[start]], rows[owner[start]]
     out["start"] = start - first[owner[start]]
     out["count"] = ends - start
     return out
@@ -107,137 +119,149 @@ def segments(texts: list[bytes], docs: np.ndarray, rows: np.ndarray, by: Windows
 
 def document(s: np.ndarray) -> np.ndarray:
     """What tells apart the documents of one doc: the row where doc_id is null, else nothing."""
-    return np.where(s["doc"] == NO_DOC, s["row"], 0)
+    return np.where(s["nul"], s["row"], 0)
 
 
-def _ordered(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segments by anchor, content, doc and start; which begin an anchor; which begin a content."""
-    s = s[np.lexsort((s["row"], s["start"], document(s), s["doc"], s["content"], s["anchor"]))]
+def _runs(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ordered segments: which begin an anchor, which begin a content, and which are at the place of their content's first copy.
+
+    Announcements (count 0) are contents of their own. The last are repeated
+    rows of a document, which don't count as earlier.
+    """
     anchor = np.ones(len(s), bool)
     anchor[1:] = s["anchor"][1:] != s["anchor"][:-1]
     content = anchor.copy()
-    content[1:] |= s["content"][1:] != s["content"][:-1]
-    return s, anchor, content
-
-
-def same_place(s: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """Which are at the place of their content's first copy: repeated rows of a document, which don't count as earlier."""
+    content[1:] |= (s["content"][1:] != s["content"][:-1]) | ((s["count"][1:] > 0) != (s["count"][:-1] > 0))
     lead = np.flatnonzero(content)[np.cumsum(content) - 1]
     part = document(s)
-    return (s["doc"] == s["doc"][lead]) & (part == part[lead]) & (s["start"] == s["start"][lead])
+    same = (s["nul"] == s["nul"][lead]) & (s["doc"] == s["doc"][lead]) & (part == part[lead]) & (s["start"] == s["start"][lead])
+    return anchor, content, same
 
 
-def _batch(shard: np.ndarray, kind: int, rows: np.ndarray, shards: int) -> pa.RecordBatch:
-    """One packed row for each shard."""
-    order = np.argsort(shard, kind="stable")
-    rows, ends = rows[order], np.searchsorted(shard[order], np.arange(shards + 1))
-    used = [i for i in range(shards) if ends[i] < ends[i + 1]]
-    return pa.record_batch({
-        "shard": pa.array(used, pa.int32()), "kind": pa.array([kind] * len(used), pa.int32()),
-        "rows": pa.array([rows[ends[i] : ends[i + 1]].tobytes() for i in used], pa.binary()),
-    })
+def sent(kind: int, s: np.ndarray, deal: np.ndarray) -> pa.RecordBatch:
+    columns = {"kind": pa.array(np.full(len(s), kind, np.int32)), "deal": pa.array(deal)}
+    return pa.record_batch(columns | {k: pa.array(np.ascontiguousarray(s[k])) for k in ("anchor", "content", "nul", "doc", "row", "start", "count")})
 
 
-def _send(s: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    s, anchor, content = _ordered(s)
-    again = ~content & ~same_place(s, content)
+def combined(s: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a task sends of its segments: marks for what repeats among them, the segments of hot anchors, and of all others one of each content."""
+    s = s[np.lexsort((s["row"], s["start"], document(s), s["doc"], s["nul"], s["content"], s["anchor"]))]
+    anchor, content, same = _runs(s)
+    again = ~content & ~same
     number = np.cumsum(anchor) - 1
     crowd = np.bincount(number[content], minlength=number[-1] + 1 if len(number) else 0) >= HOT
     hot = crowd[number] if len(s) else np.zeros(0, bool)
-    by_row = lambda x: (x["row"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % shards
-    by_anchor = lambda x: (x["anchor"] % np.uint64(shards)).astype(np.int64)
     announced = s[anchor & hot].copy()
     announced["count"] = 0
-    for kind, rows, deal in ((MARK, s[again], by_row), (HOT_NEED, s[~again & hot], by_row), (PLAIN, np.concatenate([s[~again & ~hot], announced]), by_anchor)):
+    plain = np.concatenate([s[~again & ~hot], announced])
+    by_row = lambda x: mix64(x["row"].astype(np.uint64) + np.uint64(1)).view(np.int64)
+    for kind, rows, deal in ((MARK, s[again], by_row), (HOT_NEED, s[~again & hot], by_row), (PLAIN, plain, lambda x: np.ascontiguousarray(x["anchor"]))):
         if len(rows):
-            yield _batch(deal(rows), kind, rows, shards)
+            yield sent(kind, rows, deal(rows))
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc (0 for null), whether it is null, and row."""
+    doc = batch.column("doc_id")
+    return doc.fill_null(0).to_numpy(zero_copy_only=False), doc.is_null().to_numpy(zero_copy_only=False), batch.column("row").to_numpy()
 
 
-def scanner(by: Windows, shards: int) -> Callable:
-    """For mapInArrow over (doc long, row long, text binary): segments packed by shard."""
+def _all_segments(batches: Iterator[pa.RecordBatch], by: Windows) -> Iterator[np.ndarray]:
+    for batch in batches:
+        docs, nul, rows = _columns(batch)
+        for first, texts in chunks(t or b"" for t in batch.column("text").to_pylist()):
+            part = slice(first, first + len(texts))
+            yield from segments(texts, docs[part], nul[part], rows[part], by)
+
+
+def scanner(by: Windows, repeated: Callable[[np.ndarray], np.ndarray]) -> Callable:
+    """For mapInArrow over (doc_id, row, text): the segments whose anchors ``repeated`` lets pass."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            docs, rows = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
-            for first, texts in chunks(t or b"" for t in batch.column("text").to_pylist()):
-                held.append(segments(texts, docs[first : first + len(texts)], rows[first : first + len(texts)], by))
-                size += len(held[-1])
-                if size >= FLUSH:
-                    yield from _send(np.concatenate(held), shards)
-                    held, size = [], 0
+        for s in _all_segments(batches, by):
+            held.append(s[repeated(np.ascontiguousarray(s["anchor"]).view(np.uint64))])
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield from combined(np.concatenate(held))
+                held, size = [], 0
         if size:
-            yield from _send(np.concatenate(held), shards)
+            yield from combined(np.concatenate(held))
 
     return scan
 
 
 def _found(kind: int, s: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch({
-        "kind": pa.array(np.full(len(s), kind, np.int32)), "row": pa.array(s["row"]), "start": pa.array(s["start"]),
-        "count": pa.array(s["count"]), "anchor": pa.array(s["anchor"].view(np.int64) if s.flags.c_contiguous else s["anchor"].astype(np.uint64).view(np.int64)),
-    })
+    columns = {"kind": pa.array(np.full(len(s), kind, np.int32))}
+    return pa.record_batch(columns | {k: pa.array(np.ascontiguousarray(s[k])) for k in ("row", "start", "count", "anchor")})
 
 
-def _judge(parts: list[np.ndarray], estimate: Callable | None) -> Iterator[pa.RecordBatch]:
-    if estimate is not None:
-        parts = estimate(parts)
-    s, anchor, content = _ordered(np.concatenate(parts))
-    again = ~content & ~same_place(s, content) & (s["count"] > 0)
+def _judge(s: np.ndarray, crowd: bool, resumed: bool) -> Iterator[pa.RecordBatch]:
+    """Marks and needs of whole anchors. The first may be a ``crowd``, and be ``resumed``: then its first row is a copy of an earlier one."""
+    anchor, content, same = _runs(s)
+    real = s["count"] > 0
+    again = ~content & ~same & real
     number = np.cumsum(anchor) - 1
-    told_hot = np.zeros(number[-1] + 1 if len(number) else 0, bool)
-    told_hot[number[s["count"] == 0]] = True
-    several = np.bincount(number[content], minlength=len(told_hot)) > 1
-    lead = ~again & (s["count"] > 0)
-    yield _found(MARK, s[again])
-    yield _found(NEED, s[lead & several[number] & ~told_hot[number]])
-    yield _found(HOT_NEED, s[lead & told_hot[number]])
-
-
-def grouper(estimate: Callable | None = None) -> Callable:
-    """For mapInArrow over the dealt rows: marks, and segments that need a closer look.
+    several = np.bincount(number[content & real], minlength=number[-1] + 1)
+    hot = (np.bincount(number[~real], minlength=len(several)) > 0) | (several > HOT)
+    hot[0] |= crowd
+    lead = real & ~again
+    lead[0] &= not resumed
+    for kind, rows in ((MARK, again), (NEED, lead & (several[number] > 1) & ~hot[number]), (HOT_NEED, lead & hot[number])):
+        if rows.any():
+            yield _found(kind, s[rows])
+
+
+def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over SENT rows in order: marks, and segments that need a closer look."""
+    held, crowd = np.zeros(0, SEGMENT), False
+    for batch in batches:
+        kind = batch.column("kind").to_numpy()
+        s = np.zeros(len(kind), SEGMENT)
+        for k in SEGMENT.names:
+            s[k] = batch.column(k).to_numpy(zero_copy_only=False)
+        for k in (MARK, HOT_NEED):
+            if (kind == k).any():
+                yield _found(k, s[kind == k])
+        rows = np.concatenate([held, s[kind == PLAIN]])
+        if not len(rows):
+            continue
+        last = np.searchsorted(rows["anchor"], rows["anchor"][-1])
+        if last:
+            yield from _judge(rows[:last], crowd, crowd)
+            rows, crowd = rows[last:], False
+        if len(rows) > CROWD:
+            yield from _judge(rows, True, crowd)
+            begins = np.flatnonzero(_runs(rows)[1])[-1]
+            rows, crowd = rows[begins : begins + 1], True
+        held = rows
+    if len(held):
+        yield from _judge(held, crowd, crowd)
+
+
+def grouped(dealt: DataFrame) -> DataFrame:
+    """SENT rows -> FOUND rows."""
+    part = F.when(F.col("nul"), F.col("row")).otherwise(0)
+    in_order = dealt.repartition("deal").sortWithinPartitions("kind", "anchor", F.col("count") > 0, "content", "nul", "doc", part, "start", "row")
+    return in_order.mapInArrow(group, FOUND)
 
-    A task's partition holds whole shards. ``estimate`` may drop segments whose
-    anchor can't occur twice.
-    """
-
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for shard, kind, rows in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                s = np.frombuffer(rows, SEGMENT)
-                if kind == PLAIN:
-                    plain.setdefault(shard, []).append(s)
-                else:
-                    yield _found(kind, s)
-        for shard in sorted(plain):
-            yield from _judge(plain.pop(shard), estimate)
 
-    return group
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, row, text binary), stored, so that a row keeps its number."""
+    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text")))
+    # A key that can't be null: else the inner join gets a filter of its own, and the texts are shuffled twice.
+    return rows.select("doc_id", F.coalesce("row", F.lit(0).cast("long")).alias("row"), "text")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write to the shared checkpoint folder as Parquet and read back: used twice, computed once."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def sketched(docs: DataFrame, by: Windows) -> np.ndarray:
+    """The merged sketch of the anchors of all segments."""
+    return repeated_keys(docs, lambda batches: (np.ascontiguousarray(s["anchor"]).view(np.uint64) for s in _all_segments(batches, by)))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc, row, text binary), stored, so that a row keeps its number."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC)).alias("doc")
-    rows = stored(docs.select(doc, F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text")))
-    # Columns that can't be null: else the inner join gets a filter of its own, and the texts are shuffled twice.
-    return rows.select(*[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("doc", "row")], "text")
-
-
-def find_segments(docs: DataFrame, by: Windows, estimate: Callable | None = None) -> DataFrame:
-    """(doc, row, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
-    shards = shuffle_partitions(docs.sparkSession)
-    dealt = docs.mapInArrow(scanner(by, shards), DEALT).repartition(shards, "shard")
-    return stored(dealt.mapInArrow(grouper(estimate), FOUND))
+def find_segments(docs: DataFrame, by: Windows) -> DataFrame:
+    """(doc_id, row, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
+    sketch = docs.sparkSession.sparkContext.broadcast(sketched(docs, by))
+    return stored(grouped(docs.mapInArrow(scanner(by, lambda keys: twice(sketch.value, keys)), SENT)))
 
 
 def per_row(rows: DataFrame, name: str, *fields: str) -> DataFrame:

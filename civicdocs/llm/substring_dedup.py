@@ -1,17 +1,18 @@
 """Remove repeated 20-word passages, behind a count-min prefilter.
 
-Every task's share of a shard is a sketch of its own: how often each cell of a
-few hashed rows is hit by the anchors of its windows. The sketches of a shard
-are added; a window's anchor is counted at least as often as the window, so a
-window whose estimate is below 2 stands nowhere else and is dropped. The second
-pass groups exactly those that are left: first whole segments, then, where an
-anchor has several different segments, their single windows by hash.
+In a first pass every partition counts the anchors of its windows in a sketch of
+its own, and the sketches are merged block by block. An anchor is counted at
+least as often as any of its windows, so a window whose estimate is below 2
+stands nowhere else; in the second pass only the others leave their task. Those
+are grouped exactly: first whole segments, then, where an anchor has several
+different segments, their single windows by hash.
 
 Defined results: null and wordless texts have no words; texts under 20 words
 lose nothing; rows of null doc_id come after all others and are documents of their
 own; rows that repeat a doc_id are one document: what stands at the same place
 in both stays in both, and each loses only what it holds itself; an empty table gives an
-empty result; other columns are not read.
+empty result; a very long text is worked off in slices, but must fit a task with
+its words; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,52 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
-from .repeats import HOT_NEED, MARK, NEED, WORDS, Windows, covered, document, find_segments, keyed, per_row, units
-from .text_hash import chunks, mix64, prefix_hash, window_hash
+from .repeats import HOT_NEED, MARK, NEED, SEGMENT, SENT, WORDS, Windows, _columns, combined, covered, find_segments, grouped, keyed, per_row, units
+from .text_hash import chunks, prefix_hash
 
-DEPTH = 2
-WINDOW = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4")])
 
+def window_sender(by: Windows):
+    """For mapInArrow over (doc_id, row, text, need): single windows of the needed segments, combined within the task's batch.
 
-class CountMin:
-    """A count-min sketch: DEPTH rows of ``width`` counters; estimates are never too low, and sketches of equal width add up."""
-
-    def __init__(self, width: int):
-        self.width = 1 << max(10, (width - 1).bit_length())
-        self.rows = np.zeros((DEPTH, self.width), np.int64)
-
-    def _cells(self, keys: np.ndarray, row: int) -> np.ndarray:
-        return (mix64(keys + np.uint64((row + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)) % np.uint64(self.width)).astype(np.int64)
-
-    def add(self, keys: np.ndarray) -> CountMin:
-        for r in range(DEPTH):
-            self.rows[r] += np.bincount(self._cells(keys, r), minlength=self.width)
-        return self
-
-    def merge(self, other: CountMin) -> CountMin:
-        self.rows += other.rows
-        return self
-
-    def estimate(self, keys: np.ndarray) -> np.ndarray:
-        return np.min([self.rows[r][self._cells(keys, r)] for r in range(DEPTH)], axis=0)
-
-
-def estimated_repeated(parts: list[np.ndarray]) -> list[np.ndarray]:
-    """Of each part of a shard, the segments whose anchor the merged sketch counts twice or more."""
-    width = 2 * sum(map(len, parts))
-    merged = CountMin(width)
-    for p in parts:
-        merged.merge(CountMin(width).add(p["anchor"])) if len(p) > width // 8 else merged.add(p["anchor"])
-    return [p[(merged.estimate(p["anchor"]) > 1) | (p["count"] == 0)] for p in parts]
-
-
-def window_sender(by: Windows, shards: int):
-    """For mapInArrow over (doc, row, text, need): single windows of the needed segments, packed by shard of their hash."""
+    A window goes by its hash, with the anchor beside it, as a segment of one window.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, rows, lists = batch.column("doc").to_numpy(), batch.column("row").to_numpy(), batch.column("need")
+            (docs, nul, rows), lists = _columns(batch), batch.column("need")
             ends, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
             start, count, anchor = (flat.field(k).to_numpy() for k in ("start", "count", "anchor"))
             out = []
@@ -83,39 +51,17 @@ def window_sender(by: Windows, shards: int):
                 pos = np.repeat(start[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 of = np.repeat(of, n)
                 at = pos + begins[of]
-                inside = at + by.width <= begins[of + 1]
-                w = np.zeros(int(inside.sum()), WINDOW)
-                w["anchor"] = np.repeat(anchor[a:b], n)[inside].view(np.uint64)
-                w["content"] = window_hash(prefix, at[inside], at[inside] + by.width)
-                w["doc"], w["row"], w["start"] = docs[first + of[inside]], rows[first + of[inside]], pos[inside]
+                w = np.zeros(len(at), SEGMENT)
+                w["anchor"] = by.hashes(prefix, at, at + by.width).view(np.int64)
+                w["content"] = np.repeat(anchor[a:b], n)
+                w["doc"], w["nul"], w["row"], w["start"], w["count"] = docs[first + of], nul[first + of], rows[first + of], pos, 1
                 out.append(w)
-            w = np.concatenate(out) if out else np.zeros(0, WINDOW)
-            shard = (w["content"] % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((w["start"], w["doc"], w["anchor"], w["content"], shard))
-            w, cut = w[order], np.searchsorted(shard[order], np.arange(shards + 1))
-            used = [i for i in range(shards) if cut[i] < cut[i + 1]]
-            yield pa.record_batch({"shard": pa.array(used, pa.int32()), "rows": pa.array([w[cut[i] : cut[i + 1]].tobytes() for i in used], pa.binary())})
+            if out:
+                yield from combined(np.concatenate(out))
 
     return send
 
 
-def _window_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact groups of equal windows: all but those at the first place are marked."""
-    parts: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for shard, rows in zip(batch.column("shard").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-            parts.setdefault(shard, []).append(np.frombuffer(rows, WINDOW))
-    for shard in sorted(parts):
-        w = np.concatenate(parts.pop(shard))
-        w = w[np.lexsort((w["start"], document(w), w["doc"], w["anchor"], w["content"]))]
-        new = np.ones(len(w), bool)
-        new[1:] = (w["content"][1:] != w["content"][:-1]) | (w["anchor"][1:] != w["anchor"][:-1])
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        part = document(w)
-        w = w[(w["doc"] != w["doc"][lead]) | (part != part[lead]) | (w["start"] != w["start"][lead])]
-        yield pa.record_batch({"row": pa.array(np.ascontiguousarray(w["row"])), "start": pa.array(np.ascontiguousarray(w["start"])), "count": pa.array(np.ones(len(w), np.int32))})
-
-
 def _removed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words, gone, kept = [], [], []
@@ -130,34 +76,30 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
             words.append(len(ws))
             gone.append(n)
             kept.append(b" ".join(ws_kept if n else ws))
-        yield pa.record_batch({"doc": batch.column("doc"), "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.large_binary()).cast(pa.binary())})
+        yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.large_binary()).cast(pa.binary())})
 
 
 def _digested(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in it:
         digests = [hashlib.sha256(k).hexdigest() for k in b.column("kept").to_pylist()]
-        yield pa.record_batch({"doc": b.column("doc"), "n_words": b.column("n_words"), "n_removed": b.column("n_removed"), "kept_sha256": pa.array(digests)})
+        yield pa.record_batch({"doc_id": b.column("doc_id"), "n_words": b.column("n_words"), "n_removed": b.column("n_removed"), "kept_sha256": pa.array(digests)})
 
 
 def marked(docs: DataFrame, by: Windows = WORDS) -> DataFrame:
-    """(doc, row, text) -> (doc, text, marks): marks is null where nothing repeats."""
-    shards = shuffle_partitions(docs.sparkSession)
-    found = find_segments(docs, by, estimated_repeated)
+    """(doc_id, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
+    found = find_segments(docs, by)
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "start", "count", "anchor")
-    closer = docs.join(need, "row").select("doc", "row", "text", "need").mapInArrow(window_sender(by, shards), "shard int, rows binary")
-    singles = closer.repartition(shards, "shard").mapInArrow(_window_marks, "row long, start int, count int")
-    marks = per_row(found.filter(F.col("kind") == MARK).select("row", "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, "row", "left").select("doc", "text", "marks")
+    closer = docs.join(need, "row").select("doc_id", "row", "text", "need").mapInArrow(window_sender(by), SENT)
+    marks = found.unionAll(grouped(closer)).filter(F.col("kind") == MARK)
+    return docs.join(per_row(marks, "marks", "start", "count"), "row", "left").select("doc_id", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = WORDS, digest: bool = False) -> DataFrame:
     """(doc_id, text) -> doc_id, n_words, n_removed and kept (binary: the words left, parted by one space) or kept_sha256."""
     rows = marked(keyed(docs), by)
     if digest:
-        out = rows.mapInArrow(lambda it: _digested(_removed(it, by.width)), "doc long, n_words long, n_removed long, kept_sha256 string")
-    else:
-        out = rows.mapInArrow(lambda it: _removed(it, by.width), "doc long, n_words long, n_removed long, kept binary")
-    return out.select(F.when(F.col("doc") != F.lit((1 << 63) - 1), F.col("doc")).alias("doc_id"), *out.columns[1:])
+        return rows.mapInArrow(lambda it: _digested(_removed(it, by.width)), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return rows.mapInArrow(lambda it: _removed(it, by.width), "doc_id long, n_words long, n_removed long, kept binary")
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:

@@ -3,12 +3,10 @@
 Every suffix is L (larger than the next one) or S (smaller). The leftmost S
 suffixes of their runs (LMS) part the string; sorting the LMS substrings by one
 induction, naming them, and sorting the string of names recursively sorts the
-LMS suffixes, from which a second induction derives all others. Both inductions
-go through the buckets of the alphabet and move whole buckets at once, so the
-work is linear with one numpy step per bucket and repetition of its letter. A
-string of names whose alphabet is too large for that is ranked by doubling.
-
-Suffixes need only be in order up to DEPTH letters; beyond, doubling leaves ties.
+LMS suffixes, from which a second induction derives all others. An induction
+goes through the buckets of the alphabet, and through as many of them at once as
+induce nothing into each other: few at the first level, where buckets are large,
+hundreds in strings of names. So its work is linear, in few numpy steps.
 """
 
 from __future__ import annotations
@@ -17,8 +15,7 @@ import numpy as np
 
 from .text_hash import mix64, prefix_hash, window_hash
 
-MAX_ALPHABET = 2048  # more letters than this are sorted by doubling
-DEPTH = 128
+MOST_BUCKETS = 4096  # that are tried at once
 
 
 def classify(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,11 +46,14 @@ def induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: np.ndarray) -
     """All suffixes in the order that follows from the order of the LMS positions."""
     n = len(s)
     begin = np.concatenate([[0], np.cumsum(size)])
+    filled = np.flatnonzero(size)
     sa = np.full(n, -1, np.int64)
-    seeds_end = np.searchsorted(s[lms], np.arange(len(size) + 1)) if len(lms) else np.zeros(len(size) + 1, np.int64)
-    letters = np.flatnonzero(size)
+    seeds = np.bincount(s[lms], minlength=len(size))
+    sa[np.repeat(begin[1:] - np.cumsum(seeds), seeds) + np.arange(len(lms))] = lms  # at the ends of their buckets
     head = begin[:-1].copy()
-    for c in letters:  # L suffixes, smallest first: each is found through the suffix behind it
+
+    def own_larger(c: int) -> None:
+        """The L suffixes that bucket c induces, some into itself."""
         source, done = [], begin[c]
         while done < head[c]:
             part = sa[done : head[c]]
@@ -64,13 +64,37 @@ def induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: np.ndarray) -
             sa[head[c] : head[c] + len(own)] = own
             head[c] += len(own)
             source.append(before[s[before] != c])
-        seeds = lms[seeds_end[c] : seeds_end[c + 1]]
-        source.append(seeds[seeds > 0] - 1)
-        found = np.concatenate(source)
+        last = sa[begin[c + 1] - seeds[c] : begin[c + 1]]
+        found = np.concatenate([*source, last[last > 0] - 1])
         if len(found):
             _deal(sa, head, found, s[found], True)
+
+    k, width = 0, 1
+    while k < len(filled):  # L suffixes, smallest first: each is found through the suffix behind it
+        c, upto = filled[k], min(k + width, len(filled))
+        part = sa[begin[c] : begin[filled[upto - 1] + 1]]
+        at = np.flatnonzero(part > 0)
+        at = at[~is_s[part[at] - 1]]
+        found = part[at] - 1
+        letters = s[found]
+        inside = letters[letters <= filled[upto - 1]]
+        if len(inside) and inside.min() == c:
+            own_larger(c)
+            k, width = k + 1, 1
+            continue
+        if len(inside):  # go as far as the first bucket that is not complete
+            upto = np.searchsorted(filled, inside.min())
+            reach = at < begin[filled[upto]] - begin[c]
+            found, letters = found[reach], letters[reach]
+        if len(found):
+            _deal(sa, head, found, letters, True)
+        k, width = upto, min(2 * (upto - k), MOST_BUCKETS)
+
+    sa[np.arange(n) >= np.repeat(head, size)] = -1
     tail = begin[1:] - 1
-    for c in letters[::-1]:  # S suffixes, largest first
+
+    def own_smaller(c: int) -> None:
+        """The S suffixes that bucket c induces, some into itself."""
         source, done = [], begin[c + 1] - 1
         while done > tail[c]:
             part = sa[tail[c] + 1 : done + 1][::-1]
@@ -83,26 +107,36 @@ def induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: np.ndarray) -
             source.append(before[s[before] != c])
         large = sa[begin[c] : head[c]][::-1]
         before = large[large > 0] - 1
-        source.append(before[is_s[before]])
-        found = np.concatenate(source)
+        found = np.concatenate([*source, before[is_s[before]]])
         if len(found):
             _deal(sa, tail, found, s[found], False)
+
+    k, width = len(filled) - 1, 1
+    while k >= 0:  # S suffixes, largest first
+        c, down = filled[k], max(k - width + 1, 0)
+        end = begin[c + 1]
+        part = sa[begin[filled[down]] : end][::-1]
+        at = np.flatnonzero(part > 0)
+        at = at[is_s[part[at] - 1]]
+        found = part[at] - 1
+        letters = s[found]
+        inside = letters[letters >= filled[down]]
+        if len(inside) and inside.max() == c:
+            own_smaller(c)
+            k, width = k - 1, 1
+            continue
+        if len(inside):
+            down = np.searchsorted(filled, inside.max()) + 1
+            reach = at < end - begin[filled[down]]
+            found, letters = found[reach], letters[reach]
+        if len(found):
+            _deal(sa, tail, found, letters, False)
+        k, width = down - 1, min(2 * (k - down + 1), MOST_BUCKETS)
     sa[0] = n - 1
     return sa
 
 
-def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in suffix order up to ``depth`` names."""
-    rank, k = names.astype(np.int64), 1
-    while k < depth and rank.max(initial=0) < len(rank) - 1:
-        ahead = np.zeros(len(rank), np.int64)
-        ahead[:-k] = rank[k:] + 1
-        _, rank = np.unique(rank * (len(rank) + 2) + ahead, return_inverse=True)
-        k *= 2
-    return np.argsort(rank, kind="stable")
-
-
-def suffix_array(s: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix order of a string of small numbers that ends in a unique 0."""
     size = np.bincount(s)
     is_s, lms = classify(s)
@@ -123,12 +157,7 @@ def suffix_array(s: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     name = np.zeros(len(s), np.int64)
     name[by_substring] = np.cumsum(fresh) - 1
     names = name[lms]
-    if names.max() == len(lms) - 1:
-        order = np.argsort(names)
-    elif names.max() < MAX_ALPHABET and names[-1] == 0 and np.count_nonzero(names == 0) == 1:
-        order = suffix_array(names, depth)
-    else:
-        order = _doubled(names, depth)
+    order = np.argsort(names) if fresh.all() else suffix_array(names)
     return induce(s, is_s, lms[order], size)
 
 

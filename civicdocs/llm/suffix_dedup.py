@@ -24,32 +24,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
-from .repeats import BYTES, HOT_NEED, MARK, NEED, NO_DOC, Windows, covered, find_segments, keyed, per_row
+from .repeats import BYTES, HOT_NEED, MARK, NEED, Windows, _columns, covered, find_segments, keyed, per_row
 from .suffix_array import permuted_common_prefixes, suffix_array
-from .text_hash import BYTE_CODE, prefix_hash, window_hash
+from .text_hash import byte_codes, mix64, prefix_hash
 
 ARRAY_BYTES = 1 << 20  # segments of whole anchors are sorted together up to about so many bytes
-SENT = "shard int, group long, doc long, row long, start int, count int, body binary"
+SENT = "deal long, group long, doc long, row long, start int, count int, body binary"
 
 
-def segment_sender(by: Windows, shards: int):
-    """For mapInArrow over (doc, row, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
+def segment_sender(by: Windows):
+    """For mapInArrow over (doc_id, row, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, rows, lists = batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("need")
+            docs, rows, lists = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("need")
             group, doc, number, start, count, body = [], [], [], [], [], []
-            seen: dict[int, tuple[int, int, int]] = {}
+            seen: dict[bytes, tuple] = {}
             again = []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 text = text or b""
                 need = lists[i].values
                 kinds, starts, counts, anchors = (need.field(k).to_pylist() for k in ("kind", "start", "count", "anchor"))
-                prefix = prefix_hash(BYTE_CODE[np.frombuffer(text, np.uint8)]) if HOT_NEED in kinds else None
+                prefix = prefix_hash(byte_codes(np.frombuffer(text, np.uint8))) if HOT_NEED in kinds else None
                 for kind, s, c, a in zip(kinds, starts, counts, anchors, strict=True):
-                    if s + c - 1 + by.width > len(text):
-                        continue
                     if kind == NEED:
                         group.append(a)
                         doc.append(docs[i])
@@ -59,25 +56,25 @@ def segment_sender(by: Windows, shards: int):
                         body.append(text[s : s + c - 1 + by.width])
                         continue
                     at = np.arange(s, s + c)
-                    for p, h in zip(at.tolist(), window_hash(prefix, at, at + by.width).view(np.int64).tolist(), strict=True):
-                        first = seen.get(h)
-                        place = (docs[i], rows[i] if docs[i] == NO_DOC else 0, p)
+                    for p, h in zip(at.tolist(), by.hashes(prefix, at, at + by.width).view(np.int64).tolist(), strict=True):
+                        window = text[p : p + by.width]
+                        first = seen.get(window)
+                        place = (docs[i] is None, docs[i] or 0, rows[i] if docs[i] is None else 0, p)
                         if first is not None and place > first:
                             again.append((rows[i], p))
                         else:
-                            seen[h] = place
+                            seen[window] = place
                             group.append(h)
                             doc.append(docs[i])
                             number.append(rows[i])
                             start.append(p)
                             count.append(1)
-                            body.append(text[p : p + by.width])
-            groups = np.array(group, np.int64)
+                            body.append(window)
             n = len(again)
+            scattered = mix64(np.arange(n, dtype=np.uint64)).view(np.int64)
             yield pa.record_batch({
-                "shard": pa.array(np.concatenate([(groups.view(np.uint64) % np.uint64(shards)).astype(np.int32), np.arange(n, dtype=np.int32) % shards])),
-                "group": pa.array(np.concatenate([groups, np.zeros(n, np.int64)])),
-                "doc": pa.array([*doc, *[NO_DOC] * n], pa.int64()), "row": pa.array([*number, *(x[0] for x in again)], pa.int64()), "start": pa.array([*start, *(x[1] for x in again)], pa.int32()),
+                "deal": pa.array(np.concatenate([np.array(group, np.int64), scattered])), "group": pa.array([*group, *[None] * n], pa.int64()),
+                "doc": pa.array([*doc, *[None] * n], pa.int64()), "row": pa.array([*number, *(x[0] for x in again)], pa.int64()), "start": pa.array([*start, *(x[1] for x in again)], pa.int32()),
                 "count": pa.array([*count, *[1] * n], pa.int32()), "body": pa.array([*body, *[None] * n], pa.binary()),
             })
 
@@ -131,16 +128,17 @@ def _array_marks(width: int):
 
 def _mark(rows: list[tuple], width: int) -> pa.RecordBatch:
     """Marks for the windows of some groups of segments; groups never match each other, as their anchors differ."""
-    doc, row, start, count = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 4))
+    doc, row, start, count = (np.array([r[i] or 0 for r in rows], np.int64) for i in (1, 2, 3, 4))
+    nul = np.array([r[1] is None for r in rows])
     of, window, number = equal_windows([r[5] for r in rows], count, width)
-    d, r, s = doc[of], row[of], start[of] + window
-    part = np.where(d == NO_DOC, r, 0)  # as repeats.document
-    order = np.lexsort((s, part, d, number))
-    d, r, s, part, number = d[order], r[order], s[order], part[order], number[order]
-    new = np.ones(len(d), bool)
+    r, s = row[of], start[of] + window
+    places = np.stack([nul[of], doc[of], np.where(nul[of], r, 0), s])  # as in repeats.combined
+    order = np.lexsort((*places[::-1], number))
+    r, s, places, number = r[order], s[order], places[:, order], number[order]
+    new = np.ones(len(r), bool)
     new[1:] = number[1:] != number[:-1]
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (d != d[lead]) | (part != part[lead]) | (s != s[lead])
+    later = (places != places[:, lead]).any(axis=0)
     return pa.record_batch({"row": pa.array(r[later]), "start": pa.array(s[later].astype(np.int32)), "count": pa.array(np.ones(int(later.sum()), np.int32))})
 
 
@@ -162,28 +160,25 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Ite
             spans.append(runs)
             kept.append(hashlib.sha256(left).hexdigest() if digest else left)
         yield pa.record_batch({
-            "doc": batch.column("doc"), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
+            "doc_id": batch.column("doc_id"), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
             ("kept_sha256" if digest else "kept"): pa.array(kept, pa.string() if digest else pa.binary()),
         })
 
 
 def marked(docs: DataFrame, by: Windows = BYTES) -> DataFrame:
-    """(doc, row, text) -> (doc, text, marks): marks is null where nothing repeats."""
-    shards = shuffle_partitions(docs.sparkSession)
+    """(doc_id, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
     found = find_segments(docs, by)
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "kind", "start", "count", "anchor")
-    sent = docs.join(need, "row").select("doc", "row", "text", "need").mapInArrow(segment_sender(by, shards), SENT)
-    dealt = sent.repartition(shards, "shard").sortWithinPartitions("group")
-    singles = dealt.mapInArrow(_array_marks(by.width), "row long, start int, count int")
+    sent = docs.join(need, "row").select("doc_id", "row", "text", "need").mapInArrow(segment_sender(by), SENT)
+    singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by.width), "row long, start int, count int")
     marks = per_row(found.filter(F.col("kind") == MARK).select("row", "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, "row", "left").select("doc", "text", "marks")
+    return docs.join(marks, "row", "left").select("doc_id", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = BYTES, digest: bool = False) -> DataFrame:
     """(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans and kept (binary) or kept_sha256."""
     last = "kept_sha256 string" if digest else "kept binary"
-    out = marked(keyed(docs), by).mapInArrow(lambda it: _removed(it, by.width, digest), f"doc long, n_bytes long, n_removed long, n_spans long, {last}")
-    return out.select(F.when(F.col("doc") != F.lit((1 << 63) - 1), F.col("doc")).alias("doc_id"), *out.columns[1:])
+    return marked(keyed(docs), by).mapInArrow(lambda it: _removed(it, by.width, digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
 
 
 def op10_query(spark, sf_dir: str) -> DataFrame:

@@ -1,12 +1,14 @@
 """Vectorised hashing of words and windows inside tasks.
 
-Texts are joined into one byte buffer per chunk. A word's hash is a polynomial
-of its bytes modulo 2**64, taken from prefix sums, so that no Python loop runs
-over words or bytes.
+Texts are joined into one byte buffer per chunk. A word's hash mixes its bytes
+eight at a time, for all words at once; no Python loop runs over words or bytes,
+but for very long words. A window's hash is a polynomial of the codes of its
+words, or of all its eight-byte pieces, taken from prefix sums.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,8 +32,34 @@ def distinct(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])]
 
 
-#: A 64-bit number for every byte value.
-BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+EIGHT = np.arange(8)
+#: How much of eight bytes a word of so many bytes fills.
+_FILLED = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_WORD = 256  # bytes; longer ones are hashed one by one
+
+
+def byte_codes(buffer: np.ndarray) -> np.ndarray:
+    """For every place of a byte string a 64-bit number of the eight bytes that begin there; beyond the end stand zeros."""
+    padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
+    out = np.zeros(len(buffer), np.uint64)
+    for i in range(8):
+        out |= padded[i : i + len(buffer)].astype(np.uint64) << np.uint64(8 * i)
+    return mix64(out + np.uint64(0x632BE59BD9B4E019))
+
+
+def word_codes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the bytes of each word."""
+    padded, size = np.concatenate([buffer, np.zeros(8, np.uint8)]), end - start
+    out = size.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
+    at, more = 0, np.arange(len(start))
+    while len(more) and at < LONG_WORD:
+        eight = padded[start[more, None] + (at + EIGHT)].view("<u8").ravel()
+        out[more] = mix64(out[more] + (eight & _FILLED[np.minimum(size[more] - at, 8)]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(at))
+        at += 8
+        more = more[size[more] > at]
+    for i in more.tolist():
+        out[i] = np.frombuffer(hashlib.blake2b(buffer[start[i] : end[i]].tobytes(), digest_size=8).digest(), np.uint64)[0]
+    return out
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +104,6 @@ def hash_words(texts: list[bytes], is_break: np.ndarray) -> tuple[np.ndarray, np
     inside = ~is_break[buffer]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     start, end = edge[::2], edge[1::2]
-    hashes = window_hash(prefix_hash(BYTE_CODE[buffer]), start, end)
+    hashes = word_codes(buffer, start, end)
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
     return hashes, np.searchsorted(offsets, start, side="right") - 1, start, end

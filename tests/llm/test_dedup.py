@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from civicdocs.llm import components, repeats, simhash, substring_dedup, suffix_array, suffix_dedup, topk
+from civicdocs.llm import components, repeats, simhash, sketch, substring_dedup, suffix_array, suffix_dedup, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -218,12 +218,62 @@ def test_rows_of_one_id_lose_only_their_own_repeats(spark, monkeypatch, hot):
     assert got(suffix_dedup) == want
 
 
-def test_count_min_never_underestimates():
+def test_count_min_never_underestimates(spark):
+    """Sketches of partitions, merged, let every key pass that occurs twice, even if the cells are very few."""
     rng = np.random.default_rng(9)
-    a, b = (rng.integers(0, 500, 3000).astype(np.uint64) for _ in range(2))
-    merged = substring_dedup.CountMin(2048).add(a).merge(substring_dedup.CountMin(2048).add(b))
+    a, b = (rng.integers(0, 3000, 3000).astype(np.uint64) for _ in range(2))
     keys, counts = np.unique(np.concatenate([a, b]), return_counts=True)
-    assert (merged.estimate(keys) >= counts).all()
+    blocks = {}
+    for part in (a, b):
+        for block, once, more in sketch.partial(part):
+            sketch.add(blocks.setdefault(block, np.zeros(sketch.BLOCK, np.uint8)), once, more)
+    bits = np.zeros(sketch.DEPTH * sketch.WIDTH // 8, np.uint8)
+    for block, counters in blocks.items():
+        bits[block * sketch.BLOCK // 8 : (block + 1) * sketch.BLOCK // 8] = np.packbits(counters >= 2, bitorder="little")
+    assert sketch.twice(bits, keys)[counts > 1].all() and sketch.twice(bits, keys)[counts == 1].mean() < 0.01
+    rows = spark.createDataFrame([(int(k),) for k in np.concatenate([a, b])], "k long").repartition(3)
+    got = sketch.repeated_keys(rows, lambda batches: (x.column("k").to_numpy().view(np.uint64) for x in batches))
+    assert (got == bits).all()
+
+
+def test_the_sketch_keeps_windows_back(spark):
+    """Fewer segments leave the map with it than without, and nothing is lost: the others stand nowhere else."""
+    rows = repeated_texts() + [(500 + i, " ".join(f"u{i}x{j}" for j in range(200))) for i in range(20)]
+    docs = repeats.keyed(documents(spark, rows))
+    bits = repeats.sketched(docs, repeats.WORDS)
+    count = lambda passes: docs.mapInArrow(repeats.scanner(repeats.WORDS, passes), repeats.SENT).count()
+    assert count(lambda keys: sketch.twice(bits, keys)) < 0.7 * count(lambda keys: np.ones(len(keys), bool))
+
+
+def test_long_words_that_differ(spark):
+    """Words of 1,024 bytes that a polynomial modulo 2**64 can't tell apart, in texts that repeat nothing."""
+    bit = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = "".join("ab"[b] for b in bit), "".join("ba"[b] for b in bit)
+    head, tail = (" ".join(f"{c}{i}" for i in range(13)) for c in "ht")
+    docs = documents(spark, [(1, f"{head} {one} {tail}"), (2, f"{head} {other} {tail}"), ((1 << 63) - 1, f"{head} {one} {tail}")])
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs).collect()} == {1: 0, 2: 0, (1 << 63) - 1: 27}
+
+
+def test_slices_of_a_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE", 50)
+    monkeypatch.setattr(repeats, "CROWD", 8)
+    rows = [(1, " ".join(f"w{i % 70}" for i in range(700))), (2, " ".join(f"w{i % 70}" for i in range(5, 60))), (3, "ab" * 400)]
+    docs = documents(spark, rows)
+    assert {r.doc_id: tuple(r)[1:] for r in substring_dedup.remove_repeats(docs, digest=True).collect()} == plain_words_left(rows, 20)
+    assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs, digest=True).collect()} == plain_bytes_left(rows, 100)
+
+
+def test_suffix_array_of_a_real_shard(spark):
+    """A megabyte of text, whose strings of names have tens of thousands of letters: each suffix below the next one."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text]
+    raw = "\n".join(texts).encode()[: 1 << 20]
+    s = np.append(np.frombuffer(raw, np.uint8).astype(np.int64) + 1, 0)
+    sa = suffix_array.suffix_array(s)
+    assert (np.sort(sa) == np.arange(len(s))).all()
+    rank = np.empty(len(s), np.int64)
+    rank[sa] = np.arange(len(s))
+    a, b = sa[1:-1], sa[2:]
+    assert (s[sa[:-1]] <= s[sa[1:]]).all() and (rank[a + 1] < rank[b + 1])[s[a] == s[b]].all()
 
 
 @pytest.mark.parametrize("letters", [1, 2, 4, 3000])
@@ -232,7 +282,7 @@ def test_suffix_array(letters):
     for n in (1, 2, 3, 10, 50, 700):
         for times in (1, 3):
             s = np.append(np.tile(rng.integers(1, letters + 1, n), times), 0)
-            sa = suffix_array.suffix_array(s, 10_000)
+            sa = suffix_array.suffix_array(s)
             assert sa.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
             if letters < 200:
                 common = suffix_array.permuted_common_prefixes(s.astype(np.uint8), sa, 100)
