@@ -19,10 +19,11 @@ distance, so that only segments with equal anchor hash need to be compared:
 4. The caller compares those segments window by window and adds marks.
 
 A mark (row, start, count) says that the windows from start on stand earlier
-too, "earlier" meaning smaller doc, or the same and smaller start. Rows have a
-number of their own, by which marks find back to the text that they belong to.
-Rows of one doc are one document, but rows of null doc_id are one each, behind
-all others and in the order of their numbers.
+too, "earlier" meaning smaller doc, or the same and smaller start. Marks find
+back to their text by doc and row, the hash of the text: rows alike in both lose
+the same. Rows of one doc are one document, but rows of null doc_id are one each,
+behind all others; they get written numbers as row, and stand in their order.
+The texts are read several times, and must be the same each time.
 """
 
 from __future__ import annotations
@@ -42,12 +43,14 @@ from .text_hash import byte_codes, chunks, hash_words, mix64, prefix_hash, windo
 FLUSH = 1 << 20  # segments that a task holds before it sends them on
 SLICE = 1 << 22  # windows of one text that are worked on together
 HOT = 256  # different segments of one anchor in one task's share that make it hot
+MANY = 1 << 12  # different segments of one anchor in all that make it hot
 CROWD = 1 << 16  # rows of one anchor that are held; with more it is hot
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 PLAIN, MARK, NEED, HOT_NEED = 0, 1, 2, 3
+KEY = ["nul", "doc", "row"]
 SEGMENT = np.dtype([("anchor", "<i8"), ("content", "<i8"), ("nul", "?"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i4"), ("count", "<i4")])
 SENT = "kind int, deal long, anchor long, content long, nul boolean, doc long, row long, start int, count int"
-FOUND = "kind int, row long, start int, count int, anchor long"
+FOUND = "kind int, nul boolean, doc long, row long, start int, count int, anchor long"
 
 
 @dataclass(frozen=True)
@@ -161,9 +164,8 @@ def combined(s: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc (0 for null), whether it is null, and row."""
-    doc = batch.column("doc_id")
-    return doc.fill_null(0).to_numpy(zero_copy_only=False), doc.is_null().to_numpy(zero_copy_only=False), batch.column("row").to_numpy()
+    """doc (0 for null), whether it is null, and row: the KEY."""
+    return batch.column("doc").to_numpy(), batch.column("nul").to_numpy(zero_copy_only=False), batch.column("row").to_numpy()
 
 
 def _all_segments(batches: Iterator[pa.RecordBatch], by: Windows) -> Iterator[np.ndarray]:
@@ -175,7 +177,7 @@ def _all_segments(batches: Iterator[pa.RecordBatch], by: Windows) -> Iterator[np
 
 
 def scanner(by: Windows, repeated: Callable[[np.ndarray], np.ndarray]) -> Callable:
-    """For mapInArrow over (doc_id, row, text): the segments whose anchors ``repeated`` lets pass."""
+    """For mapInArrow over (nul, doc, row, text): the segments whose anchors ``repeated`` lets pass."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -193,7 +195,7 @@ def scanner(by: Windows, repeated: Callable[[np.ndarray], np.ndarray]) -> Callab
 
 def _found(kind: int, s: np.ndarray) -> pa.RecordBatch:
     columns = {"kind": pa.array(np.full(len(s), kind, np.int32))}
-    return pa.record_batch(columns | {k: pa.array(np.ascontiguousarray(s[k])) for k in ("row", "start", "count", "anchor")})
+    return pa.record_batch(columns | {k: pa.array(np.ascontiguousarray(s[k])) for k in ("nul", "doc", "row", "start", "count", "anchor")})
 
 
 def _judge(s: np.ndarray, crowd: bool, resumed: bool) -> Iterator[pa.RecordBatch]:
@@ -203,7 +205,7 @@ def _judge(s: np.ndarray, crowd: bool, resumed: bool) -> Iterator[pa.RecordBatch
     again = ~content & ~same & real
     number = np.cumsum(anchor) - 1
     several = np.bincount(number[content & real], minlength=number[-1] + 1)
-    hot = (np.bincount(number[~real], minlength=len(several)) > 0) | (several > HOT)
+    hot = (np.bincount(number[~real], minlength=len(several)) > 0) | (several > MANY)
     hot[0] |= crowd
     lead = real & ~again
     lead[0] &= not resumed
@@ -247,10 +249,11 @@ def grouped(dealt: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, row, text binary), stored, so that a row keeps its number."""
-    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text")))
-    # A key that can't be null: else the inner join gets a filter of its own, and the texts are shuffled twice.
-    return rows.select("doc_id", F.coalesce("row", F.lit(0).cast("long")).alias("row"), "text")
+    """(doc_id, text) -> (doc_id, nul, doc, row, text binary). Rows without a doc_id are written, so that they keep their numbers."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    known = rows.filter("doc_id is not null").withColumn("row", F.xxhash64("text"))
+    nameless = stored(rows.filter("doc_id is null").withColumn("row", F.monotonically_increasing_id()))
+    return known.unionByName(nameless).select("doc_id", F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc"), F.coalesce("row", F.lit(0).cast("long")).alias("row"), "text")
 
 
 def sketched(docs: DataFrame, by: Windows) -> np.ndarray:
@@ -259,13 +262,13 @@ def sketched(docs: DataFrame, by: Windows) -> np.ndarray:
 
 
 def find_segments(docs: DataFrame, by: Windows) -> DataFrame:
-    """(doc_id, row, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
+    """(nul, doc, row, text) -> FOUND rows of kinds MARK, NEED and HOT_NEED, stored."""
     sketch = docs.sparkSession.sparkContext.broadcast(sketched(docs, by))
     return stored(grouped(docs.mapInArrow(scanner(by, lambda keys: twice(sketch.value, keys)), SENT)))
 
 
 def per_row(rows: DataFrame, name: str, *fields: str) -> DataFrame:
-    return rows.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias(name))
+    return rows.groupBy(*KEY).agg(F.collect_list(F.struct(*fields)).alias(name))
 
 
 def covered(n: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:

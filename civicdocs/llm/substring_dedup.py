@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import HOT_NEED, MARK, NEED, SEGMENT, SENT, WORDS, Windows, _columns, combined, covered, find_segments, grouped, keyed, per_row, units
+from .repeats import HOT_NEED, KEY, MARK, NEED, SEGMENT, SENT, WORDS, Windows, _columns, combined, covered, find_segments, grouped, keyed, per_row, units
 from .text_hash import chunks, prefix_hash
 
 
 def window_sender(by: Windows):
-    """For mapInArrow over (doc_id, row, text, need): single windows of the needed segments, combined within the task's batch.
+    """For mapInArrow over (nul, doc, row, text, need): single windows of the needed segments, combined within the task's batch.
 
     A window goes by its hash, with the anchor beside it, as a segment of one window.
     """
@@ -86,12 +86,12 @@ def _digested(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def marked(docs: DataFrame, by: Windows = WORDS) -> DataFrame:
-    """(doc_id, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
+    """(doc_id, nul, doc, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
     found = find_segments(docs, by)
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "start", "count", "anchor")
-    closer = docs.join(need, "row").select("doc_id", "row", "text", "need").mapInArrow(window_sender(by), SENT)
+    closer = docs.join(need, KEY).select(*KEY, "text", "need").mapInArrow(window_sender(by), SENT)
     marks = found.unionAll(grouped(closer)).filter(F.col("kind") == MARK)
-    return docs.join(per_row(marks, "marks", "start", "count"), "row", "left").select("doc_id", "text", "marks")
+    return docs.join(per_row(marks, "marks", "start", "count"), KEY, "left").select("doc_id", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = WORDS, digest: bool = False) -> DataFrame:

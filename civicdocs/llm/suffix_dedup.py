@@ -24,58 +24,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import BYTES, HOT_NEED, MARK, NEED, Windows, _columns, covered, find_segments, keyed, per_row
+from .repeats import BYTES, HOT_NEED, KEY, MARK, NEED, Windows, covered, find_segments, keyed, per_row
 from .suffix_array import permuted_common_prefixes, suffix_array
 from .text_hash import byte_codes, mix64, prefix_hash
 
 ARRAY_BYTES = 1 << 20  # segments of whole anchors are sorted together up to about so many bytes
-SENT = "deal long, group long, doc long, row long, start int, count int, body binary"
+SENT = "deal long, group long, nul boolean, doc long, row long, start int, count int, body binary"
+MARKS = "nul boolean, doc long, row long, start int, count int"
 
 
 def segment_sender(by: Windows):
-    """For mapInArrow over (doc_id, row, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
+    """For mapInArrow over (nul, doc, row, text, need): the bytes of needed segments; those of hot anchors as single windows, one of each content."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, rows, lists = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("need")
-            group, doc, number, start, count, body = [], [], [], [], [], []
+            lists = batch.column("need")
+            keys = list(zip(*(batch.column(k).to_pylist() for k in KEY), strict=True))
+            out: list[tuple] = []  # group, nul, doc, row, start, count, body
+            again: list[tuple] = []  # the same of what is marked here
             seen: dict[bytes, tuple] = {}
-            again = []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                text = text or b""
-                need = lists[i].values
+            for key, text, need in zip(keys, batch.column("text").to_pylist(), lists, strict=True):
+                text, need = text or b"", need.values
                 kinds, starts, counts, anchors = (need.field(k).to_pylist() for k in ("kind", "start", "count", "anchor"))
                 prefix = prefix_hash(byte_codes(np.frombuffer(text, np.uint8))) if HOT_NEED in kinds else None
                 for kind, s, c, a in zip(kinds, starts, counts, anchors, strict=True):
                     if kind == NEED:
-                        group.append(a)
-                        doc.append(docs[i])
-                        number.append(rows[i])
-                        start.append(s)
-                        count.append(c)
-                        body.append(text[s : s + c - 1 + by.width])
+                        out.append((a, *key, s, c, text[s : s + c - 1 + by.width]))
                         continue
                     at = np.arange(s, s + c)
                     for p, h in zip(at.tolist(), by.hashes(prefix, at, at + by.width).view(np.int64).tolist(), strict=True):
                         window = text[p : p + by.width]
-                        first = seen.get(window)
-                        place = (docs[i] is None, docs[i] or 0, rows[i] if docs[i] is None else 0, p)
+                        first, place = seen.get(window), (key[0], key[1], key[2] if key[0] else 0, p)
                         if first is not None and place > first:
-                            again.append((rows[i], p))
+                            again.append((None, *key, p, 1, None))
                         else:
                             seen[window] = place
-                            group.append(h)
-                            doc.append(docs[i])
-                            number.append(rows[i])
-                            start.append(p)
-                            count.append(1)
-                            body.append(window)
-            n = len(again)
-            scattered = mix64(np.arange(n, dtype=np.uint64)).view(np.int64)
+                            out.append((h, *key, p, 1, window))
+            group, nul, doc, row, start, count, body = zip(*out, *again, strict=True) if out else ((),) * 7
+            scattered = mix64(np.arange(len(again), dtype=np.uint64)).view(np.int64)
             yield pa.record_batch({
-                "deal": pa.array(np.concatenate([np.array(group, np.int64), scattered])), "group": pa.array([*group, *[None] * n], pa.int64()),
-                "doc": pa.array([*doc, *[None] * n], pa.int64()), "row": pa.array([*number, *(x[0] for x in again)], pa.int64()), "start": pa.array([*start, *(x[1] for x in again)], pa.int32()),
-                "count": pa.array([*count, *[1] * n], pa.int32()), "body": pa.array([*body, *[None] * n], pa.binary()),
+                "deal": pa.array(np.concatenate([np.array(group[: len(out)], np.int64), scattered])), "group": pa.array(group, pa.int64()), "nul": pa.array(nul, pa.bool_()),
+                "doc": pa.array(doc, pa.int64()), "row": pa.array(row, pa.int64()), "start": pa.array(start, pa.int32()), "count": pa.array(count, pa.int32()), "body": pa.array(body, pa.binary()),
             })
 
     return send
@@ -105,20 +94,28 @@ def equal_windows(bodies: list[bytes], counts: np.ndarray, width: int) -> tuple[
     return of, at - first[of], number[mates]
 
 
+def _marks(nul: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({
+        "nul": pa.array(nul.astype(bool)), "doc": pa.array(doc), "row": pa.array(row), "start": pa.array(start.astype(np.int32)), "count": pa.array(np.ones(len(row), np.int32)),
+    })
+
+
 def _array_marks(width: int):
+    """For mapInArrow over SENT rows in order of their groups; rows without a body are marks already."""
+
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in ("group", "doc", "row", "start", "count", "body")), strict=True):
-                if row[5] is None:  # marked where it was found
-                    held_row = pa.record_batch({"row": pa.array([row[2]], pa.int64()), "start": pa.array([row[3]], pa.int32()), "count": pa.array([1], pa.int32())})
-                    yield held_row
-                    continue
+            marked_there = batch.filter(batch.column("body").is_null())
+            if marked_there.num_rows:
+                yield _marks(*(marked_there.column(k).to_numpy(zero_copy_only=False) for k in (*KEY, "start")))
+            left = batch.filter(batch.column("body").is_valid())
+            for row in zip(*(left.column(k).to_pylist() for k in ("group", *KEY, "start", "count", "body")), strict=True):
                 if size >= ARRAY_BYTES and row[0] != last:
                     yield _mark(held, width)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[6])
                 last = row[0]
         if held:
             yield _mark(held, width)
@@ -128,18 +125,17 @@ def _array_marks(width: int):
 
 def _mark(rows: list[tuple], width: int) -> pa.RecordBatch:
     """Marks for the windows of some groups of segments; groups never match each other, as their anchors differ."""
-    doc, row, start, count = (np.array([r[i] or 0 for r in rows], np.int64) for i in (1, 2, 3, 4))
-    nul = np.array([r[1] is None for r in rows])
-    of, window, number = equal_windows([r[5] for r in rows], count, width)
-    r, s = row[of], start[of] + window
-    places = np.stack([nul[of], doc[of], np.where(nul[of], r, 0), s])  # as in repeats.combined
+    nul, doc, row, start, count = (np.array([r[i] for r in rows], np.int64) for i in range(1, 6))
+    of, window, number = equal_windows([r[6] for r in rows], count, width)
+    nul, doc, row, start = nul[of], doc[of], row[of], start[of] + window
+    places = np.stack([nul, doc, np.where(nul, row, 0), start])  # as in repeats.combined
     order = np.lexsort((*places[::-1], number))
-    r, s, places, number = r[order], s[order], places[:, order], number[order]
-    new = np.ones(len(r), bool)
+    places, number = places[:, order], number[order]
+    new = np.ones(len(order), bool)
     new[1:] = number[1:] != number[:-1]
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (places != places[:, lead]).any(axis=0)
-    return pa.record_batch({"row": pa.array(r[later]), "start": pa.array(s[later].astype(np.int32)), "count": pa.array(np.ones(int(later.sum()), np.int32))})
+    later = order[(places != places[:, lead]).any(axis=0)]
+    return _marks(nul[later], doc[later], row[later], start[later])
 
 
 def _removed(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Iterator[pa.RecordBatch]:
@@ -166,13 +162,13 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Ite
 
 
 def marked(docs: DataFrame, by: Windows = BYTES) -> DataFrame:
-    """(doc_id, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
+    """(doc_id, nul, doc, row, text) -> (doc_id, text, marks): marks is null where nothing repeats."""
     found = find_segments(docs, by)
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "kind", "start", "count", "anchor")
-    sent = docs.join(need, "row").select("doc_id", "row", "text", "need").mapInArrow(segment_sender(by), SENT)
-    singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by.width), "row long, start int, count int")
-    marks = per_row(found.filter(F.col("kind") == MARK).select("row", "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, "row", "left").select("doc_id", "text", "marks")
+    sent = docs.join(need, KEY).select(*KEY, "text", "need").mapInArrow(segment_sender(by), SENT)
+    singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by.width), MARKS)
+    marks = per_row(found.filter(F.col("kind") == MARK).select(*KEY, "start", "count").unionAll(singles), "marks", "start", "count")
+    return docs.join(marks, KEY, "left").select("doc_id", "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = BYTES, digest: bool = False) -> DataFrame:
