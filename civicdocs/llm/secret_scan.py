@@ -8,7 +8,9 @@ models says random. Spans count code points and exclude their end.
 
 Defined results: a null text is empty; without a single pattern hit in the
 sample the random model is uniform; equal rows get equal spans; an empty table
-gives an empty result; other columns are carried by ``mask_secrets``.
+gives an empty result; very long texts are searched whole; other columns
+are carried by ``mask_secrets``. Tokens under LONG characters are not judged by
+the models: so short, a random string and an identifier differ too little.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: kind -> (pattern, group that must be long enough, its least length), in the order of ties
 KINDS = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 2, 8),
@@ -30,12 +34,18 @@ WORD = r"[A-Za-z0-9_]{5,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SYMBOLS = len(ALPHABET) + 1
 SAMPLE_DOCS = 4_000  # about so many documents train the models
+CHUNK = 256  # matches of a text that are put together at a time
 MIN_LLR = 15.0  # a token is random when the models' log-likelihood ratio is above this
 
 
-def _matches(text: Column, pattern: str, group: int, least: int, kind: str, rank: int) -> Column:
-    """All leftmost non-overlapping matches with their places; positions are sums of the lengths of matches and of what lies between."""
-    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+def _matches(text: Column, pattern: str, group: int, least: int, kind: str, rank: int, may: Column | None = None) -> Column:
+    """All leftmost non-overlapping matches with their places; positions are sums of the lengths of matches and of what lies between.
+
+    ``may`` tells cheaply that a text can't match. Spans are gathered by CHUNK,
+    so that the work stays near the number of matches where a text has very many.
+    """
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    value = whole if group == 1 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.split(text, pattern, -1)
     pieces = F.arrays_zip(whole.alias("m"), value.alias("v"), F.slice(gaps, 1, F.size(whole)).alias("g"))
     kind_of = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
@@ -47,13 +57,21 @@ def _matches(text: Column, pattern: str, group: int, least: int, kind: str, rank
         return F.struct(end.alias("at"), F.when(F.length(p["v"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     none = F.array().cast(kind_of)
-    folded = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), folded).otherwise(none)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int")), lambda k: F.slice(pieces, k * CHUNK + 1, CHUNK))
+    at = lambda parts: F.coalesce(F.get(parts, F.size(parts) - 1)["at"], F.lit(0))
+    folded = F.aggregate(
+        chunks, F.array().cast(f"array<struct<at:int,out:{kind_of}>>"),
+        lambda parts, chunk: F.concat(parts, F.array(F.aggregate(chunk, F.struct(at(parts).alias("at"), none.alias("out")), step))),
+    )
+    found = F.flatten(F.transform(folded, lambda part: part["out"]))
+    return F.when(text.rlike(pattern) if may is None else may & text.rlike(pattern), found).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
-    """Spans of the patterns by start, then kind."""
-    return F.array_sort(F.concat(*[_matches(text, p, g, n, k, i) for i, (k, (p, g, n)) in enumerate(KINDS.items())]))
+    """Spans of the patterns by start, then kind. A literal part of the pattern, or for hex a long token, is looked for first."""
+    low = F.lower(text)
+    may = {"assign": low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api"), "access": text.contains("AKIA"), "hex": text.rlike(TOKEN)}
+    return F.array_sort(F.concat(*[_matches(text, p, g, n, k, i, may[k]) for i, (k, (p, g, n)) in enumerate(KINDS.items())]))
 
 
 def _pairs(word: Column) -> Column:
@@ -66,7 +84,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     """Log-likelihood ratios, random against ordinary, of all character pairs: a list by code1 * SYMBOLS + code2."""
     every = max(1, docs.count() // sample_docs)
     text = F.coalesce("text", F.lit(""))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("t")).withColumn("base", base_spans(F.col("t")))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("t"))
+    sample = stored(sample.withColumn("base", base_spans(F.col("t"))))  # used twice, found in one scan
     random = sample.select(F.explode("base.value").alias("v"), F.lit(1).alias("label"))
     ordinary = sample.select(F.explode(F.array_except(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)), F.col("base.value"))).alias("v"), F.lit(0).alias("label"))
     ordinary = ordinary.filter(F.length("v") < LONG)  # longer ones are what will be judged
@@ -120,11 +139,11 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFram
     def step(acc, s):
         kept = F.when(s["start"] > acc["at"], F.substr(F.col("t"), acc["at"] + 1, s["start"] - acc["at"])).otherwise(F.lit(""))
         fresh = (s["start"] >= acc["at"]) | (acc["at"] == 0)
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], kept, F.when(fresh, F.lit(mask)).otherwise(F.lit(""))).alias("out"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(kept, F.when(fresh, F.lit(mask)).otherwise(F.lit("")))).alias("out"))
 
     found = scan(docs, **options)
-    done = found.withColumn("done", F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step))
-    text = F.when(F.size("spans") == 0, F.col("doc.text")).otherwise(F.concat("done.out", F.substr(F.col("t"), F.col("done.at") + 1)))
+    done = found.withColumn("done", F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step))
+    text = F.when(F.size("spans") == 0, F.col("doc.text")).otherwise(F.concat(F.array_join("done.out", ""), F.substr(F.col("t"), F.col("done.at") + 1)))
     return done.select(*[text.alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 

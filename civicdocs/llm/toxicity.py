@@ -10,7 +10,7 @@ Defined results: null and wordless texts get the score of the bias alone; a
 document that is labelled twice counts twice; labels that are null are not
 learnt; without any label every score is the bias of an empty model, 0.5, and
 nothing is predicted toxic; repeated rows score alike; an empty table gives an
-empty result; of the input only doc_id and text are read.
+empty result; very long texts count whole; of the input only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -27,11 +27,10 @@ from .text_hash import chunks, distinct, hash_words, mix64
 BITS = 22
 MAX_SAMPLE = 48_000  # labelled documents that are learnt at most, chosen by hash
 SHARD_DOCS = 10_000  # of which so many are learnt in one task
-MIN_DOCS = 4  # features of fewer documents of a shard are left out
+MIN_DOCS = 4  # a feature counts from so many documents of a shard
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 15.0, 0.01
 POSITIVE_WEIGHT = 5.0  # of a toxic example's gradient; they are few
-MAX_WEIGHTS = 500_000  # largest number of weights that is broadcast
 THRESHOLD = 0.7
 
 #: Everything but letters, digits and bytes above ASCII parts words.
@@ -111,7 +110,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shard_docs: int = SHARD_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """(doc_id, text) and (doc_id, label 0/1) -> feature numbers and averaged weights, at most MAX_WEIGHTS."""
+    """(doc_id, text) and (doc_id, label 0/1) -> feature numbers and averaged weights, all that aren't zero: fewer than 2**BITS, about 50 MB at most."""
     sample = labels.filter(F.col("label").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_sample)
     shards = max(1, -(-sample.count() // shard_docs))
     shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)).cast("int")
@@ -119,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shar
     dealt = chosen.select(shard.alias("shard"), F.xxhash64("doc_id", F.lit(11)).alias("order"), "text", F.col("label").cast("int").alias("label"))
     # so many partitions that shards rarely meet in one
     learnt = dealt.repartition(16 * shards, "shard").sortWithinPartitions("shard", "order", "label").mapInArrow(_learn, "feature long, weight double")
-    mean = learnt.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).orderBy(F.desc(F.abs("weight")), "feature").limit(MAX_WEIGHTS)
+    mean = learnt.groupBy("feature").agg((F.sum("weight") / shards).alias("weight"))
     table = mean.toArrow()
     return table["feature"].to_numpy(), table["weight"].to_numpy()
 

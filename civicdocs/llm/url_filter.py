@@ -2,13 +2,16 @@
 
 Rules are matched natively on the parsed host and path. For the rest, host
 labels and path pieces are split into words by a unigram Viterbi whose word
-counts come from the page texts (all words; a name is sent those that occur in it), and a multinomial naive Bayes that was trained
-on the urls with a rule compares block with allow.
+counts come from the visible texts of the pages, each without its own host's
+names (all words; a name is sent those that occur in it), and a multinomial
+naive Bayes that was trained on the urls with a rule compares block with allow.
 
 Defined results: a null url or one without ``://`` has empty host and path and
 is judged by the class priors alone; without any url under a rule everything
 else is allowed; repeated rows are judged alike; an empty table gives an empty
-result; further columns are not read.
+result; further columns are not read; a very long url is one row, and the
+segmentation of a run of letters takes time in proportion to its length, as
+words have MAX_WORD_LENGTH letters at most.
 """
 
 from __future__ import annotations
@@ -46,10 +49,19 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return rule, verdict
 
 
-def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(w, count) of all words."""
-    words = texts.select(F.explode(F.split(F.lower(F.col(column)), "[^a-z]+")).alias("w"))
-    return words.filter(F.length("w").between(2, MAX_WORD_LENGTH)).groupBy("w").count()
+def visible(html: Column) -> Column:
+    """What a reader sees of a page, in lower case: without scripts, styles, comments, tags and entities, and without names that hold dots, such as hosts."""
+    bare = F.regexp_replace(F.lower(html), r"(?s)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;", " ")
+    return F.regexp_replace(bare, r"[a-z0-9-]+(?:\.[a-z0-9-]+)+", " ")
+
+
+def word_counts(texts: DataFrame, column: str, host: Column | None = None) -> DataFrame:
+    """(w, count) of all words of the visible texts, on each page without those that its own host is made of."""
+    words = F.split(visible(F.col(column)), "[^a-z]+")
+    if host is not None:
+        own = F.split(host, r"[^a-z]+")
+        words = F.filter(words, lambda w: ~F.array_contains(own, w))
+    return texts.select(F.explode(words).alias("w")).filter(F.length("w").between(2, MAX_WORD_LENGTH)).groupBy("w").count()
 
 
 def segment(name: str, costs: dict[str, float], worst: float | None = None) -> list[str]:
@@ -133,7 +145,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     said = lambda v: F.sum((F.coalesce("by_rule", F.lit("")) == v).cast("long"))
     uses = ruled.select("by_rule", F.explode(url_runs(F.col("host"), F.col("path"))).alias("key")).groupBy("key").agg(said("block").alias("b"), said("allow").alias("a"))
     uses = stored(uses.withColumn("run", F.expr("substr(key, 3)")))
-    pieces = stored(segmented(uses.select("run").distinct(), stored(word_counts(pages, text_column))))
+    pieces = stored(segmented(uses.select("run").distinct(), stored(word_counts(pages, text_column, parse_url(F.col("url"))[0]))))
     weights = run_weights(uses, pieces)
     if uses.count() <= MAX_SENT:
         weights = F.broadcast(weights)

@@ -337,3 +337,76 @@ def test_control_strings_never_stand_in_content(spark):
     for conv, turns in ((-1, 2), (1, 1), (2, 1), (3, 1)):
         assert got[conv].formatted.count("<|im_start|>") == got[conv].formatted.count("<|im_end|>") == turns
         assert got[conv].escaped == (conv != 3)
+
+
+def test_ftrl_is_the_published_algorithm():
+    """One weight vector, updated example by example in plain Python."""
+    rng = np.random.default_rng(6)
+    examples = [(np.unique(np.append(0, rng.integers(1, 40, 8))).astype(np.int32), int(rng.random() < 0.4)) for _ in range(300)]
+    examples = [(f, int(y or 7 in f)) for f, y in examples]
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= toxicity.L1 else -(zi - np.sign(zi) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for f, y in examples:
+            w = {int(i): weight(int(i)) for i in f}
+            p = 1 / (1 + np.exp(-sum(w.values())))
+            g = (p - y) * (toxicity.POSITIVE_WEIGHT if y else 1.0)
+            for i, wi in w.items():
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / toxicity.ALPHA
+                z[i], n[i] = z.get(i, 0.0) + g - sigma * wi, n.get(i, 0.0) + g * g
+    want = {i: weight(i) for i in z if weight(i)}
+    used, weights = toxicity.ftrl(list(examples), min_docs=1)
+    assert dict(zip(used.tolist(), weights.tolist(), strict=True)) == pytest.approx(want) and 7 in want and len(want) < len(z)
+
+
+def test_footers_make_no_words(spark):
+    """Names of hosts, markup, scripts and entities of a page are no vocabulary, so that a host made of two words is split."""
+    html = "<html><style>zebrafoo</style><body class='zebrafoo'><p>zebra foo zebra&nbsp;foo</p><script>var zebrafoo;</script><!-- zebrafoo --><footer>&copy; Zebrafoo zebrafoo.example.net</footer></body>"
+    pages = spark.createDataFrame([(i, "http://zebrafoo.example.net/en/1", html) for i in range(30)], "page_id long, url string, html string")
+    counts = {r["w"]: r["count"] for r in url_filter.word_counts(pages, "html", url_filter.parse_url(F.col("url"))[0]).collect()}
+    assert counts == {"zebra": 60, "foo": 60}
+    runs = spark.createDataFrame([("zebrafoo",)], "run string")
+    words = spark.createDataFrame(list(counts.items()), "w string, count long")
+    assert url_filter.segmented(runs, words).first().pieces == ["zebra", "foo"]
+    long = spark.createDataFrame([(1, "http://a.org/" + "zebrafoo" * 200, html)], "page_id long, url string, html string")
+    assert url_filter.judge_urls(pages.unionByName(long)).filter("page_id = 1").count() == 2
+
+
+def planted_tokens(n, seed):
+    """Documents of prose and short identifiers, with long identifiers and, in every third, a bare random token; and the random tokens."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    words = "report commission chapter section printed paper number volume public reader author summary title label update request session manager handler factory value index buffer".split()
+    rows, random = [], set()
+    for i in range(n):
+        parts = [*rng.choice(CLEAN, 20), *rng.choice(words, 20), "_".join(rng.choice(words, 2)), "".join(w.title() for w in rng.choice(words, 2))]
+        parts.insert(5, "_".join(rng.choice(words, 4)))
+        parts.insert(9, "".join(w.title() for w in rng.choice(words, 4)))
+        if i % 3 == 0:
+            parts.insert(12, "".join(rng.choice(letters, int(rng.integers(24, 44)))))
+            random.add(parts[12])
+        parts.insert(20, f"password={''.join(rng.choice(letters, 20))}")
+        rows.append((i, " ".join(parts)))
+    return rows, random
+
+
+def test_precision_and_recall_of_bare_tokens(spark):
+    rows, random = planted_tokens(600, 2)
+    found = secret_scan.scan(documents(spark, [(i, t, "a") for i, t in rows])).select(F.explode(F.filter("spans", lambda s: s["kind"] == "model")).alias("m")).collect()
+    hits = [r.m.value for r in found]
+    right = sum(v in random for v in hits)
+    print("bare tokens: recall", right / len(random), "precision", right / len(hits))
+    assert right >= 0.9 * len(random) and right >= 0.9 * len(hits)
+
+
+def test_a_text_of_very_many_secrets(spark):
+    text = " ".join(f"token=abcdefgh{i}" for i in range(3_000))
+    docs = documents(spark, [(1, text, "a"), (2, "nothing", "a")])
+    got = {r.doc.doc_id: r.base for r in secret_scan.scan(docs).collect()}
+    assert len(got[1]) == 3_000 and all(text[s.start : s.end].startswith("token=") for s in got[1][::1000]) and not got[2]
+    assert secret_scan.mask_secrets(docs).filter("doc_id = 1").first().text == " ".join(["[SECRET]"] * 3_000)
+    assert secret_scan.mask_secrets(docs.limit(0)).count() == 0
