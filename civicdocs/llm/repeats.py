@@ -33,12 +33,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 from .sketch import repeated_keys, twice
-from .text_hash import byte_codes, chunks, hash_words, mix64, prefix_hash, window_hash
+from .text_hash import all_hashes, byte_codes, chunks, hash_words, mix64, prefix_hash, window_hash
 
 FLUSH = 1 << 20  # segments that a task holds before it sends them on
 SLICE = 1 << 22  # windows of one text that are worked on together
@@ -101,8 +101,8 @@ def segments(texts: list[bytes], docs: np.ndarray, nul: np.ndarray, rows: np.nda
 def _segments(codes: np.ndarray, owner: np.ndarray, first: np.ndarray, docs: np.ndarray, nul: np.ndarray, rows: np.ndarray, by: Windows) -> np.ndarray:
     n = len(codes)
     prefix = prefix_hash(codes)
-    at = np.arange(n - by.piece + 1)
-    pieces = by.hashes(prefix, at, at + by.piece)
+    pieces = all_hashes(prefix, by.piece - by.gram + 1)[: n - by.piece + 1]
+    at = np.arange(len(pieces))
     low = np.uint64((1 << 26) - 1)
     ranked = (pieces & ~low) | at.astype(np.uint64)  # equal hashes: the leftmost
     anchor = (_least_before(ranked, by.width - by.piece + 1) & low).astype(np.int64)
@@ -157,7 +157,7 @@ def combined(s: np.ndarray) -> Iterator[pa.RecordBatch]:
     announced = s[anchor & hot].copy()
     announced["count"] = 0
     plain = np.concatenate([s[~again & ~hot], announced])
-    by_row = lambda x: mix64(x["row"].astype(np.uint64) + np.uint64(1)).view(np.int64)
+    by_row = lambda x: mix64((x["row"] ^ x["doc"]).view(np.uint64) * np.uint64(3) + x["start"].astype(np.uint64)).view(np.int64)
     for kind, rows, deal in ((MARK, s[again], by_row), (HOT_NEED, s[~again & hot], by_row), (PLAIN, plain, lambda x: np.ascontiguousarray(x["anchor"]))):
         if len(rows):
             yield sent(kind, rows, deal(rows))
@@ -249,11 +249,11 @@ def grouped(dealt: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, nul, doc, row, text binary). Rows without a doc_id are written, so that they keep their numbers."""
+    """(doc_id, text) -> (nul, doc, row, text binary). Rows without a doc_id are written, so that they keep their numbers."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     known = rows.filter("doc_id is not null").withColumn("row", F.xxhash64("text"))
     nameless = stored(rows.filter("doc_id is null").withColumn("row", F.monotonically_increasing_id()))
-    return known.unionByName(nameless).select("doc_id", F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc"), F.coalesce("row", F.lit(0).cast("long")).alias("row"), "text")
+    return known.unionByName(nameless).select(F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc"), F.coalesce("row", F.lit(0).cast("long")).alias("row"), "text")
 
 
 def sketched(docs: DataFrame, by: Windows) -> np.ndarray:
@@ -271,6 +271,11 @@ def per_row(rows: DataFrame, name: str, *fields: str) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.collect_list(F.struct(*fields)).alias(name))
 
 
+def doc_id() -> Column:
+    """Back from the key."""
+    return F.when(~F.col("nul"), F.col("doc")).alias("doc_id")
+
+
 def covered(n: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
     """Which of n units lie in a marked window."""
     edge = np.zeros(n + 1, np.int64)

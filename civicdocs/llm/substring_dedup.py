@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import HOT_NEED, KEY, MARK, NEED, SEGMENT, SENT, WORDS, Windows, _columns, combined, covered, find_segments, grouped, keyed, per_row, units
+from .repeats import HOT_NEED, KEY, MARK, NEED, SEGMENT, SENT, WORDS, Windows, _columns, combined, covered, doc_id, find_segments, grouped, keyed, per_row, units
 from .text_hash import chunks, prefix_hash
 
 
@@ -91,7 +91,7 @@ def marked(docs: DataFrame, by: Windows = WORDS) -> DataFrame:
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "start", "count", "anchor")
     closer = docs.join(need, KEY).select(*KEY, "text", "need").mapInArrow(window_sender(by), SENT)
     marks = found.unionAll(grouped(closer)).filter(F.col("kind") == MARK)
-    return docs.join(per_row(marks, "marks", "start", "count"), KEY, "left").select("doc_id", "text", "marks")
+    return docs.join(per_row(marks, "marks", "start", "count"), KEY, "left").select(doc_id(), "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = WORDS, digest: bool = False) -> DataFrame:

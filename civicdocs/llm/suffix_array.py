@@ -33,7 +33,7 @@ def classify(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _deal(sa: np.ndarray, at: np.ndarray, who: np.ndarray, letters: np.ndarray, forward: bool) -> None:
     """Append positions to their letters' buckets in the given order: from the heads up, or from the tails down."""
-    order = np.argsort(letters, kind="stable")
+    order = np.argsort(letters.astype(np.uint16) if len(at) <= 1 << 16 else letters, kind="stable")
     letters = letters[order]
     first = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]]))
     size = np.diff(np.append(first, len(letters)))
@@ -157,10 +157,32 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     name = np.zeros(len(s), np.int64)
     name[by_substring] = np.cumsum(fresh) - 1
     names = name[lms]
-    order = np.argsort(names) if fresh.all() else suffix_array(names)
+    order = np.argsort(names) if fresh.all() else np.lexsort((ranks_of_equals(names), names))
     return induce(s, is_s, lms[order], size)
 
 
+def ranks_of_equals(names: np.ndarray) -> np.ndarray:
+    """For each place of a string of names a number that orders the suffixes that begin with the same name.
+
+    A name that occurs once decides any comparison that comes to it. So of
+    such names in a row only the first can be met, and the recursion goes into
+    the string without the others.
+    """
+    once = (np.bincount(names) == 1)[names]
+    keep = ~once
+    keep[1:] |= ~once[:-1]
+    keep[-1] = True
+    left = names[keep]
+    there = np.zeros(left.max() + 1, np.int64)
+    there[left] = 1
+    order = suffix_array((np.cumsum(there) - 1)[left])
+    rank = np.zeros(len(left), np.int64)
+    rank[order] = np.arange(len(left))
+    out = np.zeros(len(names), np.int64)
+    out[keep] = rank
+    return out
+
+
 def permuted_common_prefixes(codes: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each position of a byte string its common prefix, up to ``most``, with the suffix before it in the array.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import BYTES, HOT_NEED, KEY, MARK, NEED, Windows, covered, find_segments, keyed, per_row
+from .repeats import BYTES, HOT_NEED, KEY, MARK, NEED, Windows, covered, doc_id, find_segments, keyed, per_row
 from .suffix_array import permuted_common_prefixes, suffix_array
 from .text_hash import byte_codes, mix64, prefix_hash
 
@@ -168,7 +168,7 @@ def marked(docs: DataFrame, by: Windows = BYTES) -> DataFrame:
     sent = docs.join(need, KEY).select(*KEY, "text", "need").mapInArrow(segment_sender(by), SENT)
     singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by.width), MARKS)
     marks = per_row(found.filter(F.col("kind") == MARK).select(*KEY, "start", "count").unionAll(singles), "marks", "start", "count")
-    return docs.join(marks, KEY, "left").select("doc_id", "text", "marks")
+    return docs.join(marks, KEY, "left").select(doc_id(), "text", "marks")
 
 
 def remove_repeats(docs: DataFrame, by: Windows = BYTES, digest: bool = False) -> DataFrame:

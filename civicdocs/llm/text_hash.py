@@ -40,10 +40,9 @@ LONG_WORD = 256  # bytes; longer ones are hashed one by one
 
 def byte_codes(buffer: np.ndarray) -> np.ndarray:
     """For every place of a byte string a 64-bit number of the eight bytes that begin there; beyond the end stand zeros."""
-    padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
-    out = np.zeros(len(buffer), np.uint64)
-    for i in range(8):
-        out |= padded[i : i + len(buffer)].astype(np.uint64) << np.uint64(8 * i)
+    out = np.concatenate([buffer, np.zeros(7, np.uint8)]).astype(np.uint64)
+    for span in (1, 2, 4):
+        out = out[:-span] | out[span:] << np.uint64(8 * span)
     return mix64(out + np.uint64(0x632BE59BD9B4E019))
 
 
@@ -85,6 +84,12 @@ def window_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix64((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64))
 
 
+def all_hashes(prefix: np.ndarray, length: int) -> np.ndarray:
+    """window_hash of every window of so many codes."""
+    n = len(prefix) - length
+    return mix64((prefix[length:] - prefix[:n]) * powers(len(prefix))[1][:n] + np.uint64(length))
+
+
 def chunks(texts: Iterable[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first text, texts) of about CHUNK bytes."""
     held, size, first = [], 0, 0
