@@ -331,6 +331,26 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """No documents; then no labels and no benchmark items, with nulls, repeated rows and a very long text."""
+    import corpus_pipeline
+
+    rows = [(1, "a few words of the report", "en", "a", 1), (1, "a few words of the report", "en", "a", 1), (2, None, "en", None, None), (3, "", None, "a", 0), (4, "long word " * 60_000, "en", "b", 1), (None, "no id here at all", "en", "b", 1), (None, "no id here at all", "en", "b", 1)]
+    labels, items = "doc_id long, quality int, toxic int", "item_id long, text string"
+    for name, docs in (("none", []), ("odd", rows)):
+        at = tmp_path / name
+        spark.createDataFrame(docs, DOCS).withColumn("extra", F.lit(1)).write.parquet(str(at / "documents.parquet"))
+        spark.createDataFrame([], labels).write.parquet(str(at / "labels.parquet"))
+        spark.createDataFrame([], items).write.parquet(str(at / "benchmark.parquet"))
+        stages, left = dict(corpus_pipeline.STAGES), spark.read.parquet(str(at / "documents.parquet"))
+        for stage in ("toxicity", "near_dedup", "decontaminate", "secrets"):
+            left = stages[stage](spark, left, str(at))
+            assert left.columns == list(corpus_pipeline.COLUMNS)
+        # 2 and 3 have no words and link; 1 stands once; rows without an id stay
+        assert sorted((str(r.doc_id) for r in left.collect())) == ([] if name == "none" else ["1", "2", "4", "None", "None"])
+        assert {r.doc_id for r in corpus_pipeline.run(spark, str(at)).collect()} <= {r[0] for r in docs}
+
+
 def test_driver_names():
     entry = importlib.import_module("__spark_entry__")
     assert {int(k[2:].split("_")[0]) for k in entry.queries() if k.startswith("op")} == set(range(1, 11)) and "pipeline" in entry.queries()
