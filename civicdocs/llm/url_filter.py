@@ -51,17 +51,15 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 def visible(html: Column) -> Column:
     """What a reader sees of a page, in lower case: without scripts, styles, comments, tags and entities, and without names that hold dots, such as hosts."""
-    bare = F.regexp_replace(F.lower(html), r"(?s)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;", " ")
-    return F.regexp_replace(bare, r"[a-z0-9-]+(?:\.[a-z0-9-]+)+", " ")
+    bare = F.regexp_replace(F.lower(html), r"(?s)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->|[^>]*+>)|&[a-z0-9#]++;", " ")
+    return F.regexp_replace(bare, r"(?<![a-z0-9-])[a-z0-9-]++(?:\.[a-z0-9-]++)+", " ")
 
 
 def word_counts(texts: DataFrame, column: str, host: Column | None = None) -> DataFrame:
     """(w, count) of all words of the visible texts, on each page without those that its own host is made of."""
-    words = F.split(visible(F.col(column)), "[^a-z]+")
-    if host is not None:
-        own = F.split(host, r"[^a-z]+")
-        words = F.filter(words, lambda w: ~F.array_contains(own, w))
-    return texts.select(F.explode(words).alias("w")).filter(F.length("w").between(2, MAX_WORD_LENGTH)).groupBy("w").count()
+    own = F.array().cast("array<string>") if host is None else F.split(host, "[^a-z]+")
+    words = texts.select(own.alias("own"), F.explode(F.split(visible(F.col(column)), "[^a-z]+")).alias("w"))
+    return words.filter(F.length("w").between(2, MAX_WORD_LENGTH) & ~F.array_contains("own", F.col("w"))).groupBy("w").count()
 
 
 def segment(name: str, costs: dict[str, float], worst: float | None = None) -> list[str]:
