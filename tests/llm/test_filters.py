@@ -1,7 +1,10 @@
 """Toxicity, url filter, decontamination, secrets, chat and mixing against plain Python."""
 
+import collections
+import functools
 import hashlib
 import itertools
+import math
 import re
 import zlib
 
@@ -410,3 +413,62 @@ def test_a_text_of_very_many_secrets(spark):
     assert len(got[1]) == 3_000 and all(text[s.start : s.end].startswith("token=") for s in got[1][::1000]) and not got[2]
     assert secret_scan.mask_secrets(docs).filter("doc_id = 1").first().text == " ".join(["[SECRET]"] * 3_000)
     assert secret_scan.mask_secrets(docs.limit(0)).count() == 0
+
+
+def plain_judgement(rows):
+    """(page_id, url, html) -> page_id: (verdict, log odds), by the definitions and one row after the other."""
+    def names(text, mark):
+        return [mark + ("#" * min(len(r), 6) if r.isdigit() else r) for r in re.findall("[a-z]+|[0-9]+", text.lower())]
+
+    counts, parsed = collections.Counter(), {}
+    for i, url, html in rows:
+        host, path, _, verdict = plain_url(url)
+        parsed[i] = names(host, "h:") + names(path, "p:"), verdict
+        text = re.sub(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;", " ", (html or "").lower(), flags=re.DOTALL)
+        text = re.sub(r"(?<![a-z0-9-])[a-z0-9-]+(\.[a-z0-9-]+)+", " ", text)
+        counts.update(w for w in re.findall("[a-z]+", text) if 2 <= len(w) <= url_filter.MAX_WORD_LENGTH and w not in re.findall("[a-z]+", host))
+    total = sum(counts.values())
+    worst = math.log(total / min(counts.values()))
+
+    @functools.cache
+    def split(name):
+        """Cost and pieces of the cheapest split; of equal ones that with the longest last piece."""
+        if not name:
+            return 0.0, ()
+        ways = []
+        for n in range(min(len(name), url_filter.MAX_WORD_LENGTH), 0, -1):
+            cost, head = split(name[:-n])
+            word = name[-n:]
+            ways.append((cost + (math.log(total / counts[word]) if counts[word] else worst + 2.5 * n), head + (word,)))
+        return min(ways, key=lambda way: way[0])
+
+    def tokens(keys):
+        return [k[:2] + p for k in keys for p in ([k[2:]] if k[2] == "#" else split(k[2:])[1])]
+
+    times = {v: collections.Counter(t for keys, verdict in parsed.values() if verdict == v for t in tokens(keys)) for v in ("block", "allow")}
+    known = times["block"].keys() | times["allow"].keys()
+    size = {v: sum(c.values()) + len(known) for v, c in times.items()}
+    urls = collections.Counter(verdict for _, verdict in parsed.values())
+    out = {}
+    for i, (keys, verdict) in parsed.items():
+        odds = math.log((urls["block"] + 1) / (urls["allow"] + 1))
+        odds += sum(math.log((times["block"][t] + 1) / size["block"]) - math.log((times["allow"][t] + 1) / size["allow"]) for t in tokens(keys) if t in known)
+        out[i] = verdict or ("block" if odds > 0 else "allow"), odds
+    return out
+
+
+def test_url_verdicts_equal_plain_viterbi_and_bayes(spark):
+    """On the whole table, with names run together so that there is something to split."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html")
+    rows = [tuple(r) for r in pages.collect()]
+    words = collections.Counter(w for _, _, html in rows for w in re.findall("[a-z]{4,8}", html or ""))
+    common = sorted(w for w, n in words.items() if n > 5)[:120]
+    top = max(i for i, _, _ in rows)
+    more = [(top + 1 + i, f"http://{a}{b}.{'net' if i % 2 else 'org'}/{'es' if i % 3 else 'xx'}/{b}{a}/{i}", f"<p>{a} {b}</p>") for i, (a, b) in enumerate(zip(common, reversed(common), strict=True))]
+    got = {r.page_id: r for r in url_filter.judge_urls(pages.unionByName(spark.createDataFrame(more, pages.schema))).collect()}
+    plain = plain_judgement(rows + more)
+    assert got.keys() == plain.keys()
+    for i, (verdict, odds) in plain.items():
+        assert got[i].block_log_odds == pytest.approx(odds, abs=1e-6)
+        assert got[i].verdict == verdict or abs(odds) < 1e-6
+    assert sum(got[i].rule is None for i in plain) > 50
