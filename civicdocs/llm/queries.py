@@ -7,6 +7,7 @@ from .decontaminate import OP5_SQL, op5_query
 from .mixing import OP8_SQL, op8_query
 from .secret_scan import op7_query
 from .simhash import op4_query
+from .spelling import op13_query
 from .substring_dedup import op9_query
 from .suffix_dedup import op10_query
 from .topk import OP3_SQL, op3_query
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_source_mix": op8_query,
     "op9_substring_dedup": op9_query,
     "op10_suffix_dedup": op10_query,
+    "op13_spelling_variants": op13_query,
 }
 
 SQL = {"op5_decontaminate": OP5_SQL, "op3_exact_topk": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_source_mix": OP8_SQL}
