@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP6_SQL, op6_query
+from .collocations import OP12_SQL, op12_query
 from .decontaminate import OP5_SQL, op5_query
 from .mixing import OP8_SQL, op8_query
 from .secret_scan import op7_query
@@ -25,7 +26,8 @@ QUERIES = {
     "op8_source_mix": op8_query,
     "op9_substring_dedup": op9_query,
     "op10_suffix_dedup": op10_query,
+    "op12_collocations": op12_query,
     "op13_spelling_variants": op13_query,
 }
 
-SQL = {"op5_decontaminate": OP5_SQL, "op3_exact_topk": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_source_mix": OP8_SQL}
+SQL = {"op5_decontaminate": OP5_SQL, "op3_exact_topk": OP3_SQL, "op6_chat_format": OP6_SQL, "op8_source_mix": OP8_SQL, "op12_collocations": OP12_SQL}
