@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import OP6_SQL, op6_query
 from .collocations import OP12_SQL, op12_query
 from .decontaminate import OP5_SQL, op5_query
+from .minhash import op11_query
 from .mixing import OP8_SQL, op8_query
 from .secret_scan import op7_query
 from .simhash import op4_query
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_source_mix": op8_query,
     "op9_substring_dedup": op9_query,
     "op10_suffix_dedup": op10_query,
+    "op11_minhash_neardup": op11_query,
     "op12_collocations": op12_query,
     "op13_spelling_variants": op13_query,
 }
