@@ -15,7 +15,7 @@ def test_operator(spark, duck, name):  # noqa: F811
     compare(spark, duck, QUERIES[name](spark, DATA), SQL[name])
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SQL])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SQL and not n.startswith("op13_")])
 def test_operator_returns_a_row_for_each_input(spark, name):
     table = "pages" if name.startswith("op2_") else "documents"
     assert QUERIES[name](spark, DATA).count() == spark.read.parquet(f"{DATA}/{table}.parquet").count()
