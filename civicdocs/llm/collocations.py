@@ -1,17 +1,17 @@
 """Phrases of two and three words that stand together more often than their parts let expect.
 
 Counting is done in a HAT-trie: each task numbers the words it meets, and every
-place of a text adds one to the path of its word and the next two (fewer where
-a piece of text ends) in a shallow trie over word numbers: language, first word,
-then a hash container of what follows. A container that grows beyond BURST
-entries becomes a trie node by the second word, with containers of its own.
-When the trie and the words together exceed BUDGET entries, whole subtrees of a
-first word, the largest first, leave as runs sorted by phrase. Runs are written
-once, dealt by ranges of phrases (so that a common prefix may fill several
-partitions) and merged in order: the count of a path's prefix is the
-sum over its subtree, so that one pass gives the counts of one, two and three words.
-Only counts that reach the least one leave a partition, besides the first and the
-last prefix of each, which may go on in its neighbours and are added up afterwards.
+place of a text adds one to the path of its word and the next two (one where a
+piece of text ends) in a shallow trie over word numbers: language, first word,
+then a hash container of what follows. First words of few entries share a container;
+one that grows beyond BURST entries becomes a trie node by the second word, with containers of its own.
+When the trie exceeds BUDGET entries, whole subtrees of a first word, the largest
+first, leave as runs: their paths in order, cut up by prefix partition (a hash of
+language, first and second word), each part one row of a path a line and the counts.
+There are as many partitions as the texts need for one of them to be small, PART_BYTES each;
+the task that a partition is dealt to merges its runs one partition at a time.
+A pair's paths are in one partition, so that the counts of pairs are sums over them. Single words are
+counted beside the trie and leave in the same form. Only counts that reach the least one leave a partition.
 
 A candidate is scored by its worst cut, a * a / (l * r) in decimals of 38 digits.
 
@@ -23,25 +23,33 @@ read. Counts are exact below 2^63, scores while 10^6 a^2 and l r stay below 10^3
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
-from .text_hash import word_codes
+from .common import shuffle_partitions, stored
+from .text_hash import mix64, word_codes
 
 MIN_COUNT = 10
 INSIDE_PERCENT = 50  # a candidate goes if a longer one that holds it has this share of its count
 TOP = 2000
 BURST = 1024  # entries of a container before it is split by the next word
 BUDGET = 400_000  # entries of a task's trie, and words besides, before subtrees leave
-ROWS = 20_000  # of a batch that leaves
+PART_BYTES = 8 << 20  # of text, whose paths make one prefix partition
+OWN = 64  # entries of a first word before it has a container of its own
+LOOK = 50_000  # places at least between two looks at the sizes
+WORD = (1 << 21) - 1  # numbers stay below, as the words are within the budget and a look
 
 #: A-Z in lower case, and what ends a piece as a line feed.
 _TABLE = bytes(10 if b in b".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
+Run = tuple[str, int, np.ndarray, pa.Array, np.ndarray]  # language, words of a path, partitions, paths, counts
 
 
 class Numbers(dict):
@@ -53,164 +61,203 @@ class Numbers(dict):
 
 
 class Node(dict):
-    """A trie node: word number -> container (a plain dict) or node."""
+    """A trie node: word number -> container (counts by what follows) or node."""
 
-    def __missing__(self, word: int) -> dict:
-        self[word] = child = {}
+    def __missing__(self, word: int) -> defaultdict:
+        self[word] = child = defaultdict(int)
         return child
 
 
 class HatTrie:
-    """Counts of (language, first, second, third word)."""
+    """Counts of (language, first, second, third word), and of single words.
+
+    First words share one container a language until they have OWN entries in it.
+    """
 
-    def __init__(self, budget: int = BUDGET, burst: int = BURST):
-        self.budget, self.burst, self.numbers, self.tops, self.size, self.bursts = budget, burst, Numbers(), {}, 0, 0
+    def __init__(self, parts: int = 1, budget: int = BUDGET, burst: int = BURST, own: int = OWN, look: int = LOOK):
+        self.parts, self.budget, self.burst, self.own, self.look = parts, budget, burst, own, look
+        self.numbers, self.tops, self.shared, self.singles, self.bursts, self.next = Numbers(), {}, {}, {}, 0, budget
 
-    def add(self, lang: str, text: bytes) -> Iterator[tuple[str, list[bytes], list[int]]]:
-        """Count every place of a text; gives the runs that leave after a piece that fills the trie."""
-        top = self.tops.setdefault(lang, Node())
+    def add(self, lang: str, text: bytes) -> Iterator[Run]:
+        """Count every place of a text; gives the runs that leave meanwhile."""
+        if lang not in self.tops:
+            self.tops[lang], self.shared[lang], self.singles[lang] = {}, defaultdict(int), Counter()
+        shared, of, single = self.shared[lang], self.tops[lang].get, self.singles[lang]
         for piece in text.translate(_TABLE).split(b"\n"):
-            if self.size > self.budget or len(self.numbers) > self.budget:
-                yield from self.spill()
-            a = [*map(self.numbers.__getitem__, piece.split()), 0, 0]
-            for x, y, z in zip(a, a[1:], a[2:], strict=False):
-                child = top[x]
-                if type(child) is dict:
-                    key = y << 32 | z
-                    n = child.get(key)
-                    if n is not None:
-                        child[key] = n + 1
-                        continue
-                    child[key] = 1
-                    if len(child) > self.burst:
-                        top[x] = self._burst(child)
-                else:
-                    child = child[y]
-                    n = child.get(z)
-                    if n is not None:
-                        child[z] = n + 1
-                        continue
-                    child[z] = 1
-                self.size += 1
-
-    def _burst(self, container: dict) -> Node:
-        node = Node()
-        for key, n in container.items():
-            node[key >> 32][key & 0xFFFFFFFF] = n
-        self.bursts += 1
-        return node
-
-    def spill(self, whole: bool = False) -> Iterator[tuple[str, list[bytes], list[int]]]:
-        """Sorted runs (language, phrases, counts) of the largest subtrees, until half of the budget is free; of all, and the words forgotten, if ``whole``."""
-        whole = whole or len(self.numbers) > self.budget
-        words = [b"", *self.numbers]
-        trees = [(len(c) if type(c) is dict else sum(map(len, c.values())), lang, x) for lang, top in self.tops.items() for x, c in top.items()]
+            a = [*map(self.numbers.__getitem__, piece.split())]
+            single.update(a)
+            a.append(0)
+            for i in range(0, len(a) - 2, self.look):
+                for x, y, z in zip(a[i : i + self.look], a[i + 1 :], a[i + 2 :], strict=False):
+                    child = of(x)
+                    if child is None:
+                        shared[x << 42 | y << 21 | z] += 1
+                    elif type(child) is Node:
+                        child[y][z] += 1
+                    else:
+                        child[y << 21 | z] += 1
+                self.next -= min(len(a) - i, self.look)
+                if self.next < 0:
+                    yield from self.spill()
+
+    def entries(self) -> int:
+        return sum(t[0] for t in self.sizes()) + sum(map(len, self.shared.values()))
+
+    def sizes(self) -> list[tuple[int, str, int]]:
+        """(entries, language, first word) of the subtrees; containers that have grown are split on the way."""
+        out = []
+        for lang, top in self.tops.items():
+            for x, child in top.items():
+                if type(child) is not Node and len(child) > self.burst:
+                    node = Node()
+                    for key, n in child.items():
+                        node[key >> 21][key & WORD] = n
+                    top[x] = child = node
+                    self.bursts += 1
+                out.append((sum(map(len, child.values())) if type(child) is Node else len(child), lang, x))
+        return out
+
+    def _part_off(self) -> None:
+        """First words with entries enough leave the shared containers for their own."""
+        for lang, shared in self.shared.items():
+            keys = np.fromiter(shared, np.int64, len(shared))
+            words, n = np.unique(keys >> 42, return_counts=True)
+            for key in keys[np.isin(keys >> 42, words[n >= self.own])].tolist():
+                self.tops[lang].setdefault(key >> 42, defaultdict(int))[key & (1 << 42) - 1] = shared.pop(key)
+
+    def spill(self, whole: bool = False) -> Iterator[Run]:
+        """What has to leave: the largest subtrees, then the shared containers, until half of the budget is free; all if ``whole``."""
+        self._part_off()
+        trees = self.sizes()
+        size = sum(t[0] for t in trees) + sum(map(len, self.shared.values()))
+        if size <= self.budget and len(self.numbers) <= self.budget and not whole:
+            self.next = max(self.look, self.budget - size)
+            return
+        whole = whole or len(self.numbers) > self.budget  # numbers are given anew: nothing may stay behind
         trees.sort(key=lambda t: -t[0])
-        for size, lang, x in trees:
-            if not whole and self.size <= self.budget // 2:
+        left: dict[str, tuple[list, list]] = {lang: ([], []) for lang in self.tops}
+        for n, lang, x in trees:
+            if not whole and size <= self.budget // 2:
                 break
-            tree, first = self.tops[lang].pop(x), words[x]
-            if type(tree) is dict:
-                run = sorted((b"%b %b %b" % (first, words[k >> 32], words[k & 0xFFFFFFFF]), n) for k, n in tree.items())
+            keys, counts = left[lang]
+            child = self.tops[lang].pop(x)
+            if type(child) is Node:
+                for y, c in child.items():
+                    keys += [x << 42 | y << 21 | z for z in c]
+                    counts += c.values()
             else:
-                run = sorted((b"%b %b %b" % (first, words[y], words[z]), n) for y, c in tree.items() for z, n in c.items())
-            self.size -= size
-            yield lang, [r[0] for r in run], [r[1] for r in run]
+                keys += [x << 42 | k for k in child]
+                counts += child.values()
+            size -= n
+        for lang, shared in self.shared.items():
+            if whole or size > self.budget // 2:
+                keys, counts = left[lang]
+                keys += shared
+                counts += shared.values()
+                size -= len(shared)
+                shared.clear()
+        self.next = max(self.look, self.budget - size)
+        words = pa.array([b"", *self.numbers], pa.binary())
+        rank = np.empty(len(words), np.int64)
+        rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+        codes = self._codes(words)
+        for lang, (keys, counts) in left.items():
+            key, n = np.array(keys, np.int64), np.array(counts, np.int64)
+            x, y, z = key >> 42, key >> 21 & WORD, key & WORD
+            part = self._part(lang, codes[x], codes[y])
+            order = np.lexsort((rank[x] << 42 | rank[y] << 21 | rank[z], part))
+            yield lang, 3, part[order], pc.binary_join_element_wise(*(words.take(pa.array(i[order])) for i in (x, y, z)), b" "), n[order]
         if whole:
+            for lang, single in self.singles.items():
+                x, n = np.array([*single.keys()], np.int64), np.array([*single.values()], np.int64)
+                part = self._part(lang, codes[x], np.zeros(len(x), np.uint64))
+                order = np.lexsort((rank[x], part))
+                yield lang, 1, part[order], words.take(pa.array(x[order])), n[order]
+                single.clear()
             self.numbers = Numbers()
 
+    def _codes(self, words: pa.Array) -> np.ndarray:
+        ends = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+        return word_codes(np.frombuffer(words.buffers()[2] or b"", np.uint8), ends[:-1], ends[1:])
 
-def _runs(batches: Iterator[pa.RecordBatch], budget: int, burst: int) -> Iterator[pa.RecordBatch]:
-    trie = HatTrie(budget, burst)
+    def _part(self, lang: str, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        own = self._codes(pa.array([lang.encode()], pa.binary()))
+        return (mix64(one * _MIX[0] + two * _MIX[1] + own * _MIX[2]) % np.uint64(self.parts)).astype(np.int64)
 
-    def gathered(runs):
-        langs, phrases, counts = [], [], []
-        for lang, p, n in runs:
-            langs += [lang] * len(p)
-            phrases += p
-            counts += n
-            if len(phrases) >= ROWS:
-                yield pa.record_batch({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "n": pa.array(counts, pa.int64())})
-                langs, phrases, counts = [], [], []
-        if phrases:
-            yield pa.record_batch({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "n": pa.array(counts, pa.int64())})
 
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            yield from gathered(trie.add(lang, text.as_py() or b""))
-    yield from gathered(trie.spill(whole=True))
+def _rows(runs: Iterator[Run]) -> Iterator[pa.RecordBatch]:
+    """Runs as rows (part, lang, words, paths, n), one for each partition that a run meets: a path a line, counts as 64-bit numbers."""
+    for lang, words, part, paths, n in runs:
+        if not len(part):
+            continue
+        lines = pc.binary_join_element_wise(paths, b"", b"\n")
+        ends = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1]
+        text, counts = lines.buffers()[2].to_pybytes(), n.astype("<i8").tobytes()
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        stops = [*starts[1:].tolist(), len(part)]
+        held = [(text[ends[a] : ends[b]], counts[8 * a : 8 * b]) for a, b in zip(starts.tolist(), stops, strict=True)]
+        yield pa.record_batch({
+            "part": pa.array(part[starts]), "lang": pa.array([lang] * len(starts)), "words": pa.array([words] * len(starts), pa.int32()),
+            "paths": pa.array([h[0] for h in held], pa.binary()), "n": pa.array([h[1] for h in held], pa.binary()),
+        })
 
 
-def _borders(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """First rows of the groups of neighbours with the same bytes; ``other`` marks rows that begin a group anyway."""
-    codes, size = word_codes(buffer, start, end), end - start
-    return np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (size[1:] != size[:-1])]) | other)
+def _counted(batches: Iterator[pa.RecordBatch], parts: int, limits: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    trie = HatTrie(parts, **limits)
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+            yield from _rows(trie.add(lang, text.as_py() or b""))
+    yield from _rows(trie.spill(whole=True))
 
 
 def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, n) in order -> (lang, words, phrase, n) of the prefixes that reach ``least``, and of those at both ends of the partition."""
-    open_: dict[int, list] = {}  # by number of words: [lang, phrase, n, whether nothing stood before it]
-    out: list[tuple] = []
-
-    def close(words: int, last: bool = False) -> None:
-        lang, phrase, n, first = open_.pop(words)
-        if words == 0 or (n >= least or first or last) and not phrase.endswith(b" "):
-            out.append((lang, words, phrase, n))
-
-    def met(words: int, lang: str, phrase: bytes, n: int, begun: bool) -> None:
-        """A group at an end of a batch: it may go on."""
-        held = open_.get(words)
-        if held and held[0] == lang and held[1] == phrase:
-            held[2] += n
-            return
-        if held:
-            close(words)
-        open_[words] = [lang, phrase, n, begun]
-
-    def flushed():
-        rows = pa.record_batch({
-            "lang": pa.array([r[0] for r in out], pa.string()), "words": pa.array([r[1] for r in out], pa.int32()), "phrase": pa.array([r[2] for r in out], pa.string()),
-            "n": pa.array([r[3] for r in out], pa.int64()),
-        })
-        out.clear()
-        return rows
-
-    begun = True
+    """Runs, those of a partition together -> (lang, words, phrase, n) of what reaches ``least``; of all words of a language as the phrase of 0 words."""
+
+    def summed(lang: str, words: int, runs: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        buffer = b"".join(r[0] for r in runs)
+        ends = np.concatenate([[0], np.flatnonzero(np.frombuffer(buffer, np.uint8) == 10) + 1])
+        paths = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(buffer)])
+        counts = pa.array(np.frombuffer(b"".join(r[1] for r in runs), "<i8"))
+        whole = pa.table({"phrase": paths, "n": counts}).group_by("phrase").aggregate([("n", "sum")])
+        found = [(words, whole.filter(pc.greater_equal(whole["n_sum"], least)))]
+        if words == 1:
+            total = pa.table({"phrase": pa.array([b"\n"], pa.large_binary()), "n_sum": pa.array([pc.sum(counts).as_py()], pa.int64())})
+            found.append((0, total))
+        else:
+            pairs = pc.list_element(pc.split_pattern(whole["phrase"], b" ", max_splits=1, reverse=True), 0)
+            pairs = pa.table({"phrase": pairs, "n": whole["n_sum"]}).group_by("phrase").aggregate([("n", "sum")])
+            found.append((2, pairs.filter(pc.greater_equal(pairs["n_sum"], least))))
+        for k, table in found:
+            phrases = [p.removesuffix(b"\n") for p in table["phrase"].to_pylist()]
+            keep = [i for i, p in enumerate(phrases) if k != 3 or not p.endswith(b" ")]  # a piece's last pair has no third word
+            yield pa.record_batch({
+                "lang": pa.array([lang] * len(keep), pa.string()), "words": pa.array([k] * len(keep), pa.int32()),
+                "phrase": pa.array([phrases[i] for i in keep], pa.string()), "n": table["n_sum"].combine_chunks().take(pa.array(keep, pa.int64())),
+            })
+
+    at, held = None, []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        lang, text, n = batch.column("lang"), batch.column("phrase").cast(pa.large_binary()), batch.column("n").to_numpy()
-        ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-        buffer = np.frombuffer(text.buffers()[2], np.uint8)[: ends[-1]]
-        start, end = ends[:-1], ends[1:]
-        spaces = (np.flatnonzero(buffer[ends[0] :] == 32) + ends[0]).reshape(-1, 2)
-        codes = lang.dictionary_encode().indices.to_numpy()
-        other = np.concatenate([[True], codes[1:] != codes[:-1]])
-        for words, stop in enumerate((start, spaces[:, 0], spaces[:, 1], end)):
-            first = np.flatnonzero(other) if words == 0 else _borders(buffer, start, stop, other)
-            sums = np.add.reduceat(n, first)
-            phrase = lambda i, stop=stop: buffer[start[i] : stop[i]].tobytes()
-            met(words, lang[int(first[0])].as_py(), phrase(first[0]), int(sums[0]), begun)
-            if len(first) > 1:
-                close(words)
-                inner = np.flatnonzero((sums[1:-1] >= least) | (words == 0)) + 1
-                out += [(lang[int(i)].as_py(), words, p, int(s)) for i, s in zip(first[inner].tolist(), sums[inner].tolist(), strict=True) if not (p := phrase(i)).endswith(b" ")]
-                met(words, lang[int(first[-1])].as_py(), phrase(first[-1]), int(sums[-1]), False)
-        begun = False
-        if len(out) >= ROWS:
-            yield flushed()
-    for words in list(open_):
-        close(words, last=True)
-    yield flushed()
-
-
-def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, budget: int = BUDGET, burst: int = BURST) -> DataFrame:
+        columns = [batch.column(c).to_pylist() for c in ("part", "lang", "words")]
+        for key, paths, n in zip(zip(*columns, strict=True), batch.column("paths"), batch.column("n"), strict=True):
+            if key != at and held:
+                yield from summed(at[1], at[2], held)
+                held = []
+            at = key
+            held.append((paths.as_py(), n.as_py()))
+    if held:
+        yield from summed(at[1], at[2], held)
+
+
+def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, part_bytes: int = PART_BYTES, **limits: int) -> DataFrame:
     """(lang, text) -> lang, words, phrase, n: phrases of 1 to 3 words that occur so often at least, and all words of the language as the phrase of 0 words."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    runs = stored(texts.mapInArrow(lambda it: _runs(it, budget, burst), "lang string, phrase string, n long"), "runs")
-    dealt = runs.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-    parts = dealt.mapInArrow(lambda it: _merged(it, least), "lang string, words int, phrase string, n long")
-    return parts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter((F.col("words") == 0) | (F.col("n") >= least))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(4 * shuffle_partitions(docs.sparkSession), -(-size // part_bytes))
+    runs = texts.mapInArrow(lambda it: _counted(it, parts, limits), "part long, lang string, words int, paths binary, n binary")
+    dealt = runs.repartition("part").sortWithinPartitions("part", "lang", "words")
+    counts = stored(dealt.mapInArrow(lambda it: _merged(it, least), "lang string, words int, phrase string, n long"), "phrases")
+    totals = counts.filter("words = 0").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return counts.filter("words > 0").unionAll(totals)
 
 
 def _wide(c: str):
@@ -219,7 +266,7 @@ def _wide(c: str):
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, inside_percent: int = INSIDE_PERCENT, top: int = TOP, **limits: int) -> DataFrame:
     """(lang, text) -> lang, rank, phrase, a, l, r, n, score: the best phrases of each language."""
-    counts = stored(phrase_counts(docs, least, **limits))
+    counts = phrase_counts(docs, least, **limits)
     candidates = counts.filter("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"))
     k = F.col("k")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).withColumns({

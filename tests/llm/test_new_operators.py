@@ -106,7 +106,7 @@ def plain_collocations(rows, least, top):
     return {(lang, ranks.update([lang]) or ranks[lang], p, -a, l, r, totals[lang], -s) for lang, s, a, p, l, r in out if ranks[lang] < top}
 
 
-@pytest.mark.parametrize("limits", [{}, {"budget": 60, "burst": 3}])
+@pytest.mark.parametrize("limits", [{}, {"budget": 60, "burst": 3, "own": 2, "look": 7, "part_bytes": 300}])
 def test_collocations(spark, limits):
     """With a tiny budget containers burst and subtrees leave all the time; the counts stay."""
     rnd = random.Random(2)
@@ -120,19 +120,25 @@ def test_collocations(spark, limits):
 
 
 def test_hat_trie_bursts_and_spills():
-    trie = collocations.HatTrie(budget=50, burst=4)
+    trie = collocations.HatTrie(parts=5, budget=50, burst=4, own=2, look=10)
     runs = [r for text in (b"a b c d e f g. a c e. a d f. a e g", b"a f b a g b", b"a h i " * 30) for r in trie.add("en", text)]
-    assert trie.bursts and not runs
+    assert trie.entries() == 21 and trie.bursts and not runs
     many = b" ".join(b"w%d" % i for i in range(40)) + b"."
     runs += list(trie.add("en", many + many))
-    assert runs and trie.size <= 50 + 42  # a piece at most stands above the budget
+    assert runs and trie.entries() <= 50 + 10  # LOOK places at most stand above the budget
     runs += list(trie.spill(whole=True))
-    assert trie.size == 0 and not trie.numbers
-    total = Counter()
-    for _, phrases, counts in runs:
-        assert phrases == sorted(phrases)
-        total.update(dict(zip(phrases, counts, strict=True)))
-    assert total[b"a h i"] == 30 and total[b"w38 w39 "] == 2 and sum(total.values()) == 7 + 9 + 6 + 90 + 80
+    assert not trie.entries() and not trie.numbers
+    total, parts = Counter(), {}
+    for _, words, part, paths, counts in runs:
+        assert (np.diff(part) >= 0).all()
+        for p, path, n in zip(part.tolist(), paths.to_pylist(), counts.tolist(), strict=True):
+            total[words, path] += n
+            assert parts.setdefault((words, b" ".join(path.split(b" ")[:2])), p) == p
+        for p in set(part.tolist()):
+            own = [path.split(b" ") for path, q in zip(paths.to_pylist(), part.tolist(), strict=True) if q == p]
+            assert own == sorted(own)
+    assert total[3, b"a h i"] == 30 and total[3, b"w38 w39 "] == 2 and total[1, b"a"] == 36
+    assert sum(n for (w, _), n in total.items() if w == 3) == 6 + 2 + 2 + 2 + 5 + 89 + 78 and sum(n for (w, _), n in total.items() if w == 1) == 16 + 6 + 90 + 80
 
 
 def test_scores_beyond_64_bits(spark):
