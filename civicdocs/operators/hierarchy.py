@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicdocs.functions.text import chapter_label, localized, nz, section_kind, section_label, truthy
+from civicdocs.operators.numbering import global_index
 
 
 def serial_order(serial: str = "serial", id_: str = "id") -> list[Column]:
@@ -13,14 +16,23 @@ def serial_order(serial: str = "serial", id_: str = "id") -> list[Column]:
     return [F.coalesce(F.col(serial), F.lit(0)), F.col(id_)]
 
 
+#: Places in the exports' arrays, from the top.
+LISTED = ("book_pos", "file_name", "volume_pos", "chapter_pos", "section_pos")
+
+
 def flatten_chapters(chapters: DataFrame, outer: bool = False) -> DataFrame:
-    """Chapter trees -> one row for each section, and its paragraphs as they were; ``outer`` keeps chapters without sections."""
+    """Chapter trees -> one row for each section, and its paragraphs as they were; ``outer`` keeps chapters without sections.
+
+    The section's place in its array comes along as section_pos, the places of
+    chapter and volume and the volume's name where the chapters have them.
+    """
     generate = F.posexplode_outer if outer else F.posexplode
+    listed = [c for c in (*LISTED[:-1], "volume_name") if c in chapters.columns]
     return chapters.select(
-        "book_id", F.col("volume_id") if "volume_id" in chapters.columns else F.lit(None).cast("long").alias("volume_id"),
+        "book_id", F.col("volume_id") if "volume_id" in chapters.columns else F.lit(None).cast("long").alias("volume_id"), *listed,
         F.col("id").alias("chapter_id"), F.col("serial").alias("chapter_serial"), F.col("title").alias("chapter_title"), F.col("nameBangla").alias("chapter_bangla"),
         generate("sections").alias("section_pos", "s"),
-    ).select("book_id", "volume_id", "chapter_id", "chapter_serial", "chapter_title", "chapter_bangla", "section_pos", F.col("s.id").alias("section_id"), "s.serial", "s.name", "s.nameBangla", "s.hasPdf", "s.pdfName", "s.header", "s.paragraphs")
+    ).select("book_id", "volume_id", *listed, "chapter_id", "chapter_serial", "chapter_title", "chapter_bangla", "section_pos", F.col("s.id").alias("section_id"), "s.serial", "s.name", "s.nameBangla", "s.hasPdf", "s.pdfName", "s.header", "s.paragraphs")
 
 
 def flatten_volumes(volumes: DataFrame) -> DataFrame:
@@ -35,8 +47,9 @@ def flatten_paragraphs(sections: DataFrame) -> DataFrame:
 
 
 def branches(books: DataFrame, direct: DataFrame, by_volume: DataFrame) -> DataFrame:
-    """Chapters of commissions with volumes from their volumes, of all others (an unknown flag included) directly."""
-    flagged = books.select(F.col("id").alias("book_id"), truthy("hasVolume").alias("__volumes"))
+    """Chapters of commissions with volumes from their volumes, of all others (an unknown flag, or no such column, included) directly."""
+    flag = truthy("hasVolume") if "hasVolume" in books.columns else F.lit(False)
+    flagged = books.select(F.col("id").alias("book_id"), flag.alias("__volumes"))
     of = lambda rows, flag: rows.join(flagged.filter(F.col("__volumes") == flag), "book_id", "left_semi")
     return of(by_volume, True).unionByName(of(direct, False), allowMissingColumns=True)
 
@@ -64,6 +77,45 @@ def tree_order(nodes: DataFrame, parents: list[str], keys: list[str], levels: li
     return nodes.withColumn("position", F.row_number().over(w).cast("long")).withColumn("path", F.array(*steps))
 
 
+def tree_nodes(books: DataFrame, volumes: DataFrame, chapters: DataFrame, sections: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """All nodes of the collection as rows: kind, id, path, from the top an array of (serial, id) by which the whole tree sorts.
+
+    (id, serial) of commissions; volumes with book_id; (chapter_id, serial,
+    book_id, volume_id) of chapters, of null volume_id where they hang from the
+    commission itself; sections with chapter_id and section_key; paragraphs
+    (id, serial) with section_key. A node whose parent isn't there is left out.
+    """
+
+    def step(id_: str) -> Column:
+        return F.array(F.struct(F.coalesce("serial", F.lit(0)).cast("int").alias("serial"), F.col(id_).cast("long").alias("id")))
+
+    def below(children: DataFrame, parents: DataFrame, key: str, id_: str, *keep: str) -> DataFrame:
+        rows = children.select(key, F.col(id_).alias("id"), step(id_).alias("own"), *keep)
+        return rows.join(parents.select(key, F.col("path").alias("above")), key).select("id", F.concat("above", "own").alias("path"), *keep)
+
+    top = books.select("id", step("id").alias("path"), F.col("id").alias("book_id"))
+    by_volume = below(volumes.withColumn("volume_id", F.col("id")), top, "book_id", "id", "volume_id")
+    direct = below(chapters.filter("volume_id is null"), top, "book_id", "chapter_id", "chapter_id")
+    chapter = direct.unionByName(below(chapters.filter("volume_id is not null"), by_volume, "volume_id", "chapter_id", "chapter_id"))
+    section = below(sections, chapter, "chapter_id", "id", "section_key")
+    paragraph = below(paragraphs, section, "section_key", "id")
+    kinds = (("commission", top), ("volume", by_volume), ("chapter", chapter), ("section", section), ("paragraph", paragraph))
+    return reduce(DataFrame.unionByName, [nodes.select(F.lit(kind).alias("kind"), "id", "path") for kind, nodes in kinds])
+
+
+def preorder(nodes: DataFrame) -> DataFrame:
+    """Nodes of distinct ``path`` -> with rn, their number in display order from 1, and subtree_end, the number of the last node below.
+
+    The rows of a subtree are those from rn to subtree_end, so that a subtree is
+    a range. Nodes are numbered by range partitions of their paths; descendants
+    are counted by adding one to every prefix of a path, combined before they move.
+    """
+    numbered = global_index(nodes, F.col("path"))
+    prefixes = nodes.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda k: F.slice("path", F.lit(1), k))).alias("path"))
+    sizes = prefixes.groupBy("path").agg(F.count("*").alias("__size"))
+    return numbered.join(sizes, "path").withColumn("subtree_end", F.col("rn") + F.col("__size") - 1).drop("__size")
+
+
 def nest_sections(sections: DataFrame) -> DataFrame:
     """(chapter_id, id, serial, name, hasPdf, pdfName) -> chapter_id, sections: sorted and labelled."""
     item = F.struct(F.coalesce("serial", F.lit(0)).alias("serial"), "id", section_label("name").alias("label"), section_kind("hasPdf", "pdfName").alias("kind"))

@@ -16,10 +16,14 @@ from civicdocs.operators import hierarchy as H
 from civicdocs.operators import manifest as M
 from civicdocs.operators import numbering as N
 from civicdocs.operators import texts as S
+from civicdocs.operators import versions as V
 from civicdocs.plans.standins import ctes, entity, table
+from civicdocs.sources import listing as L
 from civicdocs.sources import readers as R
+from civicdocs.sources import writers as W
+from civicdocs.sources.schemas import BOOK
 from civicdocs.sources.storage import shared_dir
-from civicdocs.sources.writers import name_files, write_json_arrays
+from civicdocs.sources.writers import name_files
 from civicdocs.streaming import incremental as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,10 +53,58 @@ def _long(name: str):
 # Sources: tables are written in the exports' forms and read back with the fixed schemas.
 
 
+FILE_ROWS = 20_000  # commissions, volumes or chapters of one export file, about
+OWN_FILES = 8  # so many commissions have a file of their own, which alone tells whose it is
+
+
+def _export(rows: DataFrame, path: str, own: str, other: str) -> None:
+    """(book_id, place, item) -> JSON arrays in order of place: ``own``<id>.json for some commissions, ``other``<k>.json for the rest, which are dealt by size."""
+    files = max(4, rows.count() // FILE_ROWS)
+    named = F.when(F.col("book_id") <= OWN_FILES, F.concat(F.lit(own), "book_id")).otherwise(F.concat(F.lit(other), F.pmod("book_id", F.lit(files))))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"])
+    rows.groupBy(named.alias("file")).agg(F.to_json(listed).alias("value")).write.partitionBy("file").text(path)
+    names = [f"{own}{i}" for i in range(OWN_FILES + 1)] + [f"{other}{i}" for i in range(files)]
+    name_files(rows.sparkSession, path, {f"file={n}": f"{n}.json" for n in names})
+
+
+def _inside():
+    """The commission as it stands inside a record, where the file's name doesn't tell it."""
+    return F.when(F.col("book_id") > OWN_FILES, F.struct(F.col("book_id").alias("id"))).alias("book")
+
+
+def _listed_sections(spark, d) -> DataFrame:
+    """chapter_id, sections: listed against the order of their serials."""
+    s = entity(spark, d, "section").select("chapter_id", (-F.col("section_id")).alias("a"), (-F.col("serial")).alias("b"), F.struct(F.col("section_id").alias("id"), "name", "nameBangla", "serial", "hasPdf", "pdfName").alias("s"))
+    return s.groupBy("chapter_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("a", "b", "s"))), lambda x: x["s"]).alias("sections"))
+
+
+def _chapter_item(*more):
+    return F.struct(F.col("chapter_id").alias("id"), "serial", "title", "nameBangla", "chapterName", *more, "sections")
+
+
+def _export_chapters(spark, d, path, lot="true") -> None:
+    """Chapter files of all commissions, listed against the order of their ids."""
+    c = entity(spark, d, "chapter").join(_listed_sections(spark, d), "chapter_id", "left").filter(lot)
+    _export(c.select("book_id", (-F.col("chapter_id")).alias("place"), _chapter_item(_inside()).alias("item")), path, "chapters-commission-", "chapters-part")
+
+
+def _export_volumes(spark, d, path, lot="true") -> None:
+    """Volume files of all commissions, with their chapters."""
+    c = entity(spark, d, "chapter").join(_listed_sections(spark, d), "chapter_id", "left").select("volume_id", F.struct((-F.col("chapter_id")).alias("place"), _chapter_item().alias("item")).alias("c"))
+    held = c.groupBy(F.col("volume_id").alias("id")).agg(F.transform(F.array_sort(F.collect_list("c")), lambda x: x["item"]).alias("chapters"))
+    v = entity(spark, d, "volume").join(held, "id", "left").filter(lot)
+    _export(v.select("book_id", (-F.col("id")).alias("place"), F.struct("id", "serial", "name", _inside(), "chapters").alias("item")), path, "volume-wise-commission-", "volumes-commission-part")
+
+
+def _export_books(spark, d, path) -> None:
+    whole = F.struct("id", "name", "nameBangla", "serial", "hasVolume", "pdfName", "summaryFileName", "summaryEn")
+    _export(entity(spark, d, "book").select(F.col("id").alias("book_id"), (-F.col("id")).alias("place"), whole.alias("item")), path, "books-", "books-part")
+
+
 @query(ctes("book") + " SELECT id, name, nameBangla, CAST(serial AS BIGINT) AS serial, hasVolume, pdfName, summaryFileName, summaryEn FROM book")
 def read_books(spark, d):
     path = _scratch(spark, "books")
-    write_json_arrays(entity(spark, d, "book").withColumn("bucket", F.col("id") % 8), path, "bucket")
+    _export_books(spark, d, path)
     return R.read_books(spark, path).select("id", "name", "nameBangla", _long("serial"), "hasVolume", "pdfName", "summaryFileName", "summaryEn")
 
 
@@ -64,38 +116,30 @@ def _nested_chapters(spark, d) -> DataFrame:
 
 @query(
     ctes("chapter", "section")
-    + """ SELECT CASE WHEN c.book_id % 16 < 12 THEN c.book_id % 16 ELSE c.book_id END AS book_id, c.chapter_id AS id, CAST(c.serial AS BIGINT) AS serial, c.title, count(s.section_id)::BIGINT AS n_sections, count(CASE WHEN s.hasPdf THEN 1 END)::BIGINT AS n_flagged
+    + """ SELECT c.book_id, c.chapter_id AS id, CAST(c.serial AS BIGINT) AS serial, c.title, count(s.section_id)::BIGINT AS n_sections, count(CASE WHEN s.hasPdf THEN 1 END)::BIGINT AS n_flagged
     FROM chapter c LEFT JOIN section s USING (chapter_id) GROUP BY ALL"""
 )
 def read_chapters(spark, d):
-    """Sixteen files, of which the last four don't name their commission: there the embedded id counts."""
+    """Some files tell their commission by their name alone, in the others the embedded id counts."""
     path = _scratch(spark, "chapters")
-    rows = _nested_chapters(spark, d).select((F.col("book_id") % 16).alias("bucket"), F.col("chapter_id").alias("id"), "serial", "title", "nameBangla", "chapterName", F.struct(F.col("book_id").alias("id")).alias("book"), "sections")
-    write_json_arrays(rows, path, "bucket")
-    name_files(spark, path, {f"bucket={i}": f"chapters-commission-{i}.json" if i < 12 else f"export{i}.json" for i in range(16)})
+    _export_chapters(spark, d, path)
     got = R.read_chapters(spark, path)
     n = F.coalesce(F.size("sections"), F.lit(0)).cast("long")
     flagged = F.coalesce(F.size(F.filter("sections", lambda s: X.truthy(s["hasPdf"]))), F.lit(0)).cast("long")
     return got.select("book_id", "id", _long("serial"), "title", n.alias("n_sections"), flagged.alias("n_flagged"))
 
 
-@query(ctes("volume") + " SELECT book_id % 8 AS book_id, id, CAST(serial AS BIGINT) AS serial, name FROM volume")
+@query(ctes("volume") + " SELECT book_id, id, CAST(serial AS BIGINT) AS serial, name FROM volume")
 def read_volumes(spark, d):
     path = _scratch(spark, "volumes")
-    rows = entity(spark, d, "volume").select((F.col("book_id") % 8).alias("bucket"), "id", "serial", "name", F.struct(F.col("book_id").alias("id")).alias("book"))
-    write_json_arrays(rows, path, "bucket")
-    name_files(spark, path, {f"bucket={i}": f"{'volumes' if i < 4 else 'volume-wise'}-commission-{i}.json" for i in range(8)})
+    _export_volumes(spark, d, path)
     return R.read_volumes(spark, path).select("book_id", "id", _long("serial"), "name")
 
 
-@query(ctes("volume", "chapter") + " SELECT v.book_id % 8 AS book_id, v.id, count(*)::BIGINT AS n_chapters, min(c.chapter_id) AS first_chapter FROM volume v JOIN chapter c ON c.volume_id = v.id GROUP BY ALL")
+@query(ctes("volume", "chapter") + " SELECT v.book_id, v.id, count(*)::BIGINT AS n_chapters, min(c.chapter_id) AS first_chapter FROM volume v JOIN chapter c ON c.volume_id = v.id GROUP BY ALL")
 def read_volume_trees(spark, d):
     path = _scratch(spark, "volume-trees")
-    c = entity(spark, d, "chapter").groupBy("volume_id").agg(F.collect_list(F.struct(F.col("chapter_id").alias("id"), "serial", "title")).alias("chapters"))
-    v = entity(spark, d, "volume")
-    rows = v.join(c, v["id"] == c["volume_id"]).select((F.col("book_id") % 8).alias("bucket"), "id", "serial", "name", F.struct(F.col("book_id").alias("id")).alias("book"), "chapters")
-    write_json_arrays(rows, path, "bucket")
-    name_files(spark, path, {f"bucket={i}": f"{'volumes' if i % 2 else 'volume-wise'}-commission-{i}.json" for i in range(8)})
+    _export_volumes(spark, d, path)
     flat = H.flatten_volumes(R.read_volume_trees(spark, path))
     return flat.groupBy("book_id", F.col("volume_id").alias("id")).agg(F.count("*").alias("n_chapters"), F.min(flat["id"]).alias("first_chapter"))
 
@@ -137,6 +181,28 @@ def bad_records(spark, d):
     return read.agg(F.count_if(F.col("id").isNotNull() & F.col("_corrupt").isNull()).alias("good"), F.count_if(F.col("_corrupt").isNotNull()).alias("bad"))
 
 
+@query(
+    """WITH f AS (SELECT c_nationkey * 4 + c_custkey % 4 AS k, count(*) AS n FROM customer GROUP BY 1)
+    SELECT 'books-' || k || '.json' AS file_name, CASE WHEN f.n IS NULL THEN 'missing' WHEN k % 5 = 0 THEN 'bad' WHEN k % 7 = 3 THEN 'empty' ELSE 'ok' END AS status,
+      CASE WHEN f.n IS NULL OR k % 5 = 0 OR k % 7 = 3 THEN 0 ELSE f.n END::BIGINT AS records FROM (SELECT unnest(range(120)) AS k) e LEFT JOIN f USING (k)"""
+)
+def file_outcomes(spark, d):
+    """Of 120 expected files some are cut off, some empty and some never came; what is bad goes to quarantine with its name."""
+    path, quarantine = _scratch(spark, "outcomes"), _scratch(spark, "quarantine")
+    k = (F.col("c_nationkey") * 4 + F.col("c_custkey") % 4).cast("long")
+    whole = F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))))
+    text = F.when(F.col("k") % 5 == 0, F.expr("left(value, length(value) - 3)")).when(F.col("k") % 7 == 3, "[]").otherwise(F.col("value"))
+    files = table(spark, d, "customer").groupBy(k.alias("k")).agg(whole.alias("value")).select("k", text.alias("value"))
+    files.write.partitionBy("k").text(path)
+    name_files(spark, path, {f"k={i}": f"books-{i}.json" for i in range(100)})
+    expected = spark.range(120).select(F.concat(F.lit("books-"), "id", F.lit(".json")).alias("file_name"))
+    told = L.file_outcomes(L.export_files(spark, path), BOOK, expected)
+    L.write_quarantine(told, quarantine)
+    held = spark.read.parquet(quarantine).select("file_name", F.col("text").isNotNull().alias("held"))
+    status = F.when((F.col("status") == "bad") & ~F.coalesce("held", F.lit(False)), "lost").otherwise(F.col("status"))
+    return told.join(held, "file_name", "left").select("file_name", status.alias("status"), "records")
+
+
 # Projections and predicates.
 
 _NZ = lambda c: f"NULLIF({c}, '')"
@@ -183,6 +249,14 @@ def chapter_search_many(spark, d):
     return S.search_many(table(spark, d, "documents").select("doc_id", "text"), SEARCH_KEYS, "text").select("doc_id", "key")
 
 
+@query("WITH k AS (SELECT substr(text, 3, 6) AS key FROM documents UNION SELECT p_name FROM part) SELECT doc_id, key FROM documents, k WHERE key IS NULL OR key = '' OR contains(lower(text), lower(key))")
+def chapter_search_keys(spark, d):
+    """Keys from two tables, as many as there are rows in them, found in one pass."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    keys = docs.select(F.substring("text", 3, 6).alias("key")).unionAll(table(spark, d, "part").select("p_name"))
+    return S.search_keys(docs, keys, "text").select("doc_id", "key")
+
+
 @query("SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT page_id * 3 FROM pages)")
 def lookup_many(spark, d):
     ids = table(spark, d, "pages").select((F.col("page_id") * 3).alias("doc_id"))
@@ -347,8 +421,7 @@ def label_lookup(spark, d):
 )
 def label_parity(spark, d):
     labels = table(spark, d, "documents").select("lang", F.concat_ws(".", "source", F.col("n_chars").cast("string")).alias("key"), F.col("text").alias("value"))
-    pairs = [S.label_parity(labels, one, two).withColumn("pair", F.lit(f"{one}-{two}")) for one, two in combinations(("de", "en", "es", "fr"), 2)]
-    return reduce(DataFrame.unionByName, pairs)
+    return S.label_parities(labels, list(combinations(("de", "en", "es", "fr"), 2))).select("pair", "key", "status")
 
 
 @query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'Deutsch' WHEN 'fr' THEN 'Français' WHEN 'es' THEN 'Español' END AS language FROM documents")
@@ -380,6 +453,24 @@ def attachment_reconcile(spark, d):
     return M.reconcile(p.filter("page_id % 3 <> 0").select(F.col("url").alias("file_name")), p.filter("page_id % 3 <> 1").select(F.col("url").alias("file_name"), F.octet_length("html").cast("long").alias("length")))
 
 
+@query(
+    """SELECT printf('%02d', n_nationkey) || '-' || replace(n_name, ' ', '-') AS commission_dir, count(*)::BIGINT AS files, min(l_partkey * 100000 + l_suppkey) AS first_section
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND n_nationkey % 2 = 0 AND o_orderpriority = '1-URGENT' GROUP BY 1"""
+)
+def manifest_sink(spark, d):
+    """The manifest of 25 commissions, every second with volumes, written in its directories; of all commissions one volume is read back."""
+    path, nations = _scratch(spark, "manifest"), table(spark, d, "nation")
+    books = nations.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("int").alias("serial"))
+    of = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    digit = F.substring("o_orderpriority", 1, 1).cast("long")
+    chapters = of.select(F.col("o_orderkey").alias("chapter_id"), F.col("c_nationkey").cast("long").alias("book_id"), F.when(F.col("c_nationkey") % 2 == 0, digit).alias("volume_id"))
+    volumes = table(spark, d, "orders").select(digit.alias("id"), F.concat(F.lit("Volume/"), "o_orderpriority").alias("name")).distinct()
+    W.write_manifest(M.manifest(books, entity(spark, d, "section").join(chapters, "chapter_id"), volumes), path)
+    back = W.read_manifest(spark, path).filter("volume_dir = 'Volume-1-URGENT'")
+    return back.groupBy("commission_dir").agg(F.count("*").alias("files"), F.min("section_id").alias("first_section"))
+
+
 # Aggregations.
 
 
@@ -398,6 +489,20 @@ def corpus_card(spark, d):
     return M.corpus_card(entity(spark, d, "book"), table(spark, d, "orders").select(F.col("o_totalprice").alias("file_name")))
 
 
+@query("SELECT o_custkey % 25 AS owner, count(DISTINCT o_totalprice)::BIGINT AS pdfs, true AS within FROM orders GROUP BY 1 UNION ALL SELECT NULL, count(DISTINCT o_totalprice), true FROM orders")
+def corpus_sketch(spark, d):
+    """Distinct attachments by sketches that came in two overlapping lots: the exact count, and whether the estimate is within five standard errors."""
+    path = _scratch(spark, "sketches")
+    refs = table(spark, d, "orders").select((F.col("o_custkey") % 25).alias("owner"), F.col("o_totalprice").cast("string").alias("file_name"), "o_orderkey")
+    for lot in ("o_orderkey % 3 < 2", "o_orderkey % 3 > 0"):
+        M.add_sketches(M.attachment_sketches(refs.filter(lot), "owner"), path)
+    sketches = spark.read.parquet(path)
+    about = M.sketched_counts(sketches, "owner").unionByName(M.sketched_counts(sketches).withColumn("owner", F.lit(None).cast("long")))
+    exact = refs.groupBy("owner").agg(F.count_distinct("file_name").alias("exact")).unionAll(refs.agg(F.count_distinct("file_name")).select(F.lit(None), "*"))
+    within = F.abs(F.col("pdfs") - F.col("exact")) <= F.greatest(F.lit(1.0), 5 * M.SKETCH_ERROR * F.col("exact"))
+    return about.join(exact.withColumnRenamed("owner", "of"), F.col("owner").eqNullSafe(F.col("of"))).select("owner", F.col("exact").alias("pdfs"), within.alias("within"))
+
+
 @query(ctes("paragraph") + " SELECT section_id, max(serial)::BIGINT AS max_serial, (max(serial) + 1)::BIGINT AS next_serial FROM paragraph GROUP BY 1")
 def max_serial(spark, d):
     return C.max_serials(entity(spark, d, "paragraph"), "section_id").select("section_id", _long("max_serial"), _long("next_serial"))
@@ -406,6 +511,9 @@ def max_serial(spark, d):
 _NUMBERED = "n AS (SELECT *, row_number() OVER (ORDER BY n_chars DESC, doc_id DESC) AS rn FROM documents)"
 
 
+_BOARD = (("serial", False), ("id", False))
+
+
 def _numbered(spark, d, *more: str) -> DataFrame:
     return N.global_index(entity(spark, d, "notice").select("id", "serial", *more), F.desc("serial"), F.desc("id"))
 
@@ -511,9 +619,44 @@ def latest_by_id(spark, d):
     return C.latest_by_id(table(spark, d, "events"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
 
 
-@query(_MANIFEST + " SELECT dest, chapter_id, section_id, pdfName FROM (SELECT *, row_number() OVER (PARTITION BY dest ORDER BY book_id, chapter_id, serial, section_id, pdfName) AS k FROM m) WHERE k = 1")
+_LISTED_FIRST = "row_number() OVER (PARTITION BY dest ORDER BY book_id, volume_id DESC, chapter_id DESC, section_id DESC, serial DESC) = 1"
+
+
+@query(_MANIFEST + f" SELECT dest, chapter_id, section_id, pdfName FROM m QUALIFY {_LISTED_FIRST}")
 def first_by_dest(spark, d):
-    return M.first_by_dest(_manifest(spark, d), "book_id", "chapter_id", "serial", "section_id", "pdfName").select("dest", "chapter_id", "section_id", "pdfName")
+    """The exports list volumes, chapters and sections against the order of their serials and ids; what is listed first goes."""
+    path = _scratch(spark, "listing")
+    for export, kind in ((_export_chapters, "chapters"), (_export_volumes, "volumes"), (_export_books, "books")):
+        export(spark, d, f"{path}/{kind}")
+    books = L.listed_books(L.export_files(spark, f"{path}/books"))
+    c = L.listed_chapters(L.export_files(spark, [f"{path}/chapters", f"{path}/volumes"]))
+    chosen = H.branches(books, c.filter("volume_pos is null"), c.filter("volume_pos is not null"))
+    m = M.manifest(books, H.flatten_chapters(chosen).drop("paragraphs"))
+    return M.first_in_listing(m).select("dest", "chapter_id", "section_id", "pdfName")
+
+
+@query(
+    ctes("book", "chapter", "volume", "section")
+    + """, b AS (SELECT 'commission' AS kind, id, id AS book_id, [{'s': serial::BIGINT, 'i': id::BIGINT}] AS path, hasVolume FROM book),
+    v AS (SELECT 'volume' AS kind, v.id, v.id AS volume_id, list_append(b.path, {'s': v.serial::BIGINT, 'i': v.id::BIGINT}) AS path FROM volume v JOIN b USING (book_id) WHERE b.hasVolume),
+    c AS (SELECT 'chapter' AS kind, c.chapter_id AS id, list_append(COALESCE(v.path, b.path), {'s': c.serial::BIGINT, 'i': c.chapter_id::BIGINT}) AS path FROM chapter c JOIN b USING (book_id) LEFT JOIN v ON v.volume_id = c.volume_id AND b.hasVolume),
+    s AS (SELECT 'section' AS kind, s.section_id AS id, s.chapter_id, s.serial, list_append(c.path, {'s': s.serial::BIGINT, 'i': s.section_id::BIGINT}) AS path FROM section s JOIN c ON c.id = s.chapter_id),
+    p AS (SELECT 'paragraph' AS kind, t.turn AS id, list_append(s.path, {'s': t.turn::BIGINT, 'i': t.turn::BIGINT}) AS path FROM conversations t JOIN s ON t.conv_id = s.chapter_id AND s.serial = 1),
+    n AS (SELECT kind, id, path FROM b UNION ALL SELECT kind, id, path FROM v UNION ALL SELECT kind, id, path FROM c UNION ALL SELECT kind, id, path FROM s UNION ALL SELECT kind, id, path FROM p),
+    below AS (SELECT path[1:k] AS path, count(*) AS size FROM (SELECT path, unnest(range(1, len(path) + 1)) AS k FROM n) GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY path) AS rn FROM n)
+    SELECT kind, id, rn, (rn + size - 1)::BIGINT AS subtree_end, len(path)::BIGINT AS depth FROM r JOIN below USING (path)"""
+)
+def tree_preorder(spark, d):
+    """Commissions, volumes, chapters, sections and paragraphs in the order of display, each with the number of its last descendant."""
+    books = entity(spark, d, "book")
+    with_volumes = books.filter("hasVolume").select(F.col("id").alias("book_id"))
+    volumes = entity(spark, d, "volume").join(with_volumes, "book_id", "left_semi")
+    c = entity(spark, d, "chapter")
+    chapters = H.branches(books, c.drop("volume_id"), c)
+    s = entity(spark, d, "section").select("chapter_id", F.col("section_id").alias("id"), "serial", F.when(F.col("serial") == 1, F.concat_ws(":", "chapter_id", "section_id")).alias("section_key"))
+    p = entity(spark, d, "paragraph").select(F.col("section_id").alias("chapter_id"), "id", "serial").join(s.filter("serial = 1").select("chapter_id", "section_key"), "chapter_id")
+    ordered = H.preorder(H.tree_nodes(books, volumes, chapters, s, p))
+    return ordered.select("kind", "id", "rn", "subtree_end", F.size("path").cast("long").alias("depth"))
 
 
 @query(ctes("chapter", "section") + " SELECT chapter_id, section_id, row_number() OVER (PARTITION BY chapter_id ORDER BY s.serial, section_id) AS position, printf('%02d:%d/%02d:%d', c.serial, chapter_id, s.serial, section_id) AS path FROM section s JOIN chapter c USING (chapter_id)")
@@ -542,6 +685,19 @@ def page_slice(spark, d):
     return N.page_slice(rows, 1, 10, *order).select("id").unionAll(N.page_slice(rows, 3, 20, *order).select("id"))
 
 
+@query(
+    """WITH n AS (SELECT doc_id AS id, lang, row_number() OVER (ORDER BY n_chars DESC, doc_id DESC) AS rn, count(*) OVER () AS total FROM documents)
+    SELECT (rn - 1) // 10 + 1 AS page, rn, id, lang FROM n WHERE (rn - 1) // 10 IN (0, total // 20, (total - 1) // 10)"""
+)
+def page_seek(spark, d):
+    """The first, a middle and the last page of a stored board, each read by itself."""
+    path, rows = _scratch(spark, "board"), entity(spark, d, "notice").select("id", "serial", "lang")
+    N.write_pages(rows, path, 10, *_BOARD, pages_per_block=20)
+    total = rows.count()
+    pages = sorted({1, total // 20 + 1, (total - 1) // 10 + 1})
+    return reduce(DataFrame.unionByName, [N.seek_page(spark, path, p, *_BOARD).select((F.col("page") + 1).alias("page"), "rn", "id", "lang") for p in pages])
+
+
 # Set operations.
 
 
@@ -732,38 +888,57 @@ def remove_at(spark, d):
 # Incremental runs.
 
 
-@query(
-    _MANIFEST.replace("b.hasVolume THEN c.volume_id", "false THEN c.volume_id").replace("b.hasVolume THEN trim", "false THEN trim")
-    + """ SELECT dest, chapter_id, section_id FROM m
-    QUALIFY row_number() OVER (PARTITION BY dest ORDER BY book_id % 16 >= 8, book_id, chapter_id, serial, section_id, pdfName) = 1"""
-)
+@query(_MANIFEST + f" SELECT dest, chapter_id, section_id FROM m QUALIFY {_LISTED_FIRST}")
 def stream_harvest(spark, d):
-    """Chapter files of all commissions arrive in two lots, of which the second repeats part of the first."""
+    """Chapter and volume files of all commissions arrive in two lots, of which the second repeats part of the first."""
     source, target, mark = (_scratch(spark, x) for x in ("stream-in", "stream-out", "stream-mark"))
     books = entity(spark, d, "book")
-    c = _nested_chapters(spark, d)
-    rows = c.select((F.col("book_id") % 16).alias("bucket"), F.col("chapter_id").alias("id"), "serial", "title", F.struct(F.col("book_id").alias("id")).alias("book"), "sections")
-    for lot in ("bucket < 8", "bucket >= 4"):
-        arrays = rows.filter(lot).groupBy("bucket").agg(F.to_json(F.collect_list(F.struct("id", "serial", "title", "book", "sections"))).alias("value"))
-        arrays.write.mode("append").partitionBy("bucket").text(source)
+    for i, lot in enumerate(("book_id % 16 < 8", "book_id % 16 >= 4")):
+        _export_chapters(spark, d, f"{source}/{i}/chapters", lot)
+        _export_volumes(spark, d, f"{source}/{i}/volumes", lot)
         I.incremental_harvest(spark, source, books, target, mark).awaitTermination()
     return spark.read.parquet(target).select("dest", "chapter_id", "section_id")
 
 
-@query("SELECT user_id AS id, arg_max(event_type, (ts, event_id)) AS kind FROM events GROUP BY 1")
+_CHANGED = """WITH last AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS kind FROM events GROUP BY 1)
+    SELECT o_orderkey AS id, o_orderstatus AS kind FROM orders WHERE o_orderkey NOT IN (SELECT user_id FROM last) UNION ALL SELECT user_id, kind FROM last WHERE kind <> 'error'"""
+
+
+def _event_changes(events: DataFrame) -> DataFrame:
+    op = F.when(F.col("event_type") == "error", "delete").otherwise("update")
+    return events.select(F.col("user_id").alias("id"), F.struct("ts", "event_id").alias("seq"), op.alias("op"), F.struct(F.col("event_type").alias("kind")).alias("payload"))
+
+
+def _versioned(spark, d) -> str:
+    """Orders as a table that takes the changes of events."""
+    path = _scratch(spark, "versions")
+    base = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("kind"))
+    seq = table(spark, d, "events").select(F.struct("ts", "event_id").alias("seq")).schema["seq"].dataType
+    V.create(base, path, seq=F.lit(None).cast(seq), buckets=16)
+    return path
+
+
+@query(_CHANGED)
 def stream_changes(spark, d):
-    """The last state of every id after the events came as a stream of changes."""
-    state = {"at": _scratch(spark, "state")}
-    spark.createDataFrame([], "id long, kind string").write.parquet(state["at"])
-    events = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
-    change = events.select(F.col("user_id").alias("id"), F.struct("ts", "event_id").alias("seq"), F.lit("update").alias("op"), F.struct(F.col("event_type").alias("kind")).alias("payload"))
-
-    def store(df: DataFrame, epoch: int) -> None:
-        df.write.parquet(path := _scratch(spark, "state"))
-        state["at"] = path
-
-    I.stream_changes(change, lambda: spark.read.parquet(state["at"]), store, _scratch(spark, "state-mark")).awaitTermination()
-    return spark.read.parquet(state["at"])
+    """Events come as a stream of changes in three lots of mixed order, so that many an older change comes after a newer one."""
+    path, source, mark = _versioned(spark, d), _scratch(spark, "changes"), _scratch(spark, "changes-mark")
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    for lot in (2, 0, 1):
+        events.filter(F.col("event_id") % 3 == lot).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(events.schema).parquet(source)
+        I.stream_changes(_event_changes(arriving), path, mark).awaitTermination()
+    return V.read(spark, path)
+
+
+@query(
+    "SELECT 1::BIGINT AS version, * FROM (" + _CHANGED.replace("FROM events", "FROM events WHERE event_id % 2 = 1 AND user_id % 8 = 3") + ") UNION ALL SELECT 2, * FROM (" + _CHANGED + ")"
+)
+def versioned_changes(spark, d):
+    """The table after a batch for some of the ids, and after a second one with all earlier and later changes."""
+    path, events = _versioned(spark, d), table(spark, d, "events")
+    V.merge(_event_changes(events.filter("event_id % 2 = 1 and user_id % 8 = 3")), path)
+    V.merge(_event_changes(events), path)
+    return reduce(DataFrame.unionByName, [V.read(spark, path, v).withColumn("version", F.lit(v).cast("long")) for v in (1, 2)])
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,15 +6,12 @@ Files that are missing or can't be parsed don't stop a read: with
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from .schemas import BOOK, CHAPTER, PAGE, VOLUME
+from .storage import stored
 
 OWNER = r"-(\d+)\.json$"
 
@@ -69,37 +66,33 @@ def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter("_corrupt is null").drop("_corrupt"), df.filter("_corrupt is not null").select("_corrupt")
 
 
-def _leaves(node, path: tuple[str, ...]) -> Iterator[tuple[list[str], str]]:
-    if isinstance(node, dict):
-        for k, v in node.items():
-            yield from _leaves(v, (*path, k))
-    elif isinstance(node, list):
-        for i, v in enumerate(node):
-            yield from _leaves(v, (*path, str(i)))
-    elif path:
-        yield list(path), None if node is None else node if isinstance(node, str) else json.dumps(node)
-
-
-def _flatten(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
-        for lang, text in zip(frame["lang"], frame["text"], strict=True):
-            try:
-                tree = json.loads(text) if text else {}
-            except ValueError:
-                continue
-            rows += [(lang, path, ".".join(path), value) for path, value in _leaves(tree, ())]
-        yield pd.DataFrame(rows, columns=["lang", "path", "key", "value"])
+_REPEATED = "spark.sql.variant.allowDuplicateKeys"
 
 
 def flatten_json(bundles: DataFrame) -> DataFrame:
     """(lang, text) -> (lang, path array, key, value): all leaves at any depth.
 
-    Of a repeated key the last counts, which Spark's own variant parser refuses;
-    a key that holds a dot stays one element of ``path``. A text that isn't JSON
-    has no leaves.
+    Texts are parsed once, as variants, and opened a level at a time until only
+    leaves are left; each level is written before the next. Of a repeated key the
+    last counts; a key that holds a dot stays one element of ``path``; an array's
+    elements count from 0. A text that isn't JSON, or is a bare value, has no leaves, nor has an empty object.
     """
-    return bundles.select("lang", "text").mapInPandas(_flatten, "lang string, path array<string>, key string, value string")
+    spark = bundles.sparkSession
+    before = spark.conf.get(_REPEATED)
+    spark.conf.set(_REPEATED, "true")  # holds while the texts are parsed, below
+    try:
+        level = stored(bundles.select("lang", F.array().cast("array<string>").alias("path"), F.try_parse_json("text").alias("v")).filter("v is not null"), "labels")
+    finally:
+        spark.conf.set(_REPEATED, before)
+    nested, leaves = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"), None
+    while True:
+        found = level.filter(~nested & (F.size("path") > 0)).select("lang", "path", F.array_join("path", ".").alias("key"), F.variant_get("v", "$", "string").alias("value"))
+        leaves = found if leaves is None else leaves.unionAll(found)
+        deeper = level.filter(nested)
+        if deeper.isEmpty():
+            return leaves
+        opened = deeper.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()), how="inner")
+        level = stored(opened.select("lang", F.array_append(deeper["path"], F.coalesce("key", F.col("pos").cast("string"))).alias("path"), F.col("value").alias("v")), "labels")
 
 
 def read_labels(spark: SparkSession, path: str | list[str]) -> DataFrame:

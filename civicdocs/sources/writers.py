@@ -8,10 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_manifest(manifest: DataFrame, path: str, files_per_dir: int = 4) -> None:
-    """Parquet by commission and volume directory. Large commissions are dealt to a few files each."""
-    salt = F.pmod(F.xxhash64("dest"), F.lit(files_per_dir))
-    manifest.withColumn("volume_dir", F.coalesce("volume_dir", F.lit("-"))).repartition(F.col("commission_dir"), salt).write.partitionBy("commission_dir", "volume_dir").mode("overwrite").parquet(path)
+FILE_BYTES = 128 << 20
+_ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def write_manifest(manifest: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Parquet by commission and volume directory; an entry without a volume lies under ``-``.
+
+    Entries are dealt by directory and dealt anew by size when it is known:
+    small directories share a task, a large one is split into files of about ``file_bytes`` before compression.
+    """
+    spark = manifest.sparkSession
+    before = spark.conf.get(_ADVISED)
+    spark.conf.set(_ADVISED, str(file_bytes))
+    try:
+        dealt = manifest.withColumn("volume_dir", F.coalesce("volume_dir", F.lit("-"))).hint("rebalance", "commission_dir", "volume_dir")
+        dealt.write.partitionBy("commission_dir", "volume_dir").mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_ADVISED, before)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The written manifest; a filter on the directories reads only theirs."""
+    return spark.read.parquet(path).withColumn("volume_dir", F.nullif("volume_dir", F.lit("-")))
 
 
 def write_json_arrays(df: DataFrame, path: str, by: str) -> None:

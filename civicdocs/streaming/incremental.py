@@ -1,45 +1,46 @@
-"""The harvest as a stream: new export files arrive, what is archived is skipped."""
+"""The harvest and the changes as streams: new export files arrive, what is archived is skipped."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from civicdocs.operators.changes import apply_changes
-from civicdocs.operators.hierarchy import flatten_chapters
-from civicdocs.operators.manifest import first_by_dest, manifest, pending
-from civicdocs.sources.schemas import CHAPTER
-
-
-def stream_chapters(spark: SparkSession, path: str) -> DataFrame:
-    """Chapter files as they arrive."""
-    read = spark.readStream.schema(CHAPTER).option("multiLine", True).json(path)
-    return read.withColumn("book_id", F.col("book.id")).drop("book")
+from civicdocs.operators import versions
+from civicdocs.operators.hierarchy import branches, flatten_chapters
+from civicdocs.operators.manifest import first_in_listing, manifest, pending
+from civicdocs.sources.listing import export_files, listed_chapters
+from civicdocs.sources.storage import stored
 
 
 def incremental_harvest(spark: SparkSession, source: str, books: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append new manifest entries to ``target``; of several that want a path, what is there already stays, and in a batch the first of the listing goes."""
-    sections = flatten_chapters(stream_chapters(spark, source)).drop("paragraphs")
+    """Append new manifest entries of arriving chapter and volume files to ``target``.
+
+    Both kinds of file come through one stream; a commission is taken from the
+    file's name, else from inside. Commissions with volumes are harvested from
+    their volume files, all others from their chapter files. Of several entries that want a
+    path, what is there already stays; in a batch the first of the listing goes.
+    A batch that is run again after a failure adds nothing twice.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        entries = first_by_dest(manifest(books, batch), "book_id", "chapter_id", "serial", "section_id", "pdfName")
+        chapters = listed_chapters(batch)
+        chosen = branches(books, chapters.filter("volume_pos is null"), chapters.filter("volume_pos is not null"))
+        entries = first_in_listing(manifest(books, flatten_chapters(chosen).drop("paragraphs")))
         try:
             entries = pending(entries, batch.sparkSession.read.parquet(target))
         except Exception as e:  # the first batch finds no table
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        entries.write.mode("append").parquet(target)
+        stored(entries, "harvested").write.mode("append").parquet(target)
 
-    return sections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return export_files(spark, source, stream=True).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_changes(changes: DataFrame, load: Callable[[], DataFrame], store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Apply batches of changes to a stored table; ``store`` gets the new state and the batch number, and must write elsewhere than ``load`` reads."""
+def stream_changes(changes: DataFrame, path: str, checkpoint: str, id_: str = "id") -> StreamingQuery:
+    """Merge batches of (id, seq, op, payload) into the versioned table at ``path``; late changes and repeated batches do no harm."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        store(apply_changes(load(), batch), epoch)
+        versions.merge(batch, path, id_)
 
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -11,8 +11,11 @@ from civicdocs.operators import hierarchy as H
 from civicdocs.operators import manifest as M
 from civicdocs.operators import numbering as N
 from civicdocs.operators import texts as S
+from civicdocs.operators import versions
+from civicdocs.sources import listing as L
 from civicdocs.sources import readers as R
-from civicdocs.sources.writers import write_manifest
+from civicdocs.sources.schemas import BOOK
+from civicdocs.sources.writers import read_manifest, write_manifest
 from civicdocs.streaming import incremental
 
 BOOKS = [
@@ -217,18 +220,262 @@ def test_stream_harvest(spark, tmp_path):
     assert {r.dest for r in spark.read.parquet(target).collect()} == {"01-Health/77_Same.pdf", "01-Health/8_New.pdf"}
 
 
-def test_stream_changes(spark, tmp_path):
-    source, state = tmp_path / "changes", {"at": str(tmp_path / "s0")}
-    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(state["at"])
-    ddl = "id long, seq int, op string, payload struct<v:string>"
-    spark.createDataFrame([(1, 1, "update", ("b",)), (2, 1, "save", ("c",))], ddl).write.json(str(source))
+def test_volume_files_and_names_in_a_stream(spark, tmp_path):
+    """Both kinds of file in one stream; a file whose records name no commission belongs to the one in its name; a commission is taken from one branch only."""
+    source, target = tmp_path / "in", str(tmp_path / "manifest")
+    (source / "v").mkdir(parents=True)
+    books = spark.createDataFrame([(1, "Police", 2, True), (2, "Health", 1, None), (7, "Media", 3, False)], "id long, name string, serial int, hasVolume boolean")
+    nameless = [{k: v for k, v in c.items() if k != "book"} for c in CHAPTERS]
+    (source / "chapters-commission-7.json").write_text(json.dumps(nameless))
+    (source / "chapters-commission-1.json").write_text(json.dumps(nameless))  # has volumes: not taken from here
+    (source / "broken.json").write_text('[{"id": 1')
+    run = lambda: incremental.incremental_harvest(spark, str(source), books, target, str(tmp_path / "ck")).awaitTermination()
+    run()
+    assert [(r.book_id, r.dest) for r in spark.read.parquet(target).collect()] == [(7, "03-Media/77_Same.pdf")]
+    (source / "v" / "volume-wise-commission-1.json").write_text(json.dumps([{k: v for k, v in x.items() if k != "book"} for x in VOLUMES]))
+    (source / "v" / "volume-wise-commission-2.json").write_text(json.dumps(VOLUMES))  # has none
+    run()
+    run()
+    assert {(r.book_id, r.volume_id, r.dest) for r in spark.read.parquet(target).collect()} == {(7, None, "03-Media/77_Same.pdf"), (1, 41, "02-Police/Vol-A/5_In volume.pdf")}
+
+
+CHANGES = "id long, seq int, op string, payload struct<v:string,w:int>"
+
+
+def test_versions_in_any_order(spark, tmp_path):
+    """All orders of arrival lead to one state: the greatest seq of each id, deletions included."""
+    rnd = random.Random(3)
+    changes = [(rnd.randrange(9), i, rnd.choice(["save", "update", "delete", None]), (f"v{i}", i)) for i in range(60)] + [(None, 5, "save", ("none", 1)), (20, None, "save", ("weak", 1)), (3, 100, "delete", None), (21, None, "delete", None)]
+    base = [(1, "a", 1), (20, "b", 2), (30, "c", 3), (21, "d", 4)]
+    want = {i: (v, w) for i, v, w in base}
+    for i, seq, op, payload in sorted(changes, key=lambda c: (c[1] is not None, c[1] or 0)):
+        if op == "delete":
+            want.pop(i, None)
+        else:
+            want[i] = payload if seq is not None else max(payload, want.get(i, payload))
+    for k in range(3):
+        rnd.shuffle(changes)
+        path = str(tmp_path / f"t{k}")
+        versions.create(spark.createDataFrame(base, "id long, v string, w int"), path, buckets=5, seq=F.lit(None).cast("int"))
+        for at in range(0, len(changes), 25):
+            versions.merge(spark.createDataFrame(changes[at : at + 25], CHANGES), path)
+        assert {r.id: (r.v, r.w) for r in versions.read(spark, path).collect()} == want
+        before = versions.merge(spark.createDataFrame(changes[:25], CHANGES), path)  # once more: nothing changes
+        assert {r.id: (r.v, r.w) for r in versions.read(spark, path).collect()} == want
+        assert versions.merge(spark.createDataFrame([], CHANGES), path) == before
+        assert {r.id: (r.v, r.w) for r in versions.read(spark, path, version=0).collect()} == {i: (v, w) for i, v, w in base}
+    assert {r.id for r in versions.read(spark, path, deleted=True).filter("deleted").collect()} >= {3, 21}
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.create(spark.range(200).select("id", F.lit("a").alias("v"), F.lit(0).alias("w")), path, buckets=8)
+    before = set(versions.read(spark, path).inputFiles())
+    versions.merge(spark.createDataFrame([(5, 1, "update", ("b", 1)), (5, 2, "update", ("c", 1))], CHANGES), path)
+    after = set(versions.read(spark, path).inputFiles())
+    assert len(before - after) == len(after - before) == 1 and len(before & after) == len(before) - 1
+    assert versions.read(spark, path).filter("id = 5").first().v == "c" and versions.read(spark, path).count() == 200
+    empty = str(tmp_path / "e")
+    versions.create(spark.range(0).select("id", F.lit("a").alias("v"), F.lit(0).alias("w")), empty)
+    assert versions.read(spark, empty).count() == 0
+    versions.merge(spark.createDataFrame([(5, 1, "save", ("b", 1))], CHANGES), empty)
+    assert versions.read(spark, empty).first().v == "b"
+
+
+def test_a_batch_that_failed_before_its_version_leaves_the_table(spark, tmp_path):
+    """Data without a version is not seen, and the next batch writes over it."""
+    path = str(tmp_path / "t")
+    versions.create(spark.createDataFrame([(1, "a", 0)], "id long, v string, w int"), path, buckets=2)
+    spark.createDataFrame([(1, 9, False, ("lost", 0), 0)], "id long, seq long, deleted boolean, payload struct<v:string,w:int>, bucket int").write.partitionBy("bucket").parquet(f"{path}/data/v=1")
+    assert versions.read(spark, path).first().v == "a"
+    versions.merge(spark.createDataFrame([(1, 1, "save", ("b", 0))], CHANGES), path)
+    assert [r.v for r in versions.read(spark, path).collect()] == ["b"]
 
-    def store(df, epoch):
-        df.write.parquet(path := str(tmp_path / f"s{epoch + 1}"))
-        state["at"] = path
 
-    incremental.stream_changes(spark.readStream.schema(ddl).json(str(source)), lambda: spark.read.parquet(state["at"]), store, str(tmp_path / "ck2")).awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(state["at"]).collect())) == [(1, "b"), (2, "c")]
+def test_stream_changes(spark, tmp_path):
+    """seq 10 first, seq 5 in a later batch: the state says what 10 said."""
+    source, path = tmp_path / "changes", str(tmp_path / "state")
+    versions.create(spark.createDataFrame([(1, "a", 0)], "id long, v string, w int"), path, buckets=3, seq=F.lit(None).cast("int"))
+    for rows in ([(1, 10, "update", ("new", 1)), (2, 3, "delete", None)], [(1, 5, "update", ("old", 1)), (2, 1, "save", ("late", 1)), (3, 1, "save", ("c", 1))]):
+        spark.createDataFrame(rows, CHANGES).write.mode("append").json(str(source))
+        incremental.stream_changes(spark.readStream.schema(CHANGES).json(str(source)), path, str(tmp_path / "ck2")).awaitTermination()
+    assert sorted(map(tuple, versions.read(spark, path).collect())) == [(1, "new", 1), (3, "c", 1)]
+
+
+def test_first_of_the_listing(spark, tmp_path):
+    """Two sections with one path, listed against their serials: the first listed goes; volumes and chapters alike."""
+    pdf = lambda i, serial, n: {"id": i, "serial": serial, "name": "Same", "hasPdf": True, "pdfName": f"77_{n}.pdf"}
+    chapters = [{"id": 9, "serial": 5, "book": {"id": 2}, "sections": [pdf(32, 12, 2), pdf(31, 11, 1)]}, {"id": 8, "serial": 1, "book": {"id": 2}, "sections": [pdf(30, 1, 3)]}]
+    volumes = [{"id": 51, "serial": 2, "name": "V", "book": {"id": 1}, "chapters": [{"id": 4, "serial": 1, "sections": [pdf(41, 9, 4)]}]}, {"id": 50, "serial": 1, "name": "V", "book": {"id": 1}, "chapters": [{"id": 3, "serial": 1, "sections": [pdf(40, 1, 5)]}]}]
+    (tmp_path / "x.json").write_text(json.dumps(chapters))
+    (tmp_path / "volumes-commission-1.json").write_text(json.dumps(volumes))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "books.json").write_text(json.dumps(BOOKS[::-1]))
+    books = L.listed_books(L.export_files(spark, str(tmp_path / "b")))
+    assert {r.id: r.book_pos for r in books.collect()} == {3: 0, 2: 1, 1: 2}
+    c = L.listed_chapters(L.export_files(spark, str(tmp_path), glob="[xv]*.json"))
+    chosen = H.branches(books, c.filter("volume_pos is null"), c.filter("volume_pos is not null"))
+    m = M.manifest(books, H.flatten_chapters(chosen).drop("paragraphs"))
+    assert m.count() == 5 and {r.section_id: r.dest for r in M.first_in_listing(m).collect()} == {32: "01-Health/77_Same.pdf", 41: "02-Police/V/77_Same.pdf"}
+
+
+def test_order_of_the_whole_tree(spark, collection):
+    """Pre-order numbers and subtree ends against a plain walk over random trees, volumes only here and there."""
+    rnd = random.Random(9)
+    books, volumes, chapters, sections, paragraphs = [], [], [], [], []
+    for b in range(6):
+        books.append((b, rnd.choice([None, 1, 2])))
+        mine = [(10 * b + k, rnd.randrange(2), b) for k in range(rnd.randrange(3))]
+        volumes += mine
+        for c in range(rnd.randrange(4)):
+            cid = 100 + 10 * b + c
+            chapters.append((cid, rnd.randrange(3), b, rnd.choice(mine)[0] if mine else None))
+            for s in range(rnd.randrange(3)):
+                sid = 1000 + 10 * cid + s
+                sections.append((sid, rnd.choice([None, 1]), cid, sid))
+                paragraphs += [(p, rnd.randrange(2), sid) for p in range(rnd.randrange(3))]
+    make = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    nodes = H.tree_nodes(
+        make(books, "id long, serial int"), make(volumes, "id long, serial int, book_id long"), make(chapters, "chapter_id long, serial int, book_id long, volume_id long"),
+        make(sections, "id long, serial int, chapter_id long, section_key long"), make(paragraphs, "id long, serial int, section_key long"),
+    )
+    got = sorted((r.rn, r.kind, r.id, r.subtree_end) for r in H.preorder(nodes).collect())
+    want: list = []
+
+    def walk(kind, row, children):
+        at = len(want)
+        want.append(None)
+        for child in sorted(children, key=lambda x: (x[1][1] or 0, x[1][0])):
+            walk(*child)
+        want[at] = (at + 1, kind, row[0], len(want))
+
+    def below_chapter(c):
+        return [("section", s, [("paragraph", p, []) for p in paragraphs if p[2] == s[3]]) for s in sections if s[2] == c[0]]
+
+    def below_book(b):
+        return [("volume", v, [("chapter", c, below_chapter(c)) for c in chapters if c[3] == v[0]]) for v in volumes if v[2] == b[0]] + [("chapter", c, below_chapter(c)) for c in chapters if c[2] == b[0] and c[3] is None]
+
+    for b in sorted(books, key=lambda x: (x[1] or 0, x[0])):
+        walk("commission", b, below_book(b))
+    assert got == want and len({k for _, k, _, _ in got}) == 5
+    assert H.preorder(nodes.limit(0)).count() == 0
+
+
+def test_outcome_of_each_file(spark, tmp_path):
+    for name, text in (("a.json", '[{"id": 1}, {"id": 2}]'), ("b.json", "[]"), ("c.json", '[{"id": 1}, {"id"'), ("d.json", ""), ("e.json", '{"id": 3}')):
+        (tmp_path / name).write_text(text)
+    expected = spark.createDataFrame([("a.json",), ("z.json",), ("z.json",)], "file_name string")
+    told = L.file_outcomes(L.export_files(spark, str(tmp_path)), BOOK, expected, L.file_names(spark, str(tmp_path)))
+    assert {r.file_name: (r.status, r.records) for r in told.collect()} == {"a.json": ("ok", 2), "b.json": ("empty", 0), "c.json": ("bad", 0), "d.json": ("bad", 0), "e.json": ("ok", 1), "z.json": ("missing", 0)}
+    for _ in range(2):
+        L.write_quarantine(told, str(tmp_path / "q"))
+    held = spark.read.parquet(str(tmp_path / "q")).collect()
+    assert sorted(r.file_name for r in held) == ["c.json", "c.json", "d.json", "d.json"] and {r.text for r in held if r.file_name == "c.json"} == {'[{"id": 1}, {"id"'} and all(r.file_path.endswith(r.file_name) for r in held)
+
+
+def test_search_by_many_keys(spark):
+    """Nested, overlapping, repeated and case-folded keys against plain containment, in one block and in many."""
+    rnd = random.Random(4)
+    texts = [(i, "".join(rnd.choice("abcAÉé ") for _ in range(rnd.randrange(80)))) for i in range(60)] + [(60, None), (61, ""), (62, "100% a.b")]
+    keys = {"".join(rnd.choice("abcé ") for _ in range(rnd.randint(1, 4))) for _ in range(150)} | {"A", "a", "É", "%", "a.b", "zzz", "100%"}
+    rows = spark.createDataFrame([(i, t, "x") for i, t in texts], "id long, text string, other string")
+    want = {(i, k) for i, t in texts for k in keys if t is not None and k.lower() in t.lower()}
+    frame = spark.createDataFrame([(k,) for k in [*keys, "a", "zzz"]], "key string")
+    for size in (40, 1 << 20):
+        got = S.search_keys(rows, frame, "text", block_bytes=size).collect()
+        assert {(r.id, r.key) for r in got} == want and len(got) == len(want)
+    every = S.search_keys(rows, spark.createDataFrame([("",), (None,), ("zzz",)], "key string"), "text", "other").collect()
+    assert len(every) == 2 * len(texts) and {r.id for r in S.search_keys(rows, frame.filter("key = 'x'").union(spark.createDataFrame([("x",)], "key string")), "text", "other").collect()} == {i for i, _ in texts}
+    assert S.search_keys(rows, frame.limit(0), "text").count() == 0
+
+
+def test_ten_thousand_keys_cost_about_as_much_as_ten(spark):
+    import time
+
+    rows = spark.range(20000).select("id", F.concat_ws(" ", *[F.sha1(F.concat("id", F.lit(str(k)))) for k in range(20)]).alias("text")).cache()
+    rows.count()
+    keys = spark.range(10000).select(F.substring(F.sha1(F.col("id").cast("string")), 1, 9).alias("key"))
+    took = {}
+    for n in (10, 10, 10000):
+        began = time.perf_counter()
+        S.search_keys(rows, keys.limit(n), "text").count()
+        took[n] = time.perf_counter() - began
+    assert took[10000] < 4 * took[10] + 2
+
+
+def test_stored_pages(spark, tmp_path):
+    """Every page by its keys, ties and both directions included; a page reads one folder and a range of keys."""
+    rows = spark.createDataFrame([(i, (i * 7) % 5, f"t{i}") for i in range(1, 148)], "id long, serial int, title string")
+    for up in (True, False):
+        order, path = (("serial", False), ("id", up)), str(tmp_path / f"b{up}")
+        N.write_pages(rows, path, 10, *order, pages_per_block=4)
+        want = sorted(range(1, 148), key=lambda i: (-((i * 7) % 5), i if up else -i))
+        for p in range(1, 16):
+            assert [r.id for r in N.seek_page(spark, path, p, *order).orderBy("rn").collect()] == want[10 * (p - 1) : 10 * p]
+        assert N.seek_page(spark, path, 16, *order).count() == 0 == N.seek_page(spark, path, 0, *order).count()
+        page = N.seek_page(spark, path, 9, *order)
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(block" in plan and "LessThanOrEqual(serial" in plan and "Exchange" not in plan
+        assert all("/block=2/" in r[0] for r in page.select(F.input_file_name()).distinct().collect())
+    N.write_pages(rows.limit(0), str(tmp_path / "e"), 10, ("serial", False), ("id", True))
+    assert N.seek_page(spark, str(tmp_path / "e"), 1, ("serial", False), ("id", True)).count() == 0
+
+
+def test_sketches_unite(spark, tmp_path):
+    path = str(tmp_path / "s")
+    refs = spark.range(60000).select((F.col("id") % 3).alias("owner"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("f"), F.col("id") % 20000)).alias("file_name"))
+    exact = {r.owner: r.n for r in refs.groupBy("owner").agg(F.count_distinct("file_name").alias("n")).collect()}
+    for part in refs.randomSplit([0.5, 0.5, 0.5], 1):
+        M.add_sketches(M.attachment_sketches(part, "owner"), path)
+    M.add_sketches(M.attachment_sketches(refs, "owner"), path)  # once more: counts stay
+    for r in M.sketched_counts(spark.read.parquet(path), "owner").collect():
+        assert abs(r.pdfs - exact[r.owner]) <= 4 * M.SKETCH_ERROR * exact[r.owner]
+    whole = refs.agg(F.count_distinct("file_name")).first()[0]
+    assert abs(M.sketched_counts(spark.read.parquet(path)).first().pdfs - whole) <= 4 * M.SKETCH_ERROR * whole
+    assert M.sketched_counts(M.attachment_sketches(refs.limit(0), "owner"), "owner").count() == 0
+
+
+def test_manifest_files_by_size(spark, tmp_path):
+    """Large directories get several files, small ones one; a filter on a directory reads only it."""
+    big = spark.range(40000).select(F.lit("01-Big").alias("commission_dir"), F.lit(None).cast("string").alias("volume_dir"), F.sha2(F.col("id").cast("string"), 512).alias("dest"))
+    small = spark.range(300).select(F.concat(F.lit("02-Small"), F.col("id") % 3).alias("commission_dir"), F.lit("V").alias("volume_dir"), F.lit("x").alias("dest"))
+    write_manifest(big.unionAll(small).repartition(6), str(tmp_path / "m"), file_bytes=1 << 20)
+    files = lambda name: list((tmp_path / "m").glob(f"commission_dir={name}/*/*.parquet"))
+    assert len(files("01-Big")) > 3 and all(len(files(f"02-Small{k}")) == 1 for k in range(3))
+    back = read_manifest(spark, str(tmp_path / "m"))
+    assert back.filter("volume_dir is null").count() == 40000 and back.filter("volume_dir = 'V'").count() == 300
+    plan = back.filter("commission_dir = '02-Small1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(commission_dir" in plan
+
+
+def test_labels_at_any_depth_without_python(spark):
+    deep = {"a": {"b": [1, {"c": True, "d": None}, [], {}, "s"]}, "x.y": {"z": 1.5, "": "empty key"}, "t": "é \" quote", "n": -3}
+    rows = [("en", json.dumps(deep)), ("fr", '{"a": {"p": "lost"}, "a": {"b.c": "kept"}}'), ("de", "{broken"), ("es", None), ("it", "[]"), ("pt", '"bare"'), ("nl", '["x"]')]
+    got = R.flatten_json(spark.createDataFrame(rows, "lang string, text string"))
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+    def leaves(node, path):
+        if isinstance(node, (dict, list)):
+            for k, v in node.items() if isinstance(node, dict) else enumerate(node):
+                yield from leaves(v, (*path, str(k)))
+        elif path:
+            yield path, None if node is None else node if isinstance(node, str) else json.dumps(node)
+
+    want = {("en", *x) for x in leaves(deep, ())} | {("fr", ("a", "b.c"), "kept"), ("nl", ("0",), "x")}
+    assert {(r.lang, tuple(r.path), r.value) for r in got.collect()} == want
+    assert R.flatten_json(spark.createDataFrame([], "lang string, text string")).count() == 0 and spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
+def test_parity_of_several_pairs(spark):
+    rows = [("bn", "k", "x"), ("en", "k", "x"), ("fr", "k", None), ("bn", "only", None), ("de", "far", "y")]
+    labels = spark.createDataFrame(rows, "lang string, key string, value string")
+    got = {(r.pair, r.key): r.status for r in S.label_parities(labels, [("bn", "en"), ("en", "fr")]).collect()}
+    assert got == {("bn-en", "k"): "same", ("bn-en", "only"): "bn-only", ("en-fr", "k"): "different"}
+
+
+def test_summary_has_no_window_of_all_rows(spark, collection):
+    plan = S.summary_rows(R.read_books(spark, str(collection / "books.json")))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
 
 
 def test_plans(spark):
