@@ -38,8 +38,8 @@ from .text_hash import mix64, word_codes
 MIN_COUNT = 10
 INSIDE_PERCENT = 50  # a candidate goes if a longer one that holds it has this share of its count
 TOP = 2000
-BURST = 1024  # entries of a container before it is split by the next word
-BUDGET = 400_000  # entries of a task's trie, and words besides, before subtrees leave
+BURST = 8192  # entries of a container before it is split by the next word
+BUDGET = 300_000  # entries of a task's trie, and words besides, before subtrees leave
 PART_BYTES = 8 << 20  # of text, whose paths make one prefix partition
 OWN = 64  # entries of a first word before it has a container of its own
 LOOK = 50_000  # places at least between two looks at the sizes
@@ -71,7 +71,8 @@ class Node(dict):
 class HatTrie:
     """Counts of (language, first, second, third word), and of single words.
 
-    First words share one container a language until they have OWN entries in it.
+    New paths enter one container that first words share, a language each; when
+    the trie is looked at, those of first words with OWN entries go down to containers of their own.
     """
 
     def __init__(self, parts: int = 1, budget: int = BUDGET, burst: int = BURST, own: int = OWN, look: int = LOOK):
@@ -81,24 +82,25 @@ class HatTrie:
     def add(self, lang: str, text: bytes) -> Iterator[Run]:
         """Count every place of a text; gives the runs that leave meanwhile."""
         if lang not in self.tops:
-            self.tops[lang], self.shared[lang], self.singles[lang] = {}, defaultdict(int), Counter()
-        shared, of, single = self.shared[lang], self.tops[lang].get, self.singles[lang]
+            self.tops[lang], self.shared[lang], self.singles[lang] = {}, Counter(), Counter()
+        a: list[int] = []
         for piece in text.translate(_TABLE).split(b"\n"):
-            a = [*map(self.numbers.__getitem__, piece.split())]
-            single.update(a)
+            a += map(self.numbers.__getitem__, piece.split())
             a.append(0)
-            for i in range(0, len(a) - 2, self.look):
-                for x, y, z in zip(a[i : i + self.look], a[i + 1 :], a[i + 2 :], strict=False):
-                    child = of(x)
-                    if child is None:
-                        shared[x << 42 | y << 21 | z] += 1
-                    elif type(child) is Node:
-                        child[y][z] += 1
-                    else:
-                        child[y << 21 | z] += 1
-                self.next -= min(len(a) - i, self.look)
-                if self.next < 0:
-                    yield from self.spill()
+            if len(a) > self.look:
+                yield from self._place(lang, a)
+                a = []
+        yield from self._place(lang, a)
+
+    def _place(self, lang: str, a: list[int]) -> Iterator[Run]:
+        """Add the paths of whole pieces, each with a 0 at its end, to the shared container."""
+        self.singles[lang].update(a)
+        n = np.array([*a, 0], np.int64)
+        key = n[:-2] << 42 | n[1:-1] << 21 | n[2:]
+        self.shared[lang].update(key[(n[:-2] > 0) & (n[1:-1] > 0)].tolist())
+        self.next -= len(a)
+        if self.next < 0:
+            yield from self.spill()
 
     def entries(self) -> int:
         return sum(t[0] for t in self.sizes()) + sum(map(len, self.shared.values()))
@@ -118,12 +120,29 @@ class HatTrie:
         return out
 
     def _part_off(self) -> None:
-        """First words with entries enough leave the shared containers for their own."""
+        """Paths of first words that have entries enough, or a container already, go down from the shared containers to their own."""
         for lang, shared in self.shared.items():
-            keys = np.fromiter(shared, np.int64, len(shared))
-            words, n = np.unique(keys >> 42, return_counts=True)
-            for key in keys[np.isin(keys >> 42, words[n >= self.own])].tolist():
-                self.tops[lang].setdefault(key >> 42, defaultdict(int))[key & (1 << 42) - 1] = shared.pop(key)
+            key, n, top = np.fromiter(shared, np.int64, len(shared)), np.fromiter(shared.values(), np.int64, len(shared)), self.tops[lang]
+            words, entries = np.unique(key >> 42, return_counts=True)
+            down = np.isin(key >> 42, np.concatenate([words[entries >= self.own], np.fromiter(top, np.int64, len(top))]))
+            moved, counts = key[down], n[down]
+            order = np.argsort(moved >> 42, kind="stable")
+            moved, counts = moved[order], counts[order]
+            starts = np.flatnonzero(np.diff(moved >> 42, prepend=-1))
+            for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(moved)], strict=False):
+                x, rest = int(moved[i]) >> 42, moved[i:j] & (1 << 42) - 1
+                child = top.get(x)
+                if child is None:
+                    top[x] = child = Counter()
+                if type(child) is Node:
+                    for k, c in zip(rest.tolist(), counts[i:j].tolist(), strict=True):
+                        child[k >> 21][k & WORD] += c
+                    continue
+                child.update(rest.tolist())  # one each
+                more = counts[i:j] > 1
+                for k, c in zip(rest[more].tolist(), counts[i:j][more].tolist(), strict=True):
+                    child[k] += c - 1
+            self.shared[lang] = Counter(dict(zip(key[~down].tolist(), n[~down].tolist(), strict=True)))
 
     def spill(self, whole: bool = False) -> Iterator[Run]:
         """What has to leave: the largest subtrees, then the shared containers, until half of the budget is free; all if ``whole``."""
@@ -169,6 +188,7 @@ class HatTrie:
             yield lang, 3, part[order], pc.binary_join_element_wise(*(words.take(pa.array(i[order])) for i in (x, y, z)), b" "), n[order]
         if whole:
             for lang, single in self.singles.items():
+                single.pop(0, None)
                 x, n = np.array([*single.keys()], np.int64), np.array([*single.values()], np.int64)
                 part = self._part(lang, codes[x], np.zeros(len(x), np.uint64))
                 order = np.lexsort((rank[x], part))
