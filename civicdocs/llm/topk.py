@@ -3,13 +3,16 @@
 Candidates are dealt to groups once, and a group's to blocks. In a block every
 component has its list of vectors, sorted by value when the group arrives. All
 queries, in packed rows, pass each group. Lists are read in step from both ends,
-positive components of a query from the upper one, negative from the lower. From
+positive components of a query from the upper one, negative from the lower: a
+sixteenth first, then twice as much, up to half, then an eighth more each time. From
 what was read so far follows a lower bound of every vector (what is not read
 counts as the list's other end) and an upper bound (as the value at the reading
 position). A vector whose upper bound is below the bar is out. The bar is the
-k-th best lower bound or, once k scores are resolved, their least, which goes
+k-th best exact score of a few rows of the block or the k-th best lower bound
+or, once k scores are resolved, their least, which goes
 along from block to block. A query stops reading when no more than a sixteenth
 of the block, or k vectors, can still qualify; their scores are resolved exactly.
+It doesn't begin where the heads of a block's lists together stay below its bar.
 The k best of all groups are the answer.
 
 Defined results: vectors that are null or hold null or non-finite components
@@ -32,7 +35,8 @@ SCALE = 256
 BLOCK = 1024  # candidates whose lists are read together
 GROUP = 4  # blocks that a query passes with one bar
 QUERY_BLOCK = 256
-STEPS = 16  # a list is read in so many parts
+STEPS = 16  # the first part of a list that is read
+SEEDS = 64  # rows of a block that give a first bar
 CANDIDATES, QUERIES = 0, 1
 
 
@@ -64,7 +68,7 @@ class SortedLists:
         self.ids, self.values = ids[order], values[order]
         self.whose = np.argsort(self.values, axis=0, kind="stable").T
         self.lists = np.take_along_axis(self.values.T, self.whose, axis=1).astype(np.float64)
-        self.read = 0  # positions that were read, over both ends of all lists
+        self.read = 0  # entries that were read, of all lists together: each counts once, from whichever end
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, found: list[Found], k: int) -> list[Found]:
         """The k best of what was found and of this block, for each query.
@@ -72,7 +76,7 @@ class SortedLists:
         The order of a list is the same for all queries, so they share the
         reading: from the upper ends for positive components, from the lower ends
         for negative ones. Tables hold what was read; queries that have stopped
-        leave the test.
+        leave the test. A block whose list heads can't reach a query's bar isn't read for it.
         """
         n, dims = self.values.shape
         width = min(dims, queries.shape[1])
@@ -80,23 +84,24 @@ class SortedLists:
         q = queries[:, :width].astype(np.float64).T
         weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)])
         slack = 1e-12 * (np.abs(q).T @ np.maximum(np.abs(lists[:, 0]), np.abs(lists[:, -1])))  # of sums in doubles
-        bars = np.array([float(s[-1]) if len(s) == k else -np.inf for _, s in found])
+        fresh = np.array([len(s) < k for _, s in found])
+        bars = np.where(fresh, self._sampled(query_ids, queries[:, :width], k), [float(s[-1]) if len(s) else -np.inf for _, s in found])
         upper, lower = np.full((n, width), -np.inf), np.full((n, width), np.inf)
         few, step = max(k, n // STEPS), -(-n // STEPS)
-        before, at, out = 0, min(n, max(1, n // 2)), list(found)
-        open_ = np.arange(len(query_ids))
+        before, at, out = 0, min(n, step), list(found)
+        open_ = np.flatnonzero(np.concatenate([lists[:, -1], lists[:, 0]]) @ weights >= bars - slack)
         while len(open_):
-            self.read += 2 * width * (at - before)
+            self.read += width * (min(n, 2 * at) - min(n, 2 * before))
             top, bottom = slice(n - at, n - before), slice(before, at)
             upper[whose[:, top], component], lower[whose[:, bottom], component] = lists[:, top], lists[:, bottom]
             own = self.ids[:, None] == query_ids[open_]
             high = np.concatenate([np.maximum(upper, lists[:, n - at]), np.minimum(lower, lists[:, at - 1])], axis=1) @ weights[:, open_]
-            bar = bars[open_]
-            if n > k and np.isinf(bar).any():
+            if n > k and fresh[open_].any():
+                new = open_[fresh[open_]]
                 least = np.concatenate([np.where(np.isinf(upper), lists[:, 0], upper), np.where(np.isinf(lower), lists[:, -1], lower)], axis=1)
-                low = np.where(own, -np.inf, least @ weights[:, open_])
-                bar = np.maximum(bar, np.partition(low, n - k, axis=0)[n - k] - slack[open_])
-            may = (high >= bar - slack[open_]) & ~own
+                low = np.where(self.ids[:, None] == query_ids[new], -np.inf, least @ weights[:, new])
+                bars[new] = np.maximum(bars[new], np.partition(low, n - k, axis=0)[n - k] - slack[new])
+            may = (high >= bars[open_] - slack[open_]) & ~own
             done = (may.sum(axis=0) <= few) | (at == n)
             for i in np.flatnonzero(done).tolist():
                 who = open_[i]
@@ -105,9 +110,18 @@ class SortedLists:
                 scores = np.concatenate([found[who][1], self.values[live, :width] @ queries[who, :width]])
                 first = np.lexsort((ids, -scores))[:k]
                 out[who] = ids[first], scores[first]
-            open_, before, at = open_[~done], at, min(n, at + step)
+            open_, before, at = open_[~done], at, min(n, 2 * at if 2 * at <= n // 2 else at + n // 8 + 1)
         return out
 
+    def _sampled(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+        """A first bar for each query: the k-th best exact score of a few rows of the block."""
+        some = np.unique(np.linspace(0, len(self.ids) - 1, SEEDS).astype(np.int64)) if len(self.ids) else np.zeros(0, np.int64)
+        if len(some) <= k + 1:
+            return np.full(len(query_ids), -np.inf)
+        scores = (queries @ self.values[some, : queries.shape[1]].T).astype(np.float64)
+        scores[query_ids[:, None] == self.ids[some]] = -np.inf
+        return np.partition(scores, len(some) - k, axis=1)[:, len(some) - k]
+
 
 def best_of_group(blocks: list[SortedLists], query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[Found]:
     """The k best of several blocks for each query, the bars going along."""
@@ -117,18 +131,31 @@ def best_of_group(blocks: list[SortedLists], query_ids: np.ndarray, queries: np.
     return found
 
 
-def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Rows (g, kind, rows) sorted by g and kind: the blocks of a group, then its queries."""
-    group, blocks = None, []
+def by_length(ids: np.ndarray, values: np.ndarray, block: int) -> list[SortedLists]:
+    """Blocks of a group's candidates, the longest vectors first: they set the bar that the heads of later blocks have to reach."""
+    order = np.argsort(-(values.astype(np.float64) ** 2).sum(axis=1), kind="stable")
+    return [SortedLists(ids[order[i : i + block]], values[order[i : i + block]]) for i in range(0, len(ids), block)]
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    width = max(v.shape[1] for _, v in parts)
+    return np.concatenate([i for i, _ in parts]), np.concatenate([np.pad(v, ((0, 0), (0, width - v.shape[1]))) for _, v in parts])
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Rows (g, kind, rows) sorted by g and kind: the candidates of a group, then its queries."""
+    group, arrived, blocks = None, [], []
     for batch in batches:
         for i in range(batch.num_rows):
             g, kind = batch.column("g")[i].as_py(), batch.column("kind")[i].as_py()
             ids, values = _matrix(batch.column("rows")[i].values)
             if g != group:
-                group, blocks = g, []
+                group, arrived, blocks = g, [], []
             if kind == CANDIDATES:
-                blocks.append(SortedLists(ids, values))
+                arrived.append((ids, values))
                 continue
+            if arrived:
+                blocks, arrived = by_length(*_joined(arrived), block), []
             found = best_of_group(blocks, ids, values, k)
             yield pa.record_batch({
                 "query_id": pa.array(np.repeat(ids, [len(f[0]) for f in found])), "vec_id": pa.array(np.concatenate([f[0] for f in found])),
@@ -149,7 +176,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, block: int = BL
     c = _packed(candidates, block).select(F.pmod(F.col("b"), F.lit(groups)).cast("int").alias("g"), F.lit(CANDIDATES).alias("kind"), "rows")
     q = _packed(queries, query_block).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(QUERIES).alias("kind"), "rows")
     met = c.unionByName(q).repartitionByRange(groups, "g").sortWithinPartitions("g", "kind")
-    found = met.mapInArrow(lambda it: _search(it, k), "query_id long, vec_id long, score long")
+    found = met.mapInArrow(lambda it: _search(it, k, block), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
