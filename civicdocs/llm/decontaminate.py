@@ -1,7 +1,9 @@
 """Benchmark decontamination with a broadcast hash set of normalised n-grams.
 
-Test items become windows of n words. Two hash sets go to every task: of the word
-pairs that begin some window, and of the windows themselves. Training texts are
+Test items become windows of n words. Two hash sets go to every task, as bitmaps
+whose size follows the number of windows: of the word pairs that begin some
+window, and of the windows themselves. They are built in Spark and reach the
+scan as the values of scalar subqueries. Training texts are
 read once, whatever the number of windows: a text is cut into words, positions
 whose pair is in the first set are spelled out, and those in the second set are
 written with the row's number and word count to the shared folder, without the
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, stored
 
 N = 13
-#: Buckets of a hash set: fixed, so that what is sent is bounded. Very many windows fill it; more is then spelled out and joined, with the same result.
-BUCKETS = 1 << 17
+#: Buckets of a hash set for each window, and at most: a bit each, so that 8 MB are sent of either set whatever the items. Beyond 4 million windows
+#: they fill by and by; more is then spelled out and joined, with the same result.
+PER_WINDOW, MAX_BUCKETS = 16, 1 << 26
 #: 20 hit words in 400 make a document contaminated: hits * RATIO >= words.
 RATIO = 20
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -45,52 +48,59 @@ def benchmark_windows(items: DataFrame, n: int = N) -> DataFrame:
     return at.select("item_id", win.alias("win"), "len", lead.alias("lead"), F.xxhash64(win).alias("hash")).distinct()
 
 
-HASH, PAIR, SINGLE, LENGTH = "hash", "pair", "single", "length"
+def buckets_for(n_windows: int) -> int:
+    """A power of two with at least PER_WINDOW buckets a window, so that one in PER_WINDOW is filled at most, up to MAX_BUCKETS."""
+    return min(MAX_BUCKETS, max(1 << 10, 1 << (PER_WINDOW * n_windows - 1).bit_length()))
 
 
-def filled_buckets(windows: DataFrame, buckets: int) -> dict[str, list[int]]:
-    """What the scan must know of the windows: buckets of their hashes, of their leading pairs and only words, and their lengths. At most 3 * buckets + n rows reach the driver."""
-    told = lambda what, value: F.struct(F.lit(what).alias("what"), value.alias("b"))
-    bucket = lambda c: F.col(c).bitwiseAND(F.lit(buckets - 1))
-    lead = F.struct(F.when(F.col("len") > 1, PAIR).otherwise(SINGLE).alias("what"), bucket("lead").alias("b"))
-    rows = windows.select(F.inline(F.array(told(HASH, bucket("hash")), lead, told(LENGTH, F.col("len").cast("long"))))).distinct().collect()
-    out: dict[str, list[int]] = {k: [] for k in (HASH, PAIR, SINGLE, LENGTH)}
-    for r in sorted(rows):
-        out[r["what"]].append(r["b"])
-    return out
+def bitmap(hashes: DataFrame, buckets: int) -> DataFrame:
+    """(h) -> one row with one array of longs, a bit for each bucket that some hash falls in. No more than the bitmap itself meets in one task."""
+    longs = max(1, buckets // 64)
+    bit = F.col("h").bitwiseAND(F.lit(buckets - 1))
+    filled = hashes.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(h & {min(buckets, 64) - 1} as int))")).alias("bits"))
+    every = hashes.sparkSession.range(longs).join(filled, F.col("id") == F.col("at"), "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    in_order = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    parts = every.groupBy(F.floor(F.col("id") / 1024).alias("part")).agg(in_order("id", "bits").alias("longs"))
+    return parts.agg(F.flatten(in_order("part", "longs")).alias("bitmap"))
+
+
+PAIRS, SINGLES = "__pairs", "__singles"  # places, from 1, of the words that may begin a window of several words, of one word
+LEADS, HASHES = "__leads", "__hashes"  # the bitmaps
 
 
-def _in(filled: list[int], buckets: int, h: str) -> str:
-    return f"({h} & {buckets - 1}L) IN ({', '.join(f'{b}L' for b in filled)})"
+def _in(bits: str, buckets: int, h: str) -> str:
+    return f"getbit({bits}[cast(shiftright({h} & {buckets - 1}L, 6) as int)], cast({h} & {min(buckets, 64) - 1}L as int)) = 1"
 
 
-def _starts(filled: dict[str, list[int]], buckets: int) -> dict[str, Column]:
-    """Of the array w of words the places, from 1, whose word (single) or word pair (pair) may begin a window."""
+def _starts(lengths: list[int], buckets: int) -> dict[str, Column]:
+    """Of the array w of words the places whose word, or word and the next, is in the bitmap of leads."""
     out = {}
-    if filled[SINGLE]:
-        out[SINGLE] = F.expr(f"filter(if(size(w) > 0, sequence(1, size(w)), array()), i -> {_in(filled[SINGLE], buckets, 'xxhash64(w[i - 1])')})")
-    if filled[PAIR]:
-        out[PAIR] = F.expr(f"filter(if(size(w) > 1, sequence(1, size(w) - 1), array()), i -> {_in(filled[PAIR], buckets, 'xxhash64(w[i - 1], w[i])')})")
+    if 1 in lengths:
+        out[SINGLES] = F.expr(f"filter(if(size(w) > 0, sequence(1, size(w)), array()), i -> {_in(LEADS, buckets, 'xxhash64(w[i - 1])')})")
+    if any(n > 1 for n in lengths):
+        out[PAIRS] = F.expr(f"filter(if(size(w) > 1, sequence(1, size(w) - 1), array()), i -> {_in(LEADS, buckets, 'xxhash64(w[i - 1], w[i])')})")
     return out
 
 
-def _candidates(filled: dict[str, list[int]], buckets: int) -> Column:
+def _candidates(lengths: list[int], buckets: int) -> Column:
     """All windows of the array w that may be among these: array<struct<s, n, t>>."""
     found = ["cast(array() as array<struct<s:int,n:int,t:string>>)"]
-    for n in filled[LENGTH]:
-        begun = f"filter({PAIR if n > 1 else SINGLE}, i -> i + {n - 1} <= size(w))"
+    for n in lengths:
+        begun = f"filter({PAIRS if n > 1 else SINGLES}, i -> i + {n - 1} <= size(w))"
         spelled = f"transform({begun}, i -> named_struct('s', i, 'n', {n}, 't', array_join(slice(w, i, {n}), ' ')))"
-        found.append(f"filter({spelled}, x -> {_in(filled[HASH], buckets, 'xxhash64(x.t)')})")
+        found.append(f"filter({spelled}, x -> {_in(HASHES, buckets, 'xxhash64(x.t)')})")
     return F.expr(f"concat({', '.join(found)})")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, buckets: int = BUCKETS, keep: tuple[str, ...] = ()) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, n: int = N, buckets: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text) -> row_id, doc_id, n_words, spans array<struct<s, n>> (hit windows: first word from 1, words), item_ids array, n_hit; and the columns to keep."""
     windows = stored(benchmark_windows(items, n))
     rows = docs.select("doc_id", *keep, words_of(F.col("text")).alias("w"))
-    filled = filled_buckets(windows, buckets)
-    rows = rows.withColumns(_starts(filled, buckets))
-    light = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", *keep, F.size("w").cast("long").alias("n_words"), _candidates(filled, buckets).alias("may"))
+    told = windows.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("len")).alias("lengths")).first()
+    buckets = buckets or buckets_for(told["n"])
+    rows = rows.withColumns({k: bitmap(windows.select(F.col(c).alias("h")), buckets).scalar() for k, c in ((LEADS, "lead"), (HASHES, "hash"))})
+    rows = rows.withColumns(_starts(told["lengths"], buckets))
+    light = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", *keep, F.size("w").cast("long").alias("n_words"), _candidates(told["lengths"], buckets).alias("may"))
     light = stored(light)  # row numbers are written, so that they hold
     may = light.select("row_id", F.explode("may").alias("h")).select("row_id", F.struct("h.s", "h.n").alias("span"), F.col("h.t").alias("win"))
     hits = may.join(windows.select("win", "item_id"), "win").groupBy("row_id")
