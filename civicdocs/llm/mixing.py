@@ -76,8 +76,9 @@ def chosen_draws(sized: DataFrame, targets: DataFrame, seed: str = SEED, draws:
     """(doc_id, source, size) and the sources' targets -> these with rate and pick: the seed whose taken words come nearest, the first of equals."""
     rated = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))).withColumnRenamed("source", "of_source")
     joined = sized.select("source", "size", draw(F.col("doc_id"), seed).alias("draw")).join(rated, F.col("source").eqNullSafe(F.col("of_source")))
-    every = joined.select("of_source", "target", "size", "draw", "rate", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("j"))
-    totals = every.groupBy("of_source", "j").agg(F.sum(F.col("size") * copies(F.col("draw"), F.col("j"), F.col("rate"))).alias("taken"), F.first("target").alias("target"))
+    taken = [F.sum(F.col("size") * copies(F.col("draw"), j, F.col("rate"))) for j in range(draws)]
+    summed = joined.groupBy("of_source").agg(F.first("target").alias("target"), F.array(*taken).alias("taken"))
+    totals = summed.select("of_source", "target", F.posexplode("taken").alias("j", "taken"))
     picks = totals.groupBy(F.col("of_source").alias("drawn")).agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("off"), "j")).alias("near"))
     told = rated.join(picks, F.col("of_source").eqNullSafe(F.col("drawn")), "left")
     return stored(told.select("of_source", "source_size", "target", "rate", F.coalesce("near.j", F.lit(0)).alias("pick")))
