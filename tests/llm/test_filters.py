@@ -171,6 +171,23 @@ def test_contamination(spark, buckets):
     assert {r.n_hit for r in decontaminate.find_contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_the_set_of_windows_grows_with_the_items(spark):
+    """A bit for each bucket that a hash falls in, 16 buckets a window, and no list of them in the plan."""
+    items = spark.createDataFrame([(i, " ".join(f"v{i}x{j}" for j in range(112))) for i in range(300)], "item_id long, text string")
+    windows = decontaminate.benchmark_windows(items)
+    assert windows.count() == 30_000
+    buckets = decontaminate.buckets_for(30_000)
+    assert buckets == 1 << 19 and decontaminate.buckets_for(1) == decontaminate.buckets_for(0) == 1 << 10 and decontaminate.buckets_for(10**9) == decontaminate.MAX_BUCKETS
+    hashes = windows.select(F.col("hash").alias("h"))
+    longs = np.array(decontaminate.bitmap(hashes, buckets).first()["bitmap"], np.int64)
+    want = {r.h % buckets for r in hashes.collect()}
+    assert set(np.flatnonzero(np.unpackbits(longs.view(np.uint8), bitorder="little")).tolist()) == want
+    docs = documents(spark, [(i, " ".join(f"v{i}x{j}" for j in range(i, i + 40)), "a") for i in range(60)] + [(100, "v1x1 v2x2 " * 30, "a")])
+    found = decontaminate.find_contamination(docs, items)
+    assert {r.doc_id: (r.n_hit, list(r.item_ids)) for r in found.collect()} == {**{i: (40, [str(i)]) for i in range(60)}, 100: (0, [])}
+    assert len(found._jdf.queryExecution().analyzed().toString()) < 20_000
+
+
 def test_removal_of_contamination(spark):
     docs = documents(spark, [(i, t, "a") for i, t in contaminated_docs()])
     items = spark.createDataFrame(BENCH, "item_id long, text string")
