@@ -1,15 +1,16 @@
 """Near-duplicate groups of SimHash fingerprints by segment popcounts.
 
-A fingerprint is mapped to the bit counts of short segments, two bits each, in
-two tilings of each half that are shifted against each other by a bit. Every
-differing bit changes one count of either tiling by one, so that half the
-Manhattan distance of two such vectors is never above the number of differing
-bits. Of two fingerprints with at most 3 differing bits one half has at most
-one, and lies within distance 2 there. Each half is therefore range-joined on
-the unit grid of the counts: a fingerprint is at home in the cell of its own
-vector and, if the half's total is odd, visits the cells that one bit reaches.
-Half vectors of one differing bit meet where the even one is at home. Inside a
-cell pairs whose counts of eight bits each are further apart than the radius, by
+A fingerprint is mapped to the bit counts of short segments, two bits each, 16
+to a half. Every differing bit changes one count by one or, where two of them
+meet in a segment, none or two, so that the Manhattan distance of two such
+vectors is never above the number of differing bits. Of two fingerprints with at
+most 3 differing bits one half has at most one, and there the vectors are at most
+1 apart. Each half is therefore range-joined on the unit grid of its counts: a
+fingerprint is at home in the cell of its own vector and, if the counts' total is
+odd, visits the cells at distance 1, 24 on average. Vectors at distance 1 meet
+where the even one is at home. A cell is no half: the two orders of a segment's
+single bit fall together, so that half of 16 segments give a cell 2^8 halves.
+Inside a cell pairs whose whole vectors are further apart than the radius, by
 Manhattan distance, are passed over; the others are compared exactly, and only a
 spanning forest of the links leaves the task. Cells are streamed in order; one
 with more than CELL_BLOCK members is put aside and compared in pairs of blocks.
@@ -40,7 +41,7 @@ from .text_hash import mix64
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-CELL_BLOCK = 1024  # a cell with more fingerprints is compared in pairs of blocks of about this size
+CELL_BLOCK = 1 << 14  # a cell with more fingerprints is compared in pairs of blocks of about this size
 
 
 def fingerprint(text: bytes) -> int:
@@ -71,19 +72,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def segment_counts(half: np.ndarray) -> np.ndarray:
-    """32-bit halves -> the counts of 16 two-bit segments, and of 16 more that start a bit later, each packed in two bits."""
-    pairs, one = np.uint64(0x55555555), np.uint64(1)
-    turned = ((half >> one) | (half << np.uint64(31))) & np.uint64(0xFFFFFFFF)
-    plain, shifted = ((x & pairs) + ((x >> one) & pairs) for x in (half, turned))
-    return plain | shifted << np.uint64(32)
+    """32-bit halves -> the counts of their 16 two-bit segments, packed in two bits each."""
+    pairs = np.uint64(0x55555555)
+    return (half & pairs) + ((half >> np.uint64(1)) & pairs)
+
+
+def neighbours(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of counts -> (number of the vector, a vector of counts at Manhattan distance 1) for all of these."""
+    at = np.arange(0, 32, 2, dtype=np.uint64)
+    count = (counts[:, None] >> at) & np.uint64(3)
+    step = np.uint64(1) << at
+    more, less = np.nonzero(count < 2), np.nonzero(count > 0)
+    return np.concatenate([more[0], less[0]]), np.concatenate([counts[more[0]] + step[more[1]], counts[less[0]] - step[less[1]]])
 
 
 def cells(half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """32-bit halves -> (number in half, cell, whether at home) for every cell in which they stand."""
+    """32-bit halves -> (number in half, cell, whether at home) for every cell of the grid in which they stand."""
+    counts = segment_counts(half)
     own, odd = np.arange(len(half)), np.flatnonzero(np.bitwise_count(half) % 2 == 1)
-    reached = half[odd][:, None] ^ (np.uint64(1) << np.arange(32, dtype=np.uint64))
-    who = np.concatenate([own, np.repeat(odd, 32)])
-    return who, np.concatenate([segment_counts(half), segment_counts(reached.ravel())]), np.arange(len(who)) < len(own)
+    who, reached = neighbours(counts[odd])
+    return np.concatenate([own, odd[who]]), np.concatenate([counts, reached]), np.arange(len(own) + len(who)) < len(own)
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +101,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints = batch.column("fp").to_numpy()[at : at + 4096]
             for side in (0, 1):
                 who, where, home = cells((prints.view(np.uint64) >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF))
-                cell = mix64(where + np.uint64(side)).view(np.int64)
+                cell = mix64(where << np.uint64(1) | np.uint64(side)).view(np.int64)
                 yield pa.record_batch({"cell": pa.array(cell), "home": pa.array(home), "id": pa.array(ids[who]), "fp": pa.array(prints[who])})
 
 
@@ -108,10 +116,9 @@ def _forest(ids: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
         return i
 
     edges = []
-    counts = byte_counts(prints)
+    counts = unary_counts(prints)
     for i in range(len(ids) - 1):
-        bound = np.abs(counts[i + 1 :] - counts[i]).sum(axis=1, dtype=np.int8)  # never above the number of differing bits
-        may = np.flatnonzero(bound <= RADIUS) + i + 1
+        may = np.flatnonzero(np.bitwise_count(counts[i + 1 :] ^ counts[i]) <= RADIUS) + i + 1  # a Manhattan distance, never above the number of differing bits
         near = may[np.bitwise_count(prints[may] ^ prints[i]) <= RADIUS]
         for j in near.tolist():
             a, b = find(i), find(j)
@@ -121,9 +128,11 @@ def _forest(ids: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
     return [(int(ids[i]), int(ids[j])) for i, j in edges]
 
 
-def byte_counts(prints: np.ndarray) -> np.ndarray:
-    """The counts of set bits of the eight bytes of each fingerprint."""
-    return np.bitwise_count(prints.view(np.uint8).reshape(-1, 8)).astype(np.int8)
+def unary_counts(prints: np.ndarray) -> np.ndarray:
+    """The counts of all 32 two-bit segments, each as so many set bits: the bits in which two of these differ are the Manhattan distance of the vectors."""
+    pairs, one = np.uint64(0x5555555555555555), np.uint64(1)
+    low, high = prints & pairs, (prints >> one) & pairs
+    return (low | high) | (low & high) << one
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,6 +134,39 @@ def test_links_of_a_crowd(spark, monkeypatch, block):
     assert {i: got.get(i, i) for i in prints} == plain_groups(prints)
 
 
+def test_popcount_grid():
+    """Halves within a bit meet in a cell where one is at home; a cell is wider than a half; the bound spares comparisons and loses none."""
+    rng = np.random.default_rng(8)
+    halves = rng.integers(0, 1 << 32, 3000, dtype=np.uint64)
+    halves = np.unique(np.concatenate([halves, halves ^ (np.uint64(1) << rng.integers(0, 32, 3000).astype(np.uint64)), [0, (1 << 32) - 1]]).astype(np.uint64))
+    who, where, home = simhash.cells(halves)
+    counts = np.array([[bin(int(h) >> 2 * s & 3).count("1") for s in range(16)] for h in halves])
+    assert ((simhash.segment_counts(halves)[:, None] >> np.arange(0, 32, 2, dtype=np.uint64) & np.uint64(3)) == counts).all()
+    met: dict[int, list] = {}
+    for i, c, h in zip(who.tolist(), where.tolist(), home.tolist(), strict=True):
+        met.setdefault(c, []).append((i, h))
+    meet = {(min(i, j), max(i, j)) for m in met.values() for i, h in m if h for j, _ in m if i != j}
+    apart = np.abs(counts[:, None, :].astype(np.int8) - counts[None].astype(np.int8)).sum(axis=2)
+    assert meet == {(i, j) for i, j in zip(*np.nonzero(apart <= 1), strict=True) if i < j}
+    bits = np.bitwise_count(halves[:, None] ^ halves[None])
+    assert {(i, j) for i, j in zip(*np.nonzero(bits <= 1), strict=True) if i < j} <= meet
+    # all halves of four segments: 81 cells of up to 16 halves
+    small = np.arange(256, dtype=np.uint64)
+    sizes = np.unique(simhash.segment_counts(small), return_counts=True)[1]
+    assert len(sizes) == 81 and sizes.max() == 16
+    # the bound on whole vectors of fingerprints that share a cell, as the other halves are random
+    prints = rng.integers(0, 1 << 32, 2000, dtype=np.uint64) << np.uint64(32)
+    prints = np.unique(np.concatenate([prints, prints ^ (np.uint64(7) << np.uint64(40))]))
+    vectors = simhash.unary_counts(prints)
+    wide = np.bitwise_count(vectors[:, None] ^ vectors[None])
+    of_segments = np.array([[bin(int(p) >> 2 * s & 3).count("1") for s in range(32)] for p in prints], np.int8)
+    assert (wide[:50] == np.abs(of_segments[:50, None] - of_segments[None]).sum(axis=2)).all()
+    exact = np.bitwise_count(prints[:, None] ^ prints[None])
+    assert (wide <= exact).all()
+    pairs, left, links = len(prints) * (len(prints) - 1) // 2, np.triu(wide <= simhash.RADIUS, 1).sum(), np.triu(exact <= simhash.RADIUS, 1).sum()
+    assert links >= 2000 and left - links < pairs / 1000
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, 301), (301, 300)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "src long, dst long")).collect()}
