@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, stored
 from .components import connected_components
-from .text_hash import mix64
+from .text_hash import mix64, parts
 
 SHINGLE = 3
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprint(text: bytes) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         prints = np.array([fingerprint(t or b"") for t in batch.column("text").to_pylist()], np.uint64)
         yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(prints.view(np.int64))})
 

@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text_hash import chunks, distinct, hash_words, mix64
+from .text_hash import chunks, distinct, give_back, hash_words, mix64, parts
 
 BITS = 22
 MAX_SAMPLE = 48_000  # labelled documents that are learnt at most, chosen by hash
 SHARD_DOCS = 10_000  # of which so many are learnt in one task
 MIN_DOCS = 4  # a feature counts from so many documents of a shard
 EPOCHS = 5
+GRAM_CHUNK = 1 << 18  # bytes of text whose features are made at a time; these take many times as much
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 15.0, 0.01
 POSITIVE_WEIGHT = 5.0  # of a toxic example's gradient; they are few
 THRESHOLD = 0.7
@@ -39,7 +40,7 @@ _BREAK = np.array([not (chr(b).isalnum() or b >= 128) if b < 128 else False for
 
 def grams(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, number of texts, feature numbers, their texts) of chunk after chunk; features of a text may repeat."""
-    for first, held in chunks(t.lower() for t in texts):
+    for first, held in chunks((t.lower() for t in texts), GRAM_CHUNK):
         words, owner, _, _ = hash_words(held, _BREAK)
         found, owners = [words], [owner]
         for gap in (1, 2, 3):
@@ -96,8 +97,8 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch({"feature": pa.array(f, pa.int64()), "weight": pa.array(w, pa.float64())})
 
     held: list[tuple[np.ndarray, int]] = []
-    last = None
-    for batch in batches:
+    last = batch = texts = None
+    for batch in parts(batches):
         texts = [t or b"" for t in batch.column("text").to_pylist()]
         for shard, f, label in zip(batch.column("shard").to_pylist(), features(texts), batch.column("label").to_pylist(), strict=True):
             if shard != last and held:
@@ -105,8 +106,11 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held = []
             last = shard
             held.append((f, label))
+    del batch, texts  # their memory isn't needed while the last shard is learnt
     if held:
         yield learnt(held)
+    del held
+    give_back()
 
 
 def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, shard_docs: int = SHARD_DOCS) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +133,7 @@ def _scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]):
     def scores(batches: Iterator[pa.RecordBatch], keep_under: float | None = None) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS, np.float32)
         dense[weights.value[0]] = weights.value[1]
-        for batch in batches:
+        for batch in parts(batches):
             sums = np.full(batch.num_rows, float(dense[0]))
             texts = [t.encode() if isinstance(t, str) else t or b"" for t in batch.column("text").to_pylist()]
             for first, n, index, owner in grams(texts):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,8 @@ def global_index(df: DataFrame, *order: Column, name: str = "rn", partitions: in
         total += size
     if not offsets:
         return kept.withColumn(name, F.lit(None).cast("long")).drop("__at")
-    table = df.sparkSession.createDataFrame(offsets, "__part long, __offset long")
+    # an Arrow table, as rows of Python would start Python workers on the executors
+    table = df.sparkSession.createDataFrame(pa.table({"__part": pa.array([p for p, _ in offsets], pa.int64()), "__offset": pa.array([n for _, n in offsets], pa.int64())}))
     numbered = kept.withColumn("__part", part).join(F.broadcast(table), "__part")
     return numbered.withColumn(name, F.col("__offset") + F.col("__at").bitwiseAND(F.lit(_LOW)) + 1).drop("__at", "__part", "__offset")
 
