@@ -8,6 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from civicdocs.operators import hierarchy as H
+from civicdocs.operators import manifest as M
 from civicdocs.plans import queries as Q
 from civicdocs.sources import listing as L
 from civicdocs.sources import readers as R
@@ -60,3 +62,16 @@ def test_exports_are_small(spark, monkeypatch, name):
     assert len(files) > 64 and all(p.name.endswith(".json.gz") for p in files)
     assert sum(len(json.loads(gzip.decompress(p.read_bytes()))) for p in files) == n == spark.read.parquet(f"{DATA}/orders.parquet").select("o_custkey", "o_orderpriority").distinct().count()
     assert not below(spark, "listing")
+
+
+def test_sections_are_chosen_before_they_move(spark):
+    """Only sections with a PDF are dealt by commission, one row each, and without contents."""
+    books = spark.createDataFrame([(2, "Health", 1, True)], "id long, name string, serial int, hasVolume boolean")
+    text = json.dumps([{"id": 9, "book": {"id": 2}, "sections": [{"id": 1, "name": "n", "hasPdf": True, "pdfName": "1_2.pdf", "paragraphs": [{"id": 3}]}]}])
+    files = spark.createDataFrame([("x", "volumes-commission-2.json", '[{"id": 7, "name": "V", "chapters": ' + text + "}]"), ("y", "y.json", text)], "file_path string, file_name string, text string")
+    m = M.listed_manifest(books, L.listed_chapters(files))
+    assert [(r.section_id, r.dest) for r in m.collect()] == [(1, "01-Health/V/1_n.pdf")]
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below_it = plan.partition("LeftSemi")
+    assert "posexplode" not in above and below_it.count("posexplode(sections") == 2 and "chapter_title" not in below_it.split("posexplode")[0]
+    assert set(H.LISTED) - {"book_pos"} <= set(m.columns)
