@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from civicdocs.operators import versions
-from civicdocs.operators.hierarchy import branches, flatten_chapters
-from civicdocs.operators.manifest import first_in_listing, manifest, pending
+from civicdocs.operators.manifest import first_in_listing, listed_manifest, pending
 from civicdocs.sources.listing import export_files, listed_chapters
-from civicdocs.sources.storage import stored
+from civicdocs.sources.storage import passing
 
 
 def incremental_harvest(spark: SparkSession, source: str, books: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -25,14 +24,14 @@ def incremental_harvest(spark: SparkSession, source: str, books: DataFrame, targ
 
     def write(batch: DataFrame, epoch: int) -> None:
         chapters = listed_chapters(batch)
-        chosen = branches(books, chapters.filter("volume_pos is null"), chapters.filter("volume_pos is not null"))
-        entries = first_in_listing(manifest(books, flatten_chapters(chosen).drop("paragraphs")))
+        entries = first_in_listing(listed_manifest(books, chapters))
         try:
             entries = pending(entries, batch.sparkSession.read.parquet(target))
         except Exception as e:  # the first batch finds no table
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        stored(entries, "harvested").write.mode("append").parquet(target)
+        with passing(entries, "harvested", "zstd") as held:
+            held.write.mode("append").parquet(target)
 
     return export_files(spark, source, stream=True).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
