@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civicdocs.functions.text import chapter_label, localized, nz, section_kind, section_label, truthy
-from civicdocs.operators.numbering import global_index
+from civicdocs.operators.numbering import LOW
+from civicdocs.sources.storage import stored
 
 
 def serial_order(serial: str = "serial", id_: str = "id") -> list[Column]:
@@ -105,17 +110,77 @@ def tree_nodes(books: DataFrame, volumes: DataFrame, chapters: DataFrame, sectio
     return reduce(DataFrame.unionByName, [nodes.select(F.lit(kind).alias("kind"), "id", "path") for kind, nodes in kinds])
 
 
-def preorder(nodes: DataFrame) -> DataFrame:
-    """Nodes of distinct ``path`` -> with rn, their number in display order from 1, and subtree_end, the number of the last node below.
+def _next_no_deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over a partition, its last node first: with __next, the __at of the node that follows next and is no deeper, null where the partition has none.
+
+    Nodes of one path stand together and have the same next node; __twins tells how many of them stand before.
+    """
+    latest: dict[int, int] = {}  # of each depth
+    held: list[pa.RecordBatch] = []
+
+    def told(rows: pa.Table) -> pa.Table:
+        depth, at, path = (rows[c].to_numpy() for c in ("__depth", "__at", "__path"))
+        at = at & LOW
+        first = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))  # of each path
+        size = np.diff(np.append(first, len(path)))
+        found = np.full(len(depth), -1)
+        for k in np.unique(depth):
+            mine = depth == k
+            before = max((p for d, p in latest.items() if d <= k), default=-1)
+            found[mine] = np.maximum.accumulate(np.concatenate([[before], np.where(depth <= k, at, -1)]))[:-1][mine]
+        latest.update({int(k): int(at[depth == k][-1]) for k in np.unique(depth)})
+        found = np.repeat(found[first], size)
+        twins = np.repeat(at[first] + size - 1, size) - at
+        return rows.drop_columns("__path").append_column("__next", pa.array(found, mask=found < 0)).append_column("__twins", pa.array(twins))
+
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([*held, batch])
+            path = rows["__path"].to_numpy()
+            whole = len(path) - int(np.argmin(np.append(path[::-1] == path[-1], False)))  # the last path may go on
+            held = rows.slice(whole).to_batches()
+            if whole:
+                yield from told(rows.slice(0, whole)).to_batches()
+    if held:
+        yield from told(pa.Table.from_batches(held)).to_batches()
+
+
+def preorder(nodes: DataFrame, *keep: str) -> DataFrame:
+    """Nodes with their ``path`` -> with rn, their number in display order from 1, and subtree_end, the number of the last node below; ``keep`` names the columns that stay, else all.
 
     The rows of a subtree are those from rn to subtree_end, so that a subtree is
-    a range. Nodes are numbered by range partitions of their paths; descendants
-    are counted by adding one to every prefix of a path, combined before they move.
+    a range: it ends before the next node that is no deeper. Of nodes that share a path each
+    counts all of them as its subtree, from its own number on. Nodes are dealt once, by range partitions of
+    their paths, and read from the last to the first; where a partition has no
+    such node, the first ones of later partitions tell, a row for each partition and depth.
     """
-    numbered = global_index(nodes, F.col("path"))
-    prefixes = nodes.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda k: F.slice("path", F.lit(1), k))).alias("path"))
-    sizes = prefixes.groupBy("path").agg(F.count("*").alias("__size"))
-    return numbered.join(sizes, "path").withColumn("subtree_end", F.col("rn") + F.col("__size") - 1).drop("__size")
+    spark = nodes.sparkSession
+    kept = list(keep or nodes.columns)
+    order = F.desc("path")
+    placed = nodes.withColumn("__depth", F.size("path")).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).sortWithinPartitions(order)
+    placed = placed.withColumn("__at", F.monotonically_increasing_id()).select(*kept, "__depth", "__at", F.xxhash64("path").alias("__path"))
+    schema = StructType([f for f in placed.schema if f.name != "__path"]).add("__next", "long").add("__twins", "long")
+    held = stored(placed.mapInArrow(_next_no_deeper, schema), "numbered", "zstd")
+    part, at = F.shiftright("__at", 33).alias("__part"), F.col("__at").bitwiseAND(F.lit(LOW))
+    counts = held.groupBy(part, "__depth").agg(F.count("*").alias("n"), F.max(at).alias("first")).orderBy("__part").collect()
+    # partitions go from the last nodes to the first, as do rows in them
+    sizes: dict[int, int] = {}
+    for r in counts:
+        sizes[r["__part"]] = sizes.get(r["__part"], 0) + r["n"]
+    total = left = sum(sizes.values())
+    rows, nearest = [], {}  # of later partitions, the number of the first node of each depth
+    for p, size in sizes.items():
+        mine = [r for r in counts if r["__part"] == p]
+        rows += [(p, r["__depth"], left, min((rn for d, rn in nearest.items() if d <= r["__depth"]), default=total + 1) - 1) for r in mine]
+        nearest |= {r["__depth"]: left - r["first"] for r in mine}
+        left -= size
+    if not rows:
+        return held.select(*kept, *[F.lit(None).cast("long").alias(c) for c in ("rn", "subtree_end")])
+    columns = zip(("__part", "__depth", "__upto", "__after"), zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)
+    table = spark.createDataFrame(pa.table({c: pa.array(values, kind) for c, values, kind in columns}))
+    numbered = held.withColumn("__part", part).join(F.broadcast(table), ["__part", "__depth"])
+    end = F.coalesce(F.col("__upto") - F.col("__next") - 1, "__after") + F.col("__twins")
+    return numbered.select(*kept, (F.col("__upto") - at).alias("rn"), end.alias("subtree_end"))
 
 
 def nest_sections(sections: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from civicdocs.sources.storage import stored
 
-_LOW = (1 << 33) - 1
+LOW = (1 << 33) - 1
 
 
 def global_index(df: DataFrame, *order: Column, name: str = "rn", partitions: int | None = None) -> DataFrame:
@@ -33,7 +33,7 @@ def global_index(df: DataFrame, *order: Column, name: str = "rn", partitions: in
     # an Arrow table, as rows of Python would start Python workers on the executors
     table = df.sparkSession.createDataFrame(pa.table({"__part": pa.array([p for p, _ in offsets], pa.int64()), "__offset": pa.array([n for _, n in offsets], pa.int64())}))
     numbered = kept.withColumn("__part", part).join(F.broadcast(table), "__part")
-    return numbered.withColumn(name, F.col("__offset") + F.col("__at").bitwiseAND(F.lit(_LOW)) + 1).drop("__at", "__part", "__offset")
+    return numbered.withColumn(name, F.col("__offset") + F.col("__at").bitwiseAND(F.lit(LOW)) + 1).drop("__at", "__part", "__offset")
 
 
 def with_page(df: DataFrame, size: int, rn: str = "rn") -> DataFrame:

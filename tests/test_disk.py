@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import random
 from pathlib import Path
 
 import pytest
@@ -14,6 +15,7 @@ from civicdocs.plans import queries as Q
 from civicdocs.sources import listing as L
 from civicdocs.sources import readers as R
 from civicdocs.sources.storage import passing, shared_dir, stored
+from civicdocs.streaming.incremental import incremental_harvest
 
 DATA = "/root/testdata/sf0.001"
 with_tables = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -75,3 +77,29 @@ def test_sections_are_chosen_before_they_move(spark):
     above, _, below_it = plan.partition("LeftSemi")
     assert "posexplode" not in above and below_it.count("posexplode(sections") == 2 and "chapter_title" not in below_it.split("posexplode")[0]
     assert set(H.LISTED) - {"book_pos"} <= set(m.columns)
+
+
+def test_tree_is_dealt_once(spark):
+    """Paths stay behind when they have been sorted, and nodes that share one count each other, also across batches and partitions."""
+    rnd = random.Random(4)
+    paths = sorted({p[:k] for p in (tuple((rnd.randrange(3), rnd.randrange(4)) for _ in range(rnd.randint(1, 4))) for _ in range(300)) for k in range(1, len(p) + 1)})
+    paths = sorted([*paths, *rnd.choices(paths, k=40)])
+    nodes = spark.createDataFrame([(i, [*p]) for i, p in enumerate(paths)], "k int, path array<struct<serial:int,id:bigint>>")
+    size = {p: sum(x[: len(p)] == p for x in paths) for p in paths}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        got = H.preorder(nodes, "k")
+        assert got.columns == ["k", "rn", "subtree_end"]
+        assert sorted((r.rn, paths[r.k], r.subtree_end) for r in got.collect()) == [(i + 1, p, i + size[p]) for i, p in enumerate(paths)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_harvest_leaves_only_its_table(spark, tmp_path):
+    books = spark.createDataFrame([(2, "Health", 1)], "id long, name string, serial int")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([{"id": 9, "book": {"id": 2}, "sections": [{"id": 1, "name": "n", "hasPdf": True, "pdfName": "1_2.pdf"}]}]))
+    incremental_harvest(spark, str(tmp_path / "in"), books, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1 and not below(spark, "harvested")
