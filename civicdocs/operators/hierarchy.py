@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from civicdocs.functions.text import chapter_label, localized, nz, section_kind, section_label, truthy
 from civicdocs.operators.numbering import LOW
-from civicdocs.sources.storage import stored
+from civicdocs.sources.storage import passing, stored
 
 
 def serial_order(serial: str = "serial", id_: str = "id") -> list[Column]:
@@ -84,8 +84,8 @@ def tree_order(nodes: DataFrame, parents: list[str], keys: list[str], levels: li
     return nodes.withColumn("position", F.row_number().over(w).cast("long")).withColumn("path", F.array(*steps))
 
 
-def tree_nodes(books: DataFrame, volumes: DataFrame, chapters: DataFrame, sections: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """All nodes of the collection as rows: kind, id, path, from the top an array of (serial, id) by which the whole tree sorts.
+def tree_kinds(books: DataFrame, volumes: DataFrame, chapters: DataFrame, sections: DataFrame, paragraphs: DataFrame) -> list[DataFrame]:
+    """The nodes of the collection as rows, a table of each kind: kind, id, path, from the top an array of (serial, id) by which the whole tree sorts.
 
     (id, serial) of commissions; volumes with book_id; (chapter_id, serial,
     book_id, volume_id) of chapters, of null volume_id where they hang from the
@@ -107,7 +107,12 @@ def tree_nodes(books: DataFrame, volumes: DataFrame, chapters: DataFrame, sectio
     section = below(sections, chapter, "chapter_id", "id", "section_key")
     paragraph = below(paragraphs, section, "section_key", "id")
     kinds = (("commission", top), ("volume", by_volume), ("chapter", chapter), ("section", section), ("paragraph", paragraph))
-    return reduce(DataFrame.unionByName, [nodes.select(F.lit(kind).alias("kind"), "id", "path") for kind, nodes in kinds])
+    return [nodes.select(F.lit(kind).alias("kind"), "id", "path") for kind, nodes in kinds]
+
+
+def tree_nodes(*tables: DataFrame) -> DataFrame:
+    """The nodes of ``tree_kinds`` in one table."""
+    return reduce(DataFrame.unionByName, tree_kinds(*tables))
 
 
 def _next_no_deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +150,8 @@ def _next_no_deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from told(pa.Table.from_batches(held)).to_batches()
 
 
-def preorder(nodes: DataFrame, *keep: str) -> DataFrame:
-    """Nodes with their ``path`` -> with rn, their number in display order from 1, and subtree_end, the number of the last node below; ``keep`` names the columns that stay, else all.
+def preorder(nodes: DataFrame | list[DataFrame], *keep: str) -> DataFrame:
+    """Nodes with their ``path``, in one table or several that are worked out one after the other -> with rn, their number in display order from 1, and subtree_end, the number of the last node below; ``keep`` names the columns that stay, else all.
 
     The rows of a subtree are those from rn to subtree_end, so that a subtree is
     a range: it ends before the next node that is no deeper. Of nodes that share a path each
@@ -154,13 +159,17 @@ def preorder(nodes: DataFrame, *keep: str) -> DataFrame:
     their paths, and read from the last to the first; where a partition has no
     such node, the first ones of later partitions tell, a row for each partition and depth.
     """
+    nodes, *more = nodes if isinstance(nodes, list) else [nodes]
     spark = nodes.sparkSession
     kept = list(keep or nodes.columns)
+    needed = ["path", *[c for c in kept if c != "path"]]
     order = F.desc("path")
-    placed = nodes.withColumn("__depth", F.size("path")).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).sortWithinPartitions(order)
-    placed = placed.withColumn("__at", F.monotonically_increasing_id()).select(*kept, "__depth", "__at", F.xxhash64("path").alias("__path"))
-    schema = StructType([f for f in placed.schema if f.name != "__path"]).add("__next", "long").add("__twins", "long")
-    held = stored(placed.mapInArrow(_next_no_deeper, schema), "numbered", "zstd")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with passing(nodes.select(needed), "nodes", "zstd", *[x.select(needed) for x in more]) as there:  # what made them is off the disk when they are dealt
+        placed = there.withColumn("__depth", F.size("path")).repartitionByRange(n, order).sortWithinPartitions(order)
+        placed = placed.withColumn("__at", F.monotonically_increasing_id()).select(*kept, "__depth", "__at", F.xxhash64("path").alias("__path"))
+        schema = StructType([f for f in placed.schema if f.name != "__path"]).add("__next", "long").add("__twins", "long")
+        held = stored(placed.mapInArrow(_next_no_deeper, schema), "numbered", "zstd")
     part, at = F.shiftright("__at", 33).alias("__part"), F.col("__at").bitwiseAND(F.lit(LOW))
     counts = held.groupBy(part, "__depth").agg(F.count("*").alias("n"), F.max(at).alias("first")).orderBy("__part").collect()
     # partitions go from the last nodes to the first, as do rows in them

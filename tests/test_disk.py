@@ -94,6 +94,8 @@ def test_tree_is_dealt_once(spark):
         assert sorted((r.rn, paths[r.k], r.subtree_end) for r in got.collect()) == [(i + 1, p, i + size[p]) for i, p in enumerate(paths)]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    parts = H.preorder([nodes.filter("k % 3 = 0"), nodes.filter("k % 3 > 0").select("path", "k")], "k")
+    assert sorted((r.rn, paths[r.k], r.subtree_end) for r in parts.collect()) == [(i + 1, p, i + size[p]) for i, p in enumerate(paths)] and not below(spark, "nodes")
     assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
 
 
