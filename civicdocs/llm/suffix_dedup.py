@@ -1,9 +1,10 @@
 """Remove repeated strings of 100 bytes with sharded suffix arrays.
 
 Segments whose anchor has different surroundings elsewhere are dealt to shards
-with their bytes. A shard builds the suffix array of its segments by induced
+with their bytes. A shard cuts them to the runs of windows whose hash repeats
+there, takes one of equal runs, builds the suffix array of these by induced
 sorting and the permuted common prefixes with it; suffixes that agree with
-their neighbour in 100 bytes are equal windows, of which all but the first
+their neighbour in 100 bytes are equal windows, and so are those of equal runs. All but the first
 place are marked. Segments that are equal as a whole were marked before, and
 those of very common anchors come window by window.
 
@@ -70,8 +71,36 @@ def segment_sender(by: Windows):
     return send
 
 
-def equal_windows(bodies: list[bytes], counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, window in it, number of its class) of all windows that are equal to another one of these segments."""
+def repeated_runs(bodies: list[bytes], counts: np.ndarray, by: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first window, windows) of the runs of windows whose hash another window of these segments has. No other window is equal to any."""
+    lengths = np.array([len(b) for b in bodies])
+    first = np.cumsum(lengths) - lengths
+    window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.repeat(first, counts) + window
+    hashes = by.hashes(prefix_hash(byte_codes(np.frombuffer(b"".join(bodies), np.uint8))), at, at + by.width)
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:][equal]] = twice[order[:-1][equal]] = True
+    begins = twice & ((window == 0) | ~np.concatenate([[False], twice[:-1]]))
+    run = np.cumsum(begins)[twice] - 1
+    begins = np.flatnonzero(begins)
+    return np.repeat(np.arange(len(bodies)), counts)[begins], window[begins], np.bincount(run, minlength=len(begins))
+
+
+def window_classes(bodies: list[bytes], counts: np.ndarray, width: int) -> np.ndarray:
+    """The number of its class of equal windows for every window of these segments, one segment after the other. Of equal segments the array holds one."""
+    number: dict[bytes, int] = {}
+    same = np.array([number.setdefault(b, len(number)) for b in bodies])
+    sizes = np.zeros(len(number), np.int64)
+    sizes[same] = counts
+    text_classes = _sorted_classes(list(number), sizes, width)
+    begin = np.cumsum(sizes) - sizes
+    return text_classes[np.repeat(begin[same] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
+
+
+def _sorted_classes(bodies: list[bytes], counts: np.ndarray, width: int) -> np.ndarray:
+    """Window classes from the suffix array of the segments."""
     lengths = np.array([len(b) + 1 for b in bodies])
     first = np.cumsum(lengths) - lengths
     raw = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8)
@@ -79,19 +108,17 @@ def equal_windows(bodies: list[bytes], counts: np.ndarray, width: int) -> tuple[
     letters[first + lengths - 1] = 1  # parts segments
     text = np.append(letters, 0)
     order = suffix_array(text)
+    at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     valid = np.zeros(len(text), bool)
-    valid[np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())] = True
+    valid[at] = True
     order = order[valid[order]]
     # Windows hold no parting letter, so bytes decide.
     common = permuted_common_prefixes(np.append(raw, 0), order, width)
     joined = np.zeros(len(order), bool)
     joined[1:] = common[order[1:]] >= width
-    number = np.cumsum(~joined)
-    mates = joined.copy()
-    mates[:-1] |= joined[1:]
-    at = order[mates]
-    of = np.searchsorted(first, at, side="right") - 1
-    return of, at - first[of], number[mates]
+    classes = np.zeros(len(text), np.int64)
+    classes[order] = np.cumsum(~joined)
+    return classes[at]
 
 
 def _marks(nul: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
@@ -100,7 +127,7 @@ def _marks(nul: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray)
     })
 
 
-def _array_marks(width: int):
+def _array_marks(by: Windows):
     """For mapInArrow over SENT rows in order of their groups; rows without a body are marks already."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,21 +139,24 @@ def _array_marks(width: int):
             left = batch.filter(batch.column("body").is_valid())
             for row in zip(*(left.column(k).to_pylist() for k in ("group", *KEY, "start", "count", "body")), strict=True):
                 if size >= ARRAY_BYTES and row[0] != last:
-                    yield _mark(held, width)
+                    yield _mark(held, by)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[6])
                 last = row[0]
         if held:
-            yield _mark(held, width)
+            yield _mark(held, by)
 
     return marks
 
 
-def _mark(rows: list[tuple], width: int) -> pa.RecordBatch:
+def _mark(rows: list[tuple], by: Windows) -> pa.RecordBatch:
     """Marks for the windows of some groups of segments; groups never match each other, as their anchors differ."""
     nul, doc, row, start, count = (np.array([r[i] for r in rows], np.int64) for i in range(1, 6))
-    of, window, number = equal_windows([r[6] for r in rows], count, width)
+    of, begin, count = repeated_runs([r[6] for r in rows], count, by)
+    number = window_classes([rows[i][6][b : b + n - 1 + by.width] for i, b, n in zip(of.tolist(), begin.tolist(), count.tolist(), strict=True)], count, by.width) if len(of) else of
+    window = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - begin, count)
+    of = np.repeat(of, count)
     nul, doc, row, start = nul[of], doc[of], row[of], start[of] + window
     places = np.stack([nul, doc, np.where(nul, row, 0), start])  # as in repeats.combined
     order = np.lexsort((*places[::-1], number))
@@ -166,7 +196,7 @@ def marked(docs: DataFrame, by: Windows = BYTES) -> DataFrame:
     found = find_segments(docs, by)
     need = per_row(found.filter(F.col("kind").isin(NEED, HOT_NEED)), "need", "kind", "start", "count", "anchor")
     sent = docs.join(need, KEY).select(*KEY, "text", "need").mapInArrow(segment_sender(by), SENT)
-    singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by.width), MARKS)
+    singles = sent.repartition("deal").sortWithinPartitions("group").mapInArrow(_array_marks(by), MARKS)
     marks = per_row(found.filter(F.col("kind") == MARK).select(*KEY, "start", "count").unionAll(singles), "marks", "start", "count")
     return docs.join(marks, KEY, "left").select(doc_id(), "text", "marks")
 
