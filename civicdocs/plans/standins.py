@@ -51,13 +51,24 @@ def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(f"{head} FROM {{source}}", source=table(spark, sf_dir, source.strip()))
 
 
-def from_row(name: str, row: str = "", **outside: str) -> Column:
-    """The entity as a struct of a row of its table, where that is at hand: of the columns, or an array of the rows in column ``row``. ``outside`` names columns that stand outside the array."""
-    items = re.sub(r"^SELECT (DISTINCT )?", "", SELECTS[name].replace("{ms}", MS["spark"])).rpartition("FROM ")[0]
-    if not row:
-        return F.expr(f"struct({items})")
+def fields(name: str) -> dict[str, str]:
+    """The entity's fields, each with its expression over a row of its table."""
+    text = re.sub(r"^SELECT (DISTINCT )?", "", SELECTS[name].replace("{ms}", MS["spark"])).rpartition("FROM ")[0]
+    ends = [i for i, c in enumerate(text) if c == "," and text.count("(", 0, i) == text.count(")", 0, i)]
+    parts = [text[i:j].strip() for i, j in zip([0, *[e + 1 for e in ends]], [*ends, len(text)], strict=True)]
+    return {part.rpartition(" AS ")[2] if " AS " in part else part: part.rpartition(" AS ")[0] if " AS " in part else part for part in parts}
+
+
+def from_row(name: str) -> Column:
+    """The entity as a struct, where the columns of its table are at hand."""
+    return F.expr("struct(" + ", ".join(f"{x} AS {field}" for field, x in fields(name).items()) + ")")
+
+
+def from_rows(name: str, rows: str, shape: str, **outside: str) -> Column:
+    """An array of rows of the entity's table -> an array of ``shape``, in which ``{field}`` is a field of the entity. ``outside`` names columns that stand outside the array."""
     there = lambda m: outside.get(m[0], f"x.{m[0]}")
-    return F.expr(f"transform({row}, x -> struct({re.sub(r'\b[a-z]_\w+', there, items)}))")
+    inner = {field: "(" + re.sub(r"\b[a-z]_\w+", there, x) + ")" for field, x in fields(name).items()}
+    return F.expr(f"transform({rows}, x -> {shape.format(**inner)})")
 
 
 def ctes(*names: str) -> str:
